@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import LABEL_THRESHOLD
-from .common import str_array
+from .common import let, str_array
 
 
 def label_index(name: Column, labels: Sequence[str]) -> Column:
@@ -28,9 +28,12 @@ def unknown_labels(names: Column, labels: Sequence[str]) -> Column:
 def multi_hot(indexes: Column, size: Column | int) -> Column:
     """0/1 vector with ones at ``indexes``; negative indexes count from the end."""
     n = F.lit(size) if isinstance(size, int) else size
-    return F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.when(F.array_contains(indexes, i) | F.array_contains(indexes, i - n), F.lit(1.0)).otherwise(F.lit(0.0)).cast("float"),
+    return let(
+        indexes,
+        lambda ones: F.transform(
+            F.sequence(F.lit(0), n - 1),
+            lambda i: F.when(F.array_contains(ones, i) | F.array_contains(ones, i - n), F.lit(1.0)).otherwise(F.lit(0.0)).cast("float"),
+        ),
     )
 
 
@@ -47,9 +50,12 @@ def decode_logits(logits: Column, threshold: float = LABEL_THRESHOLD) -> Column:
 
 def label_map(hits: Column, labels: Sequence[str]) -> Column:
     """``MAP<label, 0/1>`` over the whole vocabulary, from an array of label ids."""
-    flags = F.transform(
-        F.sequence(F.lit(0), F.lit(len(labels) - 1)),
-        lambda i: F.when(F.array_contains(hits, i), F.lit(1)).otherwise(F.lit(0)),
+    flags = let(
+        hits,
+        lambda h: F.transform(
+            F.sequence(F.lit(0), F.lit(len(labels) - 1)),
+            lambda i: F.when(F.array_contains(h, i), F.lit(1)).otherwise(F.lit(0)),
+        ),
     )
     return F.map_from_arrays(str_array(labels), flags)
 

@@ -28,26 +28,35 @@ def char_offsets(prompt: Column, content: Column, max_seq_len: int) -> Column:
     return F.concat(special, chars(F.length(prompt)), special, chars(used), special, padding).cast(OFFSETS)
 
 
+def _second_special(offsets: Column) -> Column:
+    """1-based place of the first special token behind position 0; 0 without any."""
+    return F.array_position(F.transform(offsets, lambda t, i: (i > 0) & (t["s"] == 0) & (t["e"] == 0)), True)
+
+
+def _drift(offsets: Column, special: Column) -> Column:
+    return F.when(special > 1, F.get(offsets, (special - 2).cast("int"))["e"] + 1).otherwise(F.lit(0)).cast("int")
+
+
 def offset_drift(offsets: Column) -> Column:
     """End of the prompt plus one: the first special token after position 0 marks it."""
-    at = F.array_position(F.transform(offsets, lambda t, i: (i > 0) & (t["s"] == 0) & (t["e"] == 0)), True)
-    return F.when(at > 1, F.get(offsets, (at - 2).cast("int"))["e"] + 1).otherwise(F.lit(0)).cast("int")
+    return let(offsets, lambda o: let(_second_special(o), lambda at: _drift(o, at)))
 
 
 def drift_offsets(offsets: Column) -> Column:
-    """Shift the content tokens behind the prompt; special tokens stay (0, 0). First element is untouched."""
-
-    def shift(found: Column) -> Column:
-        drift = offset_drift(offsets)
-        return F.transform(
-            offsets,
-            lambda t, i: F.when((i + 1 < found) | ((t["s"] == 0) & (t["e"] == 0)), t).otherwise(
-                F.struct((t["s"] + drift).alias("s"), (t["e"] + drift).alias("e"))
+    """Shift the content tokens behind the prompt; prompt and special tokens stay."""
+
+    def shift(o: Column, at: Column) -> Column:
+        return let(
+            F.struct(F.when(at > 0, at).otherwise(F.size(o) + 1).alias("at"), _drift(o, at).alias("by")),
+            lambda d: F.transform(
+                o,
+                lambda t, i: F.when((i + 1 < d["at"]) | ((t["s"] == 0) & (t["e"] == 0)), t).otherwise(
+                    F.struct((t["s"] + d["by"]).alias("s"), (t["e"] + d["by"]).alias("e"))
+                ),
             ),
         )
 
-    first_special = F.array_position(F.transform(offsets, lambda t, i: (i > 0) & (t["s"] == 0) & (t["e"] == 0)), True)
-    return let(F.when(first_special > 0, first_special).otherwise(F.size(offsets) + 1), shift)
+    return let(offsets, lambda o: let(_second_special(o), lambda at: shift(o, at)))
 
 
 def map_offset(position: Column, offsets: Column) -> Column:
@@ -86,7 +95,9 @@ def position_vectors(result_list: Column, offsets: Column, length: int, lenient:
             lambda p: F.struct(mark(p["starts"]).alias("start_positions"), mark(p["ends"]).alias("end_positions")),
         )
 
-    return let(F.struct(drift_offsets(offsets).alias("shifted"), offset_drift(offsets).alias("drift")), vectors)
+    return let(
+        offsets, lambda o: let(F.struct(drift_offsets(o).alias("shifted"), offset_drift(o).alias("drift")), vectors)
+    )
 
 
 def padding_bucket(length: Column, options: Sequence[int], default: int) -> Column:

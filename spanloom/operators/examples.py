@@ -158,17 +158,21 @@ def resolve_relations(relations: DataFrame, entities: DataFrame, doc: str = "doc
 
 def _grouped(items: Column, key: str) -> Column:
     """Group structs of (key, text, start, end) by key, in order of first occurrence."""
-    keys = F.array_distinct(F.transform(items, lambda x: x[key]))
-    return F.transform(
-        keys,
-        lambda k: F.struct(
-            k.alias("prompt"),
-            F.transform(
-                F.filter(items, lambda x: x[key] == k),
-                lambda x: F.struct(x["text"].alias("text"), x["start"].alias("start"), x["end"].alias("end")),
-            ).cast(PLAIN_SPANS).alias("result_list"),
-        ),
-    )
+
+
+    def groups(c: Column) -> Column:
+        return F.transform(
+            F.array_distinct(F.transform(c, lambda x: x[key])),
+            lambda k: F.struct(
+                k.alias("prompt"),
+                F.transform(
+                    F.filter(c, lambda x: x[key] == k),
+                    lambda x: F.struct(x["text"].alias("text"), x["start"].alias("start"), x["end"].alias("end")),
+                ).cast(PLAIN_SPANS).alias("result_list"),
+            ),
+        )
+
+    return let(items, groups)
 
 
 def entity_examples(df: DataFrame, key: str, text: str = "text") -> DataFrame:

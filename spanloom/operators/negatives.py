@@ -113,17 +113,22 @@ def pool_sizes(n1: Column, n2: Column, n3: Column, positives: Column, ratio: int
         missing = F.greatest(positives * ratio - given, F.lit(0)).cast("bigint")
 
         def spread(s: Column) -> Column:
-            start = offset(s["total"])
-            picks = F.transform(
-                F.sequence(F.lit(0).cast("bigint"), s["missing"] - 1),
-                lambda j: F.pmod(start + F.floor(j * s["total"] / s["missing"]), s["total"]),
+            picks = let(
+                offset(s["total"]),
+                lambda start: F.transform(
+                    F.sequence(F.lit(0).cast("bigint"), s["missing"] - 1),
+                    lambda j: F.pmod(start + F.floor(j * s["total"] / s["missing"]), s["total"]),
+                ),
             )
             bounds = F.array(
                 F.lit(0).cast("bigint"), F.get(s["left"], F.lit(0)), F.get(s["left"], F.lit(0)) + F.get(s["left"], F.lit(1)), s["total"]
             )
-            chosen = F.transform(
-                base,
-                lambda t, i: t + F.size(F.filter(picks, lambda p: (p >= F.get(bounds, i)) & (p < F.get(bounds, i + 1)))),
+            chosen = let(
+                F.struct(picks.alias("p"), bounds.alias("b")),
+                lambda d: F.transform(
+                    base,
+                    lambda t, i: t + F.size(F.filter(d["p"], lambda p: (p >= F.get(d["b"], i)) & (p < F.get(d["b"], i + 1)))),
+                ),
             )
             return (
                 F.when((s["missing"] <= 0) | (s["total"] == 0), base)

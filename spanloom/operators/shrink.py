@@ -90,8 +90,11 @@ def shrink_to_spans(
     limit = (F.length(text) - 1 if compat else F.length(text)).cast("int")
 
     def join(kept: Column) -> Column:
-        width = half_even(budget / F.size(kept))
-        cuts = let(span_windows(kept, width, limit), lambda w: window_cuts(w, limit, dynamic, compat))
+        def cut(size: Column) -> Column:
+            windows = span_windows(kept, size["width"], size["limit"])
+            return let(windows, lambda w: window_cuts(w, size["limit"], dynamic, compat))
+
+        cuts = let(F.struct(half_even(budget / F.size(kept)).alias("width"), limit.alias("limit")), cut)
         pieces = F.transform(cuts, lambda c: slice_of(text, c["start"], c["end"]))
         return F.when(F.size(kept) > 0, F.array_join(pieces, "")).otherwise(F.lit(""))
 

@@ -39,10 +39,13 @@ def of_entity(spans: Column, entity: str | Column) -> Column:
 
 def best_span(spans: Column) -> Column:
     """The span of highest probability; the first of equals; NULL for an empty array."""
-    return F.aggregate(
-        F.slice(spans, 2, F.greatest(F.size(spans), F.lit(1))),
-        F.get(spans, F.lit(0)),
-        lambda best, s: F.when(s["probability"] > best["probability"], s).otherwise(best),
+    return let(
+        spans,
+        lambda c: F.aggregate(
+            F.slice(c, 2, F.greatest(F.size(c), F.lit(1))),
+            F.get(c, F.lit(0)),
+            lambda best, s: F.when(s["probability"] > best["probability"], s).otherwise(best),
+        ),
     )
 
 
@@ -93,15 +96,16 @@ def fill_missing(df: DataFrame, entities: Sequence[str], text: str = MISSING_TEX
     c = F.col(spans)
     defaults = F.array(*[default(e) for e in entities]).cast(SPANS)
     present = F.transform(c, lambda s: s["entity"])
-    missing = F.filter(defaults, lambda d: ~F.array_contains(present, d["entity"]))
+    missing = let(present, lambda p: F.filter(defaults, lambda d: ~F.array_contains(p, d["entity"])))
     return df.withColumn(spans, F.concat(c, missing))
 
 
 def rules_where_empty(df: DataFrame, rules: Mapping[str, Rule], text: str = "text", spans: str = "spans") -> DataFrame:
     """Add rule spans for the entities a model returned nothing for; they stand after the model's spans."""
     c = F.col(spans)
+    present = F.transform(c, lambda s: s["entity"])
     added = [
-        F.when(F.exists(c, lambda s, e=entity: s["entity"] == e), F.array().cast(SPANS)).otherwise(
+        F.when(F.array_contains(present, F.lit(entity)), F.array().cast(SPANS)).otherwise(
             as_entity_spans(apply_rule(F.col(text), rule), entity).cast(SPANS)
         )
         for entity, rule in rules.items()
