@@ -37,7 +37,7 @@ NUMBER = r"[0-9]{3}"
 NUMBER_LINE = r"[0-9]+\n"
 STRATEGY_THRESHOLD = 0.5
 CHUNK_LEN = 512
-SHRINK_BUDGET = 400
+BUDGET = 400
 LABELS = ["quality", "toxic", "en", "fr", "de", "es"]
 N_DIMS = 8
 SHORT_CHUNK = 24
@@ -292,13 +292,13 @@ def greedy_dedup(spark, folder):
 
 def span_windows(spark, folder):
     kept = shrink.greedy_distinct(F.col("spans"), 0.4)
-    windows = let(kept, lambda k: shrink.span_windows(k, half_even(F.lit(SHRINK_BUDGET) / F.size(k)), F.length("text")))
+    windows = let(kept, lambda k: shrink.span_windows(k, half_even(F.lit(BUDGET) / F.size(k)), F.length("text")))
     return wide_ints(_overlapping(spark, folder).select("doc_id", F.posexplode(windows).alias("n", "w")).select("doc_id", "n", "w.start", "w.end"))
 
 
 def _shrunk(**options) -> Query:
     def run(spark, folder):
-        out = shrink.shrink_documents(_overlapping(spark, folder), SHRINK_BUDGET, **options)
+        out = shrink.shrink_documents(_overlapping(spark, folder), BUDGET, **options)
         return wide_ints(out.select("doc_id", F.length("text").alias("short_len"), digest(F.col("text")).alias("short_md5")))
 
     return run
@@ -307,7 +307,7 @@ def _shrunk(**options) -> Query:
 def row_counts(spark, folder):
     """Rows and characters before and after shrinking, in one pass."""
     out = _overlapping(spark, folder).withColumn("full", F.length("text"))
-    out = shrink.shrink_documents(out, SHRINK_BUDGET)
+    out = shrink.shrink_documents(out, BUDGET)
     return out.agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("full").alias("chars_before"), F.sum(F.length("text")).alias("chars_after"), F.max("full").cast("bigint").alias("longest")
     )
@@ -633,8 +633,10 @@ def _amounts(spark, folder):
     raw = (
         F.when(k % 13 == 0, F.lit("不詳"))
         .when(k % 17 == 0, F.lit(None).cast("string"))
-        .when(k % 4 == 0, F.concat(high.cast("string"), F.lit("萬"), low.cast("string"), F.lit("元")))
-        .when(k % 4 == 1, F.concat(F.translate(high.cast("string"), "0123456789", "０１２３４５６７８９"), F.lit("万"), spelled, F.lit("餘元")))
+        .when(k % 4 == 0, F.concat(F.when(high > 0, F.concat(high.cast("string"), F.lit("萬"))).otherwise(F.lit("")), low.cast("string"), F.lit("元")))
+        .when(k % 4 == 1, F.concat(
+            F.when(high > 0, F.concat(F.translate(high.cast("string"), "0123456789", "０１２３４５６７８９"), F.lit("万"))).otherwise(F.lit("")), spelled, F.lit("餘元")
+        ))
         .when(k % 4 == 2, F.concat(F.lit(" "), F.regexp_replace(n.cast("string"), r"(\d)(?=(?:\d{3})+$)", "$1,"), F.lit("元")))
         .otherwise(F.concat(F.lit("新"), n.cast("string")))
     )
@@ -758,7 +760,7 @@ def keyword_scorer():
 
 def two_stage_classify(spark, folder):
     out = classification.classify_documents(
-        documents(spark, folder), ["long", "address", "digits"], {**RULES, "number": Rule(first=NUMBER)}, max_seq_len=SHRINK_BUDGET + 24, make_label_scorer=keyword_scorer
+        documents(spark, folder), ["long", "address", "digits"], {**RULES, "number": Rule(first=NUMBER)}, max_seq_len=BUDGET + 24, make_label_scorer=keyword_scorer
     )
     return wide_ints(merging.expand_labels(out.select("doc_id", F.length("text").alias("short_len"), "pred_labels"), ["long", "address", "digits"]))
 
