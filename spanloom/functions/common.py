@@ -33,13 +33,14 @@ def seeded_hash(seed: int | str, *keys: Column) -> Column:
     parts: list[Column] = [F.lit(str(seed))]
     for key in keys:
         parts += [F.lit(":"), key.cast("string")]
-    return F.md5(F.concat(*parts).cast("binary"))
+    # Never NULL, so that joins and filters on it need no further check.
+    return F.coalesce(F.md5(F.concat(*parts).cast("binary")), F.lit(""))
 
 
 def hash_mod(seed: int | str, size: Column, *keys: Column) -> Column:
     """A repeatable random number in ``[0, size)``, from the first 15 hex digits of :func:`seeded_hash`."""
     number = F.conv(F.substring(seeded_hash(seed, *keys), 1, 15), 16, 10).cast("bigint")
-    return F.pmod(number, size.cast("bigint"))
+    return F.coalesce(F.pmod(number, size.cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def stable_sort_by(values: Column, *fields: str) -> Column:

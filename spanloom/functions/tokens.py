@@ -95,9 +95,12 @@ def position_vectors(result_list: Column, offsets: Column, length: int, lenient:
             lambda p: F.struct(mark(p["starts"]).alias("start_positions"), mark(p["ends"]).alias("end_positions")),
         )
 
-    return let(
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), length)
+    nothing = F.struct(zeros.alias("start_positions"), zeros.alias("end_positions"))
+    marked = let(
         offsets, lambda o: let(F.struct(drift_offsets(o).alias("shifted"), offset_drift(o).alias("drift")), vectors)
     )
+    return F.when(F.size(result_list) == 0, nothing).otherwise(marked)
 
 
 def padding_bucket(length: Column, options: Sequence[int], default: int) -> Column:

@@ -13,6 +13,7 @@ from ..functions.labels import label_indexes, multi_hot
 from ..functions.prompts import classification_example, relation_prompt, split_class_labels
 from ..functions.text import split_pair
 from ..schemas import ENTITIES, PLAIN_SPANS, RELATIONS
+from ..session import durable
 from .negatives import CorpusIndex, corpus_index, entity_negatives, full_relation_negatives, train_relation_negatives
 from .ranks import running_total
 from .validate import REASON, known_labels, only_span_annotations, stop_on
@@ -223,6 +224,19 @@ def classification_examples(
     return df.select(key, example.alias("x")).select(key, "x.content", "x.prompt", F.col("x.result_list").cast(PLAIN_SPANS).alias("result_list"))
 
 
+def corpus_facts(docs: DataFrame, key: str) -> DataFrame:
+    """What negatives need to know of a document: short strings, none of its text."""
+    return docs.select(
+        key,
+        F.array_distinct(F.transform("names", lambda n: n["label"])).alias("labels"),
+        F.array_distinct(F.transform("names", lambda n: n["name"])).alias("entity_names"),
+        F.array_distinct(F.transform("triples", lambda t: t["subject"])).alias("subjects"),
+        F.transform("triples", lambda t: t["predicate"]).alias("predicates"),
+        F.transform("triples", lambda t: t["inverse"]).alias("inverse"),
+        F.array_distinct(F.transform("triples", lambda t: t["prompt"])).alias("prompts"),
+    )
+
+
 def corpus_values(df: DataFrame, values: Column) -> DataFrame:
     """The distinct values of a per-document array over the corpus; combines before the shuffle."""
     return df.select(F.explode(F.array_distinct(values)).alias("value")).distinct()
@@ -245,15 +259,7 @@ def build_extraction_examples(
     Input: ``key, text, entities, relations``. ``negative_ratio`` -1 keeps all negatives.
     """
     docs = resolved_relations(named_entities(df, text, separator=separator), lang=lang)
-    facts = docs.select(
-        key,
-        F.array_distinct(F.transform("names", lambda n: n["label"])).alias("labels"),
-        F.array_distinct(F.transform("names", lambda n: n["name"])).alias("entity_names"),
-        F.array_distinct(F.transform("triples", lambda t: t["subject"])).alias("subjects"),
-        F.transform("triples", lambda t: t["predicate"]).alias("predicates"),
-        F.transform("triples", lambda t: t["inverse"]).alias("inverse"),
-        F.array_distinct(F.transform("triples", lambda t: t["prompt"])).alias("prompts"),
-    )
+    facts = durable(corpus_facts(docs, key))
     labels = corpus_index(corpus_values(facts, F.col("labels")), seed)
     predicates = corpus_index(corpus_values(facts, F.col("predicates")), seed)
     positives = [

@@ -27,7 +27,7 @@ SMALL_CHARS = 4_000_000
 
 @dataclass(frozen=True)
 class CorpusIndex:
-    """``frame(position, value)`` with positions 0..size-1."""
+    """``frame(position, value)`` with positions 0..size-1, written out once."""
 
     frame: DataFrame
     size: int
@@ -40,10 +40,10 @@ class CorpusIndex:
 
 
 def corpus_index(values: DataFrame, seed: int | str = SEED) -> CorpusIndex:
-    """Number distinct ``value`` rows in random order. The set is written out once: it is read several times."""
+    """Number distinct ``value`` rows in random order."""
     kept = durable(values.where(F.col("value").isNotNull()))
     stats = kept.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("value")), F.lit(0)).alias("chars")).first()
-    ranked = seeded_rank(kept, "value", seed, "position")
+    ranked = durable(seeded_rank(kept, "value", seed, "position"))
     return CorpusIndex(ranked, stats["n"], stats["n"] <= SMALL_VALUES and stats["chars"] <= SMALL_CHARS)
 
 
@@ -65,10 +65,9 @@ def circular_draw(docs: DataFrame, index: CorpusIndex, key: str, own: str, take:
         return docs.select(key, F.lit(None).cast("string").alias("value")).where(F.lit(False))
     n = F.lit(index.size).cast("bigint")
     wanted = F.least(F.col(take) + F.size(own), n)
-    draws = (
-        docs.where(F.col(take) > 0)
-        .withColumn("__step", F.explode(F.sequence(F.lit(0).cast("bigint"), wanted - 1)))
-        .withColumn("__at", F.pmod(hash_mod(seed, n, F.col(key)) + F.col("__step"), n))
+    steps = F.when(F.col(take) > 0, F.sequence(F.lit(0).cast("bigint"), wanted - 1))
+    draws = docs.withColumn("__step", F.explode(steps)).withColumn(
+        "__at", F.coalesce(F.pmod(hash_mod(seed, n, F.col(key)) + F.col("__step"), n), F.lit(0))
     )
     fetched = index.attach(draws, "__at").where(~F.array_contains(F.col(own), F.col("value")))
     order = F.row_number().over(Window.partitionBy(key).orderBy("__step"))

@@ -553,7 +553,7 @@ SQL["zero_fill"] = (
 
 # --- metrics ----------------------------------------------------------------------------------------
 
-_LOOSER = [(e, {"card": "[0-9]{12,16}", "email": "[A-Za-z0-9._]+@[A-Za-z0-9.-]+"}.get(e, p)) for e, p in RULE_PAIRS]
+_LOOSER = [(e, {"card": "[0-9]{12,16}", "email": "[A-Za-z0-9.]+@[A-Za-z0-9.]+"}.get(e, p)) for e, p in RULE_PAIRS]
 _PAIRS = (
     f"g AS (SELECT DISTINCT doc_id, entity, start, \"end\" FROM ({hits_of(RULE_PAIRS)})), "
     f"p AS (SELECT DISTINCT doc_id, entity, start, \"end\" FROM ({hits_of(_LOOSER)}) WHERE {STAND_IN} > 0.1), "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,23 +20,35 @@ def local_session(name: str = "spanloom", cpus: str | int = "*", partitions: int
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` to the shared folder of the session, so that lost executors cost no recomputation.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that every executor reaches, as the session names it in ``spark.checkpoint.dir``.
 
     A folder of our own is used only where the session names none and runs on one machine.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not sc.master.startswith("local"):
                 raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach.")
             folder = os.path.join(tempfile.gettempdir(), "spanloom-checkpoints")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    What is read several times is computed once, lost executors cost no recomputation, and readers get
+    column pruning and true sizes.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

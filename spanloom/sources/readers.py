@@ -19,6 +19,12 @@ def _require_rows(df: DataFrame, path: str | Sequence[str]) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the session has cores; a scan with enough splits is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: str | None = None, lines: bool = False) -> DataFrame:
     """Objects, arrays of objects (``lines=False``) or JSON lines, which are read in parallel also within a file."""
     reader = spark.read.option("multiLine", not lines).option("mode", "FAILFAST")
