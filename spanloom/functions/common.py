@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def settle(df: DataFrame, *columns: str) -> DataFrame:
+    """The same frame with some computed columns passed through a generator of one row.
+
+    A filter on them then stays above, where it would else be pushed down and compute them a second time.
+    """
+    others = [c for c in df.columns if c not in columns]
+    return df.select(*[F.col(f"`{c}`") for c in others], F.inline(F.array(F.struct(*columns)))).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def str_array(values: Iterable[str]) -> Column:
     """A literal ``ARRAY<STRING>``, also for no values."""
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")

@@ -49,6 +49,18 @@ def default_rules(entities: Sequence[str]) -> dict[str, Rule]:
     return dict(zip(entities, (AGE_RULE, LIABILITY_RULE, INJURY_RULE)))
 
 
+def pieces_between(text: Column, pattern: str, limit: int = -1) -> Column:
+    """What lies between the matches.
+
+    ``split`` compiles its pattern for every row, ``regexp_replace`` once; so matches become a character
+    that splits without a pattern, except in a text that has this character.
+    """
+    mark = "\0"
+    return F.when(F.contains(text, F.lit(mark)), F.split(text, pattern, limit)).otherwise(
+        F.split(F.regexp_replace(text, pattern, mark), mark, limit)
+    )
+
+
 def find_all(text: Column, pattern: str) -> Column:
     """All matches as ``ARRAY<STRUCT<start, end, text>>``; the pattern must not match the empty string.
 
@@ -84,7 +96,7 @@ def find_all(text: Column, pattern: str) -> Column:
     return let(
         hits,
         lambda h: F.when(F.size(h) == 0, F.array().cast("array<struct<start:int,end:int,text:string>>")).otherwise(
-            let(F.struct(h.alias("hits"), F.split(text, pattern, -1).alias("gaps")), spans)
+            let(F.struct(h.alias("hits"), pieces_between(text, pattern).alias("gaps")), spans)
         ),
     )
 
@@ -96,7 +108,7 @@ def find_first(text: Column, pattern: str) -> Column:
         hit,
         lambda h: F.when(h.isNull(), F.array().cast("array<struct<start:int,end:int,text:string>>")).otherwise(
             let(
-                F.length(F.split(text, pattern, 2)[0]),
+                F.length(pieces_between(text, pattern, 2)[0]),
                 lambda n: F.array(F.struct(n.alias("start"), (n + F.length(h)).alias("end"), h.alias("text"))),
             )
         ),

@@ -94,6 +94,9 @@ def chunk_examples(
 
     fits = F.length(F.col("__text")) <= F.col("__cap") if strict else passes
 
+    # The reason travels with the piece, so that a filter on it is not pushed below the cutting and computed twice.
+    no_reason = F.lit(None).cast("string")
+
     def cut(starts: Column) -> Column:
         def one(start: Column, i: Column) -> Column:
             end = F.coalesce(F.get(starts, i + 1), F.length(F.col("__text")))
@@ -104,7 +107,7 @@ def chunk_examples(
             )
             return F.struct(
                 i.cast("int").alias("chunk_no"), start.cast("int").alias("chunk_start"), end.cast("int").alias("chunk_end"),
-                moved.cast(PLAIN_SPANS).alias("spans"),
+                moved.cast(PLAIN_SPANS).alias("spans"), no_reason.alias("reason"),
             )
 
         return F.transform(starts, one)
@@ -112,7 +115,7 @@ def chunk_examples(
     whole = F.array(
         F.struct(
             F.lit(0).alias("chunk_no"), F.lit(0).alias("chunk_start"), F.length(F.col("__text")).cast("int").alias("chunk_end"),
-            F.col("__spans").alias("spans"),
+            F.col("__spans").alias("spans"), F.col(REASON).alias("reason"),
         )
     )
     nonempty = F.length("__text") > 0 if strict else F.lit(True)
@@ -127,10 +130,10 @@ def chunk_examples(
             prompt,
             F.col("__c.chunk_no").alias("chunk_no"),
             F.col("__c.chunk_start").alias("chunk_start"),
-            F.when(F.col(REASON).isNotNull(), F.col("__text"))
+            F.when(F.col("__c.reason").isNotNull(), F.col("__text"))
             .otherwise(read_blocks(F.col("__blocks"), F.col("__c.chunk_start"), F.col("__c.chunk_end")))
             .alias(content),
             F.col("__c.spans").alias(spans),
-            REASON,
+            F.col("__c.reason").alias(REASON),
         )
     )

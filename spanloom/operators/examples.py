@@ -15,7 +15,7 @@ from ..functions.text import split_pair
 from ..schemas import ENTITIES, PLAIN_SPANS, RELATIONS
 from ..session import durable
 from .negatives import CorpusIndex, corpus_index, entity_negatives, full_relation_negatives, train_relation_negatives
-from .ranks import running_total
+from .ranks import running_totals
 from .validate import REASON, known_labels, only_span_annotations, stop_on
 
 
@@ -78,16 +78,14 @@ def annotations_to_corpus(df: DataFrame, key: str, text: str = "data.jfull_compr
             lambda r: F.struct(r["from_id"].alias("f"), r["to_id"].alias("t"), F.get(r["labels"], F.lit(0)).alias("type")),
         ).alias("__relations"),
     )
-    ids = running_total(base.select(key), key, out="__doc")
-    entity_ids = running_total(base.select(key, F.size("__labels").alias("__n")), key, F.col("__n"), out="__e")
-    relation_ids = running_total(base.select(key, F.size("__relations").alias("__n")), key, F.col("__n"), out="__r")
+    ids = running_totals(base, key, {"__doc": F.lit(1), "__e": F.size("__labels"), "__r": F.size("__relations")})
 
     def entity_at(rid: Column) -> Column:
         # The last annotation of an id counts.
         hits = F.transform(F.col("__labels"), lambda x, i: F.when(x["rid"] == rid, i))
         return F.col("__e") + F.array_max(hits) + 1
 
-    joined = base.join(ids, key).join(entity_ids, key).join(relation_ids, key)
+    joined = base.join(ids, key)
     return joined.select(
         key,
         (F.col("__doc") + 1).alias("id"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,27 +34,25 @@ def seeded_rank(df: DataFrame, key: str, seed: int | str, out: str = "rank", dig
     )
 
 
-def running_total(df: DataFrame, key: str, weight: Column | None = None, out: str = "before", parts: int | None = None) -> DataFrame:
-    """``(key, out)``: the sum of ``weight`` (default 1) over all rows with a smaller unique ``key``.
+def running_totals(df: DataFrame, key: str, weights: Mapping[str, Column], parts: int | None = None) -> DataFrame:
+    """``(key, *names)``: for each named weight its sum over all rows with a smaller unique ``key``.
 
     Only keys and weights are range-partitioned; the per-partition sums (one row per partition) are added
     up and broadcast back.
     """
-    spark = df.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    w = F.lit(1) if weight is None else weight
-    ranged = durable(
-        df.select(F.col(key), w.cast("bigint").alias("__w")).repartitionByRange(n, key).withColumn("__p", F.spark_partition_id())
-    )
-    offsets = ranged.groupBy("__p").agg(F.sum("__w").alias("__s")).select(
-        "__p", (F.sum("__s").over(Window.orderBy("__p")) - F.col("__s")).alias("__before")
-    )
-    inside = F.sum("__w").over(Window.partitionBy("__p").orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    narrow = df.select(F.col(key), *[w.cast("bigint").alias(name) for name, w in weights.items()])
+    ranged = durable(narrow.repartitionByRange(n, key).withColumn("__p", F.spark_partition_id()))
+    sums = ranged.groupBy("__p").agg(*[F.sum(name).alias(f"__s_{name}") for name in weights])
+    earlier = Window.orderBy("__p")
+    offsets = sums.select("__p", *[(F.sum(f"__s_{name}").over(earlier) - F.col(f"__s_{name}")).alias(f"__o_{name}") for name in weights])
+    inside = Window.partitionBy("__p").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     return ranged.join(F.broadcast(offsets), "__p").select(
-        key, (F.col("__before") + F.coalesce(inside, F.lit(0))).cast("bigint").alias(out)
+        key,
+        *[(F.col(f"__o_{name}") + F.coalesce(F.sum(name).over(inside), F.lit(0))).cast("bigint").alias(name) for name in weights],
     )
 
 
 def row_ids(df: DataFrame, key: str, first: int = 0, out: str = "row_id") -> DataFrame:
     """``(key, out)``: consecutive numbers in the order of a unique key."""
-    return running_total(df, key, out=out).withColumn(out, F.col(out) + first)
+    return running_totals(df, key, {out: F.lit(1)}).withColumn(out, F.col(out) + first)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import SPECIAL_CHARS, SPECIAL_PAIRS
-from ..functions.common import slice_of
+from ..functions.common import let, settle, slice_of
 from ..functions.text import check_single_chars, clean_text, counting_before, drop_chars
 from .validate import stop_on
 
@@ -25,7 +25,7 @@ def regularized_spans(text: Column, spans: Column, specials: Sequence[str] = SPE
 
         return F.transform(spans, move)
 
-    return counting_before(text, specials, remap)
+    return F.when(F.size(spans) == 0, spans).otherwise(counting_before(text, specials, remap))
 
 
 def regularize(
@@ -42,11 +42,11 @@ def regularize(
         text, drop_chars(F.col(text), specials)
     )
     wrong = F.filter(F.col(spans), lambda s: slice_of(F.col(text), s["start"], s["end"]) != s["text"])
-    reason = F.when(
-        F.size(wrong) > 0,
-        F.concat(
-            F.lit("slice ["), F.get(wrong, F.lit(0))["start"].cast("string"), F.lit(","),
-            F.get(wrong, F.lit(0))["end"].cast("string"), F.lit(") differs from span text"),
+    reason = let(
+        F.get(wrong, F.lit(0)),
+        lambda s: F.when(
+            s.isNotNull(),
+            F.concat(F.lit("slice ["), s["start"].cast("string"), F.lit(","), s["end"].cast("string"), F.lit(") differs from span text")),
         ),
     )
-    return stop_on(moved.withColumn("reject_reason", reason), strict)
+    return stop_on(settle(moved.withColumn("reject_reason", reason), spans, "reject_reason"), strict)

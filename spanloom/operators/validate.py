@@ -18,7 +18,8 @@ def stop_on(df: DataFrame, strict: bool) -> DataFrame:
     if not strict:
         return df
     reason = F.col(REASON)
-    return df.withColumn(REASON, F.when(reason.isNotNull(), F.raise_error(reason).cast("string")))
+    # A filter, because an unused column would be pruned together with its check.
+    return df.where(F.when(reason.isNull(), F.lit(True)).otherwise(F.raise_error(reason).cast("boolean")))
 
 
 def accepted(df: DataFrame) -> DataFrame:

@@ -269,7 +269,8 @@ def position_vectors(spark, folder):
 
     def ones(field: str) -> Column:
         v = F.col("v")[field]
-        return F.array_join(F.filter(F.transform(v, lambda x, i: F.when(x == 1.0, i)), lambda i: i.isNotNull()).cast("array<string>"), ",")
+        places = F.array_join(F.filter(F.transform(v, lambda x, i: F.when(x == 1.0, i)), lambda i: i.isNotNull()).cast("array<string>"), ",")
+        return F.when(F.array_contains(v, F.lit(1.0).cast("float")), places).otherwise(F.lit(""))
 
     return wide_ints(
         vectors.select(
