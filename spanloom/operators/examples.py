@@ -78,7 +78,9 @@ def annotations_to_corpus(df: DataFrame, key: str, text: str = "data.jfull_compr
             lambda r: F.struct(r["from_id"].alias("f"), r["to_id"].alias("t"), F.get(r["labels"], F.lit(0)).alias("type")),
         ).alias("__relations"),
     )
-    ids = running_totals(base, key, {"__doc": F.lit(1), "__e": F.size("__labels"), "__r": F.size("__relations")})
+    # Written out first: the range partitioning below reads its input twice.
+    sizes = durable(base.select(key, F.size("__labels").alias("e"), F.size("__relations").alias("r")))
+    ids = running_totals(sizes, key, {"__doc": F.lit(1), "__e": F.col("e"), "__r": F.col("r")})
 
     def entity_at(rid: Column) -> Column:
         # The last annotation of an id counts.

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ERROR_MERGE_INPUT, ERROR_MERGE_OUTPUT
+from ..session import durable
 
 # A key is hot when it holds more than one part in this many of its table; so there are at most as many hot keys.
 HOT_PARTS = 1000
@@ -38,10 +39,7 @@ def key_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     return both.groupBy(*columns).agg(F.sum("__l").alias("left_rows"), F.sum("__r").alias("right_rows"))
 
 
-def merge_guard(left: DataFrame, right: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """One row: rows of both sides and of their join, computed from key counts without joining."""
-    keys = list(keys or common_columns(left, right))
-    counts = key_counts(_align(left, right, keys), right, keys)
+def _totals(counts: DataFrame) -> DataFrame:
     return counts.agg(
         F.coalesce(F.sum("left_rows"), F.lit(0)).alias("left_rows"),
         F.coalesce(F.sum("right_rows"), F.lit(0)).alias("right_rows"),
@@ -49,6 +47,12 @@ def merge_guard(left: DataFrame, right: DataFrame, keys: Sequence[str] | None =
     )
 
 
+def merge_guard(left: DataFrame, right: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """One row: rows of both sides and of their join, computed from key counts without joining."""
+    keys = list(keys or common_columns(left, right))
+    return _totals(key_counts(_align(left, right, keys), right, keys))
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     left, right = left.alias("l"), right.alias("r")
     condition: Column = reduce(lambda a, b: a & b, [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys])
@@ -70,33 +74,38 @@ def merge_results(left: DataFrame, right: DataFrame, validate: bool = True) -> D
     if not validate:
         return _null_safe_join(left, right, keys)
 
-    sizes = merge_guard(left, right, keys).first()
+    # Read for the check and again for the hot keys.
+    counts = durable(key_counts(left, right, keys))
+    sizes = _totals(counts).first()
     n, m, merged = sizes["left_rows"], sizes["right_rows"], sizes["merged_rows"]
     if n != m:
         raise ValueError(ERROR_MERGE_INPUT.format(left=n, right=m))
     if n != merged:
         raise ValueError(ERROR_MERGE_OUTPUT.format(left=n, merged=merged))
-    return _split_hot_join(left, right, keys, n)
+    return _split_hot_join(left, right, keys, counts, n)
 
 
-def _split_hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+def _split_hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], counts: DataFrame, n: int) -> DataFrame:
     """Join whose result has ``n`` rows, as both inputs do.
 
     A key with more than n/HOT_PARTS rows on one side can have at most HOT_PARTS rows on the other side
-    over all such keys together (their products sum to at most n), which bounds what is broadcast.
+    over all such keys together (their products sum to at most n), which bounds what is broadcast. There are
+    at most HOT_PARTS such keys per side.
     """
-    hot = key_counts(left, right, keys).where(
+    hot = counts.where(
         (F.greatest("left_rows", "right_rows") > max(n // HOT_PARTS, 1)) & (F.least("left_rows", "right_rows") > 0)
     )
-    heavy = hot.limit(2 * HOT_PARTS).collect()
+    heavy = hot.collect()
     if not heavy:
         return _null_safe_join(left, right, keys)
-    spark = left.sparkSession
-    columns = [F.col(f"`{k}`") for k in keys]
-    schema = left.select(*columns).schema
-    left_hot = spark.createDataFrame([tuple(r[k] for k in keys) for r in heavy if r["left_rows"] >= r["right_rows"]], schema)
-    right_hot = spark.createDataFrame([tuple(r[k] for k in keys) for r in heavy if r["left_rows"] < r["right_rows"]], schema)
-    all_hot = left_hot.unionByName(right_hot)
+    schema = left.select(*[F.col(f"`{k}`") for k in keys]).schema
+
+    def frame(rows: list) -> DataFrame:
+        return left.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in rows], schema)
+
+    on_left = [r for r in heavy if r["left_rows"] >= r["right_rows"]]
+    on_right = [r for r in heavy if r["left_rows"] < r["right_rows"]]
+    all_hot = frame(heavy)
 
     def keep(df: DataFrame, values: DataFrame, how: str) -> DataFrame:
         d, v = df.alias("d"), F.broadcast(values).alias("v")
@@ -104,9 +113,10 @@ def _split_hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], n: i
         return d.join(v, condition, how)
 
     parts = [_null_safe_join(keep(left, all_hot, "left_anti"), keep(right, all_hot, "left_anti"), keys)]
-    if left_hot.head(1):
-        parts.append(_null_safe_join(keep(left, left_hot, "left_semi"), F.broadcast(keep(right, left_hot, "left_semi")), keys))
-    if right_hot.head(1):
-        swapped = _null_safe_join(F.broadcast(keep(left, right_hot, "left_semi")), keep(right, right_hot, "left_semi"), keys)
-        parts.append(swapped)
+    if on_left:
+        hot_keys = frame(on_left)
+        parts.append(_null_safe_join(keep(left, hot_keys, "left_semi"), F.broadcast(keep(right, hot_keys, "left_semi")), keys))
+    if on_right:
+        hot_keys = frame(on_right)
+        parts.append(_null_safe_join(F.broadcast(keep(left, hot_keys, "left_semi")), keep(right, hot_keys, "left_semi"), keys))
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -80,11 +80,13 @@ def distinguishing_prefix(entities: Sequence[str]) -> int:
 def prefix_check(names: DataFrame, name: str) -> DataFrame:
     """The same for a column of names: shortest length, distinct names and distinct prefixes."""
     distinct = names.select(F.col(name).alias("n")).distinct()
-    shortest = distinct.agg(F.min(F.length("n")).alias("prefix_len"))
+    shortest = distinct.agg(F.min(F.length("n"))).first()[0]
     return (
-        distinct.join(F.broadcast(shortest))
-        .groupBy("prefix_len")
-        .agg(F.count("n").alias("names"), F.countDistinct(F.left("n", F.col("prefix_len"))).alias("prefixes"))
+        distinct.agg(
+            F.lit(shortest).cast("int").alias("prefix_len"),
+            F.count("n").alias("names"),
+            F.countDistinct(F.left("n", F.lit(shortest))).alias("prefixes"),
+        )
         .withColumn("distinguishable", F.col("names") == F.col("prefixes"))
     )
 

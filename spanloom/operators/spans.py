@@ -142,7 +142,8 @@ def span_rows(df: DataFrame, keys: Sequence[str], spans: str = "spans", threshol
     c = F.col(spans)
     if threshold is not None:
         c = select_threshold(c, threshold, inclusive)
-    return df.select(*keys, F.inline(c))
+    # Not the bare column: Spark would infer a filter on its size, push it down and find the spans again for it.
+    return df.select(*keys, F.inline(F.transform(c, lambda s: s)))
 
 
 def export_rows(df: DataFrame, keys: Sequence[str], spans: str = "spans") -> DataFrame:

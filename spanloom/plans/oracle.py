@@ -266,7 +266,7 @@ def windows(limit: str) -> str:
 SQL["span_windows"] = f"WITH {_KEPT}, {windows('length(text)')} SELECT doc_id, i::BIGINT AS n, a AS start, b AS \"end\" FROM boxes"
 
 
-def shrunk(dynamic: bool = True, compat: bool = False) -> str:
+def shrunk(dynamic: bool = True, compat: bool = False, kept: str = _KEPT) -> str:
     """``short(doc_id, text)``: the walk over the windows of each document."""
     widened_a = "CASE WHEN saved > 0 THEN greatest(round_even(w.a - saved / 2.0::DOUBLE, 0), 0)::BIGINT ELSE w.a END" if dynamic else "w.a"
     widened_b = "CASE WHEN saved > 0 THEN least(round_even(w.b + saved / 2.0::DOUBLE, 0), w.lim)::BIGINT ELSE w.b END" if dynamic else "w.b"
@@ -285,7 +285,7 @@ def shrunk(dynamic: bool = True, compat: bool = False) -> str:
 
     first = "boxes w, (SELECT -1::BIGINT AS last, 0::BIGINT AS saved, []::STRUCT(a BIGINT, b BIGINT)[] AS cuts) p WHERE w.i = 0"
     return (
-        f"WITH {_KEPT}, {windows(limit)}, "
+        f"WITH {kept}, {windows(limit)}, "
         f"run AS ({step(first)} UNION ALL {step('boxes w JOIN run p ON w.doc_id = p.doc_id AND w.i = p.i + 1')}), "
         "joined AS (SELECT d.doc_id, d.text AS raw, coalesce(array_to_string(list_transform(r.cuts, lambda c: substr(d.text, c.a + 1, greatest(c.b - c.a, 0))), ''), '') AS s "
         "FROM documents d LEFT JOIN run r ON r.doc_id = d.doc_id AND r.i = r.n - 1), "
@@ -297,6 +297,10 @@ _SHORT = "SELECT doc_id, length(text)::BIGINT AS short_len, md5(text) AS short_m
 SQL["shrink_documents"] = shrunk() + _SHORT
 SQL["shrink_documents_compat"] = shrunk(compat=True) + _SHORT
 SQL["shrink_documents_static"] = shrunk(dynamic=False) + _SHORT
+SQL["two_stage_classify"] = shrunk(kept=_KEPT.replace(STAND_IN, "0.5::DOUBLE")) + (
+    "SELECT doc_id, length(text)::BIGINT AS short_len, (length(text) > 100)::BIGINT AS long, contains(text, '@')::BIGINT AS address, "
+    "regexp_matches(text, '[0-9]')::BIGINT AS digits FROM short"
+)
 SQL["row_counts"] = shrunk() + (
     "SELECT count(*) AS n_docs, sum(length(raw))::BIGINT AS chars_before, sum(length(text))::BIGINT AS chars_after, max(length(raw))::BIGINT AS longest FROM short"
 )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spanloom.operators import examples, negatives, ranks, splits
 from spanloom.operators.annotate import attach_text, export_labels, export_spans
-from spanloom.operators.merge import HOT_PARTS, expand_labels, merge_guard, merge_results
+from spanloom.operators.merge import HOT_PARTS, _split_hot_join, expand_labels, key_counts, merge_guard, merge_results
 from spanloom.plans.classification import merge_tables
 from spanloom.plans.training import split_annotations, split_corpus
 from spanloom.schemas import ANNOTATED, ENTITIES, RELATIONS, SPANS
@@ -262,9 +262,7 @@ def test_hot_keys_are_split(spark):
     sizes = merge_guard(left, right).first()
     out = merge_results(left, right, validate=False)
     assert sizes.merged_rows == out.count() == third + third + (n - third - 1)
-    from spanloom.operators.merge import _split_hot_join
-
-    split = _split_hot_join(left, right, ["k"], sizes.merged_rows)
+    split = _split_hot_join(left, right, ["k"], key_counts(left, right, ["k"]), sizes.merged_rows)
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, out.collect()))
     assert "BroadcastNestedLoopJoin" not in split._jdf.queryExecution().toString()
 
