@@ -176,20 +176,44 @@ def _grouped(items: Column, key: str) -> Column:
     return let(items, groups)
 
 
-def entity_examples(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """One example per document and entity label present."""
+def _entity_items() -> Column:
     items = F.transform(
         F.col("names"), lambda n: F.struct(n["label"].alias("k"), n["name"].alias("text"), n["start"].alias("start"), n["end"].alias("end"))
     )
-    return df.select(key, F.col(text).alias("content"), F.inline(_grouped(items, "k")))
+    return _grouped(items, "k")
 
 
-def relation_examples(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """One example per document and relation prompt, with all its objects."""
+def _relation_items() -> Column:
     items = F.transform(
         F.col("triples"), lambda t: F.struct(t["prompt"].alias("k"), t["object"].alias("text"), t["start"].alias("start"), t["end"].alias("end"))
     )
-    return df.select(key, F.col(text).alias("content"), F.inline(_grouped(items, "k")))
+    return _grouped(items, "k")
+
+
+def _aspect_items(key: str, text: str, prefix: str, options: Sequence[str], lang: str, seed: int | str | None) -> Column:
+    link = F.lit(SUBJECT_LINK[lang])
+
+    def example(n: Column, i: Column) -> Column:
+        head = F.concat(n["name"], link, F.lit(prefix)) if lang == "ch" else F.concat(F.lit(prefix), link, n["name"])
+        built = classification_example(F.col(text), n["classes"], head, options, seed, [F.col(key), i])
+        shown = let(built, lambda x: F.struct(x["prompt"].alias("prompt"), x["result_list"].cast(PLAIN_SPANS).alias("result_list")))
+        return F.when(n["classes"].isNotNull(), shown)
+
+    return F.filter(F.transform(F.col("names"), example), lambda x: x.isNotNull())
+
+
+def _explode_items(df: DataFrame, key: str, text: str, items: Column) -> DataFrame:
+    return df.select(key, F.col(text).alias("content"), F.inline(items))
+
+
+def entity_examples(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """One example per document and entity label present."""
+    return _explode_items(df, key, text, _entity_items())
+
+
+def relation_examples(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """One example per document and relation prompt, with all its objects."""
+    return _explode_items(df, key, text, _relation_items())
 
 
 def aspect_examples(
@@ -202,12 +226,7 @@ def aspect_examples(
     seed: int | str | None = SEED,
 ) -> DataFrame:
     """One classification example per entity that carries class labels."""
-    link = F.lit(SUBJECT_LINK[lang])
-    rows = df.select(key, text, F.posexplode(F.col("names")).alias("__i", "__n")).where(F.col("__n.classes").isNotNull())
-    name = F.col("__n.name")
-    head = F.concat(name, link, F.lit(prefix)) if lang == "ch" else F.concat(F.lit(prefix), link, name)
-    example = classification_example(F.col(text), F.col("__n.classes"), head, options, seed, [F.col(key), F.col("__i")])
-    return rows.select(key, example.alias("x")).select(key, "x.content", "x.prompt", F.col("x.result_list").cast(PLAIN_SPANS).alias("result_list"))
+    return _explode_items(df, key, text, _aspect_items(key, text, prefix, options, lang, seed))
 
 
 def classification_examples(
@@ -262,11 +281,17 @@ def build_extraction_examples(
     facts = durable(corpus_facts(docs, key))
     labels = corpus_index(corpus_values(facts, F.col("labels")), seed)
     predicates = corpus_index(corpus_values(facts, F.col("predicates")), seed)
-    positives = [
-        entity_examples(docs, key, text).withColumn("kind", F.lit("entity")),
-        relation_examples(docs, key, text).withColumn("kind", F.lit("relation")),
-        aspect_examples(docs, key, text, prefix, options, lang, seed).withColumn("kind", F.lit("aspect")),
+    kinds = {
+        "entity": _entity_items(),
+        "relation": _relation_items(),
+        "aspect": _aspect_items(key, text, prefix, options, lang, seed),
+    }
+    # All positives of a document in one pass over its text.
+    tagged = [
+        F.transform(items, lambda x: F.struct(F.lit(kind).alias("kind"), x["prompt"].alias("prompt"), x["result_list"].alias("result_list")))
+        for kind, items in kinds.items()
     ]
+    positives = _explode_items(docs, key, text, F.concat(*tagged))
     negatives = entity_negatives(facts, labels, key, negative_ratio, seed).withColumn("kind", F.lit("entity"))
     if predicates.size:
         if is_train:
@@ -275,12 +300,10 @@ def build_extraction_examples(
         else:
             related = full_relation_negatives(facts, predicates, key, lang)
         negatives = negatives.unionByName(related.withColumn("kind", F.lit("relation")))
+    columns = [key, "kind", "content", "prompt", "result_list"]
     # Only prompts and keys moved so far; the text is attached once.
     attached = negatives.join(df.select(key, F.col(text).alias("content")), key).withColumn("result_list", F.array().cast(PLAIN_SPANS))
-    out = attached.select(key, "kind", "content", "prompt", "result_list")
-    for part in positives:
-        out = out.unionByName(part.select(key, "kind", "content", "prompt", "result_list"))
-    return out
+    return attached.select(*columns).unionByName(positives.select(*columns))
 
 
 # --- label examples -------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LABEL_THRESHOLD
 from ..functions.common import let
+from ..session import durable
 
 DIGITS = 6
 TOTAL = "total"
@@ -162,9 +163,10 @@ def multilabel_metrics(df: DataFrame, n_labels: int, truth: str = "labels", pred
 def label_report(df: DataFrame, labels: Sequence[str], truth: str = "labels", predicted: str = "predicted") -> DataFrame:
     """Precision, recall, F1 and support per label, plus micro, macro and weighted averages."""
     vocabulary = df.sparkSession.createDataFrame([(i, l) for i, l in enumerate(labels)], "label int, name string")
-    # As many rows as the vocabulary, which is an argument.
+    # As many rows as the vocabulary, which is an argument; written out because the averages read them again.
+    counts = durable(label_counts(df, truth, predicted))
     per_label = (
-        vocabulary.join(label_counts(df, truth, predicted).where("label >= 0"), "label", "left")
+        vocabulary.join(counts.where("label >= 0"), "label", "left")
         .na.fill(0, ["tp", "fp", "fn"])
         .select(
             "name", "tp", "fp", "fn",

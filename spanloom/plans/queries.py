@@ -487,9 +487,10 @@ def shuffle_rank(spark, folder):
 def running_ids(spark, folder):
     """Running ids over the corpus: documents from 1, entities continue over documents."""
     rows = table(spark, folder, "documents").select(
-        F.struct(F.lit(None).cast("string").alias("text")).alias("unused"), F.col("doc_id"), F.col("text").alias("body")
+        F.col("doc_id"), F.col("text").alias("body")
     )
-    spans = rule_spans(F.col("body"), RULES)
+    rows = rows.withColumn("spans", rule_spans(F.col("body"), RULES))
+    spans = F.col("spans")
     result = F.transform(
         spans,
         lambda s, i: F.struct(
