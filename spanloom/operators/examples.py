@@ -14,7 +14,7 @@ from ..functions.prompts import classification_example, relation_prompt, split_c
 from ..functions.text import split_pair
 from ..schemas import ENTITIES, PLAIN_SPANS, RELATIONS
 from ..session import durable
-from .negatives import CorpusIndex, corpus_index, entity_negatives, full_relation_negatives, train_relation_negatives
+from .negatives import corpus_indexes, entity_negatives, full_relation_negatives, train_relation_negatives
 from .ranks import running_totals
 from .validate import REASON, known_labels, only_span_annotations, stop_on
 
@@ -279,8 +279,11 @@ def build_extraction_examples(
     """
     docs = resolved_relations(named_entities(df, text, separator=separator), lang=lang)
     facts = durable(corpus_facts(docs, key))
-    labels = corpus_index(corpus_values(facts, F.col("labels")), seed)
-    predicates = corpus_index(corpus_values(facts, F.col("predicates")), seed)
+    sets = {"labels": F.col("labels"), "predicates": F.col("predicates")}
+    if is_train:
+        sets["names"] = F.col("entity_names")
+    indexes = corpus_indexes(facts, sets, seed)
+    labels, predicates = indexes["labels"], indexes["predicates"]
     kinds = {
         "entity": _entity_items(),
         "relation": _relation_items(),
@@ -295,8 +298,7 @@ def build_extraction_examples(
     negatives = entity_negatives(facts, labels, key, negative_ratio, seed).withColumn("kind", F.lit("entity"))
     if predicates.size:
         if is_train:
-            names: CorpusIndex = corpus_index(corpus_values(facts, F.col("entity_names")), seed)
-            related = train_relation_negatives(facts, names, labels, key, negative_ratio, lang, seed).select(key, "prompt")
+            related = train_relation_negatives(facts, indexes["names"], labels, key, negative_ratio, lang, seed).select(key, "prompt")
         else:
             related = full_relation_negatives(facts, predicates, key, lang)
         negatives = negatives.unionByName(related.withColumn("kind", F.lit("relation")))

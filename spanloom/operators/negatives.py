@@ -8,6 +8,7 @@ join on the position fetches the values. This is sampling without replacement, a
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,7 +28,7 @@ SMALL_CHARS = 4_000_000
 
 @dataclass(frozen=True)
 class CorpusIndex:
-    """``frame(position, value)`` with positions 0..size-1, written out once."""
+    """``frame(position, value)`` with positions 0..size-1."""
 
     frame: DataFrame
     size: int
@@ -39,12 +40,24 @@ class CorpusIndex:
         return draws.join(side.withColumnRenamed("position", position), position)
 
 
-def corpus_index(values: DataFrame, seed: int | str = SEED) -> CorpusIndex:
-    """Number distinct ``value`` rows in random order."""
-    kept = durable(values.where(F.col("value").isNotNull()))
-    stats = kept.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("value")), F.lit(0)).alias("chars")).first()
-    ranked = durable(seeded_rank(kept, "value", seed, "position"))
-    return CorpusIndex(ranked, stats["n"], stats["n"] <= SMALL_VALUES and stats["chars"] <= SMALL_CHARS)
+def corpus_indexes(facts: DataFrame, sets: Mapping[str, Column], seed: int | str = SEED) -> dict[str, CorpusIndex]:
+    """Number the distinct values of several per-document arrays, each in random order, in one pass over ``facts``."""
+    tagged = [
+        F.transform(F.array_distinct(values), lambda v: F.struct(F.lit(name).alias("kind"), v.alias("value"))) for name, values in sets.items()
+    ]
+    kept = durable(facts.select(F.inline(F.concat(*tagged))).where(F.col("value").isNotNull()).distinct())
+    stats = kept.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars")).collect()
+    sizes = {r["kind"]: (r["n"], r["chars"]) for r in stats}
+    return {name: _index(kept.where(F.col("kind") == name).select("value"), *sizes.get(name, (0, 0)), seed) for name in sets}
+
+
+def _index(values: DataFrame, n: int, chars: int, seed: int | str) -> CorpusIndex:
+    small = n <= SMALL_VALUES and chars <= SMALL_CHARS
+    if small:
+        # At most SMALL_VALUES rows: one task may order them.
+        order = Window.orderBy(seeded_hash(seed, F.col("value")), "value")
+        return CorpusIndex(values.withColumn("position", (F.row_number().over(order) - 1).cast("bigint")), n, True)
+    return CorpusIndex(durable(seeded_rank(values, "value", seed, "position")), n, False)
 
 
 def sample_size(available: Column, positives: Column, ratio: int) -> Column:

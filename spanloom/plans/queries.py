@@ -337,7 +337,7 @@ def _label_facts(spark, folder):
 
 def entity_negatives(spark, folder):
     facts = durable(_label_facts(spark, folder))
-    index = negatives.corpus_index(examples.corpus_values(facts, F.col("labels")), 7)
+    index = negatives.corpus_indexes(facts, {"labels": F.col("labels")}, 7)["labels"]
     return negatives.entity_negatives(facts, index, "doc_id", 2, 7)
 
 
@@ -392,15 +392,14 @@ def _relation_facts(spark, folder):
 
 def relation_full_negatives(spark, folder):
     facts = durable(_relation_facts(spark, folder)[1])
-    predicates = negatives.corpus_index(examples.corpus_values(facts, F.col("predicates")), 7)
+    predicates = negatives.corpus_indexes(facts, {"predicates": F.col("predicates")}, 7)["predicates"]
     return negatives.full_relation_negatives(facts, predicates, "doc_id")
 
 
 def relation_train_negatives(spark, folder):
     facts = durable(_relation_facts(spark, folder)[1])
-    names = negatives.corpus_index(examples.corpus_values(facts, F.col("entity_names")), 7)
-    labels = negatives.corpus_index(examples.corpus_values(facts, F.col("labels")), 7)
-    out = negatives.train_relation_negatives(facts, names, labels, "doc_id", 5, "ch", 7)
+    sets = negatives.corpus_indexes(facts, {"names": F.col("entity_names"), "labels": F.col("labels")}, 7)
+    out = negatives.train_relation_negatives(facts, sets["names"], sets["labels"], "doc_id", 5, "ch", 7)
     return out.withColumn("pool", F.col("pool").cast("bigint"))
 
 
