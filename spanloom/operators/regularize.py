@@ -50,3 +50,48 @@ def regularize(
         ),
     )
     return stop_on(settle(moved.withColumn("reject_reason", reason), spans, "reject_reason"), strict)
+
+
+def regularize_annotations(
+    df: DataFrame,
+    index: int = 0,
+    text: str = "jfull_compress",
+    specials: Sequence[str] = SPECIAL_CHARS,
+    pairs: Sequence[str] = SPECIAL_PAIRS,
+    strict: bool = False,
+) -> DataFrame:
+    """The same for annotated documents, in their own layout; results come sorted by start, others behind them."""
+    check_single_chars(specials)
+    body = F.col("data")[text]
+    result = F.coalesce(F.get(F.col("annotations"), F.lit(index))["result"], F.array())
+    spans = F.filter(result, lambda r: r["value"]["start"].isNotNull())
+    others = F.filter(result, lambda r: r["value"]["start"].isNull())
+    ordered = let(
+        spans,
+        lambda c: F.transform(
+            F.array_sort(F.transform(c, lambda r, i: F.struct(r["value"]["start"].alias("s"), i.alias("i")))), lambda k: F.get(c, k["i"])
+        ),
+    )
+
+    def remap(count_before) -> Column:
+        def move(r: Column) -> Column:
+            v = r["value"]
+            last = v["end"] - 1
+            moved = (
+                v.withField("start", (v["start"] - count_before(v["start"])).cast("int"))
+                .withField("end", (last - count_before(last) + 1).cast("int"))
+                .withField("text", clean_text(v["text"], specials, pairs))
+            )
+            return r.withField("value", moved)
+
+        return F.transform(ordered, move)
+
+    out = df.withColumn("__moved", counting_before(body, specials, remap)).withColumn("__others", others)
+    out = out.withColumn("data", F.col("data").withField(text, drop_chars(body, specials)))
+    wrong = F.exists(F.col("__moved"), lambda r: slice_of(F.col("data")[text], r["value"]["start"], r["value"]["end"]) != r["value"]["text"])
+    annotations = F.transform(
+        F.col("annotations"),
+        lambda a, i: F.when(i == index, a.withField("result", F.concat(F.col("__moved"), F.col("__others")))).otherwise(a),
+    )
+    out = out.withColumn("annotations", annotations).withColumn("reject_reason", F.when(wrong, F.lit("slice differs from span text")))
+    return stop_on(out.drop("__moved", "__others"), strict)

@@ -9,6 +9,7 @@ from spanloom.functions.text import clean_text
 from spanloom.operators import scoring
 from spanloom.operators.chunk import chunk_examples
 from spanloom.operators.examples import annotation_spans, prompt_examples, standard_label_examples
+from spanloom.operators.regularize import regularize_annotations
 from spanloom.operators.shrink import shrink_documents
 from spanloom.operators.spans import as_entity_map, fill_missing, from_entity_map
 from spanloom.operators.validate import validate_label_examples, validate_prompt_examples
@@ -43,6 +44,27 @@ def test_annotation_files(spark, tmp_path):
         readers.read_annotations(spark, put(tmp_path / "empty.json", ""))
 
 
+def test_regularized_annotations_round_trip(spark, tmp_path):
+    results = [
+        {"id": "b", "type": "labels", "value": {"start": 9, "end": 13, "text": "1\n0元", "labels": ["收入"]}},
+        {"id": "a", "type": "labels", "value": {"start": 3, "end": 7, "text": "11 元", "labels": ["醫療費"]}},
+        {"id": "r", "type": "relation", "from_id": "a", "to_id": "b", "labels": ["和"]},
+    ]
+    dirty = {**EXPORT, "data": {"jfull_compress": "賠\n償11 元　\n1\n0元", "jid": "J"}, "annotations": [{"id": 1, "result": results}]}
+    df = readers.read_annotations(spark, put(tmp_path / "dirty.json", [dirty, EXPORT]))
+    fixed = regularize_annotations(df, strict=True).drop("reject_reason")
+    writers.write_json(fixed, str(tmp_path / "clean"))
+    rows = readers.read_annotations(spark, str(tmp_path / "clean"), lines=True).orderBy("data.jid").collect()
+    first = rows[0].annotations[0].result
+    assert rows[0].data.jfull_compress == "賠償11元10元"
+    assert [(r.id, r.value.start, r.value.end, r.value.text) for r in first[:2]] == [("a", 2, 5, "11元"), ("b", 5, 8, "10元")]
+    assert first[2].type == "relation" and first[2].from_id == "a"
+    assert rows[1].annotations[0].result[0].value.text == "110元"
+    bad = {**dirty, "annotations": [{"id": 1, "result": [{**results[0], "value": {**results[0]["value"], "end": 12}}]}]}
+    with pytest.raises(Exception, match="slice differs"):
+        regularize_annotations(readers.read_annotations(spark, put(tmp_path / "bad.json", bad)), strict=True).collect()
+
+
 def test_documents(spark, tmp_path):
     verdicts = [{"jid": "J1", "jyear": "110", "jfull_compress": "文一", "extra": 1}, {"jid": "J2", "jyear": "111", "jfull_compress": "文二", "extra": 2}]
     df = readers.read_documents(spark, put(tmp_path / "d.json", verdicts))
