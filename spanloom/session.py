@@ -30,13 +30,13 @@ def local_session(name: str = "spanloom", cpus: str | int = "*", partitions: int
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor reaches, as the session names it in ``spark.checkpoint.dir``.
 
-    A folder of our own is used only where the session names none and runs on one machine.
+    A session must name one; only a session within one process may do without, as in a notebook.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
+            if not (sc.master == "local" or sc.master.startswith("local[")):
                 raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach.")
             folder = os.path.join(tempfile.gettempdir(), "spanloom-checkpoints")
         sc.setCheckpointDir(folder)
