@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import durable
@@ -29,6 +29,11 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Names a row by its id and text, so that rows with one id, or none, are kept apart."""
+    return F.xxhash64(doc_id, text)
+
+
 @contextlib.contextmanager
 def shuffle_files_released(spark: SparkSession):
     """Within it, the shuffle files of a finished write are removed at once and not when the driver happens to collect garbage."""
@@ -103,3 +108,31 @@ def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.List
     bounds = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=bounds[1:])
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values, kind))
+
+
+def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A binary column whose rows are the raw bytes of ``values[bounds[i]:bounds[i+1]]``."""
+    offsets = (np.asarray(bounds) * values.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def packets(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """One row for each bucket that occurs, with the bucket's values of each column as raw bytes in their order."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    begins = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+    bounds = np.append(begins, len(bucket))
+    return pa.RecordBatch.from_arrays([pa.array(bucket[begins], pa.int64()), *[binaries(v[order], bounds) for v in columns.values()]], ["bucket", *columns])
+
+
+def raw(column: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
+    """All values of a column of raw bytes, one after the other; NULL has none."""
+    return np.frombuffer(b"".join(column.drop_null().to_pylist()), kind)
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal neighbours begin, and how long they are."""
+    if not len(values):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    begins = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    return begins, np.diff(np.append(begins, len(values)))

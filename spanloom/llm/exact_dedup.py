@@ -33,26 +33,44 @@ def _sorted_groups(rows: DataFrame, parts: int, stays: Column) -> DataFrame:
     return starts.withColumn("part", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", normalise=lambda text: text) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` for each row; ``normalise`` says which texts count as equal."""
-    if keep not in ("smallest", "largest"):
-        raise ValueError(f"keep is smallest or largest, not {keep}")
-    key = F.col(f"`{id_col}`").cast("bigint").alias("doc_id")
-    rows = docs.select(key, normalise(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("body"))
-    rows = rows.select("doc_id", "body", F.substring(F.encode("body", "utf-8"), 1, LEAD).alias("lead"), F.xxhash64("body").alias("code"))
-
-    counts = rows.groupBy("code").agg(F.count("*").alias("n"))
+def _dealt(docs: DataFrame, text_col: str, normalise, carried: list[Column]) -> DataFrame:
+    """``body, lead, code, salts`` and the carried columns; ``salts`` is set for hot texts: into how many parts they are dealt."""
+    body = normalise(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    rows = docs.select(body.alias("body"), *carried)
+    rows = rows.select("*", F.substring(F.encode("body", "utf-8"), 1, LEAD).alias("lead"), F.xxhash64("body").alias("code"))
     most = F.greatest(F.lit(HOT_ROWS), F.floor(F.lit(docs.count()) / HOT_SHARE))
-    hot = counts.filter(F.col("n") > most).select("code", F.ceil(F.col("n") / most).cast("int").alias("salts"))
+    hot = rows.groupBy("code").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("code", F.ceil(F.col("n") / most).cast("int").alias("salts"))
     # Fewer than HOT_SHARE rows, by the share that each of them has.
     rows = rows.join(F.broadcast(hot), "code", "left")
     salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("salts"))).cast("int")
+    return rows.withColumn("salt", salt)
+
+
+def _stays(keep: str) -> Column:
+    """The order in which the first row of a text stays."""
+    if keep not in ("smallest", "largest"):
+        raise ValueError(f"keep is smallest or largest, not {keep}")
+    return F.col("doc_id").desc_nulls_last() if keep == "largest" else F.col("doc_id").asc_nulls_first()
+
+
+def exact_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", normalise=lambda text: text) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    stays, spark = _stays(keep), docs.sparkSession
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
+    rows = _dealt(docs, text_col, normalise, [F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), row, F.col(f"`{text_col}`").alias("own")])
+    firsts = written(_sorted_groups(rows, shuffle_parts(spark), stays).filter("starts = 1").select("doc_id", "row", "own", "body", "lead", "code", "salts"))
+    # One row for each part of a hot text: a second sort leaves one for each text.
+    again = firsts.filter("salts IS NOT NULL").withColumn("salt", F.lit(0))
+    again = _sorted_groups(again, 8, stays).filter("starts = 1")
+    kept = firsts.filter("salts IS NULL").select("row", "own").union(again.select("row", "own"))
+    return kept.select(*[F.col("own").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
-    spark = docs.sparkSession
-    largest = keep == "largest"
-    stays = F.col("doc_id").desc_nulls_last() if largest else F.col("doc_id").asc_nulls_first()
-    parts = shuffle_parts(spark)
-    groups = _sorted_groups(rows.withColumn("salt", salt), parts, stays)
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", normalise=lambda text: text) -> DataFrame:
+    """``doc_id, keep_id, group_size, kept, text_sha256`` for each row; ``normalise`` says which texts count as equal."""
+    stays = _stays(keep)
+    rows = _dealt(docs, text_col, normalise, [F.col(f"`{id_col}`").cast("bigint").alias("doc_id")])
+    groups = _sorted_groups(rows, shuffle_parts(docs.sparkSession), stays)
     # The text goes no further, but for one row of each part of a hot text.
     slim = groups.select(
         "doc_id", "lead", "code", "salt", "part", F.sha2("body", 256).alias("text_sha256"),
