@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import parts_for, written
+
+#: Rows of one file of the tables between rounds.
+TABLE_ROWS = 200_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,13 +19,14 @@ def components(edges: DataFrame) -> DataFrame:
     skewed join key, which adaptive execution splits. Every round is written.
     """
     both = written(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct())
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+    parts = parts_for(both.count(), TABLE_ROWS)  # no table has more rows; few files for few rows
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")).coalesce(parts))
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("least"))
         spread = labels.join(near, labels["node"] == near["a"], "left").select("node", "root", F.least("root", "least").alias("next"))
-        spread = written(spread)
+        spread = written(spread.coalesce(parts))
         up = spread.select(F.col("node").alias("at"), F.col("next").alias("further"))
-        jumped = written(spread.join(up, spread["next"] == up["at"], "left").select("node", F.least("next", "further").alias("root"), F.col("root").alias("before")))
+        jumped = written(spread.join(up, spread["next"] == up["at"], "left").select("node", F.least("next", "further").alias("root"), F.col("root").alias("before")).coalesce(parts))
         labels = jumped.select("node", "root")
         if jumped.filter(F.col("root") != F.col("before")).isEmpty():
             return labels

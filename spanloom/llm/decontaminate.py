@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import let
-from .common import row_key, written
+from .common import parts_for, row_key, written
 
 #: A run of this many template words is a leak; of a shorter item, all its words.
 RUN = 13
@@ -29,6 +29,8 @@ RUN = 13
 SHORTEST = 5
 #: Benchmark windows that are sent to every executor; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
+#: Documents of one file of the written tables.
+TABLE_ROWS = 50_000
 
 # Units of measure and money that follow a number.
 UNITS = (
@@ -110,7 +112,8 @@ def _found(rows: DataFrame, benchmark: DataFrame, run: int, shortest: int, item_
     pieces = cut.select("row_key", F.inline(windows(F.col("words"), width, width)))
     small = probes.count() <= BROADCAST_ROWS
     hits = pieces.join(F.broadcast(probes) if small else probes, "code").select("row_key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    hits = written(hits)
+    parts = parts_for(rows.count(), TABLE_ROWS)
+    hits = written(hits.coalesce(parts))
 
     texts = rows.join(hits.select("row_key").distinct(), "row_key").select("row_key", "text").distinct()
     texts = texts.select("row_key", surfaces(F.col("text")).alias("values"), templates(F.col("text")).alias("words"))
@@ -118,7 +121,7 @@ def _found(rows: DataFrame, benchmark: DataFrame, run: int, shortest: int, item_
     looked = looked.select("row_key", "item_id", F.size("item").alias("n"), _aligned(F.col("words"), F.col("item"), F.col("values"), F.col("item_values"), F.col("shift")).alias("found"))
     found = looked.filter(F.col("found.consistent") & (F.col("found.length") >= F.least(F.lit(run), F.col("n"))))
     found = found.groupBy("row_key").agg(F.min("item_id").alias("item_id"), F.max("found.length").alias("matched_words"), F.bool_or("found.verbatim").alias("verbatim"))
-    return written(found)
+    return written(found.coalesce(parts))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN, shortest: int = SHORTEST, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:

@@ -31,6 +31,8 @@ from .words import U64, Words, mix
 
 #: Prefix entries that one task takes, and members of a block that one tree holds; a larger block is cut into pairs of parts.
 TASK_ENTRIES, TREE_MEMBERS = 1_000_000, 2048
+#: Documents of one file of the written tables.
+TABLE_ROWS = 20_000
 #: Boxes under one node of a tree.
 FANOUT = 16
 #: At most so many frequent shingles are put last in the order: the most frequent. The order is only a matter of speed.
@@ -291,23 +293,24 @@ def _placed(docs: DataFrame, size: int, share: int, id_col: str, text_col: str)
     docs = id_and_text(docs, id_col, text_col).withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
     rows = written(sketches(docs, size, share, frequent_shingles(docs, size)))
     sets = rows.filter("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("point").alias("point"))
-    sets = written(sets)
+    n = rows.count()
+    sets = written(sets.coalesce(parts_for(n, TABLE_ROWS)))
     members = written(block_members(sets))
     # First, each member with the least of its block.
     least = members.groupBy("code").agg(F.min("node").alias("b"))
     stars = members.join(least, "code").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    tried = written(allowed(stars, sets, share))
+    tried = written(allowed(stars, sets, share).coalesce(parts_for(n, TABLE_ROWS)))
     needed = members.select("node").distinct().join(sets.select("node", "row_key"), "node")
-    whole = written(whole_sets(docs, needed, size))
-    links = written(verified(tried, whole, share))
+    whole = written(whole_sets(docs, needed, size).coalesce(parts_for(n, TABLE_ROWS)))
+    links = written(verified(tried, whole, share).coalesce(parts_for(n, TABLE_ROWS)))
     labels = components(links)
     # Then what can still link different components, from the trees.
     rest = block_pairs(members, sets, labels, share).join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = written(verified(rest, whole, share))
+    more = written(verified(rest, whole, share).coalesce(parts_for(n, TABLE_ROWS)))
     labels = components(links.union(more))
     placed = rows.join(labels, "node", "left")
     root = F.when(F.col("n") > 0, F.coalesce("root", "node"))
-    return written(placed.select("doc_id", "row_key", F.col("n").cast("bigint").alias("n_shingles"), root.alias("root")))
+    return written(placed.select("doc_id", "row_key", F.col("n").cast("bigint").alias("n_shingles"), root.alias("root")).coalesce(parts_for(n, TABLE_ROWS)))
 
 
 def similar_groups(docs: DataFrame, size: int = 5, share: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

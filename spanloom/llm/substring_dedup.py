@@ -27,6 +27,8 @@ from .words import U64, Words
 
 #: Words of text per exchange bucket; buckets grow in number with the data.
 BUCKET_BYTES = 8_000_000
+#: Documents of one file of the written tables.
+TABLE_ROWS = 10_000
 
 
 def anchors(docs: DataFrame, block: int) -> DataFrame:
@@ -134,7 +136,8 @@ def removed_spans(docs: DataFrame, block: int = 7, window: int = 13, id_col: str
             )
 
     stage = docs.join(by_doc, "doc_id", "left").mapInArrow(candidates, "doc_id bigint, text string, open boolean, windows binary")
-    stage = written(stage)
+    parts = parts_for(docs.count(), TABLE_ROWS)
+    stage = written(stage.coalesce(parts))
 
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +149,7 @@ def removed_spans(docs: DataFrame, block: int = 7, window: int = 13, id_col: str
     windows = stage.filter("open").select("doc_id", "windows").mapInArrow(unpack, "doc_id bigint, one bigint, two bigint")
     # Documents with one window each need no join: only those that recur are kept.
     least = windows.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("one", "two", "least")
-    gone = windows.join(written(least), ["one", "two"]).filter("doc_id > least")
+    gone = windows.join(written(least.coalesce(parts)), ["one", "two"]).filter("doc_id > least")
     gone = gone.groupBy("doc_id").agg(F.collect_set(F.struct("one", "two")).alias("gone"))
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
