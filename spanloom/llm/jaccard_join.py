@@ -58,18 +58,24 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def dimensions(n: int) -> int:
-    """Groups for a set of ``n``: a power of two, about four to eight shingles each."""
-    return 1 << min(12, max(4, (n // 4).bit_length() - 1))
+    """Groups for a set of ``n``: a power of two, one or two shingles each, so that what two sets do not share rarely adds to their bound."""
+    return 1 << max(4, n.bit_length() - 1)
 
 
 def point_of(codes: np.ndarray) -> np.ndarray:
     d = dimensions(len(codes))
-    return np.bincount((codes & U64(d - 1)).astype(np.int64), minlength=d).astype("<u4")
+    return np.bincount((codes & U64(d - 1)).astype(np.int64), minlength=d).astype("<u2")
 
 
 def folded(point: np.ndarray, d: int) -> np.ndarray:
     """The point over fewer groups."""
-    return point.reshape(-1, d).sum(0) if len(point) > d else point
+    return point.reshape(-1, d).sum(0, dtype=np.int32) if len(point) > d else point
+
+
+def may_link(x: np.ndarray, nx: int, y: np.ndarray, ny: int, share: int) -> bool:
+    """Whether two points allow the overlap, at the finest groups that both have."""
+    d = min(len(x), len(y))
+    return (100 + share) * int(np.minimum(folded(x, d), folded(y, d)).sum(dtype=np.int64)) >= share * (nx + ny)
 
 
 def node_of(codes: np.ndarray) -> int:
@@ -117,7 +123,7 @@ def sketches(docs: DataFrame, size: int, share: int, frequent: np.ndarray) -> Da
                 nodes.append(node_of(codes))
                 sizes.append(n)
                 prefixes.append(order[: n + (-share * n) // 100 + 1 if n else 0].tobytes())
-                points.append(point_of(codes).astype("<u4").tobytes() if n else b"")
+                points.append(point_of(codes).tobytes() if n else b"")
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("row_key"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.binary()), pa.array(points, pa.binary())],
                 ["doc_id", "row_key", "node", "n", "prefix", "point"],
@@ -126,12 +132,14 @@ def sketches(docs: DataFrame, size: int, share: int, frequent: np.ndarray) -> Da
     return docs.mapInArrow(sketch, _SKETCH)
 
 
-def block_members(sets: DataFrame) -> DataFrame:
-    """``code, node``: the members of each block with at least two."""
-    buckets = parts_for(sets.agg(F.sum(F.octet_length("prefix")) / 8).first()[0] or 0, TASK_ENTRIES, 4)
+def block_members(rows: DataFrame) -> DataFrame:
+    """``code, node, members``: the nodes of each block with at least two. Equal sets are one before the exchange, as far as a batch shows them."""
+    buckets = parts_for(rows.agg(F.sum(F.octet_length("prefix")) / 8).first()[0] or 0, TASK_ENTRIES, 4)
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            once = np.unique(batch.column("node").to_numpy(), return_index=True)[1]
+            batch = batch.take(pa.array(once))
             prefix = batch.column("prefix")
             codes = raw(prefix, "<u8")
             counts = np.array([len(x) // 8 for x in prefix.to_pylist()])
@@ -144,11 +152,14 @@ def block_members(sets: DataFrame) -> DataFrame:
         codes, nodes = raw(table["codes"], "<u8"), raw(table["nodes"], "<i8")
         order = np.lexsort((nodes, codes))
         codes, nodes = codes[order], nodes[order]
+        new = np.ones(len(codes), bool)
+        new[1:] = (codes[1:] != codes[:-1]) | (nodes[1:] != nodes[:-1])
+        codes, nodes = codes[new], nodes[new]
         begins, lengths = runs(codes)
         many = np.repeat(lengths > 1, lengths)
         return pa.table({"code": codes[many].view(np.int64), "node": nodes[many], "members": np.repeat(lengths, lengths)[many]})
 
-    dealt = sets.filter("n > 0").select("node", "prefix").mapInArrow(deal, "bucket bigint, codes binary, nodes binary")
+    dealt = rows.filter("n > 0").select("node", "prefix").mapInArrow(deal, "bucket bigint, codes binary, nodes binary")
     return dealt.groupBy("bucket").applyInArrow(gather, "code bigint, node bigint, members bigint")
 
 
@@ -196,7 +207,7 @@ def block_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, share: i
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             node, label, n, part = (block[c].to_numpy() for c in ("node", "label", "n", "part"))
-            values = [np.frombuffer(p, "<u4") for p in block["point"].to_pylist()]
+            values = [np.frombuffer(p, "<u2") for p in block["point"].to_pylist()]
             d = min(map(len, values))
             points = np.stack([folded(v, d) for v in values]).astype(np.int32)
             tree, one, two = CountTree(points, n), [], []
@@ -204,6 +215,7 @@ def block_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, share: i
             for i in range(len(node)):
                 near = tree.near(points[i], int(n[i]), share)
                 near = near[(node[near] < node[i]) & (label[near] != label[i])]
+                near = near[[may_link(values[i], int(n[i]), values[j], int(n[j]), share) for j in near]] if len(near) else near
                 if across:  # pairs within a part are found where the part meets itself
                     near = near[part[near] != part[i]]
                 one.append(node[near])
@@ -248,9 +260,7 @@ def allowed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
         for batch in batches:
             keep = []
             for na, nb, x, y in zip(batch["na"].to_pylist(), batch["nb"].to_pylist(), batch["pa"].to_pylist(), batch["pb"].to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                d = min(len(x), len(y))
-                keep.append((100 + share) * int(np.minimum(folded(x, d), folded(y, d)).sum()) >= share * (na + nb))
+                keep.append(may_link(np.frombuffer(x, "<u2"), na, np.frombuffer(y, "<u2"), nb, share))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(left, "a").join(right, "b").filter(near).select("a", "b", "na", "nb", "pa", "pb").mapInArrow(check, "a bigint, b bigint")
@@ -292,25 +302,29 @@ def _placed(docs: DataFrame, size: int, share: int, id_col: str, text_col: str)
     """``doc_id, row_key, n_shingles, root`` for each row; ``root`` is NULL for an empty set."""
     docs = id_and_text(docs, id_col, text_col).withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
     rows = written(sketches(docs, size, share, frequent_shingles(docs, size)))
-    sets = rows.filter("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("point").alias("point"))
-    n = rows.count()
-    sets = written(sets.coalesce(parts_for(n, TABLE_ROWS)))
-    members = written(block_members(sets))
+    parts = parts_for(rows.count(), TABLE_ROWS)
+    members = written(block_members(rows))
+    sets = rows.join(members.select("node").distinct(), "node").groupBy("node")
+    sets = written(sets.agg(F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("point").alias("point")).coalesce(parts))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs.coalesce(parts))
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        whole = written(whole_sets(docs, nodes.join(sets.select("node", "row_key"), "node"), size).coalesce(parts))
+        return written(verified(pairs, whole, share).coalesce(parts))
+
     # First, each member with the least of its block.
     least = members.groupBy("code").agg(F.min("node").alias("b"))
     stars = members.join(least, "code").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    tried = written(allowed(stars, sets, share).coalesce(parts_for(n, TABLE_ROWS)))
-    needed = members.select("node").distinct().join(sets.select("node", "row_key"), "node")
-    whole = written(whole_sets(docs, needed, size).coalesce(parts_for(n, TABLE_ROWS)))
-    links = written(verified(tried, whole, share).coalesce(parts_for(n, TABLE_ROWS)))
+    links = linked(allowed(stars, sets, share))
     labels = components(links)
     # Then what can still link different components, from the trees.
-    rest = block_pairs(members, sets, labels, share).join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = written(verified(rest, whole, share).coalesce(parts_for(n, TABLE_ROWS)))
-    labels = components(links.union(more))
+    tried = stars.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    links = links.union(linked(block_pairs(members, sets, labels, share).join(tried, ["a", "b"], "left_anti")))
+    labels = components(links)
     placed = rows.join(labels, "node", "left")
     root = F.when(F.col("n") > 0, F.coalesce("root", "node"))
-    return written(placed.select("doc_id", "row_key", F.col("n").cast("bigint").alias("n_shingles"), root.alias("root")).coalesce(parts_for(n, TABLE_ROWS)))
+    return written(placed.select("doc_id", "row_key", F.col("n").cast("bigint").alias("n_shingles"), root.alias("root")).coalesce(parts))
 
 
 def similar_groups(docs: DataFrame, size: int = 5, share: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
