@@ -54,7 +54,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that windows of 13 words repeat from documents with smaller ids."""
-    return substring_dedup.digest(substring_dedup.removed_spans(table(spark, sf_dir, "documents"), block=7, window=13))
+    rows = substring_dedup.removed_spans(table(spark, sf_dir, "documents"), block=7, window=13, digest=True)
+    return rows.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ whole; further columns are not looked at.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,6 +32,21 @@ BUCKET_BYTES = 8_000_000
 TABLE_ROWS = 10_000
 
 
+#: The bits of a code that are sent.
+SHORT = U64((1 << 48) - 1)
+
+
+def short(codes: np.ndarray) -> np.ndarray:
+    """The lower six bytes of each code, as rows of bytes."""
+    return np.ascontiguousarray(codes.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6].copy().view("V6").ravel()
+
+
+def long(data: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = data.reshape(-1, 6)
+    return wide.view("<u8").ravel()
+
+
 def anchors(docs: DataFrame, block: int) -> DataFrame:
     """``doc_id, anchors``: fingerprints of each document's windows of ``block`` words that hit a block of another document.
 
@@ -61,7 +77,7 @@ def anchors(docs: DataFrame, block: int) -> DataFrame:
                 owner = np.concatenate([owner, ids[doc[begins[~alone]]]])
                 known = np.concatenate([known, np.ones(len(blocks), np.int8)])
                 again = np.repeat(~alone, lengths)
-                hit_doc, hit = doc[again], marked[again] & ~U64(1)
+                hit_doc, hit = doc[again], (marked[again] & SHORT) >> U64(1)
                 by_doc = np.argsort(hit_doc, kind="stable")
                 hit_doc, hit = hit_doc[by_doc], hit[by_doc]
                 first, _ = runs(hit_doc)
@@ -69,20 +85,23 @@ def anchors(docs: DataFrame, block: int) -> DataFrame:
                     [pa.array(ids[hit_doc[first]] % buckets), pa.nulls(len(first), pa.binary()), pa.nulls(len(first), pa.binary()), pa.nulls(len(first), pa.binary()), pa.array(ids[hit_doc[first]], pa.int64()), binaries(hit, np.append(first, len(hit)))],
                     ["bucket", "entry", "owner", "known", "doc_id", "anchors"],
                 )
+            # In the order of the owners, which then take little room; of the code 48 bits besides its bucket, as more hits than true ones do no harm.
+            order = np.argsort(owner, kind="stable")
+            entry, owner, known = entry[order], owner[order], known[order]
             bucket = ((entry >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
-            sent = packets(bucket, {"entry": entry, "owner": owner.astype(np.int64), "known": known})
+            sent = packets(bucket, {"entry": short(entry), "owner": owner.astype(np.int64), "known": known})
             n = sent.num_rows
             yield pa.RecordBatch.from_arrays([*sent.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], [*sent.schema.names, "doc_id", "anchors"])
 
     def meet(table: pa.Table) -> pa.Table:
-        entry, owner, known = raw(table["entry"], "<u8"), raw(table["owner"], "<i8"), raw(table["known"], "i1")
+        entry, owner, known = long(raw(table["entry"], "u1")), raw(table["owner"], "<i8"), raw(table["known"], "i1")
         order = np.argsort(entry, kind="stable")
         entry, owner, known = entry[order], owner[order], known[order]
         begins, lengths = runs(entry >> U64(1))
         if len(begins):
             hit = (lengths > 1) & (np.bitwise_or.reduceat(entry & U64(1), begins) == 1)
             chosen = np.repeat(hit, lengths) & (known == 0)
-            entry, owner = entry[chosen] & ~U64(1), owner[chosen]
+            entry, owner = entry[chosen] >> U64(1), owner[chosen]
         by_owner = np.argsort(owner, kind="stable")
         entry, owner = entry[by_owner], owner[by_owner]
         first, _ = runs(owner)
@@ -100,7 +119,7 @@ def anchored_windows(words: Words, row: int, anchors: np.ndarray, block: int, wi
         return np.zeros(0, np.int64)
     at, codes = words.block_windows
     lo, hi = np.searchsorted(at, [words.first[row], words.first[row + 1]])
-    hit = np.isin(codes[lo:hi] & ~U64(1), anchors)
+    hit = np.isin((codes[lo:hi] & SHORT) >> U64(1), anchors)
     reach = np.zeros(n + 1, np.int64)
     reach[1 : len(hit) + 1] = np.cumsum(hit)
     reach[len(hit) + 1 :] = reach[len(hit)]
@@ -108,96 +127,128 @@ def anchored_windows(words: Words, row: int, anchors: np.ndarray, block: int, wi
     return starts[reach[np.minimum(starts + window - block + 1, n)] > reach[starts]]
 
 
-def removed_spans(docs: DataFrame, block: int = 7, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_text, removed``: the text without repeated words, and their ranges ``[from, to)`` in words."""
+def _cut(words: Words, row: int, lost: np.ndarray, data: bytes) -> bytes:
+    """A text's words that are not lost, joined by one space."""
+    own = slice(words.first[row], words.first[row + 1])
+    return b" ".join([data[a:b] for a, b in zip(words.start[own][~lost].tolist(), words.end[own][~lost].tolist(), strict=True)])
+
+
+def removed_spans(docs: DataFrame, block: int = 7, window: int = 13, digest: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_words, n_removed, kept, removed``: the text without repeated words (with ``digest`` its sha256), and their ranges ``[from, to)`` in words."""
     if window < 2 * block - 1:
         raise ValueError("A window of fewer than 2 * block - 1 words may hold no block.")
     docs = id_and_text(docs, id_col, text_col)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = parts_for(size, 4 * BUCKET_BYTES, 4)
     found = written(anchors(docs, block))
     by_doc = found.groupBy("doc_id").agg(F.collect_list("anchors").alias("anchors"))
+    result = ["doc_id", "n_words", "n_removed", "kept", "removed"]
+    spans = pa.list_(pa.list_(pa.int64()))
+
+    def kept(text: bytes) -> str:
+        return hashlib.sha256(text).hexdigest() if digest else text.decode()
 
     def candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             words = Words(part["text"])
             words.block_windows = words.windows(block)
+            data = words.data.tobytes()
             at, one = words.windows(window)
             _, two = words.windows(window, second=True)
-            firsts = np.searchsorted(at, words.first)
-            texts, codes = [], []
+            firsts, ids = np.searchsorted(at, words.first), part["doc_id"].to_pylist()
+            # A name for the slice from what it holds; two slices of one name would only be finished together.
+            number = int.from_bytes(hashlib.blake2b(repr((ids, len(data))).encode(), digest_size=8).digest(), "little", signed=True)
+            own, owners, opened = [], [], np.zeros(part.num_rows, bool)
             for i, lists in enumerate(part["anchors"].to_pylist()):
                 starts = anchored_windows(words, i, np.frombuffer(b"".join(lists), "<u8"), block, window) if lists else np.zeros(0, np.int64)
-                own = firsts[i] + starts
-                codes.append(np.unique(np.stack([one[own], two[own]], 1), axis=0) if len(own) else np.zeros((0, 2), U64))
-                texts.append(len(own) > 0)
-            bounds = np.cumsum([0, *[2 * len(c) for c in codes]])
+                if len(starts):
+                    opened[i] = True
+                    own.append(firsts[i] + starts)
+                    owners.append(np.full(len(starts), ids[i], np.int64))
+            done = np.flatnonzero(~opened)
+            blank = [pa.nulls(part.num_rows, k) for k in (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())]
+            texts = [kept(_cut(words, i, np.zeros(words.count[i], bool), data)) if not opened[i] else None for i in range(part.num_rows)]
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], part["text"], pa.array(texts, pa.bool_()), binaries(np.concatenate([c.ravel() for c in codes]), bounds)],
-                ["doc_id", "text", "open", "windows"],
+                [pa.array(np.full(part.num_rows, number)), part["doc_id"], pa.array(opened), pa.array([t if o else None for t, o in zip(part["text"].to_pylist(), opened, strict=True)], pa.string()), pa.array(words.count, pa.int64()), pa.array(texts, pa.string()), *blank],
+                ["slice", "doc_id", "open", "text", "n_words", "kept", "bucket", "one", "two", "least", "several"],
             )
+            if len(done) < part.num_rows:
+                # One entry for each distinct window of the slice: its least document, and whether there are several.
+                own, owners = np.concatenate(own), np.concatenate(owners)
+                order = np.lexsort((owners, two[own], one[own]))
+                a, b, owners = one[own][order], two[own][order], owners[order]
+                new = np.ones(len(a), bool)
+                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                begins = np.flatnonzero(new)
+                several = owners[np.append(begins[1:], len(a)) - 1] != owners[begins]
+                sent = packets(((a[begins] >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64), {"one": a[begins], "two": b[begins], "least": owners[begins], "several": several.astype(np.uint8)})
+                n = sent.num_rows
+                blank = [pa.nulls(n, k) for k in (pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.string())]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, number)), *blank, *sent.columns], ["slice", "doc_id", "open", "text", "n_words", "kept", *sent.schema.names])
+
+    stage = docs.join(by_doc, "doc_id", "left").mapInArrow(
+        candidates, "slice bigint, doc_id bigint, open boolean, text string, n_words bigint, kept string, bucket bigint, one binary, two binary, least binary, several binary"
+    )
+    stage = written(stage.coalesce(parts_for(docs.count(), TABLE_ROWS)))
 
-    stage = docs.join(by_doc, "doc_id", "left").mapInArrow(candidates, "doc_id bigint, text string, open boolean, windows binary")
-    parts = parts_for(docs.count(), TABLE_ROWS)
-    stage = written(stage.coalesce(parts))
-
-    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = batch["windows"].to_pylist()
-            counts = np.array([len(v) // 16 for v in values], np.int64)
-            pairs = np.frombuffer(b"".join(values), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch["doc_id"].to_numpy(), counts)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["doc_id", "one", "two"])
-
-    windows = stage.filter("open").select("doc_id", "windows").mapInArrow(unpack, "doc_id bigint, one bigint, two bigint")
-    # Documents with one window each need no join: only those that recur are kept.
-    least = windows.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("one", "two", "least")
-    gone = windows.join(written(least.coalesce(parts)), ["one", "two"]).filter("doc_id > least")
-    gone = gone.groupBy("doc_id").agg(F.collect_set(F.struct("one", "two")).alias("gone"))
-
-    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+    def meet(table: pa.Table) -> pa.Table:
+        a, b, least, several = raw(table["one"], "<u8"), raw(table["two"], "<u8"), raw(table["least"], "<i8"), raw(table["several"], "u1")
+        counts = [len(v) // 8 for v in table["one"].to_pylist()]
+        origin = np.repeat(table["slice"].to_numpy(), counts)
+        order = np.lexsort((least, b, a))
+        a, b, least, several, origin = a[order], b[order], least[order], several[order], origin[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        begins = np.flatnonzero(new)
+        lengths = np.diff(np.append(begins, len(a)))
+        # Of windows that no other document has, nothing is said.
+        tell = np.repeat(lengths > 1, lengths) | (several > 0)
+        first = np.repeat(least[begins], lengths)[tell]
+        a, b, origin = a[tell], b[tell], origin[tell]
+        order = np.argsort(origin, kind="stable")
+        first, a, b, origin = first[order], a[order], b[order], origin[order]
+        begins, _ = runs(origin)
+        bounds = np.append(begins, len(origin))
+        return pa.table({"slice": origin[begins], "one": binaries(a, bounds), "two": binaries(b, bounds), "least": binaries(first, bounds)})
+
+    sent = stage.filter("bucket IS NOT NULL").select("bucket", "slice", "one", "two", "least", "several")
+    replies = sent.groupBy("bucket").applyInArrow(meet, "slice bigint, one binary, two binary, least binary")
+
+    def finish(texts: pa.Table, told: pa.Table) -> pa.Table:
+        one, two, least = raw(told["one"], "<u8"), raw(told["two"], "<u8"), raw(told["least"], "<i8")
+        order = np.lexsort((two, one))
+        one, two, least = one[order], two[order], least[order]
+        # A pair of codes is looked up by its rank among the first ones and the second below it.
+        rows = []
+        for part in slices(texts.combine_chunks().to_batches()):
             words = Words(part["text"])
             data = words.data.tobytes()
-            at, one = words.windows(window)
-            _, two = words.windows(window, second=True)
+            at, a = words.windows(window)
+            _, b = words.windows(window, second=True)
+            place = np.searchsorted(one, a)
+            hit = np.zeros(len(a), bool)
+            owner = part["doc_id"].to_numpy()[words.doc[at]]
+            live = np.flatnonzero(place < len(one))
+            while len(live):
+                live = live[one[place[live]] == a[live]]
+                same = two[place[live]] == b[live]
+                hit[live[same]] = least[place[live[same]]] < owner[live[same]]
+                live = live[~same]
+                place[live] += 1
+                live = live[place[live] < len(one)]
             firsts = np.searchsorted(at, words.first)
-            counts, texts, spans = [], [], []
-            goes = part["gone"]
-            bounds = goes.offsets.to_numpy()
-            gone_one, gone_two = (np.asarray(goes.values.field(k).to_numpy(zero_copy_only=False)).view(U64) for k in (0, 1))
-            for i in range(part.num_rows):
-                n, lost = int(words.count[i]), None
-                a, b = bounds[i], bounds[i + 1]
-                if b > a and goes.is_valid()[i].as_py():
-                    lo, hi = firsts[i], firsts[i + 1]
-                    names, order = np.unique(gone_one[a:b], return_inverse=False), np.argsort(gone_one[a:b], kind="stable")
-                    hit = np.isin(one[lo:hi], names)
-                    if hit.any():  # both fingerprints must be those of one window
-                        pairs = set(zip(gone_one[a:b][order].tolist(), gone_two[a:b][order].tolist(), strict=True))
-                        for k in np.flatnonzero(hit):
-                            hit[k] = (int(one[lo + k]), int(two[lo + k])) in pairs
-                    change = np.zeros(n + 1, np.int64)
-                    starts = np.flatnonzero(hit)
-                    np.add.at(change, starts, 1)
-                    np.add.at(change, starts + window, -1)
-                    lost = np.cumsum(change)[:n] > 0
-                begin, end = words.start[words.first[i] : words.first[i + 1]], words.end[words.first[i] : words.first[i + 1]]
-                if lost is None:
-                    lost = np.zeros(n, bool)
+            for i, doc_id in enumerate(part["doc_id"].to_pylist()):
+                n = int(words.count[i])
+                change = np.zeros(n + 1, np.int64)
+                starts = np.flatnonzero(hit[firsts[i] : firsts[i + 1]])
+                change[: len(change)] += np.bincount(starts, minlength=n + 1) - np.bincount(starts + window, minlength=n + 1)
+                lost = np.cumsum(change)[:n] > 0
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], lost.astype(np.int8), [0]])))
-                spans.append(edges.reshape(-1, 2).tolist())
-                counts.append((n, int(lost.sum())))
-                texts.append(b" ".join([data[s:e] for s, e in zip(begin[~lost].tolist(), end[~lost].tolist(), strict=True)]).decode())
-            yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], pa.array([c[0] for c in counts], pa.int64()), pa.array([c[1] for c in counts], pa.int64()), pa.array(texts, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int64())))],
-                ["doc_id", "n_words", "n_removed", "kept_text", "removed"],
-            )
-
-    none = F.array().cast("array<struct<one:bigint,two:bigint>>")
-    open_rows = stage.filter("open").select("doc_id", "text").join(gone, "doc_id", "left")
-    rest = stage.filter("NOT open").select("doc_id", "text")
-    rows = open_rows.select("doc_id", "text", F.coalesce("gone", none).alias("gone")).union(rest.withColumn("gone", none))
-    return rows.mapInArrow(finish, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, removed array<array<bigint>>")
-
-
-def digest(rows: DataFrame) -> DataFrame:
-    """The rows with ``kept_sha256`` in place of the text and the ranges."""
-    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+                rows.append((doc_id, n, int(lost.sum()), kept(_cut(words, i, lost, data)), edges.reshape(-1, 2).tolist()))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), spans]
+        return pa.table({c: pa.array([r[k] for r in rows], kind) for k, (c, kind) in enumerate(zip(result, kinds, strict=True))})
+
+    opened = stage.filter("open").select("slice", "doc_id", "text").groupBy("slice")
+    cut = opened.cogroup(replies.groupBy("slice")).applyInArrow(finish, "doc_id bigint, n_words bigint, n_removed bigint, kept string, removed array<array<bigint>>")
+    none = F.array().cast("array<array<bigint>>")
+    return stage.filter("NOT open").select("doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept", none.alias("removed")).union(cut.select(*result))
