@@ -34,7 +34,7 @@ WORD_UNITS, CLASSES, CONTEXT, WIDTH = 191, 64, 4, 16
 UNITS = WORD_UNITS + 1 + CLASSES
 #: Words whose counts every task has.
 SENT_WORDS = 60_000
-BUCKET_BYTES = 64_000_000
+BUCKET_BYTES = 32_000_000
 _END = U64(0x2545F4914F6CDD1D)  # stands for the end of a text
 
 
@@ -278,41 +278,49 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
             here = vocabulary.words[at] == code if len(vocabulary.words) else np.zeros(len(code), bool)
             count_log = np.zeros(len(code))
             count_log[here] = np.log10(vocabulary.counts[at[here]] + 1.0)
-            rows = number + np.arange(n)
             sums = [np.bincount(doc, weights=w, minlength=n) for w in (log10 + np.where(in_class, count_log, 0), count_log)]
             columns = {
-                "row": pa.array(rows), "doc_id": part["doc_id"], "held_out": part["held_out"], "n_tokens": pa.array(np.bincount(doc, minlength=n), pa.int64()),
+                "slice": pa.array(np.full(n, number)), "at": pa.array(np.arange(n), pa.int32()), "doc_id": part["doc_id"], "held_out": part["held_out"], "n_tokens": pa.array(np.bincount(doc, minlength=n), pa.int64()),
                 "known": pa.array(np.bincount(doc, weights=here, minlength=n).astype(np.int64)), "model_log": pa.array(sums[0]), "count_log": pa.array(sums[1]),
             }
             none = [pa.nulls(n, k) for k in (pa.int64(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays([*columns.values(), *none], [*columns, "bucket", "codes", "rows"])
             rare = ~here
             if rare.any():
-                dealt = packets(((code[rare] >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64), {"codes": code[rare], "rows": rows[doc[rare]].astype("<i8")})
-                blank = [pa.nulls(dealt.num_rows, c.type) for c in columns.values()]
-                yield pa.RecordBatch.from_arrays([*blank, *dealt.columns], [*columns, "bucket", "codes", "rows"])
-            number += n
+                dealt = packets(((code[rare] >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64), {"codes": code[rare], "rows": doc[rare].astype("<i4")})
+                blank = [pa.nulls(dealt.num_rows, c.type) for c in list(columns.values())[1:]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(dealt.num_rows, number)), *blank, *dealt.columns], [*columns, "bucket", "codes", "rows"])
+            number += 1
 
-    schema = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, model_log double, count_log double, bucket bigint, codes binary, rows binary"
-    stage = written(docs.mapInArrow(score, schema))
+    head = "slice bigint, at int, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, model_log double, count_log double"
+    stage = written(docs.mapInArrow(score, f"{head}, bucket bigint, codes binary, rows binary"))
 
     def look_up(rare: pa.Table, known: pa.Table) -> pa.Table:
-        codes, rows = raw(rare["codes"], "<u8"), raw(rare["rows"], "<i8")
+        """For each slice the known tokens and the sum of logarithms of its rows, as raw bytes."""
         have, n = raw(known["codes"], "<u8"), raw(known["counts"], "<i8")
         if not len(have):
             have, n = np.zeros(1, U64), np.zeros(1, np.int64)
-        at = np.minimum(np.searchsorted(have, codes), len(have) - 1)
-        count = np.where(have[at] == codes, n[at], 0)
-        order = np.argsort(rows, kind="stable")
-        first, _ = runs(rows[order])
-        if not len(first):
-            return pa.table({"row": pa.array([], pa.int64()), "rare_known": pa.array([], pa.int64()), "rare_log": pa.array([], pa.float64())})
-        return pa.table({"row": rows[order][first], "rare_known": np.add.reduceat((count > 0)[order].astype(np.int64), first), "rare_log": np.add.reduceat(np.log10(count + 1.0)[order], first)})
-
-    rare = stage.filter("bucket IS NOT NULL").select("bucket", "codes", "rows").groupBy("bucket")
-    met = rare.cogroup(counts.select("bucket", "codes", "counts").groupBy("bucket")).applyInArrow(look_up, "row bigint, rare_known bigint, rare_log double")
-    met = met.groupBy("row").agg(F.sum("rare_known").alias("rare_known"), F.sum("rare_log").alias("rare_log"))
-    joined = stage.filter("row IS NOT NULL").join(met, "row", "left").fillna(0, ["rare_known", "rare_log"])
+        out = []
+        for origin, codes, rows in zip(rare["slice"].to_pylist(), rare["codes"].to_pylist(), rare["rows"].to_pylist(), strict=True):
+            codes, rows = np.frombuffer(codes, "<u8"), np.frombuffer(rows, "<i4")
+            at = np.minimum(np.searchsorted(have, codes), len(have) - 1)
+            count = np.where(have[at] == codes, n[at], 0)
+            first, _ = runs(rows)  # rows are in order
+            out.append((origin, rows[first].tobytes(), np.add.reduceat((count > 0).astype("<i4"), first).astype("<i4").tobytes(), np.add.reduceat(np.log10(count + 1.0), first).tobytes()))
+        return pa.table({"slice": pa.array([o[0] for o in out], pa.int64()), **{c: pa.array([o[k] for o in out], pa.binary()) for k, c in ((1, "rows"), (2, "known"), (3, "logs"))}})
+
+    rare = stage.filter("bucket IS NOT NULL").select("bucket", "slice", "codes", "rows").groupBy("bucket")
+    met = rare.cogroup(counts.select("bucket", "codes", "counts").groupBy("bucket")).applyInArrow(look_up, "slice bigint, rows binary, known binary, logs binary")
+
+    def add(rows: pa.Table, told: pa.Table) -> pa.Table:
+        n = rows.num_rows
+        at, known, logs = raw(told["rows"], "<i4"), raw(told["known"], "<i4"), raw(told["logs"], "<f8")
+        order = pa.array(np.argsort(rows["at"].to_numpy()))
+        rows = rows.take(order).drop_columns(["slice", "at"])
+        return rows.append_column("rare_known", pa.array(np.bincount(at, weights=known, minlength=n).astype(np.int64))).append_column("rare_log", pa.array(np.bincount(at, weights=logs, minlength=n)))
+
+    heads = stage.filter("bucket IS NULL").select("slice", "at", "doc_id", "held_out", "n_tokens", "known", "model_log", "count_log").groupBy("slice")
+    joined = heads.cogroup(met.groupBy("slice")).applyInArrow(add, head.removeprefix("slice bigint, at int, ") + ", rare_known bigint, rare_log double")
     base = float(np.log10(vocabulary.tokens + vocabulary.distinct + 1.0))
     return joined.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.col("rare_known")).alias("n_known"), F.lit(vocabulary.tokens).cast("bigint").alias("train_tokens"),
