@@ -71,4 +71,8 @@ def template_length(labels: Sequence[str]) -> int:
 
 
 def content_budget(labels: Sequence[str], max_seq_len: int) -> int:
-    return max_seq_len - template_length(labels)
+    """Characters that the label template leaves for the content; an error when it leaves none."""
+    budget = max_seq_len - template_length(labels)
+    if budget <= 0:
+        raise ValueError(f"The label template takes {template_length(labels)} of {max_seq_len} places and leaves none for the content.")
+    return budget

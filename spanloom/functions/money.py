@@ -56,30 +56,26 @@ def parse_amount(text: Column) -> Column:
 
     def cell_value(cell: Column) -> Column:
         digits = F.regexp_replace(cell, r"\D", "")
-        number = F.when(digits == "", F.lit(1)).otherwise(digits.try_cast("bigint"))
-        return F.when(cell == "", F.lit(0)).otherwise(number).cast("bigint")
+        number = F.when(digits == "", F.lit(1)).otherwise(digits.try_cast("decimal(20,0)"))
+        return F.when(cell == "", F.lit(0)).otherwise(number).cast("decimal(20,0)")
 
     def section(values: Column, index: int) -> Column:
-        cells = [F.get(values, F.lit(index * 4 + n)) * F.lit(weight).cast("bigint") for n, weight in enumerate(_SMALL)]
-        return cells[0] + cells[1] + cells[2] + cells[3]
+        cells = [F.get(values, F.lit(index * 4 + n)) * F.lit(weight).cast("decimal(4,0)") for n, weight in enumerate(_SMALL)]
+        return (cells[0] + cells[1] + cells[2] + cells[3]).try_cast("decimal(24,0)")
 
     def total(canonical: Column) -> Column:
         def weigh(values: Column) -> Column:
             sections = [section(values, n) for n in range(4)]
-            parts = [s * F.lit(w).cast("bigint") for s, w in zip(sections, _BIG.values())]
+            parts = [s * F.lit(w).cast("decimal(13,0)") for s, w in zip(sections, _BIG.values())]
             empty_section = F.lit(False)
             for unit, amount in zip(_BIG, sections):
                 if unit:
                     empty_section = empty_section | (F.contains(canonical, F.lit(unit)) & (amount == 0))
-            return F.when(~empty_section, parts[0] + parts[1] + parts[2] + parts[3])
+            return F.when(~empty_section, parts[0] + parts[1] + parts[2] + parts[3]).try_cast("bigint")
 
         cells = F.split(F.regexp_replace(canonical, _GRAMMAR, _CELLS), ",", -1)
-        # Runs of at most 15 digits and big units that keep the sum within a BIGINT.
-        readable = (
-            canonical.rlike(_GRAMMAR)
-            & canonical.rlike(r"[\d十百千]")
-            & ~canonical.rlike(r"\d{16}|\d{7}[千百十]?[兆]|\d{11}[千百十]?億")
-        )
+        # Sums are exact in decimals; what does not fit into a BIGINT in the end is NULL.
+        readable = canonical.rlike(_GRAMMAR) & canonical.rlike(r"[\d十百千]")
         return F.when(readable, let(F.transform(cells, cell_value), weigh))
 
     return let(canonical_amount(text), total)

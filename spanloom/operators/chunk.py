@@ -18,9 +18,9 @@ def check_capacity(max_seq_len: int, prompts: list[str]) -> None:
 
 
 def chunk_starts(length: Column, capacity: Column, spans: Column) -> Column:
-    """Where each chunk starts, for sorted, non-overlapping spans no longer than ``capacity``.
+    """Where each chunk starts, for sorted spans no longer than ``capacity``.
 
-    For each span: whole chunks up to the one it begins in, then a cut at its start if it would be split.
+    Of spans that overlap an earlier one may be cut through. For each span: whole chunks up to the one it begins in, then a cut at its start if it would be split.
     """
 
     def step(s: Column, x: Column) -> Column:
@@ -54,8 +54,8 @@ def chunk_examples(
 ) -> DataFrame:
     """One row per chunk: ``chunk_no, chunk_start, content, result_list`` (offsets within the chunk).
 
-    The content is stripped first and its spans move along. Rows that cannot be cut come back whole with a
-    ``reject_reason``. With ``strict=False`` a content that fits is passed through unstripped, and spans
+    The content is stripped first and its spans move along. Spans may overlap as long as no cut goes through one.
+    Rows that cannot be cut come back whole with a ``reject_reason``. With ``strict=False`` a content that fits is passed through unstripped, and spans
     that are too long are dropped and listed in ``dropped_spans`` instead of rejecting the row.
     """
     capacity = (F.lit(max_seq_len - PROMPT_OVERHEAD) - F.length(F.col(prompt))).cast("int")
@@ -110,17 +110,23 @@ def chunk_examples(
                 moved.cast(PLAIN_SPANS).alias("spans"), no_reason.alias("reason"),
             )
 
-        return F.transform(starts, one)
+        def checked(pieces: Column) -> Column:
+            through = F.exists(pieces, lambda p: F.exists(p["spans"], lambda s: s["end"] > p["chunk_end"] - p["chunk_start"]))
+            return F.when(through, whole(F.lit("a cut goes through a span"))).otherwise(pieces)
 
-    whole = F.array(
-        F.struct(
-            F.lit(0).alias("chunk_no"), F.lit(0).alias("chunk_start"), F.length(F.col("__text")).cast("int").alias("chunk_end"),
-            F.col("__spans").alias("spans"), F.col(REASON).alias("reason"),
+        return let(F.transform(starts, one), checked)
+
+    def whole(reason: Column) -> Column:
+        return F.array(
+            F.struct(
+                F.lit(0).alias("chunk_no"), F.lit(0).alias("chunk_start"), F.length(F.col("__text")).cast("int").alias("chunk_end"),
+                F.col("__spans").alias("spans"), reason.alias("reason"),
+            )
         )
-    )
+
     nonempty = F.length("__text") > 0 if strict else F.lit(True)
     starts = F.when(fits & nonempty, F.array(F.lit(0))).otherwise(chunk_starts(F.length("__text"), F.col("__cap"), F.col("__spans")))
-    plan = F.when(F.col(REASON).isNotNull(), whole).otherwise(let(starts, cut))
+    plan = F.when(F.col(REASON).isNotNull(), whole(F.col(REASON))).otherwise(let(starts, cut))
     others = [c for c in df.columns if c not in {content, spans, "__cap", "__text", "__shift", "__spans", REASON, prompt}]
     return (
         df.withColumn("__blocks", text_blocks(F.col("__text")))

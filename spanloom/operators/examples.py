@@ -126,14 +126,15 @@ def named_entities(df: DataFrame, text: str = "text", entities: str = "entities"
     return df.withColumn("names", named)
 
 
-def resolved_relations(df: DataFrame, relations: str = "relations", lang: str = "ch") -> DataFrame:
+def resolved_relations(df: DataFrame, relations: str = "relations", lang: str = "ch", strict: bool = False) -> DataFrame:
     """Add ``triples``: each relation with its subject and object entity and its two prompts.
 
-    Ids are resolved inside the document; the last entity of an id counts.
+    Ids are resolved inside the document; the last entity of an id counts. A relation without a label, or with an end
+    that is no entity, makes no triple and gives its document a ``reject_reason``; with ``strict`` it stops the job.
     """
 
     def entity(i: Column) -> Column:
-        return F.element_at(F.filter(F.col("names"), lambda n: n["id"] == i), -1)
+        return F.try_element_at(F.filter(F.col("names"), lambda n: n["id"] == i), F.lit(-1))
 
     def triple(r: Column) -> Column:
         return let(
@@ -146,15 +147,31 @@ def resolved_relations(df: DataFrame, relations: str = "relations", lang: str =
             ),
         )
 
-    return df.withColumn("triples", F.transform(F.col(relations), triple))
+    def split(all_of: Column) -> Column:
+        whole = F.filter(all_of, lambda t: t["subject"].isNotNull() & t["object"].isNotNull() & t["predicate"].isNotNull())
+        reason = F.when(F.exists(all_of, lambda t: t["predicate"].isNull()), F.lit("relation without a label"))
+        reason = F.coalesce(reason, F.when(F.size(whole) < F.size(all_of), F.lit("relation to an unknown entity")))
+        return F.struct(whole.alias("triples"), reason.alias("reason"))
+
+    found = df.withColumn("__t", let(F.transform(F.col(relations), triple), split)).withColumn("triples", F.col("__t.triples"))
+    earlier = F.col(REASON) if REASON in df.columns else F.lit(None).cast("string")
+    return stop_on(found.withColumn(REASON, F.coalesce(earlier, F.col("__t.reason"))).drop("__t"), strict)
 
 
 def resolve_relations(relations: DataFrame, entities: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """The same for long tables: two equi joins on (document, entity id)."""
-    e = entities.select(doc, F.col("id"), F.col("name"), F.col("start"), F.col("end"))
+    """The same for long tables: two equi joins on (document, entity id).
+
+    Of entities with one id the one that begins last counts. A relation with an unknown end or without a label stays,
+    with a ``reject_reason``.
+    """
+    last = F.max(F.struct("start", "end", "name"))
+    e = entities.groupBy(doc, "id").agg(last.alias("x")).select(doc, "id", "x.name", "x.start", "x.end")
     subject = e.select(doc, F.col("id").alias("from_id"), F.col("name").alias("subject"))
     obj = e.select(doc, F.col("id").alias("to_id"), F.col("name").alias("object"), "start", "end")
-    return relations.join(subject, [doc, "from_id"]).join(obj, [doc, "to_id"])
+    joined = relations.join(subject, [doc, "from_id"], "left").join(obj, [doc, "to_id"], "left")
+    unlabelled = F.col("type").isNull() if "type" in relations.columns else F.lit(False)
+    reason = F.when(unlabelled, F.lit("relation without a label")).when(F.col("subject").isNull() | F.col("object").isNull(), F.lit("relation to an unknown entity"))
+    return joined.withColumn(REASON, reason)
 
 
 def _grouped(items: Column, key: str) -> Column:

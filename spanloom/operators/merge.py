@@ -43,7 +43,7 @@ def _totals(counts: DataFrame) -> DataFrame:
     return counts.agg(
         F.coalesce(F.sum("left_rows"), F.lit(0)).alias("left_rows"),
         F.coalesce(F.sum("right_rows"), F.lit(0)).alias("right_rows"),
-        F.coalesce(F.sum(F.col("left_rows") * F.col("right_rows")), F.lit(0)).alias("merged_rows"),
+        F.coalesce(F.sum(F.col("left_rows").cast("decimal(19,0)") * F.col("right_rows").cast("decimal(19,0)")), F.lit(0)).try_cast("bigint").alias("merged_rows"),
     )
 
 

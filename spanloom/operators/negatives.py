@@ -82,7 +82,7 @@ def circular_draw(docs: DataFrame, index: CorpusIndex, key: str, own: str, take:
     draws = docs.withColumn("__step", F.explode(steps)).withColumn(
         "__at", F.coalesce(F.pmod(hash_mod(seed, n, F.col(key)) + F.col("__step"), n), F.lit(0))
     )
-    fetched = index.attach(draws, "__at").where(~F.array_contains(F.col(own), F.col("value")))
+    fetched = index.attach(draws, "__at").where(~F.coalesce(F.array_contains(F.col(own), F.col("value")), F.lit(False)))
     order = F.row_number().over(Window.partitionBy(key).orderBy("__step"))
     return fetched.withColumn("__n", order).where(F.col("__n") <= F.col(take)).select(*docs.columns, "value")
 
@@ -104,7 +104,7 @@ def full_relation_negatives(facts: DataFrame, predicates: CorpusIndex, key: str,
         "__at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(predicates.size - 1).cast("bigint")))
     )
     prompts = predicates.attach(rows, "__at").withColumn("prompt", relation_prompt(F.col("__s"), F.col("value"), lang))
-    return prompts.where(~F.array_contains("prompts", F.col("prompt"))).select(key, "prompt")
+    return prompts.where(~F.coalesce(F.array_contains("prompts", F.col("prompt")), F.lit(False))).select(key, "prompt")
 
 
 def pool_sizes(n1: Column, n2: Column, n3: Column, positives: Column, ratio: int, offset: Column) -> Column:

@@ -68,18 +68,13 @@ def validate_label_examples(df: DataFrame) -> None:
 
 
 def span_reason(spans: Column, capacity: Column) -> Column:
-    """Reason when spans cannot be cut into chunks: reversed, too long, or overlapping in sorted order."""
+    """Reason when spans cannot be cut into chunks: reversed, or too long."""
     reversed_span = F.exists(spans, lambda s: s["start"] > s["end"])
     too_long = F.exists(spans, lambda s: s["end"] - s["start"] > capacity)
-    overlaps = F.exists(
-        F.transform(spans, lambda s, i: (i > 0) & (s["start"] < F.get(spans, i - 1)["end"])),
-        lambda x: x,
-    )
     return (
         F.when(capacity <= 0, F.lit("max_seq_len is too small"))
         .when(reversed_span, F.lit("start after end"))
         .when(too_long, F.lit("span longer than a chunk"))
-        .when(overlaps, F.lit("spans overlap"))
     )
 
 

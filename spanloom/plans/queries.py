@@ -321,9 +321,9 @@ def row_counts(spark, folder):
 
 def template_budget(spark, folder):
     """Budget left by a label template whose labels are the event types."""
-    kinds = table(spark, folder, "events").select(F.col("event_type").alias("label")).distinct()
-    used = F.sum(1 + F.length("label")) + 4
-    return kinds.agg(F.count(F.lit(1)).alias("n_labels"), used.cast("bigint").alias("template_len"), (768 - used).cast("bigint").alias("budget"))
+    kinds = [r[0] for r in table(spark, folder, "events").select("event_type").distinct().collect()]  # a vocabulary
+    rows = [(len(kinds), label_fn.template_length(kinds), label_fn.content_budget(kinds, 768))]
+    return spark.createDataFrame(rows, "n_labels bigint, template_len bigint, budget bigint")
 
 
 # --- negatives and relations ----------------------------------------------------------------------

@@ -84,6 +84,21 @@ def test_golden_edges(spark):
     assert len(whole) == 1 and whole[0].result_list[0].end == 69
 
 
+def test_overlapping_spans(spark):
+    """Overlaps within a chunk stay; a span that a cut goes through rejects its row, also in lenient mode."""
+    rows = [
+        (1, "abcdefghij", "p", [("abcd", 0, 4), ("cdef", 2, 6)]),
+        (2, "abcdefghij", "p", [("abc", 0, 3), ("abcde", 0, 5), ("fg", 5, 7)]),
+        (3, "abcdefghij", "p", [("cdef", 2, 6), ("efgh", 4, 8)]),
+    ]
+    for strict in (True, False):
+        out = chunk_examples(examples(spark, rows), 64, strict=strict).collect()
+        assert {r.id: (r.reject_reason, len(r.result_list)) for r in out} == {1: (None, 2), 2: (None, 3), 3: (None, 2)}
+        cut = chunk_examples(examples(spark, rows), 4 + 6, strict=strict).orderBy("id", "chunk_no").collect()
+        assert {r.id: r.reject_reason for r in cut} == {1: None, 2: None, 3: "a cut goes through a span"}
+        assert [len(r.result_list) for r in cut if r.id == 1] == [2, 0] and [len(r.result_list) for r in cut if r.id == 2] == [2, 1]
+
+
 def test_rejects(spark):
     rows = [
         (1, "abcdef", "p", [("ab", 1, 3)]),
@@ -95,7 +110,7 @@ def test_rejects(spark):
     ]
     out = {r.id: r.reject_reason for r in chunk_examples(examples(spark, rows), 10).collect()}
     assert out == {
-        1: "slice differs from span text", 2: "span longer than a chunk", 3: "spans overlap", 4: "start after end", 5: "max_seq_len is too small",
+        1: "slice differs from span text", 2: "span longer than a chunk", 3: None, 4: "start after end", 5: "max_seq_len is too small",
     }
     with pytest.raises(ValueError, match="max_seq_len"):
         check_capacity(9, ["精神慰撫金額"])
