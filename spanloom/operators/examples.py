@@ -264,8 +264,8 @@ def corpus_facts(docs: DataFrame, key: str) -> DataFrame:
     """What negatives need to know of a document: short strings, none of its text."""
     return docs.select(
         key,
-        F.array_distinct(F.transform("names", lambda n: n["label"])).alias("labels"),
-        F.array_distinct(F.transform("names", lambda n: n["name"])).alias("entity_names"),
+        F.array_compact(F.array_distinct(F.transform("names", lambda n: n["label"]))).alias("labels"),
+        F.array_compact(F.array_distinct(F.transform("names", lambda n: n["name"]))).alias("entity_names"),
         F.array_distinct(F.transform("triples", lambda t: t["subject"])).alias("subjects"),
         F.transform("triples", lambda t: t["predicate"]).alias("predicates"),
         F.transform("triples", lambda t: t["inverse"]).alias("inverse"),

@@ -283,3 +283,29 @@ def test_exports(spark):
     originals = spark.createDataFrame([("J1", 1, "old"), ("J1", 2, "new")], "jid string, id int, text string")
     row = export_labels(attach_text(results, originals)).first()
     assert row.data.jfull_compress == "new" and row.annotations[0].result[0].value.choices == ["p"]
+
+
+def test_faulty_relations_get_a_reason(spark):
+    """No label, an unknown end, a doubled id: no triple of NULLs, no dead job, no lost negatives."""
+    text = "甲在乙住丙"
+    entities = [(1, "人", 0, 1), (2, "地", 2, 3), (2, "地", 4, 5)]
+    rows = [(1, text, entities, [(1, 1, 2, "住")]), (2, text, entities, [(1, 1, 2, None)]), (3, text, entities, [(1, 1, 9, "住"), (2, 1, 2, "住")])]
+    df = spark.createDataFrame(rows, f"k int, text string, entities {ENTITIES}, relations {RELATIONS}")
+    out = {r.k: r for r in examples.resolved_relations(examples.named_entities(df)).collect()}
+    assert [out[k].reject_reason for k in (1, 2, 3)] == [None, "relation without a label", "relation to an unknown entity"]
+    assert [[t.object for t in out[k].triples] for k in (1, 2, 3)] == [["丙"], [], ["丙"]]
+    with pytest.raises(Exception, match="relation"):
+        examples.resolved_relations(examples.named_entities(df), strict=True).collect()
+    built = examples.build_extraction_examples(df, "k", negative_ratio=-1).collect()
+    assert all(r.prompt is not None for r in built)
+    facts = spark.createDataFrame([(1, ["a", None]), (2, ["b"])], "k int, labels array<string>")
+    index = negatives.corpus_indexes(facts, {"labels": F.col("labels")})["labels"]
+    got = {(r.k, r.prompt) for r in negatives.entity_negatives(facts, index, "k", -1).collect()}
+    assert got == {(1, "b"), (2, "a")}
+
+
+def test_merge_counts_beyond_a_bigint(spark):
+    from spanloom.operators.merge import _totals
+
+    counts = spark.createDataFrame([("x", 4 * 10**9, 4 * 10**9)], "k string, left_rows bigint, right_rows bigint")
+    assert _totals(counts).first()["merged_rows"] is None  # more than a BIGINT: never equal to the rows of one side

@@ -106,3 +106,9 @@ def test_every_number_round_trips(spark):
     numbers = [(n * 7919**k) % 10**16 + 1 for n in range(1, 200) for k in (0, 1, 2, 3)]
     df = spark.createDataFrame([(n, spell(n)) for n in numbers], "n bigint, raw string")
     assert df.where(~money.parse_amount(F.col("raw")).eqNullSafe(F.col("n"))).count() == 0
+
+
+def test_amounts_up_to_a_bigint(spark):
+    rows = [("1234567890123456元", 1234567890123456), ("123456789012345678元", 123456789012345678), ("9223372036854775807元", 2**63 - 1), ("9223372036854775808元", None), ("922萬3372兆", None), ("99999999兆", None), ("9223372兆", 9223372 * 10**12), ("123456789012345678901234567890元", None)]
+    got = spark.createDataFrame(rows, "raw string, want bigint").select("raw", "want", money.money_to_number(F.col("raw")).alias("got")).collect()
+    assert [(r.raw, r.got) for r in got] == [(raw, want) for raw, want in rows]
