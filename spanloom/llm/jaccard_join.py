@@ -18,11 +18,12 @@ equal sets; an empty table gives no rows; very long texts are taken whole; furth
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import binaries, id_and_text, row_key, packets, parts_for, raw, runs, slices, written
@@ -67,6 +68,16 @@ def point_of(codes: np.ndarray) -> np.ndarray:
     return np.bincount((codes & U64(d - 1)).astype(np.int64), minlength=d).astype("<u2")
 
 
+def packed(point: np.ndarray) -> bytes:
+    """A point in few bytes; nearly all its coordinates are small."""
+    small = not len(point) or point.max() < 256
+    return (b"1" if small else b"2") + zlib.compress(point.astype("u1" if small else "<u2").tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data[1:]), "u1" if data[:1] == b"1" else "<u2")
+
+
 def folded(point: np.ndarray, d: int) -> np.ndarray:
     """The point over fewer groups."""
     return point.reshape(-1, d).sum(0, dtype=np.int32) if len(point) > d else point
@@ -123,7 +134,7 @@ def sketches(docs: DataFrame, size: int, share: int, frequent: np.ndarray) -> Da
                 nodes.append(node_of(codes))
                 sizes.append(n)
                 prefixes.append(order[: n + (-share * n) // 100 + 1 if n else 0].tobytes())
-                points.append(point_of(codes).tobytes() if n else b"")
+                points.append(packed(point_of(codes)))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("row_key"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.binary()), pa.array(points, pa.binary())],
                 ["doc_id", "row_key", "node", "n", "prefix", "point"],
@@ -188,11 +199,20 @@ class CountTree:
         return self.order[at]
 
 
-def block_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, share: int) -> DataFrame:
-    """``a, b``: pairs within a block, of different labels, that the points allow; from blocks of three and more."""
+def block_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, share: int, nearest: bool) -> DataFrame:
+    """``a, b``: pairs within a block, of different labels, that the points allow; from blocks of three and more.
+
+    With ``nearest`` each member has only the pair with the highest bound.
+    """
     named = members.filter("members > 2").join(labels, "node", "left").select("code", "node", "members", F.coalesce("root", "node").alias("label"))
     mixed = named.groupBy("code").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("code")
-    rows = named.join(mixed, "code").join(sets.select("node", "n", "point"), "node")
+    sized = named.join(mixed, "code").join(sets.select("node", "n"), "node")
+    # In a block of one tree, a member without another of its size, give or take the threshold, has no partner.
+    small = F.col("members") <= TREE_MEMBERS
+    by_size = Window.partitionBy("code", F.when(small, 0).otherwise(F.xxhash64("node"))).orderBy("n", "node")
+    sized = sized.withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
+    close = (100 * F.col("below") >= share * F.col("n")) | (100 * F.col("n") >= share * F.col("above"))
+    rows = sized.filter(~small | F.coalesce(close, F.lit(False))).drop("below", "above").join(sets.select("node", "point"), "node")
     # A block beyond TREE_MEMBERS is cut into parts by a hash, and every two parts meet in a task of their own.
     cuts = F.ceil(F.col("members") / TREE_MEMBERS).cast("int")
     part = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
@@ -207,7 +227,7 @@ def block_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, share: i
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             node, label, n, part = (block[c].to_numpy() for c in ("node", "label", "n", "part"))
-            values = [np.frombuffer(p, "<u2") for p in block["point"].to_pylist()]
+            values = [unpacked(p) for p in block["point"].to_pylist()]
             d = min(map(len, values))
             points = np.stack([folded(v, d) for v in values]).astype(np.int32)
             tree, one, two = CountTree(points, n), [], []
@@ -215,9 +235,12 @@ def block_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, share: i
             for i in range(len(node)):
                 near = tree.near(points[i], int(n[i]), share)
                 near = near[(node[near] < node[i]) & (label[near] != label[i])]
-                near = near[[may_link(values[i], int(n[i]), values[j], int(n[j]), share) for j in near]] if len(near) else near
                 if across:  # pairs within a part are found where the part meets itself
                     near = near[part[near] != part[i]]
+                near = near[[may_link(values[i], int(n[i]), values[j], int(n[j]), share) for j in near]] if len(near) else near
+                if nearest and len(near) > 1:
+                    bound = np.minimum(points[near], points[i]).sum(1)
+                    near = near[np.argmax(bound / (n[near] + n[i] - bound))][None]
                 one.append(node[near])
                 two.append(np.full(len(near), node[i]))
             return np.concatenate(one), np.concatenate(two)
@@ -260,7 +283,7 @@ def allowed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
         for batch in batches:
             keep = []
             for na, nb, x, y in zip(batch["na"].to_pylist(), batch["nb"].to_pylist(), batch["pa"].to_pylist(), batch["pb"].to_pylist(), strict=True):
-                keep.append(may_link(np.frombuffer(x, "<u2"), na, np.frombuffer(y, "<u2"), nb, share))
+                keep.append(may_link(unpacked(x), na, unpacked(y), nb, share))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(left, "a").join(right, "b").filter(near).select("a", "b", "na", "nb", "pa", "pb").mapInArrow(check, "a bigint, b bigint")
@@ -308,7 +331,6 @@ def _placed(docs: DataFrame, size: int, share: int, id_col: str, text_col: str)
     sets = written(sets.agg(F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("point").alias("point")).coalesce(parts))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        pairs = written(pairs.coalesce(parts))
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         whole = written(whole_sets(docs, nodes.join(sets.select("node", "row_key"), "node"), size).coalesce(parts))
         return written(verified(pairs, whole, share).coalesce(parts))
@@ -316,12 +338,15 @@ def _placed(docs: DataFrame, size: int, share: int, id_col: str, text_col: str)
     # First, each member with the least of its block.
     least = members.groupBy("code").agg(F.min("node").alias("b"))
     stars = members.join(least, "code").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    links = linked(allowed(stars, sets, share))
+    links = linked(written(allowed(stars, sets, share).coalesce(parts)))
     labels = components(links)
-    # Then what can still link different components, from the trees.
+    # Then what can still link different components, from the trees: first the nearest, so that families come together
+    # and need no more, then all that is left.
     tried = stars.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    links = links.union(linked(block_pairs(members, sets, labels, share).join(tried, ["a", "b"], "left_anti")))
-    labels = components(links)
+    for nearest in (True, False):
+        pairs = written(block_pairs(members, sets, labels, share, nearest).join(tried, ["a", "b"], "left_anti").coalesce(parts))
+        links, tried = links.union(linked(pairs)), tried.union(pairs)
+        labels = components(links)
     placed = rows.join(labels, "node", "left")
     root = F.when(F.col("n") > 0, F.coalesce("root", "node"))
     return written(placed.select("doc_id", "row_key", F.col("n").cast("bigint").alias("n_shingles"), root.alias("root")).coalesce(parts))
