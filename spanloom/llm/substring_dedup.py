@@ -64,6 +64,11 @@ def anchors(docs: DataFrame, block: int) -> DataFrame:
             marked = (codes & ~U64(1)) | ((at - words.first[doc]) % block == 0).astype(U64)
             order = np.argsort(codes >> U64(1), kind="stable")
             marked, doc = marked[order], doc[order]
+            # Once for each document that has it.
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (marked[1:] >> U64(1) != marked[:-1] >> U64(1))
+            marked = np.bitwise_or.reduceat(marked, np.flatnonzero(new)) if len(marked) else marked
+            doc = doc[new]
             begins, lengths = runs(marked >> U64(1))
             ids = part["doc_id"].to_numpy()
             alone = lengths == 1
@@ -71,7 +76,7 @@ def anchors(docs: DataFrame, block: int) -> DataFrame:
             single = begins[alone]
             entry, owner, known = marked[single], ids[doc[single]], np.zeros(len(single), np.int8)
             if not alone.all():
-                # More than once: a hit here, if in one document only then perhaps in vain; one entry tells the others.
+                # In several documents: hits here at once; one entry tells the others.
                 blocks = np.bitwise_or.reduceat(marked, begins)[~alone]
                 entry = np.concatenate([entry, blocks])
                 owner = np.concatenate([owner, ids[doc[begins[~alone]]]])
@@ -82,7 +87,7 @@ def anchors(docs: DataFrame, block: int) -> DataFrame:
                 hit_doc, hit = hit_doc[by_doc], hit[by_doc]
                 first, _ = runs(hit_doc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[hit_doc[first]] % buckets), pa.nulls(len(first), pa.binary()), pa.nulls(len(first), pa.binary()), pa.nulls(len(first), pa.binary()), pa.array(ids[hit_doc[first]], pa.int64()), binaries(hit, np.append(first, len(hit)))],
+                    [pa.array(ids[hit_doc[first]] % buckets), pa.nulls(len(first), pa.binary()), pa.nulls(len(first), pa.binary()), pa.nulls(len(first), pa.binary()), pa.array(ids[hit_doc[first]], pa.int64()), binaries(short(hit), np.append(first, len(hit)))],
                     ["bucket", "entry", "owner", "known", "doc_id", "anchors"],
                 )
             # In the order of the owners, which then take little room; of the code 48 bits besides its bucket, as more hits than true ones do no harm.
@@ -105,7 +110,7 @@ def anchors(docs: DataFrame, block: int) -> DataFrame:
         by_owner = np.argsort(owner, kind="stable")
         entry, owner = entry[by_owner], owner[by_owner]
         first, _ = runs(owner)
-        here = pa.table({"doc_id": owner[first], "anchors": binaries(entry, np.append(first, len(owner)))})
+        here = pa.table({"doc_id": owner[first], "anchors": binaries(short(entry), np.append(first, len(owner)))})
         return pa.concat_tables([here, table.filter(table["doc_id"].is_valid()).select(["doc_id", "anchors"])])
 
     sent = docs.filter("doc_id IS NOT NULL").mapInArrow(deal, "bucket bigint, entry binary, owner binary, known binary, doc_id bigint, anchors binary")
@@ -152,70 +157,70 @@ def removed_spans(docs: DataFrame, block: int = 7, window: int = 13, digest: boo
         for part in slices(batches):
             words = Words(part["text"])
             words.block_windows = words.windows(block)
-            data = words.data.tobytes()
-            at, one = words.windows(window)
-            _, two = words.windows(window, second=True)
-            firsts, ids = np.searchsorted(at, words.first), part["doc_id"].to_pylist()
+            data, ids = words.data.tobytes(), part["doc_id"].to_pylist()
             # A name for the slice from what it holds; two slices of one name would only be finished together.
             number = int.from_bytes(hashlib.blake2b(repr((ids, len(data))).encode(), digest_size=8).digest(), "little", signed=True)
-            own, owners, opened = [], [], np.zeros(part.num_rows, bool)
-            for i, lists in enumerate(part["anchors"].to_pylist()):
-                starts = anchored_windows(words, i, np.frombuffer(b"".join(lists), "<u8"), block, window) if lists else np.zeros(0, np.int64)
-                if len(starts):
-                    opened[i] = True
-                    own.append(firsts[i] + starts)
-                    owners.append(np.full(len(starts), ids[i], np.int64))
-            done = np.flatnonzero(~opened)
-            blank = [pa.nulls(part.num_rows, k) for k in (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())]
-            texts = [kept(_cut(words, i, np.zeros(words.count[i], bool), data)) if not opened[i] else None for i in range(part.num_rows)]
+            hits = [b"".join(x) if x else None for x in part["anchors"].to_pylist()]
+            opened = [h is not None and len(anchored_windows(words, i, long(np.frombuffer(h, "u1")), block, window)) > 0 for i, h in enumerate(hits)]
+            done = [None if o else kept(_cut(words, i, np.zeros(words.count[i], bool), data)) for i, o in enumerate(opened)]
+            texts = [t if o else None for t, o in zip(part["text"].to_pylist(), opened, strict=True)]
+            hits = [h if o else None for h, o in zip(hits, opened, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(part.num_rows, number)), part["doc_id"], pa.array(opened), pa.array([t if o else None for t, o in zip(part["text"].to_pylist(), opened, strict=True)], pa.string()), pa.array(words.count, pa.int64()), pa.array(texts, pa.string()), *blank],
-                ["slice", "doc_id", "open", "text", "n_words", "kept", "bucket", "one", "two", "least", "several"],
+                [pa.array(np.full(part.num_rows, number)), part["doc_id"], pa.array(opened, pa.bool_()), pa.array(texts, pa.string()), pa.array(words.count, pa.int64()), pa.array(done, pa.string()), pa.array(hits, pa.binary())],
+                ["slice", "doc_id", "open", "text", "n_words", "kept", "anchors"],
             )
-            if len(done) < part.num_rows:
-                # One entry for each distinct window of the slice: its least document, and whether there are several.
-                own, owners = np.concatenate(own), np.concatenate(owners)
+
+    stage = docs.join(by_doc, "doc_id", "left").mapInArrow(candidates, "slice bigint, doc_id bigint, open boolean, text string, n_words bigint, kept string, anchors binary")
+    stage = written(stage.coalesce(parts_for(docs.count(), TABLE_ROWS)))
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each distinct window around an anchor in a slice its least and greatest document."""
+        for part in slices(batches):
+            begins, lengths = runs(part["slice"].to_numpy())
+            for begin, length in zip(begins.tolist(), lengths.tolist(), strict=True):
+                rows = part.slice(begin, length)
+                words = Words(rows["text"])
+                words.block_windows = words.windows(block)
+                at, one = words.windows(window)
+                two = words.windows(window, second=True)[1].astype("<u4")
+                firsts, ids = np.searchsorted(at, words.first), rows["doc_id"].to_numpy()
+                own = [firsts[i] + anchored_windows(words, i, long(np.frombuffer(h, "u1")), block, window) for i, h in enumerate(rows["anchors"].to_pylist())]
+                owners = np.repeat(ids, [len(x) for x in own])
+                own = np.concatenate(own)
                 order = np.lexsort((owners, two[own], one[own]))
                 a, b, owners = one[own][order], two[own][order], owners[order]
                 new = np.ones(len(a), bool)
                 new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-                begins = np.flatnonzero(new)
-                several = owners[np.append(begins[1:], len(a)) - 1] != owners[begins]
-                sent = packets(((a[begins] >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64), {"one": a[begins], "two": b[begins], "least": owners[begins], "several": several.astype(np.uint8)})
-                n = sent.num_rows
-                blank = [pa.nulls(n, k) for k in (pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.string())]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, number)), *blank, *sent.columns], ["slice", "doc_id", "open", "text", "n_words", "kept", *sent.schema.names])
-
-    stage = docs.join(by_doc, "doc_id", "left").mapInArrow(
-        candidates, "slice bigint, doc_id bigint, open boolean, text string, n_words bigint, kept string, bucket bigint, one binary, two binary, least binary, several binary"
-    )
-    stage = written(stage.coalesce(parts_for(docs.count(), TABLE_ROWS)))
+                starts = np.flatnonzero(new)
+                a, b, least, most = a[starts], b[starts], owners[starts], owners[np.append(starts[1:], len(owners)) - 1]
+                order = np.lexsort((most, least))  # equal numbers side by side take little room
+                a, b, least, most = a[order], b[order], least[order], most[order]
+                sent = packets(((a >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64), {"one": a, "two": b, "least": least, "most": most})
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(sent.num_rows, rows["slice"][0].as_py())), *sent.columns], ["slice", *sent.schema.names])
 
     def meet(table: pa.Table) -> pa.Table:
-        a, b, least, several = raw(table["one"], "<u8"), raw(table["two"], "<u8"), raw(table["least"], "<i8"), raw(table["several"], "u1")
-        counts = [len(v) // 8 for v in table["one"].to_pylist()]
-        origin = np.repeat(table["slice"].to_numpy(), counts)
+        """To each slice the windows of which it has other documents than the least of all, and that one."""
+        a, b, least, most = raw(table["one"], "<u8"), raw(table["two"], "<u4"), raw(table["least"], "<i8"), raw(table["most"], "<i8")
+        origin = np.repeat(table["slice"].to_numpy(), [len(v) // 8 for v in table["one"].to_pylist()])
         order = np.lexsort((least, b, a))
-        a, b, least, several, origin = a[order], b[order], least[order], several[order], origin[order]
+        a, b, least, most, origin = a[order], b[order], least[order], most[order], origin[order]
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         begins = np.flatnonzero(new)
-        lengths = np.diff(np.append(begins, len(a)))
-        # Of windows that no other document has, nothing is said.
-        tell = np.repeat(lengths > 1, lengths) | (several > 0)
-        first = np.repeat(least[begins], lengths)[tell]
-        a, b, origin = a[tell], b[tell], origin[tell]
-        order = np.argsort(origin, kind="stable")
+        first = np.repeat(least[begins], np.diff(np.append(begins, len(a))))
+        tell = most > first
+        first, a, b, origin = first[tell], a[tell], b[tell], origin[tell]
+        order = np.lexsort((first, origin))
         first, a, b, origin = first[order], a[order], b[order], origin[order]
         begins, _ = runs(origin)
         bounds = np.append(begins, len(origin))
         return pa.table({"slice": origin[begins], "one": binaries(a, bounds), "two": binaries(b, bounds), "least": binaries(first, bounds)})
 
-    sent = stage.filter("bucket IS NOT NULL").select("bucket", "slice", "one", "two", "least", "several")
+    sent = stage.filter("open").select("slice", "doc_id", "text", "anchors").mapInArrow(send, "slice bigint, bucket bigint, one binary, two binary, least binary, most binary")
     replies = sent.groupBy("bucket").applyInArrow(meet, "slice bigint, one binary, two binary, least binary")
 
     def finish(texts: pa.Table, told: pa.Table) -> pa.Table:
-        one, two, least = raw(told["one"], "<u8"), raw(told["two"], "<u8"), raw(told["least"], "<i8")
+        one, two, least = raw(told["one"], "<u8"), raw(told["two"], "<u4"), raw(told["least"], "<i8")
         order = np.lexsort((two, one))
         one, two, least = one[order], two[order], least[order]
         # A pair of codes is looked up by its rank among the first ones and the second below it.
@@ -224,7 +229,7 @@ def removed_spans(docs: DataFrame, block: int = 7, window: int = 13, digest: boo
             words = Words(part["text"])
             data = words.data.tobytes()
             at, a = words.windows(window)
-            _, b = words.windows(window, second=True)
+            b = words.windows(window, second=True)[1].astype("<u4")
             place = np.searchsorted(one, a)
             hit = np.zeros(len(a), bool)
             owner = part["doc_id"].to_numpy()[words.doc[at]]
