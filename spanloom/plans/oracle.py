@@ -217,8 +217,8 @@ SQL["chunk_spans"] = "WITH " + chunked(CHUNK_LEN, RULE_PAIRS) + (
 SQL["chunk_rejects"] = "WITH " + chunked(SHORT_CHUNK, RULE_PAIRS) + (
     "SELECT doc_id, prompt, 'span longer than a chunk' AS reason FROM full_rows WHERE too_long"
 )
-SQL["chunk_lenient"] = "WITH " + chunked(64, [("email", PATTERNS["email"])], lenient=True) + (
-    "SELECT doc_id, no::BIGINT AS chunk_no, cs AS chunk_start, md5(content) AS content_md5, "
+SQL["chunk_lenient"] = "WITH " + chunked(64, RULE_PAIRS, lenient=True) + (
+    "SELECT doc_id, prompt, no::BIGINT AS chunk_no, cs AS chunk_start, md5(content) AS content_md5, "
     "array_to_string(list_transform(inside, lambda x: (x.a - cs) || ':' || (x.b - cs) || ':' || x.t), '|') AS result, n_long::BIGINT AS n_dropped FROM pieces"
 )
 SQL["token_align"] = "WITH " + chunked(CHUNK_LEN, RULE_PAIRS) + (
@@ -490,7 +490,7 @@ SQL["label_rejects"] = (
     "FROM lab WHERE list_has_any(names, ['de', 'es'])"
 )
 _RAW_ROWS = (
-    f"raw_rows AS (SELECT CASE WHEN doc_id % 5 = 0 THEN substr(text, 1, 2) ELSE text END AS a, CASE WHEN doc_id % 7 = 0 THEN 1 ELSE {len(LABELS)} END AS n, "
+    f"raw_rows AS (SELECT CASE WHEN doc_id % 5 = 0 THEN 'no' ELSE text END AS a, CASE WHEN doc_id % 7 = 0 THEN 1 ELSE {len(LABELS)} END AS n, "
     "CASE WHEN doc_id % 2 = 0 THEN [doc_id % 3, 5] ELSE [1] END AS l FROM documents)"
 )
 SQL["label_filter_stats"] = (
@@ -502,7 +502,7 @@ SQL["multi_hot"] = (
 )
 SQL["inference_rows"] = f"SELECT doc_id, md5(text) AS a_md5, '' AS text_b, {quote(','.join(LABELS))} AS choices FROM documents"
 _LOGITS = (
-    f"lg AS (SELECT vec_id, list_transform(embedding[1:{N_DIMS}], lambda x: x::DOUBLE * 8) AS x, "
+    f"lg AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * 8) AS x, "
     f"list_transform(range({N_DIMS}), lambda i: CASE WHEN (vec_id + i * label) % 3 = 0 THEN 1 ELSE 0 END) AS y FROM embeddings), "
     "cell AS (SELECT vec_id, unnest(x) AS x, unnest(y) AS y, generate_subscripts(x, 1) - 1 AS i FROM lg), "
     "dec AS (SELECT *, 1 / (1 + exp(-x)) AS p, CASE WHEN 1 / (1 + exp(-x)) > 0.5 THEN 1 ELSE 0 END AS h FROM cell)"

@@ -42,7 +42,7 @@ STRATEGY_THRESHOLD = 0.5
 CHUNK_LEN = 512
 BUDGET = 400
 LABELS = ["quality", "toxic", "en", "fr", "de", "es"]
-N_DIMS = 8
+N_DIMS = 64  # all of an embedding
 SHORT_CHUNK = 24
 
 
@@ -236,10 +236,10 @@ def chunk_rejects(spark, folder):
 
 
 def chunk_lenient(spark, folder):
-    found = _chunks(spark, folder, strict=False, max_seq_len=64).where("prompt = 'email'")
+    found = _chunks(spark, folder, strict=False, max_seq_len=64)
     return wide_ints(
         validate.accepted(found).select(
-            "doc_id", "chunk_no", "chunk_start", digest(F.col("content")).alias("content_md5"),
+            "doc_id", "prompt", "chunk_no", "chunk_start", digest(F.col("content")).alias("content_md5"),
             show_spans(F.col("result_list"), "start", "end", "text").alias("result"), F.size("dropped_spans").alias("n_dropped"),
         )
     )
@@ -542,7 +542,7 @@ def label_rejects(spark, folder):
 
 def _raw_label_rows(spark, folder):
     return table(spark, folder, "documents").select(
-        F.left("text", F.when(F.col("doc_id") % 5 == 0, F.lit(2)).otherwise(F.length("text"))).alias("text_a"),
+        F.when(F.col("doc_id") % 5 == 0, F.lit("no")).otherwise(F.col("text")).alias("text_a"),  # every fifth is planted: too short
         F.lit("").alias("question"),
         F.when(F.col("doc_id") % 7 == 0, F.array(F.lit("one"))).otherwise(str_array(LABELS)).alias("choices"),
         F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("["), (F.col("doc_id") % 3).cast("string"), F.lit(", 5]"))).otherwise(F.lit("1")).alias("labels"),
@@ -566,7 +566,7 @@ def inference_rows(spark, folder):
 
 def _logits(spark, folder):
     df = table(spark, folder, "embeddings")
-    logits = F.transform(F.slice("embedding", 1, N_DIMS), lambda x: x.cast("double") * 8)
+    logits = F.transform("embedding", lambda x: x.cast("double") * 8)
     truth = F.transform(F.sequence(F.lit(0), F.lit(N_DIMS - 1)), lambda i: F.when((F.col("vec_id") + i * F.col("label")) % 3 == 0, F.lit(1)).otherwise(F.lit(0)))
     return df.select("vec_id", logits.alias("logits"), truth.alias("labels"))
 
