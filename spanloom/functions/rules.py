@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -15,13 +16,28 @@ from .common import let
 
 @dataclass(frozen=True)
 class Rule:
-    """Try ``first``; if it finds nothing try ``second``; if that finds nothing use the default span."""
+    """Try ``first``; if it finds nothing try ``second``; if that finds nothing use the default span.
+
+    A pattern must not match the empty string, as offsets are counted between matches.
+    """
 
     first: str
     second: str | None = None
     only_first_match: bool = False
     default_text: str | None = None
 
+    def __post_init__(self) -> None:
+        for pattern in (self.first, self.second):
+            if pattern is not None and _matches_nothing(pattern):
+                raise ValueError(f"The pattern {pattern!r} matches the empty string.")
+
+
+def _matches_nothing(pattern: str) -> bool:
+    try:
+        return re.match(pattern, "") is not None
+    except re.error:  # a form that only the engine knows
+        return False
+
 
 # Trigger phrases of the three rule families. "[^\n]" stands for any character but a line break.
 _MARKS = ["%", "分之", "％", "/"]
@@ -61,23 +77,23 @@ def pieces_between(text: Column, pattern: str, limit: int = -1) -> Column:
     )
 
 
+#: Matches that are folded one after the other.
+GROUP = 256
+
+
 def find_all(text: Column, pattern: str) -> Column:
     """All matches as ``ARRAY<STRUCT<start, end, text>>``; the pattern must not match the empty string.
 
     A match starts after the pieces and matches in front of it, so offsets are running sums of lengths
-    and count code points.
+    and count code points. They are summed within groups of matches and then over the groups, because
+    appending copies an array each time.
     """
+    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
 
-    def spans(found: Column) -> Column:
-        with_gap = F.zip_with(
-            F.slice(found["gaps"], 1, F.size(found["hits"])),
-            found["hits"],
-            lambda g, h: F.struct(F.length(g).alias("gap"), h.alias("text"), F.length(h).alias("len")),
-        )
-        state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("out"))
+    def fold(group: Column) -> Column:
         return F.aggregate(
-            with_gap,
-            state,
+            group,
+            F.struct(F.lit(0).alias("at"), none.alias("out")),
             lambda s, x: F.struct(
                 (s["at"] + x["gap"] + x["len"]).alias("at"),
                 F.array_append(
@@ -89,13 +105,30 @@ def find_all(text: Column, pattern: str) -> Column:
                     ),
                 ).alias("out"),
             ),
-            lambda s: s["out"],
         )
 
+    def grouped(matches: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / GROUP).cast("int"))
+        return let(F.transform(numbers, lambda n: fold(F.slice(matches, n * GROUP + 1, GROUP))), placed)
+
+    def placed(groups: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        bases = F.aggregate(groups, start, lambda s, g: F.struct((s["at"] + g["at"]).alias("at"), F.array_append(s["out"], s["at"]).alias("out")), lambda s: s["out"])
+        moved = lambda g, b: F.transform(g["out"], lambda x: F.struct((x["start"] + b).alias("start"), (x["end"] + b).alias("end"), x["text"].alias("text")))
+        return F.flatten(F.zip_with(groups, bases, moved))
+
+    def spans(found: Column) -> Column:
+        with_gap = F.zip_with(
+            F.slice(found["gaps"], 1, F.size(found["hits"])),
+            found["hits"],
+            lambda g, h: F.struct(F.length(g).alias("gap"), h.alias("text"), F.length(h).alias("len")),
+        )
+        return let(with_gap, grouped)
+
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return let(
         hits,
-        lambda h: F.when(F.size(h) == 0, F.array().cast("array<struct<start:int,end:int,text:string>>")).otherwise(
+        lambda h: F.when(F.size(h) == 0, none).otherwise(
             let(F.struct(h.alias("hits"), pieces_between(text, pattern).alias("gaps")), spans)
         ),
     )

@@ -18,14 +18,31 @@ WINDOWS = "array<struct<start:int,end:int>>"
 
 
 def greedy_distinct(spans: Column, threshold: float = 0.0) -> Column:
-    """In order, keep a span above the threshold whose start and end no kept span has."""
-    candidates = F.filter(spans, lambda s: s["probability"] > threshold)
+    """In order, keep a span above the threshold whose start and end no kept span has.
 
-    def step(kept: Column, s: Column) -> Column:
-        taken = F.exists(kept, lambda k: (k["start"] == s["start"]) | (k["end"] == s["end"]))
-        return F.when(taken, kept).otherwise(F.array_append(kept, s))
+    A span whose start and end no other has is kept at once; only the others are gone through in order.
+    """
+    numbered = F.transform(F.filter(spans, lambda s: s["probability"] > threshold).cast(SPANS), lambda s, i: F.struct(i.alias("i"), s.alias("s")))
+
+    def twice(all_of: Column, field: str) -> Column:
+        """The values that occur more than once."""
+        values = F.array_sort(F.transform(all_of, lambda x: x["s"][field]))
+        return let(values, lambda v: F.array_distinct(F.filter(v, lambda x, i: (i > 0) & (x == F.get(v, i - 1)))))
+
+    def step(kept: Column, x: Column) -> Column:
+        taken = F.exists(kept, lambda k: (k["s"]["start"] == x["s"]["start"]) | (k["s"]["end"] == x["s"]["end"]))
+        return F.when(taken, kept).otherwise(F.array_append(kept, x))
+
+    def split(c: Column) -> Column:
+        shared = lambda x: F.array_contains(c["starts"], x["s"]["start"]) | F.array_contains(c["ends"], x["s"]["end"])
+        free = F.filter(c["all"], lambda x: ~shared(x))
+        kept = F.aggregate(F.filter(c["all"], shared), F.filter(c["all"], lambda x: F.lit(False)), step)
+        return F.transform(F.array_sort(F.concat(free, kept)), lambda x: x["s"])
+
+    def looked(all_of: Column) -> Column:
+        return let(F.struct(all_of.alias("all"), twice(all_of, "start").alias("starts"), twice(all_of, "end").alias("ends")), split)
 
-    return F.aggregate(candidates.cast(SPANS), F.array().cast(SPANS), step)
+    return let(numbered, looked)
 
 
 def span_windows(spans: Column, width: Column, limit: Column, ordered: bool = True) -> Column:

@@ -195,3 +195,28 @@ def test_rules_only_where_model_is_silent(spark):
 
 def test_entity_defaults():
     assert len(ENTITY_TYPES) == 6
+
+
+def test_many_matches_in_one_text(spark):
+    """Time grows with the matches, not with their square."""
+    import time
+
+    from spanloom.functions.rules import Rule, find_all
+    from spanloom.operators.shrink import greedy_distinct
+
+    n = 32_000
+    text = "".join(f"x{i % 10}y" for i in range(n))
+    df = spark.createDataFrame([(text,), ("none",), ("a1",)], "t string").repartition(1).cache()
+    df.count()
+    began = time.time()
+    found = df.select("t", find_all(F.col("t"), "[0-9]").alias("s")).collect()
+    assert time.time() - began < 20
+    spans = max((r.s for r in found), key=len)
+    assert [(s.start, s.end, s.text) for s in spans] == [(3 * i + 1, 3 * i + 2, str(i % 10)) for i in range(n)]
+    assert [[(s.start, s.text) for s in r.s] for r in found if len(r.t) < 9] == [[], [(1, "1")]]
+    spread = F.transform(F.sequence(F.lit(0), F.lit(8000)), lambda i: F.struct(F.lit("e").alias("entity"), i.alias("ord"), (i * 2).alias("start"), (i * 2 + 1).alias("end"), F.lit("t").alias("text"), F.lit(0.9).alias("probability")))
+    began = time.time()
+    assert spark.range(1).select(F.size(greedy_distinct(spread)).alias("n")).first().n == 8001
+    assert time.time() - began < 20
+    with pytest.raises(ValueError, match="empty string"):
+        Rule(first="[0-9]*")
