@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import binaries, id_and_text, packets, parts_for, raw, runs, slices, written
-from .words import U64, Words
+from .words import U64, Words, mix
 
 #: Words of text per exchange bucket; buckets grow in number with the data.
 BUCKET_BYTES = 8_000_000
+#: Documents whose hits come back together.
+GROUP_DOCS = 5000
 #: Documents of one file of the written tables.
 TABLE_ROWS = 10_000
 
@@ -50,10 +52,14 @@ def long(data: np.ndarray) -> np.ndarray:
 def anchors(docs: DataFrame, block: int) -> DataFrame:
     """``doc_id, anchors``: fingerprints of each document's windows of ``block`` words that hit a block of another document.
 
-    A document may have several rows. More than the true hits may come, never fewer.
+    A row for each document with hits. More than the true hits may come, never fewer.
     """
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = parts_for(size, BUCKET_BYTES, 4)
+    size, n_docs = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    buckets, groups = parts_for(size or 0, BUCKET_BYTES, 4), parts_for(n_docs, GROUP_DOCS)
+
+    def group_of(owners: np.ndarray) -> np.ndarray:
+        """Hits come back to groups of documents, packed, and not as a row for each document and bucket."""
+        return ((mix(owners.astype("<i8").view(U64)) >> U64(32)) * U64(groups) >> U64(32)).astype(np.int64)
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -84,19 +90,17 @@ def anchors(docs: DataFrame, block: int) -> DataFrame:
                 again = np.repeat(~alone, lengths)
                 hit_doc, hit = doc[again], (marked[again] & SHORT) >> U64(1)
                 by_doc = np.argsort(hit_doc, kind="stable")
-                hit_doc, hit = hit_doc[by_doc], hit[by_doc]
-                first, _ = runs(hit_doc)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[hit_doc[first]] % buckets), pa.nulls(len(first), pa.binary()), pa.nulls(len(first), pa.binary()), pa.nulls(len(first), pa.binary()), pa.array(ids[hit_doc[first]], pa.int64()), binaries(short(hit), np.append(first, len(hit)))],
-                    ["bucket", "entry", "owner", "known", "doc_id", "anchors"],
-                )
+                found = ids[hit_doc[by_doc]].astype(np.int64)
+                told = packets(group_of(found), {"doc_id": found, "anchors": short(hit[by_doc])})
+                blank = [pa.nulls(told.num_rows, pa.binary())] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(told["bucket"].to_numpy() % buckets), *blank, *told.columns], ["bucket", "entry", "owner", "known", "doc_group", "doc_id", "anchors"])
             # In the order of the owners, which then take little room; of the code 48 bits besides its bucket, as more hits than true ones do no harm.
             order = np.argsort(owner, kind="stable")
             entry, owner, known = entry[order], owner[order], known[order]
             bucket = ((entry >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
             sent = packets(bucket, {"entry": short(entry), "owner": owner.astype(np.int64), "known": known})
             n = sent.num_rows
-            yield pa.RecordBatch.from_arrays([*sent.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], [*sent.schema.names, "doc_id", "anchors"])
+            yield pa.RecordBatch.from_arrays([*sent.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], [*sent.schema.names, "doc_group", "doc_id", "anchors"])
 
     def meet(table: pa.Table) -> pa.Table:
         entry, owner, known = long(raw(table["entry"], "u1")), raw(table["owner"], "<i8"), raw(table["known"], "i1")
@@ -109,12 +113,20 @@ def anchors(docs: DataFrame, block: int) -> DataFrame:
             entry, owner = entry[chosen] >> U64(1), owner[chosen]
         by_owner = np.argsort(owner, kind="stable")
         entry, owner = entry[by_owner], owner[by_owner]
+        here = packets(group_of(owner), {"doc_id": owner, "anchors": short(entry)})
+        here = pa.Table.from_batches([here]).rename_columns(["doc_group", "doc_id", "anchors"])
+        return pa.concat_tables([here, table.filter(table["doc_group"].is_valid()).select(["doc_group", "doc_id", "anchors"])])
+
+    def gather(table: pa.Table) -> pa.Table:
+        owner, hits = raw(table["doc_id"], "<i8"), raw(table["anchors"], "V6")
+        order = np.argsort(owner, kind="stable")
+        owner, hits = owner[order], hits[order]
         first, _ = runs(owner)
-        here = pa.table({"doc_id": owner[first], "anchors": binaries(short(entry), np.append(first, len(owner)))})
-        return pa.concat_tables([here, table.filter(table["doc_id"].is_valid()).select(["doc_id", "anchors"])])
+        return pa.table({"doc_id": owner[first], "anchors": binaries(hits, np.append(first, len(owner)))})
 
-    sent = docs.filter("doc_id IS NOT NULL").mapInArrow(deal, "bucket bigint, entry binary, owner binary, known binary, doc_id bigint, anchors binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "doc_id bigint, anchors binary")
+    sent = docs.filter("doc_id IS NOT NULL").mapInArrow(deal, "bucket bigint, entry binary, owner binary, known binary, doc_group bigint, doc_id binary, anchors binary")
+    met = sent.groupBy("bucket").applyInArrow(meet, "doc_group bigint, doc_id binary, anchors binary")
+    return met.groupBy("doc_group").applyInArrow(gather, "doc_id bigint, anchors binary")
 
 
 def anchored_windows(words: Words, row: int, anchors: np.ndarray, block: int, window: int) -> np.ndarray:
@@ -145,8 +157,7 @@ def removed_spans(docs: DataFrame, block: int = 7, window: int = 13, digest: boo
     docs = id_and_text(docs, id_col, text_col)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = parts_for(size, 4 * BUCKET_BYTES, 4)
-    found = written(anchors(docs, block))
-    by_doc = found.groupBy("doc_id").agg(F.collect_list("anchors").alias("anchors"))
+    by_doc = written(anchors(docs, block))
     result = ["doc_id", "n_words", "n_removed", "kept", "removed"]
     spans = pa.list_(pa.list_(pa.int64()))
 
@@ -160,7 +171,7 @@ def removed_spans(docs: DataFrame, block: int = 7, window: int = 13, digest: boo
             data, ids = words.data.tobytes(), part["doc_id"].to_pylist()
             # A name for the slice from what it holds; two slices of one name would only be finished together.
             number = int.from_bytes(hashlib.blake2b(repr((ids, len(data))).encode(), digest_size=8).digest(), "little", signed=True)
-            hits = [b"".join(x) if x else None for x in part["anchors"].to_pylist()]
+            hits = part["anchors"].to_pylist()
             opened = [h is not None and len(anchored_windows(words, i, long(np.frombuffer(h, "u1")), block, window)) > 0 for i, h in enumerate(hits)]
             done = [None if o else kept(_cut(words, i, np.zeros(words.count[i], bool), data)) for i, o in enumerate(opened)]
             texts = [t if o else None for t, o in zip(part["text"].to_pylist(), opened, strict=True)]
