@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..session import durable
 
 #: Text bytes that one step of vectorised work takes at once; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
