@@ -2,9 +2,10 @@
 
 Numbers, their units and names within a sentence become typed placeholders, case and punctuation go. A document's
 windows of placeholders and words are joined by hash with those of the benchmark; around a hit the two are aligned
-and the longest run of equal template words counts. Slots of a run must be filled consistently: one value of the
-benchmark stands for one value of the document and the other way round. So a question with other numbers and
-names is found, and a chance template is not.
+and the longest run of fitting words counts whose slots are filled consistently: one value of the benchmark stands
+for one value of the document and the other way round (the latter only if fewer than half of the words are the same).
+A clash of two slots ends a run, and the words behind the earlier of them begin the next. So a question with other
+numbers and names is found, and a chance template is not.
 
 Benchmark windows begin at every word, document windows only at every ``width``-th: a run of ``2 width - 1`` words
 holds one of them wherever it begins.
@@ -71,26 +72,84 @@ def windows(words: Column, width: int, step: int) -> Column:
     return F.transform(at, lambda i: F.struct((i * step).alias("at"), F.xxhash64(F.slice(words, i * step + 1, width)).alias("code")))
 
 
-def _aligned(doc: Column, item: Column, doc_values: Column, item_values: Column, shift: Column) -> Column:
-    """The longest run of equal template words: ``struct<length, consistent, verbatim>``."""
+def _value(word: Column) -> Column:
+    """The word without the mark of a name, so that a name equals its copy in another case."""
+    return F.replace(word, F.lit(_MARK + "p"), F.lit(""))
+
+
+def _aligned(doc: Column, item: Column, shift: Column, need: Column) -> Column:
+    """The longest accepted run of fitting words: ``struct<length, verbatim>``, of length 0 if none has ``need`` words.
+
+    In a run one value of the item stands for one value of the document. It is accepted if the other way round holds
+    too, or if at least half of some ``need`` words in a row are the same on both sides. Behind a clash the run goes on
+    from the word after the earlier of the two slots, so the longest run without a clash is found. A changed slot that
+    clashes with one outside the run is no evidence and not counted.
+    """
     low, high = F.greatest(F.lit(0), -shift), F.least(F.size(item), F.size(doc) - shift)
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"), F.lit(0).alias("end"))
+    places = F.when(high > low, F.sequence(low, high - 1)).otherwise(F.array().cast("array<int>"))
+
+    def pair(i: Column) -> Column:
+        def judged(w: Column) -> Column:
+            same = _value(w["a"]) == _value(w["b"])
+            slot = F.lit(False)
+            for kind in "nup":
+                slot = slot | (F.startswith(w["a"], F.lit(_MARK + kind)) & F.startswith(w["b"], F.lit(_MARK + kind)))
+            return F.struct(_value(w["a"]).alias("a"), _value(w["b"]).alias("b"), same.alias("same"), slot.alias("slot"), (same | slot).alias("fits"))
+
+        return let(F.struct(F.get(item, i).alias("a"), F.get(doc, i + shift).alias("b")), judged)
+
+    def bounds(pairs: Column) -> Column:
+        gaps = F.filter(F.transform(pairs, lambda p, i: F.when(~p["fits"], i)), lambda i: i.isNotNull())
+        slots = F.filter(F.transform(pairs, lambda p, i: F.struct(p["a"].alias("a"), p["b"].alias("b"), p["same"].alias("same"), p["slot"].alias("slot"), i.alias("i"))), lambda p: p["slot"])
+        slots = F.transform(slots, lambda p: p.withField("part", F.size(F.filter(gaps, lambda g: g < p["i"]))))
+
+        def marked_pairs(slots: Column) -> Column:
+            def bound(p: Column, i: Column) -> Column:
+                def last(clash) -> Column:
+                    return F.coalesce(F.array_max(F.transform(F.filter(slots, lambda q: (q["i"] < i) & clash(q)), lambda q: q["i"])), F.lit(-1))
+
+                one = F.when(~p["fits"], i).when(p["slot"], last(lambda q: (q["a"] == p["a"]) & (q["b"] != p["b"]))).otherwise(-1)
+                both = F.when(~p["fits"], i).when(p["slot"], last(lambda q: (q["a"] != p["a"]) & (q["b"] == p["b"]))).otherwise(-1)
+                return F.struct(one.alias("one"), F.greatest(one, both).alias("both"), p["same"].alias("same"), i.alias("i"))
+
+            def astray(clash) -> Column:
+                found = F.filter(slots, lambda p: ~p["same"] & F.exists(slots, lambda q: (q["part"] == p["part"]) & clash(p, q)))
+                return F.transform(found, lambda p: p["i"])
+
+            one = astray(lambda p, q: (q["a"] == p["a"]) & (q["b"] != p["b"]))
+            both = astray(lambda p, q: (q["a"] == p["a"]) != (q["b"] == p["b"]))
+            return F.struct(F.transform(pairs, bound).alias("marks"), one.alias("one"), both.alias("both"))
+
+        return let(slots, marked_pairs)
+
+    def longest(known: Column) -> Column:
+        marks, zero = known["marks"], F.lit(0)
+        start = F.struct(zero.alias("one"), zero.alias("both"), zero.alias("same"), zero.alias("length"), F.lit(False).alias("verbatim"))
+
+        def counted(m: Column, first: Column, astray: Column) -> Column:
+            n = m["i"] + 1 - first
+            return F.when(n >= need, n - F.size(F.filter(astray, lambda i: (i >= first) & (i <= m["i"])))).otherwise(0)
+
+        def step(state: Column, m: Column) -> Column:
+            one, both = F.greatest(state["one"], m["one"] + 1), F.greatest(state["both"], m["both"] + 1)
+            same = F.when(m["same"], state["same"]).otherwise(m["i"] + 1)
+            strict, loose = counted(m, both, known["both"]), counted(m, one, known["one"])
+            carried = 2 * F.size(F.filter(F.slice(marks, F.greatest(m["i"] + 2 - need, F.lit(1)), need), lambda q: q["same"])) >= need
+            run = F.when((loose > strict) & (loose > state["length"]) & (loose >= need) & carried, F.struct(loose.alias("n"), one.alias("first")))
+            run = run.otherwise(F.struct(F.when(strict >= need, strict).otherwise(0).alias("n"), both.alias("first")))
 
-    def step(state: Column, i: Column) -> Column:
-        now = F.when(F.get(doc, i + shift) == F.get(item, i), state["now"] + 1).otherwise(0)
-        longer = now > state["best"]
-        return F.struct(now.alias("now"), F.when(longer, now).otherwise(state["best"]).alias("best"), F.when(longer, i + 1).otherwise(state["end"]).alias("end"))
+            def following(run: Column) -> Column:
+                longer = run["n"] > state["length"]
+                return F.struct(
+                    one.alias("one"), both.alias("both"), same.alias("same"), F.when(longer, run["n"]).otherwise(state["length"]).alias("length"),
+                    F.when(longer, same <= run["first"]).otherwise(state["verbatim"]).alias("verbatim"),
+                )
 
-    run = F.aggregate(F.when(high > low, F.sequence(low, high - 1)).otherwise(F.array().cast("array<int>")), start, step)
+            return let(run, following)
 
-    def judged(r: Column) -> Column:
-        at = F.when(r["best"] > 0, F.sequence(r["end"] - r["best"], r["end"] - 1)).otherwise(F.array().cast("array<int>"))
-        slots = F.filter(at, lambda i: F.startswith(F.get(item, i), F.lit(_MARK)))
-        pairs = F.array_distinct(F.transform(slots, lambda i: F.struct(F.get(item_values, i).alias("a"), F.get(doc_values, i + shift).alias("b"))))
-        one = (F.size(F.array_distinct(F.transform(pairs, lambda p: p["a"]))) == F.size(pairs)) & (F.size(F.array_distinct(F.transform(pairs, lambda p: p["b"]))) == F.size(pairs))
-        return F.struct(r["best"].alias("length"), one.alias("consistent"), F.forall(pairs, lambda p: p["a"] == p["b"]).alias("verbatim"))
+        return F.aggregate(marks, start, step, lambda s: F.struct(s["length"].alias("length"), s["verbatim"].alias("verbatim")))
 
-    return let(run, judged)
+    return let(let(F.transform(places, pair), bounds), longest)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -101,7 +160,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _found(rows: DataFrame, benchmark: DataFrame, run: int, shortest: int, item_col: str, item_text: str) -> DataFrame:
     """``row_key, item_id, matched_words, verbatim`` of the rows with a leak, written."""
     items = benchmark.select(F.col(f"`{item_col}`").cast("bigint").alias("item_id"), F.coalesce(F.col(f"`{item_text}`"), F.lit("")).alias("t"))
-    items = items.select("item_id", surfaces(F.col("t")).alias("item_values"), templates(F.col("t")).alias("item"))
+    items = items.select("item_id", surfaces(F.col("t")).alias("item_words"), templates(F.col("t")).alias("item"))
     items = written(items.filter(F.size("item") >= shortest).distinct())
     least = items.agg(F.min(F.size("item"))).first()[0] or run
     width = (min(run, least) + 1) // 2
@@ -116,10 +175,11 @@ def _found(rows: DataFrame, benchmark: DataFrame, run: int, shortest: int, item_
     hits = written(hits.coalesce(parts))
 
     texts = rows.join(hits.select("row_key").distinct(), "row_key").select("row_key", "text").distinct()
-    texts = texts.select("row_key", surfaces(F.col("text")).alias("values"), templates(F.col("text")).alias("words"))
-    looked = hits.join(texts, "row_key").join(items, "item_id")
-    looked = looked.select("row_key", "item_id", F.size("item").alias("n"), _aligned(F.col("words"), F.col("item"), F.col("values"), F.col("item_values"), F.col("shift")).alias("found"))
-    found = looked.filter(F.col("found.consistent") & (F.col("found.length") >= F.least(F.lit(run), F.col("n"))))
+    texts = texts.select("row_key", surfaces(F.col("text")).alias("words"))
+    looked = hits.join(texts, "row_key").join(items.select("item_id", "item_words"), "item_id")
+    need = F.least(F.lit(run), F.size("item_words"))
+    looked = looked.select("row_key", "item_id", _aligned(F.col("words"), F.col("item_words"), F.col("shift"), need).alias("found"))
+    found = looked.filter(F.col("found.length") > 0)
     found = found.groupBy("row_key").agg(F.min("item_id").alias("item_id"), F.max("found.length").alias("matched_words"), F.bool_or("found.verbatim").alias("verbatim"))
     return written(found.coalesce(parts))
 

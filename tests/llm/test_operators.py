@@ -269,6 +269,23 @@ def test_slots_must_be_consistent(spark):
     assert got == {1: True, 2: False, 3: False}
 
 
+def leaked(spark, item, *texts):
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r["doc_id"]: (r["contaminated"], r["matched_words"], r["verbatim"]) for r in decontaminate.leaks(frame, items).collect()}
+
+
+def test_a_clash_of_slots_leaves_the_words_around_it(spark):
+    item = "the farmer left the yard at 5 in the morning with his two dogs and came back to the old house by the lake after 5 hours of work in there"
+    other = "the clerk wrote that 5 coins and then 7 coins lay in the drawer under the old desk by the door"
+    got = leaked(spark, item, item.replace("after 5", "after 6"), item.replace("at 5", "at 8").replace("after 5", "after 6"), "as we know " + item)
+    assert got == {0: (True, 25, True), 1: (True, 24, False), 2: (True, 31, True)}
+    got = leaked(spark, other, other.replace("5", "6").replace("7", "6"), other.replace("5", "6"), "1 2 3 4 5 6 7 8 9 10 11 12 13 14")
+    assert got == {0: (True, 21, False), 1: (True, 21, False), 2: (False, 0, False)}
+    # Slots alone: two values that become one are a chance.
+    assert leaked(spark, "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "21 21 23 24 25 21 27 28 29 21 31 32 33 34") == {0: (False, 0, False)}
+
+
 def test_sharding(spark, docs, none):
     rows = sharding.sharded(docs, 3).collect()
     assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == collections.Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in AWKWARD)
