@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
 Numbers, their units and names within a sentence become typed placeholders, case and punctuation go. A document's
-windows of placeholders and words are joined by hash with those of the benchmark; around a hit the two are aligned
+windows of placeholders and words are joined by hash with those of the benchmark, each name both as a placeholder and
+as its word, so a copy is found in any case and punctuation; around a hit the two are aligned
 and the longest run of fitting words counts whose slots are filled consistently: one value of the benchmark stands
 for one value of the document and the other way round (the latter only if fewer than half of the words are the same).
 A clash of two slots ends a run, and the words behind the earlier of them begin the next. So a question with other
@@ -28,6 +29,8 @@ from .common import parts_for, row_key, written
 RUN = 13
 #: Items of fewer words are left out.
 SHORTEST = 5
+#: Words of a window at most; it has up to 2 to this power codes, if all its words are names.
+WIDEST = 7
 #: Benchmark windows that are sent to every executor; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 #: Documents of one file of the written tables.
@@ -55,21 +58,48 @@ def marked(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.regexp_replace(numbers, _PUNCTUATION, "")), r"\s+", " "))
 
 
+def _split(words: Column) -> Column:
+    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
+
+
 def surfaces(text: Column) -> Column:
     """The words with their slots' values."""
-    return F.filter(F.split(marked(text), " "), lambda w: w != "")
+    return _split(marked(text))
 
 
 def templates(text: Column) -> Column:
-    """The words with slots as placeholders."""
-    return F.filter(F.split(F.regexp_replace(marked(text), r"\x01([nup])[^ ]*", _MARK + "$1"), " "), lambda w: w != "")
+    """``struct<plain, named>``: the words with numbers and units as placeholders, and with names as placeholders too."""
+
+    def both(m: Column) -> Column:
+        plain = F.regexp_replace(_value(m), r"(\x01[nu])[^ ]*", "$1")
+        return F.struct(_split(plain).alias("plain"), _split(F.regexp_replace(m, r"(\x01[nup])[^ ]*", "$1")).alias("named"))
+
+    return let(marked(text), both)
 
 
 def windows(words: Column, width: int, step: int) -> Column:
-    """``array<struct<at, code>>`` of the windows that begin at every ``step``-th word."""
-    last = F.floor((F.size(words) - width) / step).cast("int")
-    at = F.when(F.size(words) >= width, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.struct((i * step).alias("at"), F.xxhash64(F.slice(words, i * step + 1, width)).alias("code")))
+    """``array<struct<at, code>>`` of the windows that begin at every ``step``-th word.
+
+    A window has a code for each choice of names that stand as placeholders: whichever of two windows' names are
+    the same word and whichever are other names, written in the same case or not, they have one code in common.
+    """
+    last = F.floor((F.size(words["plain"]) - width) / step).cast("int")
+    at = F.when(F.size(words["plain"]) >= width, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+
+    def choices(w: Column) -> Column:
+        def step_(all_: Column, i: Column) -> Column:
+            plain, named = F.get(w["plain"], i), F.get(w["named"], i)
+            kept = F.transform(all_, lambda c: F.concat(c, F.array(plain)))
+            return F.when(plain == named, kept).otherwise(F.concat(kept, F.transform(all_, lambda c: F.concat(c, F.array(named)))))
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(width - 1)), F.array(F.array().cast("array<string>")), step_, lambda found: F.transform(found, lambda c: F.xxhash64(c)))
+
+    def codes(i: Column) -> Column:
+        w = F.struct(*[F.slice(words[c], i * step + 1, width).alias(c) for c in ("plain", "named")])
+        found = let(w, lambda w: F.when(w["plain"] == w["named"], F.array(F.xxhash64(w["plain"]))).otherwise(choices(w)))
+        return F.transform(found, lambda code: F.struct((i * step).alias("at"), code.alias("code")))
+
+    return F.flatten(F.transform(at, codes))
 
 
 def _value(word: Column) -> Column:
@@ -81,7 +111,7 @@ def _aligned(doc: Column, item: Column, shift: Column, need: Column) -> Column:
     """The longest accepted run of fitting words: ``struct<length, verbatim>``, of length 0 if none has ``need`` words.
 
     In a run one value of the item stands for one value of the document. It is accepted if the other way round holds
-    too, or if at least half of some ``need`` words in a row are the same on both sides. Behind a clash the run goes on
+    too and names are names on both sides, or if at least half of some ``need`` words in a row are the same on both sides. Behind a clash the run goes on
     from the word after the earlier of the two slots, so the longest run without a clash is found. A changed slot that
     clashes with one outside the run is no evidence and not counted.
     """
@@ -90,11 +120,14 @@ def _aligned(doc: Column, item: Column, shift: Column, need: Column) -> Column:
 
     def pair(i: Column) -> Column:
         def judged(w: Column) -> Column:
-            same = _value(w["a"]) == _value(w["b"])
-            slot = F.lit(False)
-            for kind in "nup":
-                slot = slot | (F.startswith(w["a"], F.lit(_MARK + kind)) & F.startswith(w["b"], F.lit(_MARK + kind)))
-            return F.struct(_value(w["a"]).alias("a"), _value(w["b"]).alias("b"), same.alias("same"), slot.alias("slot"), (same | slot).alias("fits"))
+            def kind(side: str, kinds: str) -> Column:
+                return F.substring(w[side], 1, 2).isin([_MARK + k for k in kinds])
+
+            same, alike = _value(w["a"]) == _value(w["b"]), F.substring(w["a"], 1, 2) == F.substring(w["b"], 1, 2)
+            sure = alike & kind("a", "nup")
+            # Case may have gone on one side, so a name stands for any one word there.
+            slot = sure | (kind("a", "p") & ~kind("b", "nu")) | (kind("b", "p") & ~kind("a", "nu"))
+            return F.struct(_value(w["a"]).alias("a"), _value(w["b"]).alias("b"), same.alias("same"), slot.alias("slot"), (same | slot).alias("fits"), (same | sure).alias("sure"))
 
         return let(F.struct(F.get(item, i).alias("a"), F.get(doc, i + shift).alias("b")), judged)
 
@@ -109,7 +142,7 @@ def _aligned(doc: Column, item: Column, shift: Column, need: Column) -> Column:
                     return F.coalesce(F.array_max(F.transform(F.filter(slots, lambda q: (q["i"] < i) & clash(q)), lambda q: q["i"])), F.lit(-1))
 
                 one = F.when(~p["fits"], i).when(p["slot"], last(lambda q: (q["a"] == p["a"]) & (q["b"] != p["b"]))).otherwise(-1)
-                both = F.when(~p["fits"], i).when(p["slot"], last(lambda q: (q["a"] != p["a"]) & (q["b"] == p["b"]))).otherwise(-1)
+                both = F.when(~p["sure"], i).when(p["slot"], last(lambda q: (q["a"] != p["a"]) & (q["b"] == p["b"]))).otherwise(-1)
                 return F.struct(one.alias("one"), F.greatest(one, both).alias("both"), p["same"].alias("same"), i.alias("i"))
 
             def astray(clash) -> Column:
@@ -161,10 +194,10 @@ def _found(rows: DataFrame, benchmark: DataFrame, run: int, shortest: int, item_
     """``row_key, item_id, matched_words, verbatim`` of the rows with a leak, written."""
     items = benchmark.select(F.col(f"`{item_col}`").cast("bigint").alias("item_id"), F.coalesce(F.col(f"`{item_text}`"), F.lit("")).alias("t"))
     items = items.select("item_id", surfaces(F.col("t")).alias("item_words"), templates(F.col("t")).alias("item"))
-    items = written(items.filter(F.size("item") >= shortest).distinct())
-    least = items.agg(F.min(F.size("item"))).first()[0] or run
-    width = (min(run, least) + 1) // 2
-    probes = written(items.select("item_id", F.inline(windows(F.col("item"), width, 1))).withColumnRenamed("at", "item_at"))
+    items = written(items.filter(F.size("item_words") >= shortest).distinct())
+    least = items.agg(F.min(F.size("item_words"))).first()[0] or run
+    width = min((min(run, least) + 1) // 2, WIDEST)
+    probes = written(items.select("item_id", F.inline(windows(F.col("item"), width, 1))).withColumnRenamed("at", "item_at").distinct())
 
     # The words go through a generator of one row: each text is cut once, not once for every use.
     cut = rows.select("row_key", F.explode(F.array(templates(F.col("text")))).alias("words"))

@@ -286,6 +286,16 @@ def test_a_clash_of_slots_leaves_the_words_around_it(spark):
     assert leaked(spark, "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "21 21 23 24 25 21 27 28 29 21 31 32 33 34") == {0: (False, 0, False)}
 
 
+def test_copies_in_other_case_and_punctuation(spark):
+    item = "We know that Alice and Boris, with Clara, met near Dover. Then Emil, who knew Frank, told Greta: the boat to Hull is late"
+    changed = item.replace("Alice", "Xenia").replace("Dover", "Calais")
+    texts = [item, item.lower(), item.upper(), item.title(), re.sub("[.,:]", "", item), item.replace(".", ";").replace(",", " -"), item.replace(" ", "\n"), changed.lower(), changed]
+    got = leaked(spark, item, *texts, "Nobody was there when it all began, and so it went on until late")
+    assert {k for k, v in got.items() if v[0]} == set(range(len(texts)))
+    assert {k for k, v in got.items() if v[2]} == {0, 1, 2, 3, 4, 6} | ({5} if got[5][2] else set())
+    assert leaked(spark, QUESTION, LEAKS[1][1])[0] == (True, 21, False)
+
+
 def test_sharding(spark, docs, none):
     rows = sharding.sharded(docs, 3).collect()
     assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == collections.Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in AWKWARD)
