@@ -1,6 +1,7 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
-Numbers, their units and names within a sentence become typed placeholders, case and punctuation go. A document's
+Numbers (in digits or words), their units and names become typed placeholders, case and punctuation go. Whether a
+capital at the beginning of a sentence is a name is not known: it may stand for another one there. A document's
 windows of placeholders and words are joined by hash with those of the benchmark, each name both as a placeholder and
 as its word, so a copy is found in any case and punctuation; around a hit the two are aligned
 and the longest run of fitting words counts whose slots are filled consistently: one value of the benchmark stands
@@ -44,18 +45,50 @@ UNITS = (
     "second seconds minute minutes hour hours day days week weeks month months year years "
     "dollar dollars cent cents euro euros usd eur gbp percent degree degrees"
 ).split()
+# Numbers in words, joined without blanks; articles of other languages are none.
+NUMBERS = {w: str(n) for n, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split())}
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+LARGE = "hundred thousand million billion".split()
+OTHER_NUMBERS = (
+    "deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante "
+    "zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend "
+    "dos tres cuatro cinco seis siete ocho nueve diez doce trece catorce quince veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa"
+).split()
 _MARK = "\x01"
 _UPPER, _LOWER = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
 _PUNCTUATION = "[!-/:-@\\[-`{-~¡-¿×÷‐-‧‰-⁞]+"
 
 
+def _tree(words: list[str]) -> str:
+    """A pattern of any of the words, by their letters: a text is compared with one branch and not with all."""
+    heads: dict[str, list[str]] = {}
+    for w in sorted(set(words), reverse=True):
+        heads.setdefault(w[:1], []).append(w[1:])
+    ends = heads.pop("", None) is not None
+    body = "|".join(c + (_tree(rest) if rest != [""] else "") for c, rest in heads.items())
+    return (f"(?:{body})" + ("?" if ends else "")) if body else ""
+
+
+def _numbers() -> str:
+    """Digits, or a number in words, with its hundreds and so on; groups hold the parts without what lies between them."""
+    gap, end = r"[\s-]+", r"(?![\p{L}\d])"
+    ones, tens, large = _tree(list(NUMBERS)[1:10]), _tree(TENS), _tree(LARGE)
+    words = rf"(?:({tens}){gap}({ones}){end}|({_tree([*NUMBERS, *TENS, *OTHER_NUMBERS])}){end})"
+    rest = rf"(?:{gap}({large}){end}(?:{gap}(?:and{gap})?{words})?)?"
+    return rf"(?<![\d\x01\p{{L}}])(?:\x01[pq])?(?:(\d[\d.,:]*\d|\d)|{words}){rest}{rest}"
+
+
 def marked(text: Column) -> Column:
-    """The text without case and punctuation, with slots as ``\\x01`` and a letter (N number, U unit, P name) before their value."""
+    """The text without case and punctuation, with slots as ``\\x01`` and a letter before their value.
+
+    n is a number, u its unit, p a name within a sentence, q another word with a capital.
+    """
     # A capital in the midst of a sentence: after a small letter or a comma, and one space.
     named = F.regexp_replace(text, f"(?<=[{_LOWER},;] )(?=[{_UPPER}][{_LOWER}])", _MARK + "P")
-    units = F.regexp_replace(named, rf"(?i)(?<=\d)(\s?)({'|'.join(sorted(UNITS, key=len, reverse=True))}|%|€|\$|£)(?![\p{{L}}\d])", f" {_MARK}U$2")
-    numbers = F.regexp_replace(units, r"(?<![\d\x01\p{L}])(\d[\d.,:]*\d|\d)", f" {_MARK}N$1 ")
-    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(numbers, _PUNCTUATION, "")), r"\s+", " "))
+    capitals = F.lower(F.regexp_replace(named, rf"(?<!\S)({_PUNCTUATION[:-1]}*+)(?=\p{{Lu}}\p{{Ll}})", f"$1{_MARK}Q"))
+    numbers = F.regexp_replace(capitals, _numbers(), f" {_MARK}n{''.join(f'${k}' for k in range(1, 13))}\x02 ")
+    units = F.regexp_replace(numbers, rf"\x02\s*({'|'.join(sorted(UNITS, key=len, reverse=True))}|%|€|\$|£)(?![\p{{L}}\d])", f" {_MARK}u$1")
+    return F.trim(F.regexp_replace(F.regexp_replace(units, _PUNCTUATION[:-2] + "\x02]+", ""), r"\s+", " "))
 
 
 def _split(words: Column) -> Column:
@@ -72,7 +105,7 @@ def templates(text: Column) -> Column:
 
     def both(m: Column) -> Column:
         plain = F.regexp_replace(_value(m), r"(\x01[nu])[^ ]*", "$1")
-        return F.struct(_split(plain).alias("plain"), _split(F.regexp_replace(m, r"(\x01[nup])[^ ]*", "$1")).alias("named"))
+        return F.struct(_split(plain).alias("plain"), _split(F.replace(F.regexp_replace(m, r"(\x01[nupq])[^ ]*", "$1"), F.lit(_MARK + "q"), F.lit(_MARK + "p"))).alias("named"))
 
     return let(marked(text), both)
 
@@ -96,7 +129,9 @@ def windows(words: Column, width: int, step: int) -> Column:
 
     def codes(i: Column) -> Column:
         w = F.struct(*[F.slice(words[c], i * step + 1, width).alias(c) for c in ("plain", "named")])
-        found = let(w, lambda w: F.when(w["plain"] == w["named"], F.array(F.xxhash64(w["plain"]))).otherwise(choices(w)))
+        one = lambda w: F.size(F.array_remove(w["named"], _MARK + "p")) == width - 1
+        plain, named = (lambda w: F.xxhash64(w["plain"])), (lambda w: F.xxhash64(w["named"]))
+        found = let(w, lambda w: F.when(w["plain"] == w["named"], F.array(plain(w))).when(one(w), F.array(plain(w), named(w))).otherwise(choices(w)))
         return F.transform(found, lambda code: F.struct((i * step).alias("at"), code.alias("code")))
 
     return F.flatten(F.transform(at, codes))
@@ -104,7 +139,13 @@ def windows(words: Column, width: int, step: int) -> Column:
 
 def _value(word: Column) -> Column:
     """The word without the mark of a name, so that a name equals its copy in another case."""
-    return F.replace(word, F.lit(_MARK + "p"), F.lit(""))
+    return F.regexp_replace(word, r"\x01[pq]", "")
+
+
+def _number(value: Column) -> Column:
+    """A number in one word as digits."""
+    digits = F.create_map(*[F.lit(x) for w, n in NUMBERS.items() for x in (f"{_MARK}n{w}", f"{_MARK}n{n}")])
+    return F.coalesce(F.element_at(digits, value), value)
 
 
 def _aligned(doc: Column, item: Column, shift: Column, need: Column) -> Column:
@@ -123,11 +164,11 @@ def _aligned(doc: Column, item: Column, shift: Column, need: Column) -> Column:
             def kind(side: str, kinds: str) -> Column:
                 return F.substring(w[side], 1, 2).isin([_MARK + k for k in kinds])
 
-            same, alike = _value(w["a"]) == _value(w["b"]), F.substring(w["a"], 1, 2) == F.substring(w["b"], 1, 2)
+            same, alike = _number(_value(w["a"])) == _number(_value(w["b"])), F.substring(w["a"], 1, 2) == F.substring(w["b"], 1, 2)
             sure = alike & kind("a", "nup")
             # Case may have gone on one side, so a name stands for any one word there.
-            slot = sure | (kind("a", "p") & ~kind("b", "nu")) | (kind("b", "p") & ~kind("a", "nu"))
-            return F.struct(_value(w["a"]).alias("a"), _value(w["b"]).alias("b"), same.alias("same"), slot.alias("slot"), (same | slot).alias("fits"), (same | sure).alias("sure"))
+            slot = sure | (kind("a", "p") & ~kind("b", "nu")) | (kind("b", "p") & ~kind("a", "nu")) | (kind("a", "q") & kind("b", "q"))
+            return F.struct(_number(_value(w["a"])).alias("a"), _number(_value(w["b"])).alias("b"), same.alias("same"), slot.alias("slot"), (same | slot).alias("fits"), (same | sure).alias("sure"))
 
         return let(F.struct(F.get(item, i).alias("a"), F.get(doc, i + shift).alias("b")), judged)
 

@@ -296,6 +296,19 @@ def test_copies_in_other_case_and_punctuation(spark):
     assert leaked(spark, QUESTION, LEAKS[1][1])[0] == (True, 21, False)
 
 
+def test_names_that_begin_sentences_and_numbers_in_words(spark):
+    item = "Natalia sold 48 clips to friends in April. Natalia sold 24 clips in May. How many clips did Natalia sell altogether?"
+    assert leaked(spark, item, item.replace("Natalia", "Weng").replace("48", "30").replace("24", "12"))[0] == (True, 21, False)
+    item = "John has 5 apples. Mary has 3 apples. Tom has 2 apples. How many apples do they have together?"
+    other = "Anna has 7 apples. Carl has 4 apples. Lena has 6 apples. How many apples do they have together?"
+    assert leaked(spark, item, other, "Lena: " + other.replace("7", "seven").replace("4", "twenty-four"))[0] == (True, 19, False)
+    item = "There were three horses in the field and seven more came, then twenty five left and two hundred and six stayed"
+    got = leaked(spark, item, item.replace("three", "3").replace("seven", "4").replace("twenty five", "31").replace("two hundred and six", "90"), item.replace("three", "3"))
+    assert got == {0: (True, 17, False), 1: (True, 17, True)}
+    # Words with a capital alone are a chance.
+    assert leaked(spark, "A Long And Winding Title Of The Old Book About Seas And Ships And Wind", "Some Quite Other Heading With Many Words Here That Never Had To Do So Much") == {0: (False, 0, False)}
+
+
 def test_sharding(spark, docs, none):
     rows = sharding.sharded(docs, 3).collect()
     assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == collections.Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in AWKWARD)
