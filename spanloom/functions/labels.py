@@ -72,7 +72,12 @@ def template_length(labels: Sequence[str]) -> int:
 
 def content_budget(labels: Sequence[str], max_seq_len: int) -> int:
     """Characters that the label template leaves for the content; an error when it leaves none."""
-    budget = max_seq_len - template_length(labels)
+    return budget_left(template_length(labels), max_seq_len)
+
+
+def budget_left(length: int, max_seq_len: int) -> int:
+    """:func:`content_budget` of a template whose length is known."""
+    budget = max_seq_len - length
     if budget <= 0:
-        raise ValueError(f"The label template takes {template_length(labels)} of {max_seq_len} places and leaves none for the content.")
+        raise ValueError(f"The label template takes {length} of {max_seq_len} places and leaves none for the content.")
     return budget

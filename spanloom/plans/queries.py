@@ -321,9 +321,10 @@ def row_counts(spark, folder):
 
 def template_budget(spark, folder):
     """Budget left by a label template whose labels are the event types."""
-    kinds = [r[0] for r in table(spark, folder, "events").select("event_type").distinct().collect()]  # a vocabulary
-    rows = [(len(kinds), label_fn.template_length(kinds), label_fn.content_budget(kinds, 768))]
-    return spark.createDataFrame(rows, "n_labels bigint, template_len bigint, budget bigint")
+    kinds = table(spark, folder, "events").select("event_type").distinct()
+    places = 1 + F.length(F.regexp_replace("event_type", r"(?U)^\s+|\s+$", ""))
+    n, length = kinds.agg(F.count(F.lit(1)), F.coalesce(F.sum(places), F.lit(0)) + label_fn.template_length([])).first()
+    return spark.createDataFrame([(n, length, label_fn.budget_left(length, 768))], "n_labels bigint, template_len bigint, budget bigint")
 
 
 # --- negatives and relations ----------------------------------------------------------------------

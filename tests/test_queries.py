@@ -31,3 +31,15 @@ def test_query(spark, con, name):
 
 def test_fit_runs(spark):
     assert entry_module.queries()["fit_labels"](spark, FOLDER).count() == 1
+
+
+def test_template_budget_brings_one_row_to_the_driver(spark, tmp_path, monkeypatch):
+    from spanloom.plans.queries import template_budget
+
+    frame = spark.createDataFrame([("ab",), (" c ",), ("def",), ("ab",)], "event_type string")
+    frame.write.parquet(f"{tmp_path}/events.parquet")
+    brought, collect = [], type(frame).collect
+    monkeypatch.setattr(type(frame), "collect", lambda self: brought.append(rows := collect(self)) or rows)
+    out = template_budget(spark, str(tmp_path))
+    assert brought and all(len(rows) <= 1 for rows in brought)
+    assert [tuple(r) for r in out.collect()] == [(3, 13, 755)]
