@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, jaccard_join, lm_score, packing, quality, sharding, substring_dedup, token_files, warc
+from . import decontaminate, exact_dedup, hard_negatives, jaccard_join, line_dedup, lm_score, packing, quality, sharding, substring_dedup, token_files, warc, whitening
 from .common import id_and_text, table
 
 
@@ -80,7 +80,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, path).withColumn("block_sha256", F.sha2("block", 256)).drop("block")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of 40 characters or more that at least 5 documents hold stay in the largest id only."""
+    rows = line_dedup.deduplicated_lines(table(spark, sf_dir, "documents"), least_chars=40, documents=5)
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 8 whitened components of all embeddings."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=8, scale=1024, offset=100_000, weights="counts")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector against all vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), anchors=F.col("vec_id") % 100 == 0, label=label, positives=5, negatives=10, low=30, high=90, scale=256)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_packing, op2_exact_dedup, op3_lm_score, op4_jaccard_join, op5_decontamination, op6_sharding, op7_substring_dedup, op8_quality, op9_token_files, op10_warc)
+    for f in (
+        op1_packing, op2_exact_dedup, op3_lm_score, op4_jaccard_join, op5_decontamination, op6_sharding, op7_substring_dedup, op8_quality, op9_token_files, op10_warc,
+        op11_line_dedup, op12_whitening, op13_hard_negatives,
+    )
 }

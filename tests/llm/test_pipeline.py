@@ -19,7 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def test_registered():
     names = entry.queries()
     assert {*QUERIES, "pipeline"} <= set(names)
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
