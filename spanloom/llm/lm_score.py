@@ -317,7 +317,7 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
         at, known, logs = raw(told["rows"], "<i4"), raw(told["known"], "<i4"), raw(told["logs"], "<f8")
         order = pa.array(np.argsort(rows["at"].to_numpy()))
         rows = rows.take(order).drop_columns(["slice", "at"])
-        return rows.append_column("rare_known", pa.array(np.bincount(at, weights=known, minlength=n).astype(np.int64))).append_column("rare_log", pa.array(np.bincount(at, weights=logs, minlength=n)))
+        return rows.append_column("rare_known", pa.array(np.bincount(at, weights=known, minlength=n).astype(np.int64))).append_column("rare_log", pa.array(np.bincount(at, weights=logs, minlength=n).astype(np.float64)))
 
     heads = stage.filter("bucket IS NULL").select("slice", "at", "doc_id", "held_out", "n_tokens", "known", "model_log", "count_log").groupBy("slice")
     joined = heads.cogroup(met.groupBy("slice")).applyInArrow(add, head.removeprefix("slice bigint, at int, ") + ", rare_known bigint, rare_log double")

@@ -186,3 +186,15 @@ def test_no_hard_negatives(spark):
     assert hard_negatives.hard_negatives(vector_frame(spark, [(1, [1.0], 1)]), F.lit(None).cast("boolean"), F.col("label")).count() == 0
     with pytest.raises(ValueError, match="per cent"):
         hard_negatives.hard_negatives(vector_frame(spark, []), F.lit(True), F.col("label"), low=90, high=90)
+
+
+# --- scores --------------------------------------------------------------------------------------
+
+
+def test_scores_without_rare_words(spark):
+    """A slice in which every word is frequent."""
+    from spanloom.llm import lm_score
+
+    docs = spark.createDataFrame([(1, "a b a"), (2, "a b")], "doc_id bigint, text string")
+    rows = lm_score.scores(docs, held_out=F.lit(False)).collect()
+    assert {(r["doc_id"], r["n_tokens"], r["n_known"]) for r in rows} == {(1, 4, 4), (2, 3, 3)}
