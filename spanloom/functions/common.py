@@ -56,3 +56,33 @@ def stable_sort_by(values: Column, *fields: str) -> Column:
     """Sort an array of structs by some fields; equal elements keep their order."""
     keyed = F.transform(values, lambda x, i: F.struct(*[x[f].alias(f"k{n}") for n, f in enumerate(fields)], i.alias("i"), x.alias("x")))
     return F.transform(F.array_sort(keyed), lambda k: k["x"])
+
+
+#: Elements that :func:`running` folds before it starts a new output array.
+RUN_GROUP = 256
+
+
+def running(values: Column, state: Column, step: Callable[[Column, Column], Column], out_type: str) -> Column:
+    """``struct(state, out)``: ``step(state, x)`` gives ``struct(state, out)`` for each element, and the outs are listed.
+
+    The outs are gathered in groups, since appending copies an array each time.
+    """
+
+    def fold(start: Column, group: Column) -> Column:
+        empty = F.array().cast(f"array<{out_type}>")
+
+        def one(s: Column, x: Column) -> Column:
+            return let(step(s["state"], x), lambda r: F.struct(r["state"].alias("state"), F.array_append(s["out"], r["out"]).alias("out")))
+
+        return F.aggregate(group, F.struct(start.alias("state"), empty.alias("out")), one)
+
+    def folded(v: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(v), F.lit(RUN_GROUP))
+        nothing = F.struct(state.alias("state"), F.array().cast(f"array<array<{out_type}>>").alias("out"))
+
+        def group(s: Column, at: Column) -> Column:
+            return let(fold(s["state"], F.slice(v, at, RUN_GROUP)), lambda r: F.struct(r["state"].alias("state"), F.array_append(s["out"], r["out"]).alias("out")))
+
+        return F.when(F.size(v) == 0, nothing).otherwise(F.aggregate(starts, nothing, group))
+
+    return let(let(values, folded), lambda r: F.struct(r["state"].alias("state"), F.flatten(r["out"]).alias("out")))

@@ -70,37 +70,63 @@ def align_offset(position: Column, offsets: Column) -> Column:
     return let(map_offset(position, offsets), lambda at: F.when(at >= 0, at).otherwise(last_real + 1)).cast("int")
 
 
+def char_index(offsets: Column) -> Column:
+    """For each character the first token that covers it, or -1; NULL if tokens are not in the order of their text."""
+    real = F.filter(F.transform(offsets, lambda t, i: F.struct(t["s"].alias("s"), t["e"].alias("e"), i.alias("i"))), lambda t: t["e"] > t["s"])
+
+    def filled(r: Column) -> Column:
+        def part(t: Column, k: Column) -> Column:
+            before = F.coalesce(F.get(r, k - 1)["e"], F.lit(0))
+            gap = F.array_repeat(F.lit(-1), F.greatest(t["s"] - before, F.lit(0)))
+            return F.concat(gap, F.array_repeat(t["i"], F.greatest(t["e"] - F.greatest(t["s"], before), F.lit(0))))
+
+        steps = F.zip_with(F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0))), F.slice(r, 2, F.size(r)), lambda x, y: (y["s"] >= x["s"]) & (y["e"] >= x["e"]))
+        return F.when(F.forall(steps, lambda x: x), F.flatten(F.transform(r, part)))
+
+    return let(real, filled)
+
+
+def marked(places: Column, length: int) -> Column:
+    """A vector of ``length`` numbers, 1 at the places and 0 elsewhere; places outside it are left out."""
+    zero, one = F.lit(0.0).cast("float"), F.lit(1.0).cast("float")
+    inside = F.array_sort(F.array_distinct(F.filter(places, lambda p: (p >= 0) & (p < length))))
+
+    def vector(ps: Column) -> Column:
+        gaps = F.transform(ps, lambda p, k: F.concat(F.array_repeat(zero, (p - F.coalesce(F.get(ps, k - 1), F.lit(-1)) - 1).cast("int")), F.array(one)))
+        rest = F.array_repeat(zero, (F.lit(length - 1) - F.coalesce(F.get(ps, F.size(ps) - 1), F.lit(-1))).cast("int"))
+        return F.concat(F.flatten(gaps), rest)
+
+    return let(inside, vector)
+
+
 def position_vectors(result_list: Column, offsets: Column, length: int, lenient: bool = False) -> Column:
     """``struct(start_positions, end_positions)``: 0/1 vectors of ``length`` marking first and last tokens.
 
-    ``lenient`` uses :func:`map_offset`, where a span outside the tokens marks the last position.
+    ``lenient`` uses :func:`map_offset`, where a span outside the tokens marks the last position. The tokens are
+    gone through once for all spans of a row.
     """
 
     def vectors(o: Column) -> Column:
-        def mark(positions: Column) -> Column:
-            return F.transform(
-                F.sequence(F.lit(0), F.lit(length - 1)),
-                lambda i: F.when(F.array_contains(positions, i), F.lit(1.0)).otherwise(F.lit(0.0)).cast("float"),
-            )
-
-        def index(position: Column) -> Column:
-            if not lenient:
-                return align_offset(position, o["shifted"])
-            return let(map_offset(position, o["shifted"]), lambda at: F.when(at < 0, F.lit(length - 1)).otherwise(at))
-
-        starts = F.transform(result_list, lambda r: index(r["start"] + o["drift"]))
-        ends = F.transform(result_list, lambda r: index(r["end"] - 1 + o["drift"]))
-        return let(
-            F.struct(starts.alias("starts"), ends.alias("ends")),
-            lambda p: F.struct(mark(p["starts"]).alias("start_positions"), mark(p["ends"]).alias("end_positions")),
-        )
+        beyond = F.lit(length - 1) if lenient else F.array_max(F.transform(o["shifted"], lambda t, i: F.when((t["s"] != 0) & (t["e"] != 0), i).otherwise(F.lit(0)))) + 1
+
+        def placed(x: Column) -> Column:
+            def token(position: Column) -> Column:
+                # A position before the text has no token; `get` gives NULL behind the end.
+                at = F.when(x["index"].isNull(), map_offset(position, o["shifted"])).otherwise(F.coalesce(F.get(x["index"], position), F.lit(-1)))
+                return let(at, lambda a: F.when(a < 0, x["beyond"]).otherwise(a)).cast("int")
+
+            starts = F.transform(result_list, lambda r: token(r["start"] + o["drift"]))
+            ends = F.transform(result_list, lambda r: token(r["end"] - 1 + o["drift"]))
+            return F.struct(marked(starts, length).alias("start_positions"), marked(ends, length).alias("end_positions"))
+
+        return let(F.struct(char_index(o["shifted"]).alias("index"), beyond.cast("int").alias("beyond")), placed)
 
     zeros = F.array_repeat(F.lit(0.0).cast("float"), length)
     nothing = F.struct(zeros.alias("start_positions"), zeros.alias("end_positions"))
-    marked = let(
+    found = let(
         offsets, lambda o: let(F.struct(drift_offsets(o).alias("shifted"), offset_drift(o).alias("drift")), vectors)
     )
-    return F.when(F.size(result_list) == 0, nothing).otherwise(marked)
+    return F.when(F.size(result_list) == 0, nothing).otherwise(found)
 
 
 def padding_bucket(length: Column, options: Sequence[int], default: int) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ERROR_SEQ_LEN, MAX_SEQ_LEN, PROMPT_OVERHEAD
-from ..functions.common import let, slice_of, stable_sort_by
+from ..functions.common import let, running, slice_of, stable_sort_by, str_array
 from ..functions.text import read_blocks, strip_text, stripped_prefix, text_blocks
 from ..schemas import PLAIN_SPANS
 from .validate import REASON, span_reason
@@ -56,7 +58,7 @@ def chunk_examples(
 
     The content is stripped first and its spans move along. Spans may overlap as long as no cut goes through one.
     Rows that cannot be cut come back whole with a ``reject_reason``. With ``strict=False`` a content that fits is passed through unstripped, and spans
-    that are too long are dropped and listed in ``dropped_spans`` instead of rejecting the row.
+    that are too long, or begin in what was stripped, are dropped and listed in ``dropped_spans`` instead of rejecting the row.
     """
     capacity = (F.lit(max_seq_len - PROMPT_OVERHEAD) - F.length(F.col(prompt))).cast("int")
     original, kept = F.col(content), F.coalesce(F.col(spans), F.array()).cast(PLAIN_SPANS)
@@ -80,9 +82,10 @@ def chunk_examples(
         )
     )
     if not strict:
-        too_long = lambda s: s["end"] - s["start"] > F.col("__cap")
-        df = df.withColumn("dropped_spans", F.filter(F.col("__spans"), too_long)).withColumn(
-            "__spans", F.filter(F.col("__spans"), lambda s: ~too_long(s))
+        outside = lambda s: ~passes & ((s["start"] < 0) | (s["start"] >= F.length(F.col("__text"))))
+        dropped = lambda s: (s["end"] - s["start"] > F.col("__cap")) | outside(s)
+        df = df.withColumn("dropped_spans", F.filter(F.col("__spans"), dropped)).withColumn(
+            "__spans", F.filter(F.col("__spans"), lambda s: ~dropped(s))
         )
 
     wrong = F.exists(F.col("__spans"), lambda s: slice_of(F.col("__text"), s["start"], s["end"]) != s["text"])
@@ -143,3 +146,161 @@ def chunk_examples(
             F.col("__c.reason").alias(REASON),
         )
     )
+
+
+# --- all prompts of a document at once ------------------------------------------------------------
+
+LEGS = "struct<at:int,first:int>"
+
+
+def cut_plan(length: Column, capacity: Column, spans: Column) -> Column:
+    """``struct(starts, places)``: where chunks start, and the number of the chunk in which each span begins.
+
+    ``spans`` are sorted by start, of equal starts the longest first, and none is longer than ``capacity``. Chunks
+    follow each other every ``capacity`` characters from a cut on, and a span that would be split is a new cut. So a
+    place is found by division from the last cut, and only cuts are listed: the work grows with spans and chunks.
+    """
+
+    def step(leg: Column, x: Column) -> Column:
+        def place(no: Column) -> Column:
+            cuts = x["end"] > leg["at"] + (no + 1) * capacity
+            first = leg["first"] + no + 1
+            after = F.struct(F.when(cuts, x["start"]).otherwise(leg["at"]).alias("at"), F.when(cuts, first).otherwise(leg["first"]).alias("first")).cast(LEGS)
+            out = F.struct(F.when(cuts, first).otherwise(leg["first"] + no).alias("no"), F.when(cuts, x["start"]).alias("cut"))
+            return F.struct(after.alias("state"), out.cast("struct<no:int,cut:int>").alias("out"))
+
+        return let(F.floor((x["start"] - leg["at"]) / capacity).cast("int"), place)
+
+    def planned(walk: Column) -> Column:
+        cuts = F.concat(F.array(F.lit(0)), F.array_compact(F.transform(walk, lambda w: w["cut"])))
+
+        def legs(c: Column) -> Column:
+            return F.flatten(F.transform(c, lambda at, i: F.sequence(at, F.coalesce(F.get(c, i + 1), length) - 1, capacity)))
+
+        return F.struct(let(cuts, legs).alias("starts"), F.transform(walk, lambda w: w["no"]).alias("places"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("first")).cast(LEGS)
+    return let(running(spans, begin, step, "struct<no:int,cut:int>")["out"], planned)
+
+
+_CHUNKS = f"array<struct<chunk_no:int,chunk_start:int,content:string,spans:{PLAIN_SPANS},reason:string>>"
+
+
+def _plain(spans: Column, back: Column | int = 0) -> Column:
+    """Spans as text and offsets, moved back; of equal starts in the order given."""
+    in_order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["i"].alias("i"), s["end"].alias("end"), s["text"].alias("text"))))
+    return F.transform(in_order, lambda s: F.struct(s["text"].alias("text"), (s["start"] - back).alias("start"), (s["end"] - back).alias("end"))).cast(PLAIN_SPANS)
+
+
+def _chunk(no: Column, start: Column, content: Column, spans: Column, reason: Column | None = None) -> Column:
+    reason = F.lit(None).cast("string") if reason is None else reason
+    return F.struct(no.cast("int").alias("chunk_no"), start.cast("int").alias("chunk_start"), content.alias("content"), spans.alias("spans"), reason.alias("reason"))
+
+
+def _pieces(d: Column, capacity: Column, spans: Column) -> Column:
+    """The chunks of one prompt, those with spans first; or the whole text with a reason, if a cut goes through a span."""
+    length, none = d["length"], F.array().cast(PLAIN_SPANS)
+
+    def piece(no: Column, starts: Column, mine: Column | None = None) -> Column:
+        start, end = F.get(starts, no), F.coalesce(F.get(starts, no + 1), length)
+        return _chunk(no, start, read_blocks(d["blocks"], start, end), none if mine is None else _plain(mine, start))
+
+    def with_plan(p: Column) -> Column:
+        places, starts = p["places"], p["starts"]
+        # Spans of a chunk are neighbours; a run begins where the chunk changes.
+        heads = F.array_compact(F.transform(places, lambda no, i: F.when((i == 0) | (no != F.get(places, i - 1)), i)))
+
+        def gathered(h: Column) -> Column:
+            full = F.transform(h, lambda i, k: piece(F.get(places, i), starts, F.slice(spans, i + 1, F.coalesce(F.get(h, k + 1), F.size(places)) - i)))
+            bare = F.array_except(F.sequence(F.lit(0), F.size(starts) - 1), places)
+            return F.concat(full, F.transform(bare, lambda no: piece(no, starts)))
+
+        through = F.exists(F.zip_with(spans, places, lambda s, no: s["end"] > F.coalesce(F.get(starts, no + 1), length)), lambda x: x)
+        whole = _chunk(F.lit(0), F.lit(0), d["text"], _plain(spans), F.lit("a cut goes through a span"))
+        return F.when(through, F.array(whole)).otherwise(let(heads, gathered))
+
+    # Without spans the chunks follow each other from the beginning on.
+    plain = let(F.sequence(F.lit(0), length - 1, capacity), lambda starts: F.transform(starts, lambda _, no: piece(no, starts)))
+    cut = F.when(F.size(spans) == 0, plain).otherwise(let(cut_plan(length, capacity, spans), with_plan))
+    return F.when(length > 0, cut).otherwise(F.array().cast(_CHUNKS))
+
+
+def _of_prompt(d: Column, prompt: Column, capacity: int, strict: bool) -> Column:
+    """The chunks of one document for one prompt, as ``struct(prompt, c, dropped)``."""
+    cap = F.lit(capacity)
+    passes = F.lit(False) if strict else d["length"] <= cap
+    shift = F.when(passes, 0).otherwise(d["shift"])
+    own = F.transform(
+        F.filter(d["spans"], lambda s: s["prompt"] == prompt),
+        lambda s: F.struct(s["text"].alias("text"), (s["start"] - shift).alias("start"), (-s["back"] - shift).alias("end"), s["i"].alias("i")),
+    )
+    body = F.when(passes, d["whole"]).otherwise(d["text"])
+
+    def whole(spans: Column, reason: Column | None = None) -> Column:
+        return F.array(_chunk(F.lit(0), F.lit(0), body, _plain(spans), reason))
+
+    def rows(x: Column) -> Column:
+        spans = x["kept"]
+        if capacity <= 0:
+            out = whole(spans, F.lit("max_seq_len is too small"))
+        else:
+            checks = [F.when(F.exists(spans, lambda s: s["start"] > s["end"]), F.lit("start after end")), F.when(F.exists(spans, lambda s: s["end"] - s["start"] > cap), F.lit("span longer than a chunk"))]
+            if strict:
+                found = lambda s: F.when(s["start"] < 0, slice_of(d["text"], s["start"], s["end"])).otherwise(read_blocks(d["blocks"], s["start"], s["end"]))
+                checks.append(F.when(F.exists(spans, lambda s: found(s) != s["text"]), F.lit("slice differs from span text")))
+            fits = passes if not strict else (d["length"] <= cap) & (d["length"] > 0)
+            out = let(F.coalesce(*checks), lambda reason: F.when(reason.isNotNull(), whole(spans, reason)).when(fits, whole(spans)).otherwise(_pieces(d, cap, F.filter(spans, lambda s: s["start"] < d["length"]))))  # an empty span at the end lies in no chunk
+        return F.transform(out, lambda c: F.struct(prompt.alias("prompt"), c.alias("c"), x["dropped"].alias("dropped")))
+
+    if strict:
+        return let(F.struct(own.alias("kept"), F.array().cast(PLAIN_SPANS).alias("dropped")), rows)
+    outside = lambda s: ~passes & ((s["start"] < 0) | (s["start"] >= d["length"]))
+    dropped = lambda s: (s["end"] - s["start"] > cap) | outside(s)
+    return let(let(own, lambda o: F.struct(F.filter(o, lambda s: ~dropped(s)).alias("kept"), _plain(F.filter(o, dropped)).alias("dropped"))), rows)
+
+
+def chunk_documents(
+    df: DataFrame, prompts: Sequence[str], max_seq_len: int = MAX_SEQ_LEN, text: str = "text", spans: str = "spans", strict: bool = True, entity: str = "entity"
+) -> DataFrame:
+    """:func:`chunk_examples` for all prompts of each document, whose spans name their prompt in the field ``entity``.
+
+    The text is stripped and cut into blocks once for all prompts, and the contents of chunks are read before the
+    document is expanded, so no copy of its text goes with a chunk. Other columns are kept. A NULL text gives no rows.
+    """
+    made = {"prompt", "chunk_no", "chunk_start", "content", "result_list", "dropped_spans", REASON}
+    others = [c for c in df.columns if c not in {text, spans}]
+    if clash := sorted(made.intersection(others)):
+        raise ValueError(f"Columns of the result are in the input: {clash}.")
+    whole = F.col(f"`{text}`")
+    # Sorted by start, the longest first; `i` keeps the order given.
+    ordered = F.array_sort(
+        F.transform(
+            F.coalesce(F.col(f"`{spans}`"), F.array()),
+            lambda s, i: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), i.alias("i"), s[entity].alias("prompt"), s["text"].alias("text")),
+        )
+    )
+    once = let(
+        strip_text(whole),
+        lambda t: F.struct(
+            t.alias("text"), whole.alias("whole"), F.length(t).alias("length"), stripped_prefix(whole).alias("shift"), text_blocks(t).alias("blocks"), ordered.alias("spans")
+        ),
+    )
+    # Prompts of one length share a capacity, which is a literal in their plan.
+    by_capacity: dict[int, list[str]] = {}
+    for prompt in prompts:
+        by_capacity.setdefault(max_seq_len - PROMPT_OVERHEAD - len(prompt), []).append(prompt)
+
+    def plans(d: Column) -> Column:
+        def each(same: list[str], capacity: int) -> Column:
+            return F.flatten(F.transform(str_array(same), lambda p: _of_prompt(d, p, capacity, strict)))
+
+        return F.concat(*[each(same, capacity) for capacity, same in by_capacity.items()])
+
+    if not prompts:
+        raise ValueError("No prompts.")
+    rows = df.where(whole.isNotNull()).select(*[F.col(f"`{c}`") for c in others], F.explode(let(once, plans)).alias("__r"))
+    dropped = [] if strict else [F.col("__r.dropped").alias("dropped_spans")]
+    return rows.select(
+        *[F.col(f"`{c}`") for c in others], *dropped, "__r.prompt", "__r.c.chunk_no", "__r.c.chunk_start", "__r.c.content",
+        F.col("__r.c.spans").alias("result_list"), F.col("__r.c.reason").alias(REASON),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import BUDGET, CHUNK_LEN, ENTITY_NAMES, LABELS, N_DIMS, NUMBER, NUMBER_LINE, PATTERNS, SHORT_CHUNK
+from .queries import BUDGET, CHUNK_LEN, ENTITY_NAMES, LABELS, N_DIMS, NUMBER, NUMBER_LINE, OVERLAP_CHUNK, PATTERNS, SHORT_CHUNK
 
 
 def quote(text: str) -> str:
@@ -178,15 +178,23 @@ SQL["prompt_examples"] = (
 )
 
 
-def chunked(max_len: int, entities: list[tuple[str, str]], lenient: bool = False) -> str:
+def chunked(max_len: int, entities: list[tuple[str, str]], lenient: bool = False, overlaps: bool = False) -> str:
     """Greedy walk over each (document, prompt): ``doc_id, prompt, no, cs, ce, body, sp`` and a table of rejects."""
     names = "(VALUES " + ", ".join(f"({quote(e)})" for e, _ in entities) + ") AS n(prompt)"
     strip = f"trim(text, {BLANKS})"
     lead = f"(length(text) - length(ltrim(text, {BLANKS})))"
     passes = f"length({strip}) <= {max_len} - 3 - length(prompt)" if lenient else "FALSE"
     drop = "WHERE \"end\" - start <= cap" if lenient else ""
+    found = f"spans AS ({hits_of(entities)})"
+    if overlaps:
+        shifted = 'h.start + (h."end" - h.start) // 2'
+        found = (
+            f"hits AS ({hits_of(entities)}), spans AS (SELECT doc_id, e_no, entity, ord, start, \"end\", text FROM hits UNION ALL "
+            f"SELECT h.doc_id, e_no, entity, ord, {shifted}, h.\"end\" + 3, substr(d.text, {shifted} + 1, h.\"end\" + 3 - ({shifted})) "
+            f"FROM hits h JOIN documents d USING (doc_id) WHERE h.\"end\" + 3 <= length(rtrim(d.text, {BLANKS})))"
+        )
     return (
-        f"RECURSIVE spans AS ({hits_of(entities)}), "
+        f"RECURSIVE {found}, "
         f"base AS (SELECT doc_id, prompt, {max_len} - 3 - length(prompt) AS cap, {passes} AS pass, "
         f"CASE WHEN {passes} THEN text ELSE {strip} END AS body, CASE WHEN {passes} THEN 0 ELSE {lead} END AS shift FROM documents, {names}), "
         "placed AS (SELECT b.doc_id, b.prompt, list({'a': s.start - shift, 'b': s.\"end\" - shift, 't': s.text} ORDER BY s.start) AS sp, "
@@ -217,6 +225,19 @@ SQL["chunk_spans"] = "WITH " + chunked(CHUNK_LEN, RULE_PAIRS) + (
 SQL["chunk_rejects"] = "WITH " + chunked(SHORT_CHUNK, RULE_PAIRS) + (
     "SELECT doc_id, prompt, 'span longer than a chunk' AS reason FROM full_rows WHERE too_long"
 )
+SQL["chunk_overlaps"] = "WITH " + chunked(OVERLAP_CHUNK, RULE_PAIRS, overlaps=True) + (
+    ", shown AS (SELECT doc_id, prompt, no, cs, ce, inside, list_bool_or(list_transform(inside, lambda x: x.b > ce)) AS through FROM pieces), "
+    "cut AS (SELECT doc_id, prompt, bool_or(coalesce(through, FALSE)) AS through, count(*) AS n_chunks, sum(len(inside)) AS n_spans, "
+    "string_agg(cs || ':' || (ce - cs) || ':' || array_to_string(list_transform(inside, lambda x: (x.a - cs) || ':' || (x.b - cs) || ':' || x.t), '|'), '|' ORDER BY no) AS pieces "
+    "FROM shown GROUP BY doc_id, prompt) "
+    "SELECT f.doc_id, f.prompt, CASE WHEN too_long THEN 'span longer than a chunk' WHEN through THEN 'a cut goes through a span' END AS reason, "
+    "(CASE WHEN too_long OR through THEN 1 ELSE n_chunks END)::BIGINT AS n_chunks, len(sp)::BIGINT AS n_spans, "
+    "md5(CASE WHEN too_long OR through THEN '0:' || length(body) || ':' || array_to_string(list_transform(sp, lambda x: x.a || ':' || x.b || ':' || x.t), '|') ELSE pieces END) AS pieces_md5 "
+    "FROM full_rows f LEFT JOIN cut USING (doc_id, prompt) WHERE length(body) > 0 OR too_long"
+)
+SQL["chunk_by_prompt"] = "WITH " + chunked(CHUNK_LEN, RULE_PAIRS) + (
+    "SELECT doc_id, prompt, count(*) AS n_chunks, sum(length(content))::BIGINT AS chars, sum(len(inside))::BIGINT AS n_spans FROM pieces GROUP BY doc_id, prompt"
+)
 SQL["chunk_lenient"] = "WITH " + chunked(64, RULE_PAIRS, lenient=True) + (
     "SELECT doc_id, prompt, no::BIGINT AS chunk_no, cs AS chunk_start, md5(content) AS content_md5, "
     "array_to_string(list_transform(inside, lambda x: (x.a - cs) || ':' || (x.b - cs) || ':' || x.t), '|') AS result, n_long::BIGINT AS n_dropped FROM pieces"

@@ -12,11 +12,11 @@ from ..functions import money, tokens
 from ..functions.common import half_even, let, str_array
 from ..functions.prompts import classification_example, relation_type, unify_prompt
 from ..functions.rules import Rule, default_rules, rule_spans, stand_in_probability
-from ..functions.text import clean_text, has_fullwidth_space
+from ..functions.text import WHITESPACE, clean_text, has_fullwidth_space
 from ..operators import annotate, examples, metrics, negatives, ranks, scoring, shrink, splits, validate
 from ..operators import merge as merging
 from ..operators import spans as span_ops
-from ..operators.chunk import chunk_examples
+from ..operators.chunk import chunk_documents, chunk_examples
 from ..operators.regularize import regularize
 from ..schemas import ENTITIES, PLAIN_SPANS, RELATIONS
 from ..session import durable
@@ -44,6 +44,7 @@ BUDGET = 400
 LABELS = ["quality", "toxic", "en", "fr", "de", "es"]
 N_DIMS = 64  # all of an embedding
 SHORT_CHUNK = 24
+OVERLAP_CHUNK = 96
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -214,7 +215,7 @@ def prompt_examples(spark, folder):
 
 
 def _chunks(spark, folder, **options):
-    return chunk_examples(_prompt_rows(spark, folder), options.pop("max_seq_len", CHUNK_LEN), **options)
+    return chunk_documents(with_spans(documents(spark, folder)), ENTITY_NAMES, options.pop("max_seq_len", CHUNK_LEN), **options)
 
 
 def chunks(spark, folder):
@@ -235,6 +236,37 @@ def chunk_rejects(spark, folder):
     return validate.rejected(_chunks(spark, folder, max_seq_len=SHORT_CHUNK)).select("doc_id", "prompt", F.col("reject_reason").alias("reason"))
 
 
+def _with_overlaps(df: DataFrame) -> DataFrame:
+    """Beside each span one that begins in its middle and ends three characters behind it, where the text goes on."""
+    limit = F.length(F.rtrim(F.col("text"), F.lit(WHITESPACE)))
+    shifted = F.transform(
+        F.filter("spans", lambda s: s["end"] + 3 <= limit),
+        lambda s: let(
+            F.struct((s["start"] + F.floor((s["end"] - s["start"]) / 2)).cast("int").alias("a"), (s["end"] + 3).alias("b")),
+            lambda x: F.struct(s["entity"].alias("entity"), s["ord"].alias("ord"), x["a"].alias("start"), x["b"].alias("end"), F.substring("text", x["a"] + 1, x["b"] - x["a"]).alias("text"), s["probability"].alias("probability")),
+        ),
+    )
+    return df.withColumn("spans", F.concat("spans", shifted))
+
+
+def chunk_overlaps(spark, folder):
+    """Overlapping spans in short chunks: rows are cut where no span is, or come back whole with a reason."""
+    found = chunk_documents(_with_overlaps(with_spans(documents(spark, folder))), ENTITY_NAMES, OVERLAP_CHUNK)
+    shown = F.concat_ws(":", F.col("chunk_start").cast("string"), F.length("content").cast("string"), show_spans(F.col("result_list"), "start", "end", "text"))
+    pieces = F.array_sort(F.collect_list(F.struct("chunk_no", shown.alias("shown"))))
+    return wide_ints(
+        found.groupBy("doc_id", "prompt", F.col("reject_reason").alias("reason")).agg(
+            F.count(F.lit(1)).alias("n_chunks"), F.sum(F.size("result_list")).alias("n_spans"), digest(F.array_join(F.transform(pieces, lambda p: p["shown"]), "|")).alias("pieces_md5")
+        )
+    )
+
+
+def chunk_by_prompt(spark, folder):
+    """Chunks of rows that were expanded by prompt before: the same as those of whole documents."""
+    rows = chunk_examples(_prompt_rows(spark, folder), CHUNK_LEN)
+    return wide_ints(validate.accepted(rows).groupBy("doc_id", "prompt").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum(F.length("content")).alias("chars"), F.sum(F.size("result_list")).alias("n_spans")))
+
+
 def chunk_lenient(spark, folder):
     found = _chunks(spark, folder, strict=False, max_seq_len=64)
     return wide_ints(
@@ -798,6 +830,8 @@ QUERIES: dict[str, Query] = {
     "chunk_examples": chunks,
     "chunk_spans": chunk_spans,
     "chunk_rejects": chunk_rejects,
+    "chunk_overlaps": chunk_overlaps,
+    "chunk_by_prompt": chunk_by_prompt,
     "chunk_lenient": chunk_lenient,
     "token_align": token_align,
     "position_vectors": position_vectors,

@@ -73,7 +73,7 @@ def test_documents(spark, tmp_path):
     assert typed.first().jid == "J1" and "source_cnt_v2" in typed.columns
     lines = readers.read_documents(spark, put(tmp_path / "d.txt", " 甲 \n　乙\t\n"))
     assert sorted(r.jfull_compress for r in lines.collect()) == ["乙", "甲"]
-    with pytest.raises(ValueError, match="Please use .txt or .json"):
+    with pytest.raises(ValueError, match="read from .txt or .json files"):
         readers.read_documents(spark, str(tmp_path / "d.csv"))
     assert readers.documents_from_list(spark, ["a", "b"]).count() == 2
 
