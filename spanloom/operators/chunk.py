@@ -225,38 +225,43 @@ def _pieces(d: Column, capacity: Column, spans: Column) -> Column:
     return F.when(length > 0, cut).otherwise(F.array().cast(_CHUNKS))
 
 
-def _of_prompt(d: Column, prompt: Column, capacity: int, strict: bool) -> Column:
+def _of_prompt(d: Column, prompt: Column, max_seq_len: int, strict: bool) -> Column:
     """The chunks of one document for one prompt, as ``struct(prompt, c, dropped)``."""
-    cap = F.lit(capacity)
-    passes = F.lit(False) if strict else d["length"] <= cap
-    shift = F.when(passes, 0).otherwise(d["shift"])
-    own = F.transform(
-        F.filter(d["spans"], lambda s: s["prompt"] == prompt),
-        lambda s: F.struct(s["text"].alias("text"), (s["start"] - shift).alias("start"), (-s["back"] - shift).alias("end"), s["i"].alias("i")),
-    )
-    body = F.when(passes, d["whole"]).otherwise(d["text"])
 
-    def whole(spans: Column, reason: Column | None = None) -> Column:
-        return F.array(_chunk(F.lit(0), F.lit(0), body, _plain(spans), reason))
+    def with_capacity(cap: Column) -> Column:
+        passes = F.lit(False) if strict else d["length"] <= cap
+        moved = lambda shift: F.transform(
+            F.filter(d["spans"], lambda s: s["prompt"] == prompt),
+            lambda s: F.struct(s["text"].alias("text"), (s["start"] - shift).alias("start"), (-s["back"] - shift).alias("end"), s["i"].alias("i")),
+        )
+        if strict:
+            return let(F.struct(moved(d["shift"]).alias("kept"), F.array().cast(PLAIN_SPANS).alias("dropped")), lambda x: rows(x, cap, passes))
+        dropped = lambda s: (s["end"] - s["start"] > cap) | (~passes & ((s["start"] < 0) | (s["start"] >= d["length"])))
+        parted = lambda o: F.struct(F.filter(o, lambda s: ~dropped(s)).alias("kept"), _plain(F.filter(o, dropped)).alias("dropped"))
+        return let(let(let(F.when(passes, 0).otherwise(d["shift"]), moved), parted), lambda x: rows(x, cap, passes))
 
-    def rows(x: Column) -> Column:
+    def rows(x: Column, cap: Column, passes: Column) -> Column:
         spans = x["kept"]
-        if capacity <= 0:
-            out = whole(spans, F.lit("max_seq_len is too small"))
+        # At most one check fails first; the order is that of the reasons.
+        wrong = lambda s: F.when(s["start"] > s["end"], 1).when(s["end"] - s["start"] > cap, 2)
+        if strict:
+            found = lambda s: F.when(s["start"] < 0, slice_of(d["text"], s["start"], s["end"])).otherwise(read_blocks(d["blocks"], s["start"], s["end"]))
+            faults = F.transform(spans, lambda s: F.coalesce(wrong(s), F.when(found(s) != s["text"], 3)))
         else:
-            checks = [F.when(F.exists(spans, lambda s: s["start"] > s["end"]), F.lit("start after end")), F.when(F.exists(spans, lambda s: s["end"] - s["start"] > cap), F.lit("span longer than a chunk"))]
-            if strict:
-                found = lambda s: F.when(s["start"] < 0, slice_of(d["text"], s["start"], s["end"])).otherwise(read_blocks(d["blocks"], s["start"], s["end"]))
-                checks.append(F.when(F.exists(spans, lambda s: found(s) != s["text"]), F.lit("slice differs from span text")))
-            fits = passes if not strict else (d["length"] <= cap) & (d["length"] > 0)
-            out = let(F.coalesce(*checks), lambda reason: F.when(reason.isNotNull(), whole(spans, reason)).when(fits, whole(spans)).otherwise(_pieces(d, cap, F.filter(spans, lambda s: s["start"] < d["length"]))))  # an empty span at the end lies in no chunk
-        return F.transform(out, lambda c: F.struct(prompt.alias("prompt"), c.alias("c"), x["dropped"].alias("dropped")))
+            faults = F.transform(spans, wrong)
+        fault = F.when(cap <= 0, 0).otherwise(F.array_min(faults))
+        fits = passes if not strict else (d["length"] <= cap) & (d["length"] > 0)
 
-    if strict:
-        return let(F.struct(own.alias("kept"), F.array().cast(PLAIN_SPANS).alias("dropped")), rows)
-    outside = lambda s: ~passes & ((s["start"] < 0) | (s["start"] >= d["length"]))
-    dropped = lambda s: (s["end"] - s["start"] > cap) | outside(s)
-    return let(let(own, lambda o: F.struct(F.filter(o, lambda s: ~dropped(s)).alias("kept"), _plain(F.filter(o, dropped)).alias("dropped"))), rows)
+        def out(reason: Column) -> Column:
+            body = d["text"] if strict else F.when(passes, d["whole"]).otherwise(d["text"])
+            whole = F.array(_chunk(F.lit(0), F.lit(0), body, _plain(spans), reason))
+            # An empty span at the end lies in no chunk.
+            return F.when(reason.isNotNull() | fits, whole).otherwise(_pieces(d, cap, F.filter(spans, lambda s: s["start"] < d["length"])))
+
+        reasons = str_array(["max_seq_len is too small", "start after end", "span longer than a chunk", "slice differs from span text"])
+        return F.transform(let(F.get(reasons, fault), out), lambda c: F.struct(prompt.alias("prompt"), c.alias("c"), x["dropped"].alias("dropped")))
+
+    return let((F.lit(max_seq_len - PROMPT_OVERHEAD) - F.length(prompt)).cast("int"), with_capacity)
 
 
 def chunk_documents(
@@ -285,16 +290,9 @@ def chunk_documents(
             t.alias("text"), whole.alias("whole"), F.length(t).alias("length"), stripped_prefix(whole).alias("shift"), text_blocks(t).alias("blocks"), ordered.alias("spans")
         ),
     )
-    # Prompts of one length share a capacity, which is a literal in their plan.
-    by_capacity: dict[int, list[str]] = {}
-    for prompt in prompts:
-        by_capacity.setdefault(max_seq_len - PROMPT_OVERHEAD - len(prompt), []).append(prompt)
 
     def plans(d: Column) -> Column:
-        def each(same: list[str], capacity: int) -> Column:
-            return F.flatten(F.transform(str_array(same), lambda p: _of_prompt(d, p, capacity, strict)))
-
-        return F.concat(*[each(same, capacity) for capacity, same in by_capacity.items()])
+        return F.flatten(F.transform(str_array(prompts), lambda p: _of_prompt(d, p, max_seq_len, strict)))
 
     if not prompts:
         raise ValueError("No prompts.")

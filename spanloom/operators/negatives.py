@@ -1,13 +1,17 @@
 """Negative examples by sampling from corpus-wide value sets, without pairing documents with the set.
 
-A corpus set (labels, entity names, predicates) is numbered once in a repeatable random order. A document
-that needs k values it does not have takes the next k of that circular order from its own random starting
-point, leaving out its own values. Only (document, position) rows are made, as many as are kept, and an equi
-join on the position fetches the values. This is sampling without replacement, and k = all is no special case.
+A corpus set (labels, entity names, predicates) is numbered once in a repeatable random order. Each document has a
+permutation of these numbers of its own, ``step * i + first`` modulo a prime, which is computed and not stored. A
+document that needs k values it does not have takes the first k in the order of its permutation, leaving out its own.
+This is sampling without replacement, and k = all is no special case.
+
+A small set is a literal array, so a document draws within its row: no join, no shuffle. Of a larger set only
+(document, number) rows are made, about as many as are kept, and an equi join on the number fetches the values.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -15,29 +19,61 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import NEGATIVE_RATIO, SEED
-from ..functions.common import hash_mod, let, seeded_hash
+from ..functions.common import hash_mod, let, seeded_hash, str_array
 from ..functions.prompts import relation_prompt
 from ..session import durable
 from .ranks import seeded_rank
 
-# A corpus set is broadcast only below both bounds; beyond them its positions are joined by shuffle,
-# which spreads evenly because positions are dense and starting points are random.
-SMALL_VALUES = 50_000
-SMALL_CHARS = 4_000_000
+# A corpus set is a literal only below both bounds; beyond them its numbers are joined by shuffle, which spreads
+# evenly because numbers are dense and permutations random.
+SMALL_VALUES = 20_000
+SMALL_CHARS = 1_000_000
+
+
+def prime_from(n: int) -> int:
+    """The smallest prime number that is ``n`` or more."""
+    p = max(n, 2)
+    while any(p % d == 0 for d in range(2, int(p**0.5) + 1)):
+        p += 1
+    return p
 
 
 @dataclass(frozen=True)
 class CorpusIndex:
-    """``frame(position, value)`` with positions 0..size-1."""
+    """A set of ``size`` values, numbered from 0: a literal array in that order, or a frame ``position, value``."""
 
-    frame: DataFrame
     size: int
-    small: bool
+    values: Column | None = None
+    frame: DataFrame | None = None
+
+    @property
+    def modulus(self) -> int:
+        return prime_from(self.size)
+
+    def walk(self, key: Column, seed: int | str) -> Column:
+        """``struct(step, first)`` of a document's permutation."""
+        p = F.lit(self.modulus).cast("bigint")
+        return F.struct((hash_mod(f"{seed}:step", p - 1, key) + 1).alias("step"), hash_mod(seed, p, key).alias("first"))
+
+    def steps(self, take: Column, own: Column) -> Column:
+        """How many steps surely hold ``take`` values: as many of them as values are ``own`` or beyond the set may be in vain."""
+        wanted = take + F.size(own) + (self.modulus - self.size)
+        return F.when(take > 0, F.least(wanted, F.lit(self.modulus).cast("bigint"))).otherwise(0).cast("bigint")
+
+    def place(self, walk: Column, i: Column) -> Column:
+        return (walk["step"] * i + walk["first"]) % self.modulus
+
+    def draw(self, key: Column, own: Column, take: Column, seed: int | str) -> Column:
+        """The values drawn, as an array; for a set that is a literal."""
+
+        def drawn(w: Column) -> Column:
+            places = F.transform(F.sequence(F.lit(0).cast("bigint"), w["n"] - 1), lambda i: self.place(w["walk"], i).cast("int"))
+            found = F.array_compact(F.transform(places, lambda at: F.get(self.values, at)))
+            return F.when(w["n"] > 0, F.slice(F.array_except(found, own), 1, w["take"])).otherwise(str_array([]))
 
-    def attach(self, draws: DataFrame, position: str) -> DataFrame:
-        """Join ``value`` to rows by position."""
-        side = F.broadcast(self.frame) if self.small else self.frame
-        return draws.join(side.withColumnRenamed("position", position), position)
+        if self.size == 0:
+            return str_array([])
+        return let(F.struct(self.walk(key, seed).alias("walk"), self.steps(take, own).alias("n"), take.cast("int").alias("take")), drawn)
 
 
 def corpus_indexes(facts: DataFrame, sets: Mapping[str, Column], seed: int | str = SEED) -> dict[str, CorpusIndex]:
@@ -48,16 +84,18 @@ def corpus_indexes(facts: DataFrame, sets: Mapping[str, Column], seed: int | str
     kept = durable(facts.select(F.inline(F.concat(*tagged))).where(F.col("value").isNotNull()).distinct())
     stats = kept.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars")).collect()
     sizes = {r["kind"]: (r["n"], r["chars"]) for r in stats}
-    return {name: _index(kept.where(F.col("kind") == name).select("value"), *sizes.get(name, (0, 0)), seed) for name in sets}
-
-
-def _index(values: DataFrame, n: int, chars: int, seed: int | str) -> CorpusIndex:
-    small = n <= SMALL_VALUES and chars <= SMALL_CHARS
-    if small:
-        # At most SMALL_VALUES rows: one task may order them.
-        order = Window.orderBy(seeded_hash(seed, F.col("value")), "value")
-        return CorpusIndex(values.withColumn("position", (F.row_number().over(order) - 1).cast("bigint")), n, True)
-    return CorpusIndex(durable(seeded_rank(values, "value", seed, "position")), n, False)
+    small = [name for name, (n, chars) in sizes.items() if n <= SMALL_VALUES and chars <= SMALL_CHARS]
+    # Within the bounds of each set: one job for all of them.
+    rows = kept.where(F.col("kind").isin(small)).select("kind", "value", seeded_hash(seed, F.col("value")).alias("h")).collect() if small else []
+    out = {}
+    for name in sets:
+        n = sizes.get(name, (0, 0))[0]
+        if n and name not in small:
+            out[name] = CorpusIndex(n, frame=durable(seeded_rank(kept.where(F.col("kind") == name).select("value"), "value", seed, "position")))
+        else:
+            ordered = [value for _, value in sorted((r["h"], r["value"]) for r in rows if r["kind"] == name)]
+            out[name] = CorpusIndex(n, values=F.from_json(F.lit(json.dumps(ordered)), "array<string>"))  # folded to one literal
+    return out
 
 
 def sample_size(available: Column, positives: Column, ratio: int) -> Column:
@@ -68,21 +106,14 @@ def sample_size(available: Column, positives: Column, ratio: int) -> Column:
     return F.when(few, available).otherwise(positives * ratio).cast("bigint")
 
 
-def circular_draw(docs: DataFrame, index: CorpusIndex, key: str, own: str, take: str, seed: int | str) -> DataFrame:
-    """``key, value``: per document the first ``take`` corpus values not in its array ``own``.
-
-    Among ``take + size(own)`` consecutive positions at most ``size(own)`` are the document's own, so that
-    many are enough.
-    """
-    if index.size == 0:
-        return docs.select(key, F.lit(None).cast("string").alias("value")).where(F.lit(False))
-    n = F.lit(index.size).cast("bigint")
-    wanted = F.least(F.col(take) + F.size(own), n)
-    steps = F.when(F.col(take) > 0, F.sequence(F.lit(0).cast("bigint"), wanted - 1))
-    draws = docs.withColumn("__step", F.explode(steps)).withColumn(
-        "__at", F.coalesce(F.pmod(hash_mod(seed, n, F.col(key)) + F.col("__step"), n), F.lit(0))
-    )
-    fetched = index.attach(draws, "__at").where(~F.coalesce(F.array_contains(F.col(own), F.col("value")), F.lit(False)))
+def drawn_values(docs: DataFrame, index: CorpusIndex, key: str, own: str, take: str, seed: int | str) -> DataFrame:
+    """``docs`` with ``value``, a row for each of the first ``take`` corpus values that are not in the array ``own``."""
+    if index.frame is None:
+        return docs.withColumn("value", F.explode(index.draw(F.col(key), F.col(own), F.col(take), seed)))
+    n = index.steps(F.col(take), F.col(own))
+    walks = docs.withColumn("__walk", index.walk(F.col(key), seed)).withColumn("__step", F.explode(F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1))))
+    draws = walks.withColumn("position", index.place(F.col("__walk"), F.col("__step")))
+    fetched = draws.join(index.frame, "position").where(~F.coalesce(F.array_contains(F.col(own), F.col("value")), F.lit(False)))
     order = F.row_number().over(Window.partitionBy(key).orderBy("__step"))
     return fetched.withColumn("__n", order).where(F.col("__n") <= F.col(take)).select(*docs.columns, "value")
 
@@ -93,17 +124,21 @@ def entity_negatives(
     """``key, prompt``: corpus labels the document does not have, sampled by ratio to its own labels."""
     available = F.lit(labels.size) - F.size(own)
     docs = facts.select(key, F.array_compact(own).alias(own)).withColumn("__take", sample_size(available, F.size(own), ratio))
-    return circular_draw(docs, labels, key, own, "__take", seed).select(key, F.col("value").alias("prompt"))
+    return drawn_values(docs, labels, key, own, "__take", seed).select(key, F.col("value").alias("prompt"))
 
 
 def full_relation_negatives(facts: DataFrame, predicates: CorpusIndex, key: str, lang: str = "ch") -> DataFrame:
     """``key, prompt``: every gold subject with every corpus predicate, unless that prompt is a positive."""
     if predicates.size == 0:
         return facts.select(key, F.lit(None).cast("string").alias("prompt")).where(F.lit(False))
+    if predicates.frame is None:
+        each = F.transform("subjects", lambda s: F.transform(predicates.values, lambda p: relation_prompt(s, p, lang)))
+        absent = F.filter(F.flatten(each), lambda x: ~F.coalesce(F.array_contains("prompts", x), F.lit(False)))
+        return facts.select(key, F.explode(absent).alias("prompt"))
     rows = facts.select(key, "prompts", F.explode("subjects").alias("__s")).withColumn(
-        "__at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(predicates.size - 1).cast("bigint")))
+        "position", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(predicates.size - 1).cast("bigint")))
     )
-    prompts = predicates.attach(rows, "__at").withColumn("prompt", relation_prompt(F.col("__s"), F.col("value"), lang))
+    prompts = rows.join(predicates.frame, "position").withColumn("prompt", relation_prompt(F.col("__s"), F.col("value"), lang))
     return prompts.where(~F.coalesce(F.array_contains("prompts", F.col("prompt")), F.lit(False))).select(key, "prompt")
 
 
@@ -181,15 +216,32 @@ def train_relation_negatives(
     shuffled = F.array_sort(
         F.transform("inverse", lambda p, i: F.struct(seeded_hash(seed, F.col(key), i).alias("h"), i.alias("i"), p.alias("p")))
     )
-    pool1 = sized.select(key, F.explode(F.slice(shuffled, 1, take(0).cast("int"))).alias("x")).select(
-        key, F.lit(1).alias("pool"), F.col("x.p").alias("prompt")
-    )
-
-    def random_of(array: str) -> Column:
-        return F.get(F.col(array), hash_mod(f"{seed}:pick", F.size(array), F.col(key), F.col("value")).cast("int"))
-
-    drawn2 = circular_draw(sized.select(key, "predicates", "subjects", take(1).alias("__take")), names, key, "subjects", "__take", seed)
-    pool2 = drawn2.select(key, F.lit(2).alias("pool"), relation_prompt(F.col("value"), random_of("predicates"), lang).alias("prompt"))
-    drawn3 = circular_draw(sized.select(key, "labels", "subjects", take(2).alias("__take")), labels, key, "labels", "__take", seed)
-    pool3 = drawn3.select(key, F.lit(3).alias("pool"), relation_prompt(random_of("subjects"), F.col("value"), lang).alias("prompt"))
-    return pool1.unionByName(pool2).unionByName(pool3)
+    pool1 = F.transform(F.slice(shuffled, 1, take(0).cast("int")), lambda x: F.struct(F.lit(1).alias("pool"), x["p"].alias("prompt")))
+
+    def random_of(array: str, value: Column) -> Column:
+        return F.get(F.col(array), hash_mod(f"{seed}:pick", F.size(array), F.col(key), value).cast("int"))
+
+    def name_prompt(value: Column) -> Column:
+        return relation_prompt(value, random_of("predicates", value), lang)
+
+    def label_prompt(value: Column) -> Column:
+        return relation_prompt(random_of("subjects", value), value, lang)
+
+    rows = sized.select(key, "predicates", "subjects", "labels", "__t", pool1.alias("__pool1"))
+    pools, found = [F.col("__pool1")], []
+    for number, index, own, prompt in ((2, names, "subjects", name_prompt), (3, labels, "labels", label_prompt)):
+        if index.frame is None:
+            drawn = index.draw(F.col(key), F.col(own), take(number - 1), seed)
+            pools.append(_tagged(drawn, number, prompt))
+        else:
+            drawn = drawn_values(rows.select(key, "predicates", "subjects", "labels", take(number - 1).alias("__take")), index, key, own, "__take", seed)
+            found.append(drawn.select(key, F.lit(number).alias("pool"), prompt(F.col("value")).alias("prompt")))
+    # All pools that are drawn in the row come from one pass.
+    out = rows.select(key, F.inline(F.concat(*pools)))
+    for drawn in found:
+        out = out.unionByName(drawn)
+    return out
+
+
+def _tagged(drawn: Column, pool: int, prompt) -> Column:
+    return F.transform(drawn, lambda v: F.struct(F.lit(pool).alias("pool"), prompt(v).alias("prompt")))

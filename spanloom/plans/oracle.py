@@ -347,12 +347,16 @@ def index_of(name: str, column: str) -> str:
 
 
 def draw(name: str, index: str, own: str, take: str) -> str:
-    """The first ``take`` values of the circular order that the document does not have."""
-    size = f"(SELECT count(*) FROM {index})"
+    """The first ``take`` values in the order of the document's permutation that the document does not have."""
+    prime = (
+        f"(SELECT min(p) FROM range(greatest((SELECT count(*) FROM {index}), 2), 2 * (SELECT count(*) FROM {index}) + 3) AS c(p) "
+        "WHERE NOT EXISTS (SELECT 1 FROM range(2, 400) AS d(d) WHERE d * d <= p AND p % d = 0))"
+    )
     return (
-        f"{name} AS (SELECT * FROM (SELECT f.*, x.value, row_number() OVER (PARTITION BY f.doc_id ORDER BY "
-        f"(x.position - {hash_mod('7', size, 'f.doc_id')} + {size}) % {size}) AS rn FROM facts f JOIN {index} x ON NOT list_contains(f.{own}, x.value)) "
-        f"WHERE rn <= {take})"
+        f"{name}_p AS (SELECT {prime} AS p), {name} AS (SELECT * FROM (SELECT f.*, x.value, row_number() OVER (PARTITION BY f.doc_id ORDER BY f.i) AS rn FROM "
+        f"(SELECT g.*, s.i, (({hash_mod('7:step', 'p - 1', 'g.doc_id')} + 1) * s.i + {hash_mod('7', 'p', 'g.doc_id')}) % p AS position "
+        f"FROM facts g, {name}_p, range((SELECT p FROM {name}_p)) AS s(i)) f "
+        f"JOIN {index} x ON x.position = f.position AND NOT list_contains(f.{own}, x.value)) WHERE rn <= {take})"
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,8 +63,14 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", "text")
 
 
+@functools.cache
+def _found() -> Column:
+    """The spans of ``RULES`` in ``text``: one expression, whose parts are put together once."""
+    return rule_spans(F.col("text"), RULES, stand_in_probability)
+
+
 def with_spans(df: DataFrame, rules=None) -> DataFrame:
-    return df.withColumn("spans", rule_spans(F.col("text"), rules or RULES, stand_in_probability))
+    return df.withColumn("spans", rule_spans(F.col("text"), rules, stand_in_probability) if rules else _found())
 
 
 def show_spans(spans: Column, *fields: str) -> Column:
