@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import ERROR_NO_TRAIN, ERROR_RATIO_LENGTH, ERROR_RATIO_SUM, SEED, SPLIT_RATIO
 from ..functions.common import seeded_hash
+from ..session import durable
 
 SPLITS = ("train", "dev", "test")
 
-# A prefix group of at most this many keys is ordered directly; larger ones are refined first.
+# A group of at most this many keys is ordered directly; larger ones are refined first, by so many hex digits.
 DIRECT_ORDER = 100_000
 PREFIX_STEP = 3
 
@@ -32,48 +35,73 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int | str = SEED) -> DataFrame
     return df.withColumn("__h", seeded_hash(seed, F.col(key))).orderBy("__h", key).drop("__h")
 
 
-def _count_by_prefix(keys: DataFrame, prefix: str, width: int) -> list[tuple[str, int]]:
-    """Counts by the next characters of the order key (hex or decimal digits: at most 16**3 rows)."""
-    rows = (
-        keys.where(F.startswith(F.col("k"), F.lit(prefix)))
-        .groupBy(F.substring("k", 1, width).alias("p"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    return sorted((r["p"], r["n"]) for r in rows)
+def order_digits(df: DataFrame, key: str) -> Column:
+    """Hex digits whose order as strings is that of the key: whole numbers with a sign, strings (by bytes), dates, times, booleans.
+
+    A NULL key stops the job: it has no place in the order.
+    """
+    kind, value = df.schema[key].dataType, F.col(f"`{key}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        digits = F.hex(value.cast("binary"))
+    elif isinstance(kind, (T.IntegralType, T.BooleanType)) or (isinstance(kind, T.DecimalType) and kind.scale == 0 and kind.precision <= 18):
+        digits = _signed(value.cast("bigint"))
+    elif isinstance(kind, T.DateType):
+        digits = _signed(F.unix_date(value).cast("bigint"))
+    elif isinstance(kind, T.TimestampType):
+        digits = _signed(F.unix_micros(value))
+    else:
+        raise ValueError(f"A key of type {kind.simpleString()} has no order of digits.")
+    return _not_null(value, digits)
+
+
+def _signed(number: Column) -> Column:
+    """16 hex digits; with the sign bit turned, negative numbers come first."""
+    return F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+
+
+def _not_null(value: Column, digits: Column) -> Column:
+    return F.when(value.isNull(), F.raise_error(F.lit("A split needs a key in every row."))).otherwise(digits)
 
 
-def _key_at(keys: DataFrame, counts: list[tuple[str, int]], position: int) -> str | None:
-    """The order key at a 0-based position, found by refining prefixes; None past the end."""
-    width = PREFIX_STEP
+def _counts(keys: DataFrame, common: str) -> list[tuple[str, str, str, int]]:
+    """``(prefix, first, last, n)`` of the keys that begin with ``common``, by their next digits, in order."""
+    width = len(common) + PREFIX_STEP
+    inside = keys.where(F.startswith("k", F.lit(common))) if common else keys
+    rows = inside.groupBy(F.substring("k", 1, width).alias("p")).agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count(F.lit(1)).alias("n")).collect()  # at most 16**3 + 1
+    return sorted((r["p"], r["a"], r["b"], r["n"]) for r in rows)
+
+
+def _key_at(keys: DataFrame, groups: list[tuple[str, str, str, int]], position: int) -> str | None:
+    """The key at a 0-based position; None past the end.
+
+    A group is narrowed by the digits behind what its first and last key have in common, so long common beginnings cost no pass.
+    """
     while True:
-        for prefix, n in counts:
+        for prefix, first, last, n in groups:
             if position < n:
                 break
             position -= n
         else:
             return None
-        if n <= DIRECT_ORDER or len(prefix) < width:
-            inside = keys.where(F.startswith(F.col("k"), F.lit(prefix)))
-            return inside.orderBy("k").offset(position).limit(1).collect()[0]["k"]
-        width += PREFIX_STEP
-        counts = _count_by_prefix(keys, prefix, width)
-
-
-def _order_key(key: Column, shuffle: bool, seed: int | str) -> Column:
-    """Digits whose string order is the wanted order of a unique integer (or, shuffled, any) key."""
-    return seeded_hash(seed, key) if shuffle else F.lpad(key.cast("bigint").cast("string"), 19, "0")
+        if first == last:
+            return first
+        if n <= DIRECT_ORDER:
+            return keys.where((F.col("k") >= first) & (F.col("k") <= last)).orderBy("k").offset(position).limit(1).collect()[0]["k"]
+        groups = _counts(keys, os.path.commonprefix([first, last]))
 
 
 def _assign(df: DataFrame, key: str, seed: int | str, shuffle: bool, cut_points, out: str) -> tuple[DataFrame, int, int, int]:
-    order = _order_key(F.col(key), shuffle, seed)
-    keys = df.select(order.alias("k"))
-    counts = _count_by_prefix(keys, "", PREFIX_STEP)
-    n = sum(c for _, c in counts)
+    order = _not_null(F.col(f"`{key}`"), seeded_hash(seed, F.col(f"`{key}`"))) if shuffle else order_digits(df, key)
+    # The input is gone through once; counts and cuts read only its keys.
+    keys = durable(df.select(order.alias("k")))
+    groups = _counts(keys, "")
+    if len(groups) == 1:
+        groups = _counts(keys, os.path.commonprefix(groups[0][1:3]))
+    n = sum(g[3] for g in groups)
     p1, p2 = cut_points(n)
     split = F.lit(SPLITS[2])
     for name, position in ((SPLITS[1], p2), (SPLITS[0], p1)):
-        cut = _key_at(keys, counts, position)
+        cut = _key_at(keys, groups, position)
         inside = F.lit(True) if cut is None else order < F.lit(cut)
         split = F.when(inside, F.lit(name)).otherwise(split)
     return df.withColumn(out, split), n, p1, p2
@@ -84,8 +112,9 @@ def split_extraction(
 ) -> DataFrame:
     """Split by ratio with rounded (half-even) cut points; an empty train split is an error.
 
-    The two cut positions are located in the key column alone (counts by hash prefix, then one small
-    group), so the documents themselves are only compared with two literals and never move.
+    The two cut positions are located in a table of the keys alone (counts by their first digits, then one small
+    group), so the documents themselves are only compared with two literals and never move. Without ``shuffle`` the
+    order is that of the key. Rows with one key are not parted.
     """
     check_ratio(ratio)
     split, _, p1, _ = _assign(

@@ -487,6 +487,10 @@ def split_by(table: str, key: str, order: str, p1: str, p2: str) -> str:
 SQL["split_ie"] = split_by("documents", "doc_id", hash_of("1000", "doc_id"), "round_even(n * 0.8::DOUBLE, 0)", "round_even(n * (0.8::DOUBLE + 0.1::DOUBLE), 0)")
 SQL["split_tc"] = split_by("documents", "doc_id", hash_of("1000", "doc_id"), "floor(n * 0.75::DOUBLE)", "floor(n * (0.75::DOUBLE + 0.2::DOUBLE))")
 SQL["split_in_order"] = split_by("orders", "o_orderkey", "o_orderkey", "floor(n * 0.7::DOUBLE)", "floor(n * (0.7::DOUBLE + 0.2::DOUBLE))")
+SQL["split_signed"] = split_by("(SELECT 20000 - o_orderkey AS key FROM orders)", "key", "key", "floor(n * 0.7::DOUBLE)", "floor(n * (0.7::DOUBLE + 0.2::DOUBLE))")
+SQL["split_by_name"] = split_by(
+    "(SELECT 'Kunde/Käufer/' || c_name || '/' || c_mktsegment AS key FROM customer)", "key", "encode(key)", "round_even(n * 0.6::DOUBLE, 0)", "round_even(n * (0.6::DOUBLE + 0.3::DOUBLE), 0)"
+)
 SQL["shuffle_rank"] = f"SELECT o_orderkey, row_number() OVER (ORDER BY {hash_of('1000', 'o_orderkey')}) - 1 AS rank FROM orders"
 SQL["running_ids"] = (
     f"WITH {SPANS}, e AS (SELECT *, row_number() OVER (ORDER BY doc_id, start, e_no, ord) AS eid, row_number() OVER (PARTITION BY doc_id ORDER BY e_no, ord) - 1 AS raw FROM spans), "

@@ -519,6 +519,18 @@ def split_in_order(spark, folder):
     return splits.split_classification(docs, "o_orderkey", [0.7, 0.2, 0.1], shuffle=False)
 
 
+def split_signed(spark, folder):
+    """Keys below and above zero, in their order."""
+    docs = table(spark, folder, "orders").select((F.lit(20_000) - F.col("o_orderkey")).cast("bigint").alias("key"))
+    return splits.split_classification(docs, "key", [0.7, 0.2, 0.1], shuffle=False)
+
+
+def split_by_name(spark, folder):
+    """String keys with a long common beginning, in the order of their bytes."""
+    docs = table(spark, folder, "customer").select(F.concat(F.lit("Kunde/Käufer/"), F.col("c_name"), F.lit("/"), F.col("c_mktsegment")).alias("key"))
+    return splits.split_extraction(docs, "key", [0.6, 0.3, 0.1], shuffle=False)
+
+
 def shuffle_rank(spark, folder):
     return ranks.seeded_rank(table(spark, folder, "orders").select("o_orderkey"), "o_orderkey", 1000)
 
@@ -867,6 +879,8 @@ QUERIES: dict[str, Query] = {
     "split_ie": split_ie,
     "split_tc": split_tc,
     "split_in_order": split_in_order,
+    "split_signed": split_signed,
+    "split_by_name": split_by_name,
     "shuffle_rank": shuffle_rank,
     "running_ids": running_ids,
     "label_examples": label_examples,

@@ -1,3 +1,4 @@
+import datetime
 import math
 import random
 
@@ -309,3 +310,60 @@ def test_merge_counts_beyond_a_bigint(spark):
 
     counts = spark.createDataFrame([("x", 4 * 10**9, 4 * 10**9)], "k string, left_rows bigint, right_rows bigint")
     assert _totals(counts).first()["merged_rows"] is None  # more than a BIGINT: never equal to the rows of one side
+
+
+@pytest.mark.parametrize("direct", [100_000, 0])
+def test_splits_in_order_of_any_key(spark, monkeypatch, direct):
+    """Negative numbers, strings with long common beginnings and beginnings of each other, dates: as sorted by Python."""
+    monkeypatch.setattr(splits, "DIRECT_ORDER", direct)
+    day = datetime.date(1969, 12, 20)
+    cases = [
+        ("bigint", [-(1 << 63), -10, -5, -1, 0, 3, 7, (1 << 63) - 1, 12, 100]),
+        ("string", ["", "a", "aa", "ab", "b", "é", "甲", "甲乙", "𠀀", "Z"]),
+        ("string", [f"a very long common beginning {n:03d}" for n in range(40)]),
+        ("date", [day + datetime.timedelta(days=n) for n in range(20)]),
+    ]
+    for kind, keys in cases:
+        df = spark.createDataFrame([(k,) for k in keys][::-1], f"`the key` {kind}")
+        got = {r[0]: r[1] for r in splits.split_classification(df, "the key", [0.5, 0.3, 0.2], shuffle=False).collect()}
+        ordered = sorted(keys, key=lambda k: k.encode() if isinstance(k, str) else k)
+        p1, p2 = int(len(keys) * 0.5), int(len(keys) * 0.8)
+        assert got == {k: "train" if i < p1 else "dev" if i < p2 else "test" for i, k in enumerate(ordered)}
+    for bad in ([("a",), (None,)],):
+        for shuffle in (True, False):
+            with pytest.raises(Exception, match="needs a key"):
+                splits.split_classification(spark.createDataFrame(bad, "k string"), "k", [0.5, 0.3, 0.2], shuffle=shuffle).collect()
+    with pytest.raises(ValueError, match="no order of digits"):
+        splits.split_classification(spark.createDataFrame([(0.5,)], "k double"), "k", [0.5, 0.3, 0.2], shuffle=False)
+
+
+def test_one_scan_of_the_input_for_a_split(spark, tmp_path, monkeypatch):
+    """All counts and cuts read the table of keys; the input is read for it and for the result."""
+    monkeypatch.setattr(splits, "DIRECT_ORDER", 2)
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(500).mapInArrow(seen, "id bigint")
+    rows = splits.split_extraction(df, "id", [0.5, 0.3, 0.2]).groupBy("split").count().collect()
+    assert {r[0]: r[1] for r in rows} == {"train": 250, "dev": 150, "test": 100} and counted.value == 1000
+
+
+def test_permutation_of_a_document(spark):
+    """Every value is drawn once, in an order of the document's own; the row is never exchanged."""
+    assert [negatives.prime_from(n) for n in (0, 2, 8, 9, 14, 90)] == [2, 2, 11, 11, 17, 97]
+    facts = spark.createDataFrame([(k, [f"v{k}", "v3", None]) for k in range(12)], "k int, labels array<string>")
+    index = negatives.corpus_indexes(facts, {"labels": F.col("labels")}, 5)["labels"]
+    assert index.size == 12 and index.frame is None
+    frame = negatives.entity_negatives(facts, index, "k", -1, 5)
+    assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in frame.collect():
+        got.setdefault(r.k, []).append(r.prompt)
+    assert all(sorted(got[k]) == sorted({f"v{n}" for n in range(12)} - {f"v{k}", "v3"}) for k in range(12))
+    assert len({tuple(v) for v in got.values()}) == 12
+    few = negatives.entity_negatives(facts, index, "k", 2, 5).groupBy("k").count().collect()
+    assert [r["count"] for r in few] == [4] * 12
