@@ -3,14 +3,15 @@
 Both public byte-pair vocabularies cut a text at white space before anything else happens, so the ids of a text are
 the ids of its units (a word, for one of them with the white space before it) one after the other, and the ids of a
 unit those of its pieces. The distinct units of a slice of texts are looked up once; the library's model encodes a
-piece that is new. Whatever this does not cover (odd white space, letters beyond Latin, a vocabulary with other
-rules) is encoded by the library as a whole.
+piece that is new. Whatever this does not cover (odd white space, letters beyond Latin, the vocabulary's own special
+tokens spelt out in a text, a vocabulary with other rules) is encoded by the library as a whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = sorted({t.content for t in self.whole.get_added_tokens_decoder().values()})
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        self.added_bytes = re.compile("|".join(map(re.escape, added)).encode(), re.IGNORECASE) if added else None
         self.model, self.letters = self.whole.model, byte_letters()
         self.spaces, pattern, self.lower = self._rules(json.loads(self.whole.to_str()))
         self.cut = regex.compile(pattern).findall if pattern else None
@@ -82,15 +85,25 @@ class Encoder:
     def ids(self, text: str) -> list[int]:
         return self.whole.encode(text, add_special_tokens=False).ids
 
+    def _tokens(self, spelt: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
     def _piece(self, piece: str) -> bytes:
-        spelt = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(spelt)], "<u4").tobytes()
+        return self._tokens(piece.encode().decode("latin-1").translate(self.letters))
 
     def _unit(self, unit: str) -> bytes:
-        if self.cut is None or _BEYOND_LATIN.search(unit) or _ODD_SPACE.search(unit):
+        """The ids of a unit of letters up to U+024F, which are their own composed form, and plain white space."""
+        unit = unit.lower() if self.lower else unit
+        space = unit[0] == " "
+        if (unit[1:] if space else unit).isalpha():
+            # A run of letters is one piece; most words are, and most of them come once.
+            return self._tokens(("Ġ" + unit[1:] if space else unit) if unit.isascii() else unit.encode().decode("latin-1").translate(self.letters))
+        return b"".join([self.pieces[p] for p in self.cut(unit)])
+
+    def _odd_unit(self, unit: str) -> bytes:
+        if self.cut is None or _BEYOND_LATIN.search(unit) or _ODD_SPACE.search(unit) or (self.added and self.added.search(unit)):
             return np.array(self.ids(unit), "<u4").tobytes()
-        # Letters up to U+024F are their own composed form.
-        return b"".join([self.pieces[p] for p in self.cut(unit.lower() if self.lower else unit)])
+        return self._unit(unit)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = Words(column)
@@ -108,9 +121,12 @@ class Encoder:
         odd = np.zeros(len(first), bool)
         if self.spaces == "whole":
             odd[:] = True
-        elif _MAYBE_ODD.search(data):
-            for i, (a, b) in enumerate(zip(first.tolist(), last.tolist(), strict=True)):
-                odd[i] = _MAYBE_ODD.search(data, a, b) is not None and _ODD_SPACE.search(data[a:b].decode()) is not None
+        else:
+            spelt = self.added_bytes is not None and self.added_bytes.search(data) is not None
+            if spelt or _MAYBE_ODD.search(data):
+                for i, (a, b) in enumerate(zip(first.tolist(), last.tolist(), strict=True)):
+                    odd[i] = _MAYBE_ODD.search(data, a, b) is not None and _ODD_SPACE.search(data[a:b].decode()) is not None
+                    odd[i] |= spelt and self.added_bytes.search(data, a, b) is not None
         if odd.any():
             keep, alone = ~odd[doc], np.flatnonzero(odd)
             start, end, doc = np.concatenate([start[keep], first[alone]]), np.concatenate([end[keep], last[alone]]), np.concatenate([doc[keep], alone])
@@ -119,13 +135,17 @@ class Encoder:
             start, end, doc = start[order], end[order], doc[order]
         codes, where, which = np.unique(words.range_codes(start, end), return_index=True, return_inverse=True)
         values = list(map(self.units.get, codes.tolist()))
-        for i in [i for i, v in enumerate(values) if v is None]:
-            a, b = int(start[where[i]]), int(end[where[i]])
-            values[i] = self._unit(data[a:b].decode())
+        new = np.array([i for i, v in enumerate(values) if v is None], np.int64)
+        if len(self.units) + len(new) > UNITS_KEPT:
+            self.units.clear()
+        # Bytes that may belong to anything but plain white space and letters up to U+024F.
+        doubtful = np.concatenate([[0], np.cumsum((words.data >= 0xC9) | (words.data == 0xC2) | ((words.data >= 0x1C) & (words.data <= 0x1F)))])
+        begin, stop = start[where[new]], end[where[new]]
+        slow = (doubtful[stop] > doubtful[begin]) | (self.cut is None) | odd[doc[where[new]]]
+        for i, code, a, b, by_rule in zip(new.tolist(), codes[new].tolist(), begin.tolist(), stop.tolist(), (~slow).tolist(), strict=True):
+            values[i] = value = (self._unit if by_rule else self._odd_unit)(data[a:b].decode())
             if b - a <= 200:
-                if len(self.units) >= UNITS_KEPT:
-                    self.units.clear()
-                self.units[int(codes[i])] = values[i]
+                self.units[code] = value
         flat = np.frombuffer(b"".join(values), "<u4")
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
         begins = np.cumsum(sizes) - sizes

@@ -1,13 +1,16 @@
 """Words and word windows of many texts at once, as 64-bit fingerprints in numpy.
 
 A word is a maximal run of bytes outside ``20 09-0D``. Its fingerprint is a polynomial over per-byte random
-numbers modulo 2^64, taken from running sums, then mixed; a window's is the same over its words' fingerprints.
+numbers modulo 2^64, taken from running sums, then mixed; a window's is the same over its words' fingerprints. Such
+polynomials meet themselves on some long patterns (two letters in the order of Thue and Morse), so a range of more
+than ``SUMMED`` bytes has a hash of its bytes in its place.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from .common import text_buffer, worker_state
 
@@ -15,6 +18,8 @@ U64 = np.uint64
 _BYTE_BASE, _BYTE_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _WORD_BASE, _WORD_INVERSE = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
 _SECOND_BASE, _SECOND_INVERSE = 0xA0761D6478BD642F, pow(0xA0761D6478BD642F, -1, 1 << 64)
+#: Longer ranges of bytes are hashed one by one.
+SUMMED = 64
 _SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
@@ -34,7 +39,7 @@ def _tables() -> dict:
     space[list(_SPACES)] = True
     lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
-    return {"numbers": numbers, "lowered": numbers[lower], "space": space}
+    return {"numbers": numbers, "lowered": numbers[lower], "space": space, "lower": lower}
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -53,6 +58,7 @@ class Words:
     def __init__(self, column: pa.Array, lower: bool = False):
         tables = worker_state("word_tables", _tables)
         self.data, self.bounds = text_buffer(column)
+        self.lower = lower
         n = len(self.data)
         black = ~tables["space"][self.data]
         edge = np.zeros(n + 1, bool)  # a row begins here
@@ -75,7 +81,13 @@ class Words:
 
     def range_codes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The fingerprints of byte ranges."""
-        return mix((self._sums[end] - self._sums[start]) * powers(_BYTE_INVERSE, len(self.data) + 1)[start])
+        codes = mix((self._sums[end] - self._sums[start]) * powers(_BYTE_INVERSE, len(self.data) + 1)[start])
+        long = np.flatnonzero(end - start > SUMMED)
+        if len(long):
+            lower = worker_state("word_tables", _tables)["lower"]
+            for i, a, b in zip(long.tolist(), start[long].tolist(), end[long].tolist(), strict=True):
+                codes[i] = xxhash.xxh3_64_intdigest((lower[self.data[a:b]] if self.lower else self.data[a:b]).tobytes())
+        return codes
 
     def windows(self, size: int, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """``(at, code)``: the word at which each window of ``size`` words begins, and the window's fingerprint."""

@@ -45,7 +45,6 @@ def encoded(name, text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary(name))
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -454,3 +453,35 @@ def test_warc(spark):
     empty = warc.record_folder(spark)
     warc.write_records(warc.derived(warc.responses(pages.limit(0), "2024-01-01T00:00:00Z")), empty)
     assert warc.read_records(spark, empty).count() == 0
+
+
+def thue_morse(n):
+    """Two words of ``2 ** n`` letters, each the other's mirror, which every polynomial modulo 2^64 takes for equal from some length on."""
+    bits = [bin(i).count("1") & 1 for i in range(1 << n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_long_patterns_and_special_tokens(name):
+    import pyarrow as pa
+
+    from spanloom.llm.encoding import Encoder
+
+    texts = [w for n in (5, 6, 10, 11) for w in thue_morse(n)]
+    texts += ["a <|endoftext|> b", "<|startoftext|>x", "<|ENDOFTEXT|>", "<|endoftext|>", "x<|endoftext|>y plain words", "plain words 12 isn't   it?", "É é\tẞß ñandú İstanbul", "", None, "甲乙 words", "a b", "caf\xe9\xa0x «y»"]
+    flat, counts = Encoder(vocabulary(name)).encode(pa.array(texts * 2))
+    ends = np.cumsum(counts)
+    assert [flat[e - n : e].tolist() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)] == [encoded(name, t) for t in texts * 2]
+
+
+def test_codes_of_long_patterns():
+    import pyarrow as pa
+
+    from spanloom.llm.words import Words
+
+    for n in (10, 11, 12):
+        for lower in (False, True):
+            one, other = Words(pa.array(list(thue_morse(n))), lower).code.tolist()
+            assert one != other
+    same = Words(pa.array(["X" * 500, "x" * 500, "x" * 500 + " y"]), lower=True)
+    assert len(set(same.code.tolist())) == 2
