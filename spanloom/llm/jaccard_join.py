@@ -38,6 +38,8 @@ TABLE_ROWS = 20_000
 FANOUT = 16
 #: At most so many frequent shingles are put last in the order: the most frequent. The order is only a matter of speed.
 FREQUENT = 50_000
+#: So many of its blocks each set knows when all pairs are listed; no block's code is NO_BLOCK or the number before it.
+FIRST_BLOCKS, NO_BLOCK = 4, (1 << 63) - 1
 _SKETCH = "doc_id bigint, row_key bigint, node bigint, n int, prefix binary, point binary"
 
 
@@ -202,11 +204,17 @@ class CountTree:
 def block_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, share: int, nearest: bool) -> DataFrame:
     """``a, b``: pairs within a block, of different labels, that the points allow; from blocks of three and more.
 
-    With ``nearest`` each member has only the pair with the highest bound.
+    With ``nearest`` each member has only the pair with the highest bound. Without it every pair comes; two sets that
+    have one of their first ``FIRST_BLOCKS`` blocks in common are a pair there and not in later blocks.
     """
     named = members.filter("members > 2").join(labels, "node", "left").select("code", "node", "members", F.coalesce("root", "node").alias("label"))
     mixed = named.groupBy("code").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("code")
     sized = named.join(mixed, "code").join(sets.select("node", "n"), "node")
+    if nearest:
+        sized = sized.withColumn("firsts", F.array().cast("array<bigint>"))
+    else:
+        own = Window.partitionBy("node").orderBy("code").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        sized = sized.withColumn("firsts", F.array(*[F.coalesce(F.nth_value("code", k).over(own), F.lit(NO_BLOCK)) for k in range(1, FIRST_BLOCKS + 1)]))
     # In a block of one tree, a member without another of its size, give or take the threshold, has no partner.
     small = F.col("members") <= TREE_MEMBERS
     by_size = Window.partitionBy("code", F.when(small, 0).otherwise(F.xxhash64("node"))).orderBy("n", "node")
@@ -218,8 +226,8 @@ def block_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, share: i
     part = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
     rows = rows.withColumn("cuts", cuts).withColumn("part", part)
     other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other")
-    rows = rows.select("code", "node", "label", "n", "point", "part", other).select(
-        "code", "node", "label", "n", "point", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
+    rows = rows.select("code", "node", "label", "n", "point", "firsts", "part", other).select(
+        "code", "node", "label", "n", "point", "firsts", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
     )
     tasks = parts_for(rows.count(), 50_000, 4)
     spread = rows.repartition(tasks, "code", "low", "high").sortWithinPartitions("code", "low", "high")
@@ -231,12 +239,16 @@ def block_pairs(members: DataFrame, sets: DataFrame, labels: DataFrame, share: i
             d = min(map(len, values))
             points = np.stack([folded(v, d) for v in values]).astype(np.int32)
             tree, one, two = CountTree(points, n), [], []
+            code, firsts = block["code"][0].as_py(), block["firsts"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
             across = block["low"][0].as_py() != block["high"][0].as_py()
             for i in range(len(node)):
                 near = tree.near(points[i], int(n[i]), share)
                 near = near[(node[near] < node[i]) & (label[near] != label[i])]
                 if across:  # pairs within a part are found where the part meets itself
                     near = near[part[near] != part[i]]
+                if len(near) and not nearest:
+                    shared = firsts[near][:, :, None] == np.where(firsts[i] < code, firsts[i], NO_BLOCK - 1)
+                    near = near[~shared.any((1, 2))]
                 near = near[[may_link(values[i], int(n[i]), values[j], int(n[j]), share) for j in near]] if len(near) else near
                 if nearest and len(near) > 1:
                     bound = np.minimum(points[near], points[i]).sum(1)
