@@ -75,7 +75,9 @@ def _numbers() -> str:
     ones, tens, large = _tree(list(NUMBERS)[1:10]), _tree(TENS), _tree(LARGE)
     words = rf"(?:({tens}){gap}({ones}){end}|({_tree([*NUMBERS, *TENS, *OTHER_NUMBERS])}){end})"
     rest = rf"(?:{gap}({large}){end}(?:{gap}(?:and{gap})?{words})?)?"
-    return rf"(?<![\d\x01\p{{L}}])(?:\x01[pq])?(?:(\d[\d.,:]*\d|\d)|{words}){rest}{rest}"
+    # The letters that can begin a match are looked at first: that is cheaper than to look behind.
+    first = "".join(sorted({w[0] for w in (*NUMBERS, *TENS, *OTHER_NUMBERS)}))
+    return rf"(?=[\d\x01{first}])(?<![\d\x01\p{{L}}])(?:\x01[pq])?(?:(\d[\d.,:]*\d|\d)|{words}){rest}{rest}"
 
 
 def marked(text: Column) -> Column:
@@ -84,8 +86,8 @@ def marked(text: Column) -> Column:
     n is a number, u its unit, p a name within a sentence, q another word with a capital.
     """
     # A capital in the midst of a sentence: after a small letter or a comma, and one space.
-    named = F.regexp_replace(text, f"(?<=[{_LOWER},;] )(?=[{_UPPER}][{_LOWER}])", _MARK + "P")
-    capitals = F.lower(F.regexp_replace(named, rf"(?<!\S)({_PUNCTUATION[:-1]}*+)(?=\p{{Lu}}\p{{Ll}})", f"$1{_MARK}Q"))
+    named = F.regexp_replace(text, f"(?=[{_UPPER}][{_LOWER}])(?<=[{_LOWER},;] )", _MARK + "P")
+    capitals = F.lower(F.regexp_replace(named, rf"(?=[\p{{Lu}}{_PUNCTUATION[1:-2]}])(?<!\S)({_PUNCTUATION[:-1]}*+)(?=\p{{Lu}}\p{{Ll}})", f"$1{_MARK}Q"))
     numbers = F.regexp_replace(capitals, _numbers(), f" {_MARK}n{''.join(f'${k}' for k in range(1, 13))}\x02 ")
     units = F.regexp_replace(numbers, rf"\x02\s*({'|'.join(sorted(UNITS, key=len, reverse=True))}|%|€|\$|£)(?![\p{{L}}\d])", f" {_MARK}u$1")
     return F.trim(F.regexp_replace(F.regexp_replace(units, _PUNCTUATION[:-2] + "\x02]+", ""), r"\s+", " "))
@@ -139,7 +141,7 @@ def windows(words: Column, width: int, step: int) -> Column:
 
 def _value(word: Column) -> Column:
     """The word without the mark of a name, so that a name equals its copy in another case."""
-    return F.regexp_replace(word, r"\x01[pq]", "")
+    return F.replace(F.replace(word, F.lit(_MARK + "p")), F.lit(_MARK + "q"))
 
 
 def _number(value: Column) -> Column:
