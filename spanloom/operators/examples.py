@@ -158,13 +158,13 @@ def resolved_relations(df: DataFrame, relations: str = "relations", lang: str =
     return stop_on(found.withColumn(REASON, F.coalesce(earlier, F.col("__t.reason"))).drop("__t"), strict)
 
 
-def resolve_relations(relations: DataFrame, entities: DataFrame, doc: str = "doc_id") -> DataFrame:
+def resolve_relations(relations: DataFrame, entities: DataFrame, doc: str = "doc_id", order: str = "ord") -> DataFrame:
     """The same for long tables: two equi joins on (document, entity id).
 
-    Of entities with one id the one that begins last counts. A relation with an unknown end or without a label stays,
+    Of entities with one id the last counts, by the column ``order``; a table without it is ordered by start. A relation with an unknown end or without a label stays,
     with a ``reject_reason``.
     """
-    last = F.max(F.struct("start", "end", "name"))
+    last = F.max(F.struct(*([order] if order in entities.columns else []), "start", "end", "name"))
     e = entities.groupBy(doc, "id").agg(last.alias("x")).select(doc, "id", "x.name", "x.start", "x.end")
     subject = e.select(doc, F.col("id").alias("from_id"), F.col("name").alias("subject"))
     obj = e.select(doc, F.col("id").alias("to_id"), F.col("name").alias("object"), "start", "end")

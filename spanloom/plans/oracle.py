@@ -62,18 +62,25 @@ SQL["clean_text"] = (
 
 # --- regularising -----------------------------------------------------------------------------------
 
-_MOVED = (
-    f"WITH hits AS ({hits_of(RULE_PAIRS + [('line', NUMBER_LINE)])}), "
-    "d AS (SELECT doc_id, text AS raw, translate(text, {S}, '') AS short FROM documents), "
-    "n AS (SELECT h.doc_id, e_no, entity, ord, "
-    "start - (length(substr(raw, 1, start)) - length(translate(substr(raw, 1, start), {S}, ''))) AS start, "
-    "\"end\" - (length(substr(raw, 1, \"end\" - 1)) - length(translate(substr(raw, 1, \"end\" - 1), {S}, ''))) AS \"end\", "
-    "replace(translate(h.text, {S}, ''), '\\n', '') AS text, short FROM hits h JOIN d USING (doc_id)), "
-    "c AS (SELECT *, substr(short, start + 1, \"end\" - start) <> text AS bad FROM n), "
-    "f AS (SELECT *, bool_or(bad) OVER (PARTITION BY doc_id) AS reject FROM c) "
-).replace("{S}", SPECIALS)
-SQL["regularize_spans"] = _MOVED + 'SELECT doc_id, entity, ord, start, "end", text FROM f WHERE NOT reject'
-SQL["regularize_rejects"] = _MOVED + (
+def moved(planted: bool = False) -> str:
+    """Spans of cleaned texts; planted: of every seventh document the first span has another text."""
+    text = "replace(translate(h.text, {S}, ''), '\\n', '')"
+    if planted:
+        text += " || CASE WHEN h.doc_id % 7 = 3 AND row_number() OVER (PARTITION BY h.doc_id ORDER BY e_no, ord) = 1 THEN 'x' ELSE '' END"
+    return (
+        f"WITH hits AS ({hits_of(RULE_PAIRS + [('line', NUMBER_LINE)])}), "
+        "d AS (SELECT doc_id, text AS raw, translate(text, {S}, '') AS short FROM documents), "
+        "n AS (SELECT h.doc_id, e_no, entity, ord, "
+        "start - (length(substr(raw, 1, start)) - length(translate(substr(raw, 1, start), {S}, ''))) AS start, "
+        "\"end\" - (length(substr(raw, 1, \"end\" - 1)) - length(translate(substr(raw, 1, \"end\" - 1), {S}, ''))) AS \"end\", "
+        f"{text} AS text, short FROM hits h JOIN d USING (doc_id)), "
+        "c AS (SELECT *, substr(short, start + 1, \"end\" - start) <> text AS bad FROM n), "
+        "f AS (SELECT *, bool_or(bad) OVER (PARTITION BY doc_id) AS reject FROM c) "
+    ).replace("{S}", SPECIALS)
+
+
+SQL["regularize_spans"] = moved() + 'SELECT doc_id, entity, ord, start, "end", text FROM f WHERE NOT reject'
+SQL["regularize_rejects"] = moved(planted=True) + (
     "SELECT doc_id, 'slice [' || start || ',' || \"end\" || ') differs from span text' AS reason FROM "
     "(SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY e_no, ord) AS rn FROM f WHERE bad) WHERE rn = 1"
 )
@@ -446,33 +453,41 @@ _ASPECT = (
 SQL["aspect_prompts"] = f"WITH {_CORPUS}, {_ASPECT} SELECT doc_id, prompt, {back_spans('classes')} AS result FROM asp"
 
 
-def example_counts(negatives: str, ratio: int) -> str:
+def example_rows(negatives: str, ratio: int) -> str:
     keep = (
         f"(CASE WHEN ceil(({_LABELS_N} - len(labels)) / len(labels)::DOUBLE) <= {ratio} THEN {_LABELS_N} ELSE {ratio} * len(labels) END)" if ratio >= 0 else _LABELS_N
     )
     own = "" if "lidx AS" in negatives else f", {index_of('lidx', 'labels')}"
     table = "train_neg" if "train_neg" in negatives else "full_neg"
+    aspect = options_prompt("name || '的情感倾向'", ["rich", "poor", "late"], "doc_id", "id - 1")
     return (
-        f"WITH {_CORPUS}, {negatives}{own}, {draw('dl', 'lidx', 'labels', keep)}, rows_all AS ("
-        "SELECT 'entity' AS kind, FALSE AS negative, label AS prompt FROM (SELECT DISTINCT doc_id, label FROM ent) "
-        "UNION ALL SELECT 'relation', FALSE, prompt FROM (SELECT DISTINCT doc_id, prompt FROM trip) "
-        "UNION ALL SELECT 'aspect', FALSE, name || '的情感倾向[rich,poor,late]' FROM ent WHERE classes IS NOT NULL "
-        "UNION ALL SELECT 'entity', TRUE, value FROM dl "
-        f"UNION ALL SELECT 'relation', TRUE, prompt FROM {table}) "
-        "SELECT kind, negative, count(*) AS n, sum(length(prompt))::BIGINT AS prompt_chars FROM rows_all GROUP BY kind, negative"
+        f"WITH {_CORPUS}, {negatives}{own}, {draw('dl', 'lidx', 'labels', keep)}, asp AS (SELECT doc_id, classes, {aspect} AS prompt FROM ent WHERE classes IS NOT NULL), rows_all AS ("
+        "SELECT doc_id, 'entity' AS kind, label AS prompt, string_agg(name || ':' || start || ':' || (start + length(name)), '|' ORDER BY id) AS result FROM ent GROUP BY doc_id, label "
+        "UNION ALL SELECT doc_id, 'relation', prompt, string_agg(object || ':' || start || ':' || \"end\", '|' ORDER BY i) FROM trip GROUP BY doc_id, prompt "
+        f"UNION ALL SELECT doc_id, 'aspect', prompt, {back_spans('classes')} FROM asp "
+        "UNION ALL SELECT doc_id, 'entity', value, '' FROM dl "
+        f"UNION ALL SELECT doc_id, 'relation', prompt, '' FROM {table}) "
+        "SELECT doc_id, kind, md5(n || ' ' || a || ' ' || s) AS content_md5, prompt, result FROM rows_all JOIN c USING (doc_id)"
     )
 
 
-SQL["extraction_examples"] = example_counts(_POOLS, 5)
-SQL["dev_examples"] = example_counts(_FULL, -1)
+SQL["extraction_examples"] = example_rows(_POOLS, 5)
+SQL["dev_examples"] = example_rows(_FULL, -1)
 SQL["relation_resolve"] = (
-    "SELECT a.conv_id AS doc_id, a.turn AS from_id, b.turn AS to_id, 'answers' AS type, a.role AS subject, b.role AS object, 0::BIGINT AS start, length(b.text)::BIGINT AS \"end\" "
-    "FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1"
+    "WITH e AS (SELECT conv_id AS doc_id, turn AS id, 1 AS ord, role AS name, 0 AS start, length(text) AS \"end\" FROM conversations "
+    "UNION ALL SELECT conv_id, turn, CASE WHEN conv_id % 2 = 0 THEN 0 ELSE 2 END, 'other', 7, 9 FROM conversations WHERE turn % 3 = 1), "
+    "l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY doc_id, id ORDER BY ord DESC) = 1), "
+    "r AS (SELECT conv_id AS doc_id, turn AS from_id, CASE WHEN conv_id % 13 = 5 THEN turn + 1000 ELSE turn - 1 END AS to_id, CASE WHEN conv_id % 11 <> 0 THEN 'answers' END AS type FROM conversations WHERE turn > 0) "
+    "SELECT r.doc_id, r.from_id::BIGINT AS from_id, r.to_id::BIGINT AS to_id, type, a.name AS subject, b.name AS object, b.start::BIGINT AS start, b.\"end\"::BIGINT AS \"end\", "
+    "CASE WHEN type IS NULL THEN 'relation without a label' WHEN a.name IS NULL OR b.name IS NULL THEN 'relation to an unknown entity' END AS reason "
+    "FROM r LEFT JOIN l a ON a.doc_id = r.doc_id AND a.id = r.from_id LEFT JOIN l b ON b.doc_id = r.doc_id AND b.id = r.to_id"
 )
 SQL["relation_types"] = f"WITH {_CORPUS} SELECT predicate AS relation, count(*) AS n FROM (SELECT DISTINCT doc_id, prompt, predicate FROM trip) GROUP BY predicate"
 _CLS = f"cls AS (SELECT doc_id, [lang] AS labels, {options_prompt(quote('language'), ['en', 'fr', 'de', 'es'], 'doc_id')} AS prompt FROM documents)"
 SQL["cls_prompts"] = f"WITH {_CLS} SELECT doc_id, prompt, {back_spans('labels')} AS result FROM cls"
-SQL["unify_prompts"] = "SELECT 'language[de,en,es,fr]' AS prompt, count(*) AS n FROM documents"
+SQL["unify_prompts"] = (
+    "SELECT doc_id, 'kind of ' || lang || CASE WHEN doc_id % 3 <> 0 THEN '[' || array_to_string(list_sort(list_distinct([source, 'en', lang])), ',') || ']' ELSE '' END AS prompt FROM documents"
+)
 
 # --- splits and ids ---------------------------------------------------------------------------------
 
@@ -519,8 +534,10 @@ SQL["label_rejects"] = (
     "FROM lab WHERE list_has_any(names, ['de', 'es'])"
 )
 _RAW_ROWS = (
-    f"raw_rows AS (SELECT CASE WHEN doc_id % 5 = 0 THEN 'no' ELSE text END AS a, CASE WHEN doc_id % 7 = 0 THEN 1 ELSE {len(LABELS)} END AS n, "
-    "CASE WHEN doc_id % 2 = 0 THEN [doc_id % 3, 5] ELSE [1] END AS l FROM documents)"
+    "raw_rows AS (SELECT text AS a, "
+    f"CASE WHEN doc_id % 7 = 0 THEN 1 ELSE {len(LABELS)} END AS n, "
+    "CASE WHEN doc_id % 2 = 0 THEN [doc_id % 3, 5] ELSE [1] END AS l "
+    "FROM (SELECT doc_id, text FROM documents UNION ALL SELECT doc_id, 'no' FROM documents WHERE doc_id % 5 = 0))"
 )
 SQL["label_filter_stats"] = (
     f"WITH {_RAW_ROWS} SELECT count(*) FILTER (WHERE n >= 2 AND length(a) >= 3) AS kept, count(*) FILTER (WHERE NOT (n >= 2 AND length(a) >= 3)) AS skipped FROM raw_rows"
@@ -641,4 +658,68 @@ SQL["validate_examples"] = (
     "SELECT reason, count(*) AS n FROM w WHERE reason IS NOT NULL GROUP BY reason"
 )
 
+# --- files ------------------------------------------------------------------------------------------
+
+_OWN_LABELLED = (
+    "lab AS (SELECT doc_id, string_split(text, chr(10)) AS parts, text, "
+    "list_filter([CASE WHEN quality = 1 THEN 'quality' END, CASE WHEN toxic = 1 THEN 'toxic' END, lang], lambda x: x IS NOT NULL) AS names "
+    "FROM labels JOIN documents USING (doc_id)), "
+    "sp AS (SELECT doc_id, CASE WHEN rn < floor(n * 0.7::DOUBLE) THEN 'train' WHEN rn < floor(n * (0.7::DOUBLE + 0.2::DOUBLE)) THEN 'dev' ELSE 'test' END AS split "
+    f"FROM (SELECT doc_id, row_number() OVER (ORDER BY {hash_of('11', 'doc_id')}) - 1 AS rn, count(*) OVER () AS n FROM lab))"
+)
+SQL["files_label_job"] = (
+    f"WITH {_OWN_LABELLED} SELECT split, md5(CASE WHEN len(parts) = 1 THEN text ELSE array_to_string(parts[1:len(parts) - 1], '') END) AS a_md5, "
+    "md5(CASE WHEN len(parts) = 1 THEN '' ELSE parts[len(parts)] END) AS b_md5, '' AS question, "
+    f"{quote(','.join(LABELS))} AS choices, array_to_string(list_transform(names, lambda x: list_position({_VOCABULARY}, x) - 1), ',') AS labels FROM lab JOIN sp USING (doc_id)"
+)
+SQL["files_label_job_one_split"] = (
+    f"WITH {_OWN_LABELLED} SELECT split, count(*) AS n, sum(length(replace(text, chr(10), '')))::BIGINT AS chars FROM lab, (VALUES ('train'), ('dev'), ('test')) AS v(split) GROUP BY split"
+)
+SQL["files_choice_job"] = (
+    f"WITH {_CLS}, sp AS (SELECT doc_id, CASE WHEN rn < floor(n * 0.5::DOUBLE) THEN 'train' WHEN rn < floor(n * (0.5::DOUBLE + 0.3::DOUBLE)) THEN 'dev' ELSE 'test' END AS split "
+    f"FROM (SELECT doc_id, row_number() OVER (ORDER BY {hash_of('7', 'doc_id')}) - 1 AS rn, count(*) OVER () AS n FROM documents)) "
+    f"SELECT split, md5(d.text) AS content_md5, prompt, {back_spans('labels')} AS result FROM cls JOIN sp USING (doc_id) JOIN documents d USING (doc_id)"
+)
+# Documents are numbered anew by the job.
+SQL["files_extraction_job"] = (
+    example_rows(_POOLS, 5)
+    .replace("SELECT doc_id, kind, md5(", "SELECT 'train' AS split, kind, md5(")
+    .replace("SELECT c_custkey AS doc_id, c_name AS n,", "SELECT row_number() OVER (ORDER BY c_custkey) AS doc_id, c_name AS n,")
+)
+SQL["files_annotations"] = moved() + (
+    "SELECT d.doc_id, md5(d.short) AS text_md5, count(f.entity) AS n_spans, "
+    "coalesce(string_agg(f.entity || ':' || f.start || ':' || f.\"end\" || ':' || f.text, '|' ORDER BY f.raw_start, f.e_no, f.ord), '') AS spans "
+    "FROM d LEFT JOIN (SELECT f.*, h.start AS raw_start FROM f JOIN hits h USING (doc_id, e_no, ord)) f USING (doc_id) GROUP BY d.doc_id, d.short"
+)
+SQL["files_verdicts"] = "SELECT doc_id::VARCHAR AS jid, lang AS jtitle, md5(text) AS text_md5, length(text)::BIGINT AS n_chars FROM documents"
+SQL["files_text_lines"] = f"SELECT md5(trim(translate(text, chr(10) || chr(13), '  '), {BLANKS})) AS line_md5, count(*) AS n FROM documents GROUP BY 1"
+SQL["files_prompt_splits"] = (
+    f"WITH {SPANS}, g AS (SELECT doc_id, entity, string_agg(start || ':' || \"end\" || ':' || text, '|' ORDER BY start) AS result FROM spans GROUP BY doc_id, entity), "
+    + "sp AS ("
+    + split_by("documents", "doc_id", hash_of("1000", "doc_id"), "round_even(n * 0.8::DOUBLE, 0)", "round_even(n * (0.8::DOUBLE + 0.1::DOUBLE), 0)")
+    + f") SELECT sp.split, n.entity AS prompt, md5(d.text) AS content_md5, coalesce(g.result, '') AS result, NULL::VARCHAR AS reason "
+    f"FROM documents d JOIN sp USING (doc_id) CROSS JOIN {NAMES} LEFT JOIN g ON g.doc_id = d.doc_id AND g.entity = n.entity"
+)
+SQL["files_flat_table"] = (
+    f"WITH {SPANS}, best AS ({ranked()}) SELECT d.doc_id, {_FLAT} FROM documents d LEFT JOIN best b USING (doc_id) GROUP BY d.doc_id"
+)
+SQL["files_merge_job"] = SQL["merge_results"]
+SQL["files_corpus_layouts"] = (
+    f"WITH {_CORPUS} SELECT c.doc_id, md5(n || ' ' || a || ' ' || s) AS text_md5, "
+    "(SELECT string_agg((CASE WHEN c.doc_id % 4 = 0 THEN e.id - 1 ELSE e.id END) || ':' || (CASE WHEN classes IS NULL THEN label ELSE label || '##' || array_to_string(classes, '##') END) "
+    "|| ':' || e.start || ':' || (e.start + length(e.name)), '|' ORDER BY e.id) FROM ent e WHERE e.doc_id = c.doc_id) AS entities, "
+    "CASE WHEN c.doc_id % 4 = 0 THEN '' ELSE coalesce((SELECT string_agg(r.i || ':' || r.f || ':' || r.t || ':' || r.p, '|' ORDER BY r.i) FROM rel r WHERE r.doc_id = c.doc_id), '') END AS relations FROM c"
+)
+SQL["files_span_evaluation"] = SQL["span_prf_by_class"]
+SQL["files_label_predictions"] = (
+    f"WITH {_LOGITS} SELECT vec_id AS id, coalesce(string_agg(i::VARCHAR, ',' ORDER BY i) FILTER (WHERE h = 1), '') AS labels, "
+    "round(coalesce(sum(p) FILTER (WHERE h = 1), 0), 6) AS prob_sum FROM dec GROUP BY vec_id"
+)
+SQL["files_label_metrics"] = SQL["multilabel_metrics"]
+SQL["files_shortened"] = shrunk() + (
+    ", sp AS ("
+    + split_by("documents", "doc_id", hash_of("1000", "doc_id"), "round_even(n * 0.8::DOUBLE, 0)", "round_even(n * (0.8::DOUBLE + 0.1::DOUBLE), 0)")
+    + ") SELECT short.doc_id, split, length(text)::BIGINT AS short_len, md5(text) AS short_md5 FROM short JOIN sp USING (doc_id)"
+)
+
 ORACLE: dict[str, str] = SQL

@@ -104,7 +104,10 @@ def regularize_spans(spark, folder):
 
 
 def regularize_rejects(spark, folder):
-    return validate.rejected(_regularized(spark, folder)).select("doc_id", F.col("reject_reason").alias("reason"))
+    """Of every seventh document the first span has another text than its slice."""
+    docs = with_spans(documents(spark, folder), {**RULES, "line": Rule(first=NUMBER_LINE)})
+    wrong = F.transform("spans", lambda x, i: x.withField("text", F.when((i == 0) & (F.col("doc_id") % 7 == 3), F.concat(x["text"], F.lit("x"))).otherwise(x["text"])))
+    return validate.rejected(regularize(docs.withColumn("spans", wrong))).select("doc_id", F.col("reject_reason").alias("reason"))
 
 
 def extract(spark, folder):
@@ -459,26 +462,38 @@ def aspect_prompts(spark, folder):
     return out.select("doc_id", "prompt", show_spans(F.col("result_list"), "text", "start", "end").alias("result"))
 
 
+def _example_rows(out: DataFrame) -> DataFrame:
+    shown = out.select("doc_id", "kind", digest(F.col("content")).alias("content_md5"), "prompt", show_spans(F.col("result_list"), "text", "start", "end").alias("result"))
+    return wide_ints(shown)
+
+
 def extraction_examples(spark, folder):
-    """The whole conversion for training, counted by kind and polarity."""
+    """The whole conversion for training."""
     out = examples.build_extraction_examples(customer_corpus(spark, folder), "doc_id", 5, options=["rich", "poor", "late"], seed=7)
-    return out.groupBy("kind", (F.size("result_list") == 0).alias("negative")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("prompt")).alias("prompt_chars"))
+    return _example_rows(out)
 
 
 def dev_examples(spark, folder):
     """The whole conversion for evaluation: all negatives."""
     out = examples.build_extraction_examples(customer_corpus(spark, folder), "doc_id", -1, options=["rich", "poor", "late"], seed=7, is_train=False)
-    return out.groupBy("kind", (F.size("result_list") == 0).alias("negative")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("prompt")).alias("prompt_chars"))
+    return _example_rows(out)
 
 
 def relation_resolve(spark, folder):
-    """Each turn answers the turn before it: relation ends are looked up by (conversation, turn)."""
-    turns = table(spark, folder, "conversations")
-    entities = turns.select(
-        F.col("conv_id").alias("doc_id"), F.col("turn").alias("id"), F.col("role").alias("name"), F.lit(0).alias("start"), F.length("text").alias("end")
+    """Each turn answers the turn before it: relation ends are looked up by (conversation, turn).
+
+    Planted: a second entity for every third turn's id, listed first or last; relations to no entity; relations without a label.
+    """
+    turns = table(spark, folder, "conversations").select(F.col("conv_id").alias("doc_id"), "turn", "role", "text")
+    own = turns.select("doc_id", F.col("turn").alias("id"), F.lit(1).alias("ord"), F.col("role").alias("name"), F.lit(0).alias("start"), F.length("text").alias("end"))
+    doubled = turns.where("turn % 3 = 1").select(
+        "doc_id", F.col("turn").alias("id"), F.when(F.col("doc_id") % 2 == 0, 0).otherwise(2).alias("ord"), F.lit("other").alias("name"), F.lit(7).alias("start"), F.lit(9).alias("end")
     )
-    relations = turns.where("turn > 0").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("from_id"), (F.col("turn") - 1).alias("to_id"), F.lit("answers").alias("type"))
-    return wide_ints(examples.resolve_relations(relations, entities).select("doc_id", "from_id", "to_id", "type", "subject", "object", "start", "end"))
+    kind = F.when(F.col("doc_id") % 11 != 0, F.lit("answers"))
+    to = F.when(F.col("doc_id") % 13 == 5, F.col("turn") + 1000).otherwise(F.col("turn") - 1)
+    relations = turns.where("turn > 0").select("doc_id", F.col("turn").alias("from_id"), to.alias("to_id"), kind.alias("type"))
+    found = examples.resolve_relations(relations, own.unionByName(doubled))
+    return wide_ints(found.select("doc_id", "from_id", "to_id", "type", "subject", "object", "start", "end", F.col("reject_reason").alias("reason")))
 
 
 def relation_types(spark, folder):
@@ -501,7 +516,11 @@ def cls_prompts(spark, folder):
 
 
 def unify_prompts(spark, folder):
-    return _class_prompts(spark, folder).groupBy(unify_prompt(F.col("x.prompt")).alias("prompt")).agg(F.count(F.lit(1)).alias("n"))
+    """Options in any order and doubled; every third prompt has none."""
+    c = F.col
+    options = F.when(c("doc_id") % 3 != 0, F.concat(F.lit("["), F.concat_ws(",", c("source"), F.lit("en"), c("lang"), c("source")), F.lit("]"))).otherwise(F.lit(""))
+    docs = table(spark, folder, "documents").select("doc_id", F.concat(F.lit("kind of "), c("lang"), options).alias("prompt"))
+    return docs.select("doc_id", unify_prompt(F.col("prompt")).alias("prompt"))
 
 
 def split_ie(spark, folder):
@@ -593,8 +612,11 @@ def label_rejects(spark, folder):
 
 
 def _raw_label_rows(spark, folder):
-    return table(spark, folder, "documents").select(
-        F.when(F.col("doc_id") % 5 == 0, F.lit("no")).otherwise(F.col("text")).alias("text_a"),  # every fifth is planted: too short
+    """Every document, and for every fifth a row of its own that is too short."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rows = docs.unionByName(docs.where("doc_id % 5 = 0").withColumn("text", F.lit("no")))
+    return rows.select(
+        F.col("text").alias("text_a"),
         F.lit("").alias("question"),
         F.when(F.col("doc_id") % 7 == 0, F.array(F.lit("one"))).otherwise(str_array(LABELS)).alias("choices"),
         F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("["), (F.col("doc_id") % 3).cast("string"), F.lit(", 5]"))).otherwise(F.lit("1")).alias("labels"),

@@ -61,11 +61,13 @@ def compare(spark, con, folder, name, query, sql):
 
 
 if __name__ == "__main__":
+    from spanloom.plans.file_queries import FILE_QUERIES
     from spanloom.plans.oracle import ORACLE
     from spanloom.plans.queries import QUERIES
     from spanloom.session import local_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    QUERIES = {**QUERIES, **FILE_QUERIES}
     names = sys.argv[2:] or list(QUERIES)
     spark, con = local_session("compare", 8, 8), connect(folder)
     for name in names:
