@@ -12,8 +12,10 @@ numbers and names is found, and a chance template is not.
 Benchmark windows begin at every word, document windows only at every ``width``-th: a run of ``2 width - 1`` words
 holds one of them wherever it begins.
 
-Cases: a NULL or empty text is clean; items of fewer than ``shortest`` words identify nothing and are left out;
-repeated rows have equal results; rows without an id are judged too; of several items the smallest id is named; an
+An item of fewer than ``shortest`` words has no template worth its name: its words are looked for as they are, all of
+them in a row, at the bounds of words. Letters of scripts without blanks are words of their own if the benchmark has any.
+
+Cases: a NULL or empty text is clean, an item without words is nowhere; repeated rows have equal results; rows without an id are judged too; of several items the smallest id is named; an
 empty table gives no rows and an empty benchmark finds nothing; very long texts are searched whole; further columns
 are not looked at.
 """
@@ -28,7 +30,7 @@ from .common import parts_for, row_key, written
 
 #: A run of this many template words is a leak; of a shorter item, all its words.
 RUN = 13
-#: Items of fewer words are left out.
+#: Items of fewer words are looked for word by word.
 SHORTEST = 5
 #: Words of a window at most; it has up to 2 to this power codes, if all its words are names.
 WIDEST = 7
@@ -54,6 +56,8 @@ OTHER_NUMBERS = (
     "zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend "
     "dos tres cuatro cinco seis siete ocho nueve diez doce trece catorce quince veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa"
 ).split()
+# Scripts that write no blanks between words (Thai, Lao, Burmese, Khmer, kana, Han).
+UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]"
 _MARK = "\x01"
 _UPPER, _LOWER = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
 _PUNCTUATION = "[!-/:-@\\[-`{-~¡-¿×÷‐-‧‰-⁞]+"
@@ -233,11 +237,39 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
 
 
+def _short_hits(rows: DataFrame, items: DataFrame, lengths: list[int], words_of) -> DataFrame:
+    """``row_key, item_id, matched_words, verbatim``: rows that hold all words of a short item in a row."""
+    probes = written(items.select("item_id", F.col("item_words").alias("own"), F.xxhash64("item_words").alias("code")))
+
+    def codes(words: Column) -> Column:
+        def of(n: int) -> Column:
+            at = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
+            return F.transform(at, lambda i: F.xxhash64(F.slice(words, i + 1, n)))
+
+        return F.array_distinct(F.concat(*[of(n) for n in lengths]))
+
+    pieces = rows.select("row_key", F.explode(let(words_of(F.col("text")), codes)).alias("code"))
+    small = probes.count() <= BROADCAST_ROWS
+    hits = pieces.join(F.broadcast(probes) if small else probes, "code").select("row_key", "item_id", "own").distinct()
+    texts = rows.select("row_key", "text").distinct()
+    looked = hits.join(texts, "row_key").withColumn("words", F.explode(F.array(words_of(F.col("text")))))
+    places = F.sequence(F.lit(1), F.greatest(F.size("words") - F.size("own") + 1, F.lit(1)))
+    held = F.exists(places, lambda i: F.slice(F.col("words"), i, F.size("own")) == F.col("own"))
+    return looked.filter(held).select("row_key", "item_id", F.size("own").alias("matched_words"), F.lit(True).alias("verbatim"))
+
+
 def _found(rows: DataFrame, benchmark: DataFrame, run: int, shortest: int, item_col: str, item_text: str) -> DataFrame:
     """``row_key, item_id, matched_words, verbatim`` of the rows with a leak, written."""
-    items = benchmark.select(F.col(f"`{item_col}`").cast("bigint").alias("item_id"), F.coalesce(F.col(f"`{item_text}`"), F.lit("")).alias("t"))
-    items = items.select("item_id", surfaces(F.col("t")).alias("item_words"), templates(F.col("t")).alias("item"))
-    items = written(items.filter(F.size("item_words") >= shortest).distinct())
+    items = benchmark.select(F.col(f"`{item_col}`").cast("bigint").alias("item_id"), F.coalesce(F.col(f"`{item_text}`").cast("string"), F.lit("")).alias("t"))
+    if not items.filter(F.col("t").rlike(UNSPACED)).isEmpty():
+        items = items.withColumn("t", F.regexp_replace("t", f"({UNSPACED})", " $1 "))
+        rows = rows.withColumn("text", F.regexp_replace("text", f"({UNSPACED})", " $1 "))
+    items = written(items.select("item_id", surfaces(F.col("t")).alias("item_words"), templates(F.col("t")).alias("item")).distinct())
+    short = items.filter((F.size("item_words") > 0) & (F.size("item_words") < shortest))
+    lengths = sorted(r[0] for r in short.select(F.size("item_words")).distinct().collect())  # fewer than `shortest`
+    bare = lambda text: F.transform(surfaces(text), _value)  # noqa: E731  a name is its word, in any case
+    brief = _short_hits(rows, short.withColumn("item_words", F.transform("item_words", _value)), lengths, bare) if lengths else None
+    items = items.filter(F.size("item_words") >= shortest)
     least = items.agg(F.min(F.size("item_words"))).first()[0] or run
     width = min((min(run, least) + 1) // 2, WIDEST)
     probes = written(items.select("item_id", F.inline(windows(F.col("item"), width, 1))).withColumnRenamed("at", "item_at").distinct())
@@ -255,8 +287,9 @@ def _found(rows: DataFrame, benchmark: DataFrame, run: int, shortest: int, item_
     looked = hits.join(texts, "row_key").join(items.select("item_id", "item_words"), "item_id")
     need = F.least(F.lit(run), F.size("item_words"))
     looked = looked.select("row_key", "item_id", _aligned(F.col("words"), F.col("item_words"), F.col("shift"), need).alias("found"))
-    found = looked.filter(F.col("found.length") > 0)
-    found = found.groupBy("row_key").agg(F.min("item_id").alias("item_id"), F.max("found.length").alias("matched_words"), F.bool_or("found.verbatim").alias("verbatim"))
+    found = looked.filter(F.col("found.length") > 0).select("row_key", "item_id", F.col("found.length").alias("matched_words"), F.col("found.verbatim").alias("verbatim"))
+    found = found if brief is None else found.unionByName(brief)
+    found = found.groupBy("row_key").agg(F.min("item_id").alias("item_id"), F.max("matched_words").alias("matched_words"), F.bool_or("verbatim").alias("verbatim"))
     return written(found.coalesce(parts))
 
 
@@ -273,4 +306,4 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN, shortes
     """The rows of ``docs`` in which no benchmark item is found."""
     found = _found(_rows(docs, id_col, text_col), benchmark, run, shortest, "item_id", "text").select(F.col("row_key").alias("leak_key"))
     key = row_key(F.col(f"`{id_col}`").cast("bigint"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    return docs.join(found, key == F.col("leak_key"), "left_anti")
+    return docs.join(found, key == found["leak_key"], "left_anti")

@@ -379,4 +379,4 @@ def without_similar(docs: DataFrame, size: int = 5, share: int = 80, id_col: str
     first = placed.groupBy("root").agg(F.min(order)["row_key"].alias("stays"), F.count("*").alias("rows"))
     gone = placed.join(first.filter("rows > 1"), "root").filter("row_key <> stays").select(F.col("row_key").alias("gone_key")).distinct()
     key = row_key(F.col(f"`{id_col}`").cast("bigint"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    return docs.join(gone, key == F.col("gone_key"), "left_anti")
+    return docs.join(gone, key == gone["gone_key"], "left_anti")

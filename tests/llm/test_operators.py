@@ -485,3 +485,18 @@ def test_codes_of_long_patterns():
             assert one != other
     same = Words(pa.array(["X" * 500, "x" * 500, "x" * 500 + " y"]), lower=True)
     assert len(set(same.code.tolist())) == 2
+
+
+def test_short_and_unspaced_items(spark):
+    """Items of few words are found whole and as they are, those of scripts without blanks by their letters."""
+    items = [(1, "Name the capital"), (2, "7 + 5"), (3, "北京是中国的首都吗"), (4, ""), (5, None), (6, "東京")]
+    docs = [
+        (1, "Please NAME the capital, now"), (2, "name a capital"), (3, "What is 7 + 5?"), (4, "What is 7 + 6?"), (5, "問：北京是中国的首都吗？"), (6, "北京不是中国的首都"),
+        (7, "我在東京都"), (8, "京東"), (9, None), (10, ""), (11, "the capital"), (None, "name the capital"), (12, "unnamed the capitals"),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {r["doc_id"]: r["item_id"] for r in decontaminate.leaks(frame, bench).collect() if r["contaminated"]}
+    assert got == {1: 1, 3: 2, 5: 3, 7: 6, None: 1}
+    kept = decontaminate.without_leaks(frame.withColumn("leak_key", F.lit("x")), bench)
+    assert {r["doc_id"] for r in kept.collect()} == {2, 4, 6, 8, 9, 10, 11, 12}

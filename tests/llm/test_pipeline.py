@@ -55,3 +55,18 @@ def test_exact_dedup_against_sql(spark):
     got = QUERIES["op2_exact_dedup"](spark, FOLDER).toPandas()
     order = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
     assert sorted(map(tuple, got[order].values.tolist())) == sorted(map(tuple, sql[order].values.tolist()))
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
+def test_stages_with_clashing_columns(spark):
+    clash = ["score", "gone_key", "leak_key", "row_key", "root", "kept_0", "row", "body", "item_id", "code"]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").filter("doc_id < 60")
+    docs = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in clash])
+    plain = docs.select(*COLUMNS)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, FOLDER)
+        assert kept.columns == docs.columns, name
+        rows = kept.collect()
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in clash), name
+        assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in stage(spark, plain, FOLDER).collect()), name
+    assert corpus_pipeline.pack(spark, docs, FOLDER).count() >= docs.count()
