@@ -26,8 +26,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents at or above the quality cut, learnt from the labels that are not held out."""
     may_learn = F.coalesce(id_remainder(5) != 0, F.lit(False))
     model = quality.quality_model(docs, table(spark, sf_dir, "labels"), may_learn, threshold=0.3)
-    scored = quality.scored(docs.withColumn("text", F.coalesce("text", F.lit(""))), model)
-    return scored.filter("score >= 0.3").select(*docs.columns)
+    # Further columns pass under names of their own, whatever they are called.
+    names = [c if c == "text" else f"kept_{n}" for n, c in enumerate(docs.columns)]
+    scored = quality.scored(docs.toDF(*names).withColumn("text", F.coalesce("text", F.lit(""))), model)
+    return scored.filter("score >= 0.3").select(*names).toDF(*docs.columns)
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
