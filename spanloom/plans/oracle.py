@@ -259,6 +259,10 @@ SQL["position_vectors"] = "WITH " + chunked(CHUNK_LEN, RULE_PAIRS) + (
     "array_to_string(list_transform(inside, lambda x: x.a - cs + length(prompt) + 2), ',') AS starts, "
     "array_to_string(list_transform(inside, lambda x: x.b - cs + length(prompt) + 1), ',') AS ends FROM pieces"
 )
+SQL["model_window_spans"] = (
+    f"WITH spans AS ({hits_of([('digits', '[0-9]+'), ('capitals', '[A-Z]+')])}) SELECT doc_id, entity, "
+    "row_number() OVER (PARTITION BY doc_id, entity ORDER BY start) - 1 AS ord, start, \"end\", text, 1.0::DOUBLE AS probability FROM spans WHERE \"end\" - start < 40"
+)
 SQL["pad_bucket"] = (
     "SELECT doc_id, CASE WHEN length(text) + 3 <= 128 THEN 128 WHEN length(text) + 3 <= 256 THEN 256 WHEN length(text) + 3 <= 512 THEN 512 "
     "WHEN length(text) + 3 <= 1024 THEN 1024 ELSE 512 END::BIGINT AS bucket FROM documents"

@@ -14,7 +14,7 @@ from ..functions.common import half_even, let, str_array
 from ..functions.prompts import classification_example, relation_type, unify_prompt
 from ..functions.rules import Rule, default_rules, rule_spans, stand_in_probability
 from ..functions.text import WHITESPACE, clean_text, has_fullwidth_space
-from ..operators import annotate, examples, metrics, negatives, ranks, scoring, shrink, splits, validate
+from ..operators import annotate, examples, metrics, negatives, ranks, scoring, shrink, splits, validate, windows
 from ..operators import merge as merging
 from ..operators import spans as span_ops
 from ..operators.chunk import chunk_documents, chunk_examples
@@ -321,6 +321,27 @@ def position_vectors(spark, folder):
     )
 
 
+def character_model():
+    """A model without weights: runs of digits, or of capitals, are sure; a run's first and last characters start and end it."""
+    import numpy as np
+
+    bounds = {"digits": (48, 57), "capitals": (65, 90)}
+
+    def score(prompts, contents):
+        for prompt, content in zip(prompts, contents, strict=True):
+            codes = np.frombuffer(content.encode("utf-32-le"), "<u4")
+            inside = np.concatenate([[False], (codes >= bounds[prompt][0]) & (codes <= bounds[prompt][1]), [False]])
+            yield (inside[1:-1] & ~inside[:-2]).astype(float), (inside[1:-1] & ~inside[2:]).astype(float)
+
+    return score
+
+
+def model_window_spans(spark, folder):
+    """Spans of a batch model over windows, as of whole documents."""
+    found = windows.model_spans(documents(spark, folder), character_model, ["digits", "capitals"], window=256, overlap=40)
+    return wide_ints(found.select("doc_id", F.inline("spans")))
+
+
 def pad_bucket(spark, folder):
     n = F.length("text") + 3
     return wide_ints(documents(spark, folder).select("doc_id", tokens.padding_bucket(n, [1024, 128, 512, 256], CHUNK_LEN).alias("bucket")))
@@ -876,6 +897,7 @@ QUERIES: dict[str, Query] = {
     "chunk_lenient": chunk_lenient,
     "token_align": token_align,
     "position_vectors": position_vectors,
+    "model_window_spans": model_window_spans,
     "pad_bucket": pad_bucket,
     "greedy_dedup": greedy_dedup,
     "span_windows": span_windows,

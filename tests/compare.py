@@ -61,6 +61,7 @@ def compare(spark, con, folder, name, query, sql):
 
 
 if __name__ == "__main__":
+    import __spark_entry__  # noqa: F401  functions go to workers by value
     from spanloom.plans.file_queries import FILE_QUERIES
     from spanloom.plans.oracle import ORACLE
     from spanloom.plans.queries import QUERIES
