@@ -3,19 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import label_map
 from ..functions.rules import Rule
 from ..schemas import SPANS
+from .label_fit import LabelModel
 from .metrics import multilabel_metrics
 from .spans import extract_spans, select_spans
 
@@ -73,93 +69,6 @@ def infer_spans(
 # --- multi-label classifier ----------------------------------------------------------------------
 
 
-def char_ngrams(text: Column, n: int) -> Column:
-    """All n-grams of the whole text, one per position."""
-    return F.when(
-        F.length(text) >= n, F.regexp_extract_all(F.lower(text), F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
-    ).otherwise(F.array(F.lower(text)))
-
-
-@dataclass
-class LabelModel:
-    """A hashing step and one linear model per label."""
-
-    labels: list[str]
-    featurizer: PipelineModel
-    models: list[LogisticRegressionModel | float]
-    ngram: int
-
-    def features(self, df: DataFrame, text: str) -> DataFrame:
-        return self.featurizer.transform(df.withColumn("__grams", char_ngrams(F.col(text), self.ngram)))
-
-    def logits(self, df: DataFrame, text: str = "text", out: str = "logits") -> DataFrame:
-        """Add one logit per label."""
-        df = self.features(df, text)
-        columns = []
-        for i, model in enumerate(self.models):
-            if isinstance(model, float):
-                columns.append(F.lit(model))
-                continue
-            raw, prob, pred = f"__raw{i}", f"__prob{i}", f"__pred{i}"
-            df = model.copy().setRawPredictionCol(raw).setProbabilityCol(prob).setPredictionCol(pred).transform(df)
-            columns.append(vector_to_array(F.col(raw))[1])
-        df = df.withColumn(out, F.array(*columns))
-        return df.drop("__grams", "__features", *[f"__{k}{i}" for i in range(len(self.models)) for k in ("raw", "prob", "pred")])
-
-
-def fit_labels(
-    train: DataFrame,
-    labels: Sequence[str],
-    text: str = "text",
-    truth: str = "labels",
-    dev: DataFrame | None = None,
-    ngram: int = 3,
-    n_features: int = 1 << 16,
-    strengths: Sequence[float] = (0.1,),
-    max_iter: int = 20,
-) -> tuple[LabelModel, DataFrame | None]:
-    """Fit one logistic regression per label on hashed character n-grams; keep the best setting on ``dev`` by macro F1.
-
-    ``truth`` is a 0/1 vector. Returns the model and its metrics on ``dev``.
-    """
-    featurizer = Pipeline(stages=[HashingTF(inputCol="__grams", outputCol="__features", numFeatures=n_features, binary=True)]).fit(
-        train.withColumn("__grams", char_ngrams(F.col(text), ngram))
-    )
-    base = LabelModel(list(labels), featurizer, [], ngram)
-    data = base.features(train, text).select("__features", truth).persist()
-    try:
-        positives = data.agg(
-            F.count(F.lit(1)).alias("n"), *[F.sum(F.get(F.col(truth), F.lit(i))).alias(f"p{i}") for i in range(len(labels))]
-        ).first()
-        best: tuple[float, LabelModel, DataFrame | None] | None = None
-        for strength in strengths:
-            models: list[LogisticRegressionModel | float] = []
-            for i in range(len(labels)):
-                p = positives[f"p{i}"] or 0
-                if p == 0 or p == positives["n"]:
-                    # Never or always true: nothing to learn.
-                    models.append(-20.0 if p == 0 else 20.0)
-                    continue
-                target = data.select("__features", F.get(F.col(truth), F.lit(i)).cast("double").alias("__y"))
-                lr = LogisticRegression(featuresCol="__features", labelCol="__y", regParam=strength, maxIter=max_iter)
-                models.append(lr.fit(target))
-            candidate = LabelModel(list(labels), featurizer, models, ngram)
-            if dev is None:
-                return candidate, None
-            metrics = evaluate_labels(candidate, dev, text, truth)
-            row = metrics.first()
-            if best is None or row["macro_f1"] > best[0]:
-                best = (row["macro_f1"], candidate, df_of(metrics, row))
-        assert best is not None
-        return best[1], best[2]
-    finally:
-        data.unpersist()
-
-
-def df_of(like: DataFrame, row) -> DataFrame:
-    return like.sparkSession.createDataFrame([row], like.schema)
-
-
 def evaluate_labels(model: LabelModel, df: DataFrame, text: str = "text", truth: str = "labels") -> DataFrame:
     from .metrics import predictions
 

