@@ -115,6 +115,21 @@ def sharded(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
     return assigned(rows, store_map(docs.sparkSession, path or map_folder(docs.sparkSession), first))
 
 
+def resharded(docs: DataFrame, path: str, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
+    """Edit the last version of the stored map by the loads of ``docs``, store it as the next one and apply it.
+
+    Slots move only off shards above the mean, and off shards that are no more; ``shards`` is the former number if not given.
+    """
+    versions = docs.sparkSession.read.schema(_MAP).parquet(path)
+    last = versions.agg(F.max("version")).first()[0]
+    before = {r["slot"]: r["shard"] for r in read_map(docs.sparkSession, path, last).collect()}  # one row for each slot
+    shards = shards or max(before.values()) + 1
+    rows = records(docs, id_col, text_col, slots)
+    loads = slot_loads(rows)
+    kept = {s: k if k < shards else s % shards for s, k in before.items()}
+    return assigned(rows, store_map(docs.sparkSession, path, map_rows(last + 1, rebalanced(loads, shards, kept, slots), loads)))
+
+
 def write_shards(docs: DataFrame, slot_map: DataFrame, path: str, id_col: str = "doc_id", slots: int = SLOTS) -> None:
     """The documents in one folder for each shard; a shard's slots may be written by several tasks."""
     small = slot_map.select(F.col("slot").alias("__slot"), F.col("shard"))

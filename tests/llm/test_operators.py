@@ -331,6 +331,28 @@ def test_sharding(spark, docs, none):
     assert max(weights.values()) - min(weights.values()) <= 200
 
 
+def test_resharding_documents(spark):
+    """A stored map is edited by new documents: full shards give slots away, the others keep theirs, and old versions stay."""
+    path = sharding.map_folder(spark)
+    first = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.lit(20)).alias("text"))
+    old = {r["virtual_slot"]: r["shard"] for r in sharding.sharded(first, 4, path=path).collect()}
+    heavy = first.withColumn("text", F.when(sharding.slot_of(F.col("doc_id")).isin([s for s, k in old.items() if k == 0]), F.repeat(F.lit("x"), F.lit(200))).otherwise(F.col("text")))
+    rows = sharding.resharded(heavy, path).collect()
+    new = {r["virtual_slot"]: r["shard"] for r in rows}
+    assert len(rows) == 4000 and {r["map_version"] for r in rows} == {2}
+    moved = {s for s in old if new[s] != old[s]}
+    assert moved and {old[s] for s in moved} == {0}
+    sizes, places = collections.Counter(), collections.defaultdict(list)
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+    assert max(sizes.values()) - min(sizes.values()) < 0.01 * sum(sizes.values())
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert {r["slot"]: r["shard"] for r in sharding.read_map(spark, path, 1).collect() if r["slot_rows"]} == old
+    fewer = sharding.resharded(heavy, path, 2).collect()
+    assert {r["shard"] for r in fewer} == {0, 1} and {r["map_version"] for r in fewer} == {3} and len(fewer) == 4000
+
+
 def test_write_shards(spark, docs):
     rows = sharding.records(docs)
     loads = sharding.slot_loads(rows)
