@@ -85,7 +85,7 @@ def _numbers() -> str:
 
 
 def marked(text: Column) -> Column:
-    """The text without case and punctuation, with slots as ``\\x01`` and a letter before their value.
+    """The text without case and punctuation, words between blanks, with slots as ``\\x01`` and a letter before their value.
 
     n is a number, u its unit, p a name within a sentence, q another word with a capital.
     """
@@ -94,11 +94,15 @@ def marked(text: Column) -> Column:
     capitals = F.lower(F.regexp_replace(named, rf"(?=[\p{{Lu}}{_PUNCTUATION[1:-2]}])(?<!\S)({_PUNCTUATION[:-1]}*+)(?=\p{{Lu}}\p{{Ll}})", f"$1{_MARK}Q"))
     numbers = F.regexp_replace(capitals, _numbers(), f" {_MARK}n{''.join(f'${k}' for k in range(1, 13))}\x02 ")
     units = F.regexp_replace(numbers, rf"\x02\s*({'|'.join(sorted(UNITS, key=len, reverse=True))}|%|€|\$|£)(?![\p{{L}}\d])", f" {_MARK}u$1")
-    return F.trim(F.regexp_replace(F.regexp_replace(units, _PUNCTUATION[:-2] + "\x02]+", ""), r"\s+", " "))
+    bare = F.regexp_replace(units, _PUNCTUATION[:-2] + "\x02]+", "")
+    for white in "\t\n\x0b\f\r":
+        bare = F.replace(bare, F.lit(white), F.lit(" "))
+    return bare
 
 
 def _split(words: Column) -> Column:
-    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
+    """What stands between blanks, however many these are."""
+    return F.array_remove(F.split(words, " "), "")
 
 
 def surfaces(text: Column) -> Column:
