@@ -123,7 +123,7 @@ def entity_negatives(
 ) -> DataFrame:
     """``key, prompt``: corpus labels the document does not have, sampled by ratio to its own labels."""
     available = F.lit(labels.size) - F.size(own)
-    docs = facts.select(key, F.array_compact(own).alias(own)).withColumn("__take", sample_size(available, F.size(own), ratio))
+    docs = facts.select(key, F.array_distinct(F.array_compact(own)).alias(own)).withColumn("__take", sample_size(available, F.size(own), ratio))
     return drawn_values(docs, labels, key, own, "__take", seed).select(key, F.col("value").alias("prompt"))
 
 
