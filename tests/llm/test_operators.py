@@ -332,7 +332,7 @@ def test_sharding(spark, docs, none):
 
 
 def test_resharding_documents(spark):
-    """A stored map is edited by new documents: full shards give slots away, the others keep theirs, and old versions stay."""
+    """A stored map is edited by new documents: shards above the mean give slots away until all are even, and old versions stay."""
     path = sharding.map_folder(spark)
     first = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.lit(20)).alias("text"))
     old = {r["virtual_slot"]: r["shard"] for r in sharding.sharded(first, 4, path=path).collect()}
@@ -341,7 +341,7 @@ def test_resharding_documents(spark):
     new = {r["virtual_slot"]: r["shard"] for r in rows}
     assert len(rows) == 4000 and {r["map_version"] for r in rows} == {2}
     moved = {s for s in old if new[s] != old[s]}
-    assert moved and {old[s] for s in moved} == {0}
+    assert 0 in {old[s] for s in moved} and len(moved) < len(old)
     sizes, places = collections.Counter(), collections.defaultdict(list)
     for r in rows:
         sizes[r["shard"]] += r["size"]
