@@ -21,7 +21,7 @@ from .common import worker_state
 from .words import Words
 
 #: Units and pieces that a worker keeps; a full cache starts anew.
-UNITS_KEPT, PIECES_KEPT = 600_000, 400_000
+UNITS_KEPT, PIECES_KEPT = 200_000, 150_000
 # Fixed value: how byte-level vocabularies of this family cut a text.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
