@@ -31,7 +31,7 @@ from .components import components
 from .words import U64, Words, mix
 
 #: Prefix entries that one task takes, and members of a block that one tree holds; a larger block is cut into pairs of parts.
-TASK_ENTRIES, TREE_MEMBERS = 1_000_000, 2048
+TASK_ENTRIES, TREE_MEMBERS = 400_000, 2048
 #: Documents of one file of the written tables.
 TABLE_ROWS = 20_000
 #: Boxes under one node of a tree.
