@@ -5,7 +5,9 @@ a pair wins, ``1 / (1 + exp(-(s_i - s_j)))``: a logistic loss on differences of
 the strengths at which the share of labelled documents below it is that of the poor ones, and scores are scaled so
 that the cut lies at ``threshold``.
 
-Learning takes a bounded sample of labelled rows (``sample``); every row is scored, over its whole text.
+Learning takes every labelled row and all pairs of a good and a poor one: a row's part in the slope depends on its own
+strength and the distribution of the others' alone, so that each step reads the rows twice and never a pair. Knots and
+cut are exact ranks over all rows. Every row is scored, over its whole text.
 
 Cases: a NULL or empty text has all features 0 but one that says so; ties have equal scores; repeated rows are scored
 each; a NULL id is scored and never a label; without labels of both kinds all scores are ``threshold``, so nothing is
@@ -14,21 +16,22 @@ rejected; an empty table gives no rows; further columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, slices
+from .common import id_and_text, lists, shuffle_parts, slices, written
+from .vectors import matrix, row_steps, vector_sums
 from .words import Words
 
-#: Labelled rows to learn from at most; taken in the order of a hash of their ids.
-SAMPLE = 20_000
-#: Pairs in one step, and steps.
-PAIRS, STEPS = 4096, 600
+#: Newton steps at most, and the gain in loss that is not worth another.
+STEPS, ENOUGH = 30, 1e-6
+#: Strengths are tabled from ``-FAR`` to ``FAR`` in ``BINS`` bins a unit, and from ``-NEAR`` to ``NEAR`` in ``COARSE``.
+FAR, BINS, NEAR, COARSE = 64, 32, 16, 4
 _MARKS = b"!#$%&'()*+,-./:;<=>?@[]_|~\""
 
 
@@ -91,7 +94,8 @@ def features(column: pa.Array) -> np.ndarray:
         columns += [np.zeros(n)] * 3
     plain = np.stack(columns, 1)
     plain[size == 0] = 0
-    return np.concatenate([plain, (count == 0).astype(float)[:, None]], 1)
+    # In single precision, as they are stored to learn from.
+    return np.concatenate([plain, (count == 0).astype(float)[:, None]], 1).astype(np.float32).astype(float)
 
 
 @dataclass
@@ -118,49 +122,159 @@ class Ranking:
         return 1 / (1 + np.exp(-np.clip((self.strength(x) - self.cut) / self.width + at, -30, 30)))
 
 
-def fit(x: np.ndarray, label: np.ndarray, threshold: float, seed: int = 17, penalty: float = 1e-3) -> Ranking:
-    """Learn from features and labels 0/1."""
-    f = x.shape[1] if x.ndim == 2 else 0
-    empty = Ranking(np.zeros(f), np.ones(f), np.zeros((0, f)), np.zeros(f), 0.0, 1.0, threshold)
-    good, poor = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    if not len(good) or not len(poor):
-        return empty
-    scale = x.std(0)
-    model = Ranking(x.mean(0), np.where(scale > 1e-9, scale, 1.0), np.quantile(x, [0.05, 0.5, 0.95], axis=0), np.zeros(0), 0.0, 1.0, threshold)
-    bent, draw = model.bent(x), np.random.default_rng(seed)
-    w, m, v = (np.zeros(bent.shape[1]) for _ in range(3))
-    for step in range(1, STEPS + 1):
-        diff = bent[draw.choice(good, PAIRS)] - bent[draw.choice(poor, PAIRS)]
-        wrong = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
-        slope = -(wrong @ diff) / PAIRS + penalty * w
-        m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
-        w = w - 0.05 * (1 - step / (STEPS + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    model.weights = w
-    strength = bent @ w
-    share = len(poor) / len(label)
-    model.cut = float(np.quantile(strength, share))
-    model.width = float(max(np.std(strength) / 4, 1e-6))
-    return model
-
-
-def labelled_features(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of at most ``sample`` labelled rows for which ``may_learn`` holds."""
+def _sums(rows: DataFrame, step: Callable[[np.ndarray, np.ndarray], Iterable[tuple[int, np.ndarray]]], parts: int = 1) -> dict[int, np.ndarray]:
+    """The vectors that ``step(x, label)`` gives by number for each batch of ``rows (label, x)``, all of one length, added up over all rows."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in row_steps(batches, 256):
+            for at, v in step(matrix(batch.column("x")).astype(float), batch.column("label").to_numpy(zero_copy_only=False)):
+                sums[at] = sums[at] + v if at in sums else v
+        if sums:
+            vectors = lists(np.concatenate(list(sums.values())), [len(v) for v in sums.values()], pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), vectors], ["at", "v"])
+
+    partials = rows.select("label", "x").mapInArrow(run, "at int, v array<double>")
+    return {r["at"]: np.array(r["v"]) for r in vector_sums(partials, parts).collect()}
+
+
+def _ranked(rows: DataFrame, values: Callable[[np.ndarray], np.ndarray], width: int, ranks: list[int]) -> np.ndarray:
+    """For each rank (from 0) and column of ``values(x)`` the number of that rank among all rows, in single precision.
+
+    Ordered as whole numbers of 32 bits, a number is found byte by byte from the counts of the next byte.
+    """
+    found = np.zeros((len(ranks), width), np.int64)
+    left = np.repeat(np.array(ranks)[:, None], width, axis=1)
+    for shift in (24, 16, 8, 0):
+
+        def count(x: np.ndarray, _: np.ndarray, shift: int = shift, found: np.ndarray = found) -> Iterator[tuple[int, np.ndarray]]:
+            bits = values(x).astype(np.float32).view(np.uint32)
+            keys = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31)).astype(np.int64)
+            for (r, c), known in np.ndenumerate(found):
+                same = keys[keys[:, c] >> (shift + 8) == known, c]
+                yield r * width + c, np.bincount((same >> shift) & 255, minlength=256).astype(float)
+
+        counts = _sums(rows, count)
+        found = found.copy()
+        for r, c in np.ndindex(*found.shape):
+            upto = np.cumsum(counts[r * width + c])
+            byte = int(np.searchsorted(upto, left[r, c], side="right"))
+            left[r, c] -= int(upto[byte - 1]) if byte else 0
+            found[r, c] = found[r, c] << 8 | byte
+    keys = found.astype(np.uint32)
+    return np.where(keys >> 31, keys & np.uint32((1 << 31) - 1), ~keys).astype(np.uint32).view(np.float32).astype(float)
+
+
+def _spread(rows: DataFrame, model: Ranking) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """For the poor and for the good rows: the mean strength in each bin that has rows, and their number."""
+
+    def step(x: np.ndarray, label: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        at = model.strength(x)
+        cell = np.clip(np.floor((at + FAR) * BINS), 0, 2 * FAR * BINS - 1).astype(np.int64)
+        for kind in (0, 1):
+            mine = label == kind
+            yield kind, np.concatenate([np.bincount(cell[mine], weights=w, minlength=2 * FAR * BINS) for w in (np.ones(mine.sum()), at[mine])])
+
+    sums = _sums(rows, step, 2)
+    return tuple((total[count > 0] / count[count > 0], count[count > 0]) for count, total in (np.split(sums[kind], 2) for kind in (0, 1)))
+
+
+def _chance(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+
+
+def _steepness(rows: DataFrame, model: Ranking, spread) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and curvature of the mean loss of all pairs of a good and a poor row, by the weights.
+
+    A row's pull depends on its strength alone: the sum over all rows of the other kind, read from a table over the
+    strengths. The curvature takes the strengths by coarse bins, and products of a good and a poor row by their sums.
+    """
+    pairs, width = spread[0][1].sum() * spread[1][1].sum(), len(model.weights)
+    grid = np.linspace(-FAR, FAR, 2 * FAR * BINS + 1)
+    cells = 2 * NEAR * COARSE
+
+    def cell_of(at: np.ndarray) -> np.ndarray:
+        return np.clip(np.floor((at + NEAR) * COARSE), 0, cells - 1).astype(np.int64)
+
+    chance = _chance(np.subtract.outer(np.arange(cells), np.arange(cells)) / COARSE)
+    near = chance * (1 - chance) / pairs
+    pull, bend = [], []  # by kind: of a strength, and of a coarse bin
+    for kind, sign in ((0, 1), (1, -1)):
+        other, count = spread[1 - kind]
+        pull.append(sign * (_chance(sign * (grid[:, None] - other)) @ count) / pairs)
+        bend.append(near @ np.bincount(cell_of(other), weights=count, minlength=cells))
+
+    def step(x: np.ndarray, label: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        bent = model.bent(x)
+        at = bent @ model.weights
+        for kind in (0, 1):
+            b, s = bent[label == kind], at[label == kind]
+            cell = cell_of(s)
+            yield 0, np.interp(s, grid, pull[kind]) @ b
+            for i, v in enumerate((b * bend[kind][cell][:, None]).T @ b):
+                yield 1 + i, v
+            for c in np.unique(cell).tolist():
+                yield 1 + width + kind * cells + c, b[cell == c].sum(0)
+
+    sums = _sums(rows, step, min(width, shuffle_parts(rows.sparkSession)))
+    curve = np.stack([sums[1 + i] for i in range(width)])
+    poor, good = (np.stack([sums.get(1 + width + kind * cells + c, np.zeros(width)) for c in range(cells)]) for kind in (0, 1))
+    cross = poor.T @ near @ good
+    return sums[0], curve - cross - cross.T
+
+
+def _loss(spread, weights: np.ndarray, penalty: float) -> float:
+    (poor, poors), (good, goods) = spread
+    return float(goods @ np.logaddexp(0, poor - good[:, None]) @ poors / (goods.sum() * poors.sum()) + penalty / 2 * weights @ weights)
+
+
+def fit(rows: DataFrame, threshold: float, penalty: float = 1e-3) -> Ranking:
+    """Learn from all ``rows (label, x)``: Newton steps on the mean loss of all pairs of a good and a poor row."""
+    sums = _sums(rows, lambda x, y: [(1, x.sum(0)), *[(2 + kind, np.full(x.shape[1], float((y == kind).sum()))) for kind in (0, 1)]])
+    if not sums or not sums[2][0] or not sums[3][0]:
+        return Ranking(np.zeros(0), np.ones(0), np.zeros((0, 0)), np.zeros(0), 0.0, 1.0, threshold)
+    poors, n = int(sums[2][0]), int(sums[2][0] + sums[3][0])
+    # Rounded, since sums of fractions depend on the order of the tasks.
+    middle = (sums[1] / n).astype(np.float32).astype(float)
+    scale = np.sqrt(_sums(rows, lambda x, _: [(0, ((x - middle) ** 2).sum(0))])[0] / n).astype(np.float32).astype(float)
+    knots = _ranked(rows, lambda x: x, len(middle), [int(q * (n - 1)) for q in (0.05, 0.5, 0.95)])
+    model = Ranking(middle, np.where(scale > 1e-6, scale, 1.0), knots, np.zeros(len(middle) * (1 + len(knots))), 0.0, 1.0, threshold)
+    spread = _spread(rows, model)
+    loss = _loss(spread, model.weights, penalty)
+    for _ in range(STEPS):
+        slope, curve = _steepness(rows, model, spread)
+        slope = slope + penalty * model.weights
+        values, vectors = np.linalg.eigh((curve + curve.T) / 2)
+        step = vectors @ ((vectors.T @ slope) / (np.maximum(values, 0) + penalty))
+        if step @ slope < ENOUGH:
+            break
+        for half in range(10):
+            trial = replace(model, weights=np.round(model.weights - step / 2**half, 9))
+            there = _spread(rows, trial)
+            if (after := _loss(there, trial.weights, penalty)) < loss:
+                break
+        else:
+            break
+        model, spread, loss = trial, there, after
+    # The share of rows below the cut is that of the poor ones.
+    at, count = (np.concatenate(c) for c in zip(*spread, strict=True))
+    around = _ranked(rows, lambda x: model.strength(x)[:, None], 1, [poors - 1, poors])
+    width = np.sqrt(max(np.average((at - np.average(at, weights=count)) ** 2, weights=count), 0.0)) / 4
+    return replace(model, cut=float(around.mean()), width=float(max(width, 1e-6)))
+
+
+def labelled_features(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column) -> DataFrame:
+    """``label, x`` of every labelled row of ``docs`` for which ``may_learn`` holds, written."""
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
     known = known.filter(may_learn & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.min("label").alias("label"))
-    # At most ``sample`` rows.
-    chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             x = features(part["text"])
-            yield pa.RecordBatch.from_arrays([part["doc_id"], part["label"], pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
+            yield pa.RecordBatch.from_arrays([part["label"], lists(x.ravel(), np.full(*x.shape), pa.float32())], ["label", "x"])
 
-    found = docs.join(chosen, "doc_id").select("doc_id", "label", "text").mapInArrow(compute, "doc_id bigint, label int, x array<double>").toArrow()
-    if not found.num_rows:
-        return np.zeros((0, 0)), np.zeros(0, int)
-    x, y, ids = np.stack(found["x"].to_numpy()), found["label"].to_numpy(), found["doc_id"].to_numpy()
-    order = np.lexsort((*x.T[:3], ids))  # the same sample in the same order whichever task ends first
-    return x[order], y[order]
+    found = docs.join(known, "doc_id").select("label", "text")
+    return written(found.mapInArrow(compute, "label int, x array<float>"))
 
 
 def scored(docs: DataFrame, model: Ranking) -> DataFrame:
@@ -178,5 +292,5 @@ def scored(docs: DataFrame, model: Ranking) -> DataFrame:
     return docs.mapInArrow(score, ", ".join([*kept, "score double"]))
 
 
-def quality_model(docs: DataFrame, labels: DataFrame, may_learn: Column, threshold: float = 0.3, label: str = "quality", sample: int = SAMPLE) -> Ranking:
-    return fit(*labelled_features(id_and_text(docs), labels, label, may_learn, sample), threshold)
+def quality_model(docs: DataFrame, labels: DataFrame, may_learn: Column, threshold: float = 0.3, label: str = "quality") -> Ranking:
+    return fit(labelled_features(id_and_text(docs), labels, label, may_learn), threshold)

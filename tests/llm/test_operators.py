@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -426,6 +427,27 @@ def test_quality(spark, docs, none):
     assert {round(r["score"], 6) for r in quality.scored(frame, one_kind).collect()} == {0.3}
 
 
+def test_quality_learns_from_every_row_and_pair(spark):
+    # The poor rows are those that a sample of 20,000 by hash would leave out.
+    ids = [r["id"] for r in spark.range(20_060).orderBy(F.xxhash64("id"), "id").collect()]
+    poor = spark.createDataFrame([(i, "BUY!! NOW!!", 0) for i in ids[20_000:]], "doc_id bigint, text string, quality int")
+    rows = spark.createDataFrame([(i, "It is a fine day.", 1) for i in ids[:20_000]], poor.schema).union(poor)
+    model = quality.quality_model(rows, rows, may_learn=F.lit(True))
+    scores = {r["text"]: r["score"] for r in quality.scored(rows, model).select("text", "score").distinct().collect()}
+    assert scores["BUY!! NOW!!"] < 0.3 <= scores["It is a fine day."]
+    # The slope over all pairs, one by one, vanishes.
+    draw = np.random.default_rng(3)
+    texts = [(i, " ".join(draw.choice(["day", "BUY!!", "a", "notwithstanding", "12"], 5 + i % 9)), int(draw.random() < 0.6)) for i in range(120)]
+    frame = spark.createDataFrame(texts, poor.schema)
+    model = quality.quality_model(frame, frame, may_learn=F.lit(True))
+    bent = model.bent(quality.features(pa.array([t for _, t, _ in texts])))
+    label = np.array([q for _, _, q in texts])
+    diff = (bent[label == 1][:, None] - bent[label == 0]).reshape(-1, bent.shape[1])
+    slope = -((1 / (1 + np.exp(diff @ model.weights))) @ diff) / len(diff) + 1e-3 * model.weights
+    assert np.abs(slope).max() < 1e-3
+    assert np.isclose((bent @ model.weights < model.cut).mean(), (label == 0).mean(), atol=0.01)
+
+
 def test_token_files(spark, docs, none):
     path = token_files.token_folder(spark)
     token_files.write_token_files(docs, path, vocabulary("byte_bpe_50k.json"), 0, files=3, page_rows=2)
