@@ -12,12 +12,15 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import SPANS
 
+#: Text bytes whose spans are held at once; a longer text is taken alone.
+SLICE_BYTES = 1 << 20
 #: ``model(prompts, contents)`` gives for each window its start and end probabilities, one number per character.
 SpanModel = Callable[[list[str], list[str]], Iterable[tuple[np.ndarray, np.ndarray]]]
 
@@ -82,6 +85,18 @@ def _document_spans(texts: list[str | None], prompts: Sequence[str], model: Span
     return out
 
 
+def _slices(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that no slice holds more than ``SLICE_BYTES`` of text, except one longer row alone."""
+    for rows in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(rows.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < rows.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+            yield rows.slice(at, to - at)
+            at = to
+
+
 def model_spans(
     df: DataFrame, make_model: Callable[[], SpanModel], prompts: Sequence[str], window: int = 512, overlap: int = 64, threshold: float = 0.5, batch: int = 64,
     text: str = "text", out: str = "spans",
@@ -99,7 +114,7 @@ def model_spans(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, kind = make_model(), None
-        for rows in batches:
+        for rows in _slices(batches, text):
             kind = kind or pa.list_(pa.struct([("entity", pa.string()), ("ord", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("text", pa.string()), ("probability", pa.float64())]))
             values = _document_spans(rows.column(text).to_pylist(), prompts, model, window, overlap, threshold, batch)
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(values, kind)], [*names, out])

@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from spanloom.operators.windows import _document_spans, decoded_spans, model_spans, window_starts
+from spanloom.operators.windows import SLICE_BYTES, _document_spans, _slices, decoded_spans, model_spans, window_starts
 from spanloom.plans.queries import character_model
 
 
@@ -56,3 +57,11 @@ def test_wrong_answers(spark):
         _document_spans(["abc"], ["p"], lambda prompts, contents: [], 10, 5, 0.5, 4)
     with pytest.raises(ValueError, match="per character"):
         _document_spans(["abc"], ["p"], lambda prompts, contents: [(np.zeros(2), np.zeros(3))], 10, 5, 0.5, 4)
+
+
+def test_slices_hold_bounded_text():
+    """A batch of much text is taken in slices, a longer text alone; a NULL takes no room."""
+    texts = ["a" * (SLICE_BYTES // 3), None, "b" * (SLICE_BYTES // 2), "c" * (SLICE_BYTES // 2), "d" * (2 * SLICE_BYTES), "", "e"]
+    cut = list(_slices([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])] * 2, "text"))
+    assert [r.num_rows for r in cut] == [3, 1, 1, 2] * 2
+    assert [t for r in cut for t in r.column("text").to_pylist()] == texts * 2
