@@ -197,8 +197,11 @@ def _chunk(no: Column, start: Column, content: Column, spans: Column, reason: Co
     return F.struct(no.cast("int").alias("chunk_no"), start.cast("int").alias("chunk_start"), content.alias("content"), spans.alias("spans"), reason.alias("reason"))
 
 
-def _pieces(d: Column, capacity: Column, spans: Column) -> Column:
-    """The chunks of one prompt, those with spans first; or the whole text with a reason, if a cut goes through a span."""
+def _pieces(d: Column, capacity: Column, spans: Column, rejects: bool) -> Column:
+    """The chunks of one prompt, those with spans first; or the whole text with a reason, if a cut goes through a span.
+
+    With ``rejects`` only the latter.
+    """
     length, none = d["length"], F.array().cast(PLAIN_SPANS)
 
     def piece(no: Column, starts: Column, mine: Column | None = None) -> Column:
@@ -217,15 +220,15 @@ def _pieces(d: Column, capacity: Column, spans: Column) -> Column:
 
         through = F.exists(F.zip_with(spans, places, lambda s, no: s["end"] > F.coalesce(F.get(starts, no + 1), length)), lambda x: x)
         whole = _chunk(F.lit(0), F.lit(0), d["text"], _plain(spans), F.lit("a cut goes through a span"))
-        return F.when(through, F.array(whole)).otherwise(let(heads, gathered))
+        return F.when(through, F.array(whole)).otherwise(F.array().cast(_CHUNKS) if rejects else let(heads, gathered))
 
     # Without spans the chunks follow each other from the beginning on.
     plain = let(F.sequence(F.lit(0), length - 1, capacity), lambda starts: F.transform(starts, lambda _, no: piece(no, starts)))
-    cut = F.when(F.size(spans) == 0, plain).otherwise(let(cut_plan(length, capacity, spans), with_plan))
+    cut = F.when(F.size(spans) == 0, F.array().cast(_CHUNKS) if rejects else plain).otherwise(let(cut_plan(length, capacity, spans), with_plan))
     return F.when(length > 0, cut).otherwise(F.array().cast(_CHUNKS))
 
 
-def _of_prompt(d: Column, prompt: Column, max_seq_len: int, strict: bool) -> Column:
+def _of_prompt(d: Column, prompt: Column, max_seq_len: int, strict: bool, rejects: bool) -> Column:
     """The chunks of one document for one prompt, as ``struct(prompt, c, dropped)``."""
 
     def with_capacity(cap: Column) -> Column:
@@ -256,7 +259,10 @@ def _of_prompt(d: Column, prompt: Column, max_seq_len: int, strict: bool) -> Col
             body = d["text"] if strict else F.when(passes, d["whole"]).otherwise(d["text"])
             whole = F.array(_chunk(F.lit(0), F.lit(0), body, _plain(spans), reason))
             # An empty span at the end lies in no chunk.
-            return F.when(reason.isNotNull() | fits, whole).otherwise(_pieces(d, cap, F.filter(spans, lambda s: s["start"] < d["length"])))
+            pieces = _pieces(d, cap, F.filter(spans, lambda s: s["start"] < d["length"]), rejects)
+            if rejects:
+                return F.when(reason.isNotNull(), whole).when(fits, F.array().cast(_CHUNKS)).otherwise(pieces)
+            return F.when(reason.isNotNull() | fits, whole).otherwise(pieces)
 
         reasons = str_array(["max_seq_len is too small", "start after end", "span longer than a chunk", "slice differs from span text"])
         return F.transform(let(F.get(reasons, fault), out), lambda c: F.struct(prompt.alias("prompt"), c.alias("c"), x["dropped"].alias("dropped")))
@@ -264,18 +270,10 @@ def _of_prompt(d: Column, prompt: Column, max_seq_len: int, strict: bool) -> Col
     return let((F.lit(max_seq_len - PROMPT_OVERHEAD) - F.length(prompt)).cast("int"), with_capacity)
 
 
-def chunk_documents(
-    df: DataFrame, prompts: Sequence[str], max_seq_len: int = MAX_SEQ_LEN, text: str = "text", spans: str = "spans", strict: bool = True, entity: str = "entity"
-) -> DataFrame:
-    """:func:`chunk_examples` for all prompts of each document, whose spans name their prompt in the field ``entity``.
-
-    The text is stripped and cut into blocks once for all prompts, and the contents of chunks are read before the
-    document is expanded, so no copy of its text goes with a chunk. Other columns are kept. A NULL text gives no rows.
-    """
-    made = {"prompt", "chunk_no", "chunk_start", "content", "result_list", "dropped_spans", REASON}
-    others = [c for c in df.columns if c not in {text, spans}]
-    if clash := sorted(made.intersection(others)):
-        raise ValueError(f"Columns of the result are in the input: {clash}.")
+def _chunk_lists(df: DataFrame, prompts: Sequence[str], max_seq_len: int, text: str, spans: str, strict: bool, entity: str, rejects: bool = False) -> Column:
+    """A list for each prompt of the document's chunks, as ``struct(prompt, c, dropped)``."""
+    if not prompts:
+        raise ValueError("No prompts.")
     whole = F.col(f"`{text}`")
     # Sorted by start, the longest first; `i` keeps the order given.
     ordered = F.array_sort(
@@ -290,13 +288,29 @@ def chunk_documents(
             t.alias("text"), whole.alias("whole"), F.length(t).alias("length"), stripped_prefix(whole).alias("shift"), text_blocks(t).alias("blocks"), ordered.alias("spans")
         ),
     )
+    return let(once, lambda d: F.transform(str_array(prompts), lambda p: _of_prompt(d, p, max_seq_len, strict, rejects)))
 
-    def plans(d: Column) -> Column:
-        return F.flatten(F.transform(str_array(prompts), lambda p: _of_prompt(d, p, max_seq_len, strict)))
 
-    if not prompts:
-        raise ValueError("No prompts.")
-    rows = df.where(whole.isNotNull()).select(*[F.col(f"`{c}`") for c in others], F.explode(let(once, plans)).alias("__r"))
+def _others(df: DataFrame, text: str, spans: str, made: set[str]) -> list[str]:
+    others = [c for c in df.columns if c not in {text, spans}]
+    if clash := sorted(made.intersection(others)):
+        raise ValueError(f"Columns of the result are in the input: {clash}.")
+    return others
+
+
+def chunk_documents(
+    df: DataFrame, prompts: Sequence[str], max_seq_len: int = MAX_SEQ_LEN, text: str = "text", spans: str = "spans", strict: bool = True, entity: str = "entity",
+    rejects: bool = False,
+) -> DataFrame:
+    """:func:`chunk_examples` for all prompts of each document, whose spans name their prompt in the field ``entity``.
+
+    The text is stripped and cut into blocks once for all prompts, and the contents of chunks are read before the
+    document is expanded, so no copy of its text goes with a chunk. Other columns are kept. A NULL text gives no rows.
+    With ``rejects`` only rows with a reason come back, and no content is read for the others.
+    """
+    others = _others(df, text, spans, {"prompt", "chunk_no", "chunk_start", "content", "result_list", "dropped_spans", REASON})
+    plans = F.flatten(_chunk_lists(df, prompts, max_seq_len, text, spans, strict, entity, rejects))
+    rows = df.where(F.col(f"`{text}`").isNotNull()).select(*[F.col(f"`{c}`") for c in others], F.explode(plans).alias("__r"))
     dropped = [] if strict else [F.col("__r.dropped").alias("dropped_spans")]
     return rows.select(
         *[F.col(f"`{c}`") for c in others], *dropped, "__r.prompt", "__r.c.chunk_no", "__r.c.chunk_start", "__r.c.content",

@@ -243,7 +243,7 @@ def chunk_spans(spark, folder):
 
 
 def chunk_rejects(spark, folder):
-    return validate.rejected(_chunks(spark, folder, max_seq_len=SHORT_CHUNK)).select("doc_id", "prompt", F.col("reject_reason").alias("reason"))
+    return validate.rejected(_chunks(spark, folder, max_seq_len=SHORT_CHUNK, rejects=True)).select("doc_id", "prompt", F.col("reject_reason").alias("reason"))
 
 
 def _with_overlaps(df: DataFrame) -> DataFrame:

@@ -96,3 +96,14 @@ def test_running_totals_of_many(spark):
     empty = running(F.array().cast("array<int>"), F.lit(7), lambda s, x: F.struct((s + x).alias("state"), x.alias("out")), "int")
     row = spark.range(1).select(total.alias("t"), empty.alias("e")).first()
     assert row.t.state == 2001000 and row.t.out == [n * (n + 1) // 2 for n in range(1, 2001)] and (row.e.state, row.e.out) == (7, [])
+
+
+def test_rejects_alone(spark):
+    """Only the rows with a reason, the same as of all rows, and no content is read for the others."""
+    df = documents(spark, random_documents(80, 90, True))
+    for size in (14, 24):
+        every = chunk_documents(df, PROMPTS, size)
+        alone = chunk_documents(df, PROMPTS, size, rejects=True)
+        assert shown(alone, True) == shown(every.where("reject_reason IS NOT NULL"), True) != []
+    # Most documents have chunks but no reason.
+    assert alone.count() < every.count() / 2
