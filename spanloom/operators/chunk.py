@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -316,3 +316,26 @@ def chunk_documents(
         *[F.col(f"`{c}`") for c in others], *dropped, "__r.prompt", "__r.c.chunk_no", "__r.c.chunk_start", "__r.c.content",
         F.col("__r.c.spans").alias("result_list"), F.col("__r.c.reason").alias(REASON),
     )
+
+
+def chunk_summaries(
+    df: DataFrame, prompts: Sequence[str], shown: Callable[[Column], Column], max_seq_len: int = MAX_SEQ_LEN, text: str = "text", spans: str = "spans", strict: bool = True,
+    entity: str = "entity",
+) -> DataFrame:
+    """One row per document and prompt that has chunks: ``prompt, reject_reason, n_chunks, n_spans, pieces``.
+
+    ``pieces`` has ``struct(chunk_no, shown)`` of each chunk in order; chunks are summed up within their document, and
+    their contents leave it only as ``shown(chunk)`` says.
+    """
+    others = _others(df, text, spans, {"prompt", REASON, "n_chunks", "n_spans", "pieces"})
+
+    def summary(rows: Column) -> Column:
+        chunks = F.transform(rows, lambda r: F.struct(r["c"]["chunk_no"].alias("chunk_no"), shown(r["c"]).alias("shown")))
+        return F.struct(
+            rows[0]["prompt"].alias("prompt"), rows[0]["c"]["reason"].alias(REASON), F.size(rows).cast("bigint").alias("n_chunks"),
+            F.aggregate(rows, F.lit(0).cast("bigint"), lambda n, r: n + F.size(r["c"]["spans"])).alias("n_spans"), F.array_sort(chunks).alias("pieces"),
+        )
+
+    lists = F.filter(_chunk_lists(df, prompts, max_seq_len, text, spans, strict, entity), lambda rows: F.size(rows) > 0)
+    found = df.where(F.col(f"`{text}`").isNotNull()).select(*[F.col(f"`{c}`") for c in others], F.explode(F.transform(lists, summary)).alias("__r"))
+    return found.select(*[F.col(f"`{c}`") for c in others], "__r.*")

@@ -17,7 +17,7 @@ from ..functions.text import WHITESPACE, clean_text, has_fullwidth_space
 from ..operators import annotate, examples, label_fit, metrics, negatives, ranks, scoring, shrink, splits, validate, windows
 from ..operators import merge as merging
 from ..operators import spans as span_ops
-from ..operators.chunk import chunk_documents, chunk_examples
+from ..operators.chunk import chunk_documents, chunk_examples, chunk_summaries
 from ..operators.regularize import regularize
 from ..schemas import ENTITIES, PLAIN_SPANS, RELATIONS
 from ..session import durable
@@ -261,14 +261,24 @@ def _with_overlaps(df: DataFrame) -> DataFrame:
 
 def chunk_overlaps(spark, folder):
     """Overlapping spans in short chunks: rows are cut where no span is, or come back whole with a reason."""
-    found = chunk_documents(_with_overlaps(with_spans(documents(spark, folder))), ENTITY_NAMES, OVERLAP_CHUNK)
-    shown = F.concat_ws(":", F.col("chunk_start").cast("string"), F.length("content").cast("string"), show_spans(F.col("result_list"), "start", "end", "text"))
-    pieces = F.array_sort(F.collect_list(F.struct("chunk_no", shown.alias("shown"))))
-    return wide_ints(
-        found.groupBy("doc_id", "prompt", F.col("reject_reason").alias("reason")).agg(
-            F.count(F.lit(1)).alias("n_chunks"), F.sum(F.size("result_list")).alias("n_spans"), digest(F.array_join(F.transform(pieces, lambda p: p["shown"]), "|")).alias("pieces_md5")
-        )
+    return wide_ints(_overlap_digests(documents(spark, folder)))
+
+
+def _overlap_digests(docs: DataFrame) -> DataFrame:
+    """Chunks are summed up within their document; only those of documents that share an id are exchanged."""
+    shown = lambda c: F.concat_ws(":", c["chunk_start"].cast("string"), F.length(c["content"]).cast("string"), show_spans(c["spans"], "start", "end", "text"))
+    shared = durable(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("shared_id")))
+    same = F.col("doc_id").eqNullSafe(F.col("shared_id"))
+
+    def summed(part: DataFrame) -> DataFrame:
+        return chunk_summaries(_with_overlaps(with_spans(part)), ENTITY_NAMES, shown, OVERLAP_CHUNK).withColumnRenamed(validate.REASON, "reason")
+
+    alone = summed(docs.join(shared, same, "left_anti"))
+    together = summed(docs.join(shared, same, "left_semi")).groupBy("doc_id", "prompt", "reason").agg(
+        F.sum("n_chunks").alias("n_chunks"), F.sum("n_spans").alias("n_spans"), F.array_sort(F.flatten(F.collect_list("pieces"))).alias("pieces")
     )
+    pieces = F.array_join(F.transform("pieces", lambda p: p["shown"]), "|")
+    return alone.unionByName(together).select("doc_id", "prompt", "reason", "n_chunks", "n_spans", digest(pieces).alias("pieces_md5"))
 
 
 def chunk_by_prompt(spark, folder):

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.functions.common import running
-from spanloom.operators.chunk import chunk_documents, chunk_examples, cut_plan
+from spanloom.operators.chunk import chunk_documents, chunk_examples, chunk_summaries, cut_plan
 from spanloom.operators.examples import prompt_examples
+from spanloom.plans import queries
 
 SPANS = "array<struct<entity:string,start:int,end:int,text:string>>"
 PROMPTS = ["p", "q", "long prompt", "none"]
@@ -107,3 +108,26 @@ def test_rejects_alone(spark):
         assert shown(alone, True) == shown(every.where("reject_reason IS NOT NULL"), True) != []
     # Most documents have chunks but no reason.
     assert alone.count() < every.count() / 2
+
+
+def test_summaries_stay_with_their_document(spark):
+    """Summed up within the document as by an exchange of all chunks; documents may share an id."""
+    df = documents(spark, [*random_documents(60, 90, True), *random_documents(20, 50, True)])
+    found = chunk_documents(df.withColumn("row", F.monotonically_increasing_id()), PROMPTS, 24)
+    piece = F.struct("chunk_no", F.col("content").alias("shown"))
+    every = found.groupBy("id", "row", "prompt", "reject_reason").agg(F.count("*"), F.sum(F.size("result_list")), F.array_sort(F.collect_list(piece)))
+    got = chunk_summaries(df, PROMPTS, lambda c: c["content"], 24)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, got.select("id", "prompt", "reject_reason", "n_chunks", "n_spans", "pieces").rdd.map(tuple).collect())) == sorted(
+        repr(tuple(r)) for r in every.drop("row").toDF("id", "prompt", "reject_reason", "n_chunks", "n_spans", "pieces").rdd.collect()
+    )
+
+
+def test_overlap_digests_of_shared_ids(spark):
+    texts = [(1, "mail a.b@example.com and 1.2.3.4, on and on " * 9), (1, "mail c@example.com or 5.6.7.8 " * 7), (None, "10.0.0.1 here"), (None, "none"), (2, "x" * 300), (3, None), (4, "")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    rows = chunk_documents(queries._with_overlaps(queries.with_spans(docs)), queries.ENTITY_NAMES, queries.OVERLAP_CHUNK)
+    text = F.concat_ws(":", F.col("chunk_start").cast("string"), F.length("content").cast("string"), queries.show_spans(F.col("result_list"), "start", "end", "text"))
+    pieces = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", text.alias("shown")))), lambda p: p["shown"]), "|")
+    every = rows.groupBy("doc_id", "prompt", "reject_reason").agg(F.count("*"), F.sum(F.size("result_list")), F.md5(pieces.cast("binary")))
+    assert sorted(repr(tuple(r)) for r in queries._overlap_digests(docs).collect()) == sorted(repr(tuple(r)) for r in every.collect())
