@@ -7,7 +7,8 @@ that the cut lies at ``threshold``.
 
 Learning takes every labelled row and all pairs of a good and a poor one: a row's part in the slope depends on its own
 strength and the distribution of the others' alone, so that each step reads the rows twice and never a pair. Knots and
-cut are exact ranks over all rows. Every row is scored, over its whole text.
+cut are exact ranks over all rows. Features meet labels by id; texts stay where they are read. Every row is scored, over
+its whole text.
 
 Cases: a NULL or empty text has all features 0 but one that says so; ties have equal scores; repeated rows are scored
 each; a NULL id is scored and never a label; without labels of both kinds all scores are ``threshold``, so nothing is
@@ -264,17 +265,20 @@ def fit(rows: DataFrame, threshold: float, penalty: float = 1e-3) -> Ranking:
 
 
 def labelled_features(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column) -> DataFrame:
-    """``label, x`` of every labelled row of ``docs`` for which ``may_learn`` holds, written."""
+    """``label, x`` of every labelled row of ``docs`` for which ``may_learn``, over ``doc_id``, holds, written.
+
+    The features are taken where the texts are read and meet the labels by id; no text moves.
+    """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
     known = known.filter(may_learn & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.min("label").alias("label"))
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             x = features(part["text"])
-            yield pa.RecordBatch.from_arrays([part["label"], lists(x.ravel(), np.full(*x.shape), pa.float32())], ["label", "x"])
+            yield pa.RecordBatch.from_arrays([part["doc_id"], lists(x.ravel(), np.full(*x.shape), pa.float32())], ["doc_id", "x"])
 
-    found = docs.join(known, "doc_id").select("label", "text")
-    return written(found.mapInArrow(compute, "label int, x array<float>"))
+    read = docs.filter(may_learn & F.col("doc_id").isNotNull()).select("doc_id", "text")
+    return written(read.mapInArrow(compute, "doc_id bigint, x array<float>").join(known, "doc_id").select("label", "x"))
 
 
 def scored(docs: DataFrame, model: Ranking) -> DataFrame:

@@ -448,6 +448,19 @@ def test_quality_learns_from_every_row_and_pair(spark):
     assert np.isclose((bent @ model.weights < model.cut).mean(), (label == 0).mean(), atol=0.01)
 
 
+def test_quality_labels_meet_features_and_not_texts(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality, "written", lambda df: taken.append(df) or df)
+    frame = spark.createDataFrame([(1, "a fine day"), (1, "a fine day"), (2, "BUY!!"), (3, ""), (4, "no label"), (5, "held out"), (None, "no id")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1), (3, 0), (5, 1), (None, 1), (4, None)], "doc_id bigint, quality int")
+    found = quality.labelled_features(frame, labels, "quality", F.coalesce(F.col("doc_id") != 5, F.lit(True))).collect()
+    expected = quality.features(pa.array(["a fine day", "a fine day", "BUY!!", ""])).tolist()
+    assert sorted((r["label"], r["x"]) for r in found) == sorted(zip([1, 1, 0, 0], expected, strict=True))
+    # The join is above the step that reads the texts, so what it exchanges has no text.
+    plan = taken[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("MapInArrow")
+
+
 def test_token_files(spark, docs, none):
     path = token_files.token_folder(spark)
     token_files.write_token_files(docs, path, vocabulary("byte_bpe_50k.json"), 0, files=3, page_rows=2)
