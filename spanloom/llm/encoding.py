@@ -2,7 +2,8 @@
 
 Both public byte-pair vocabularies cut a text at white space before anything else happens, so the ids of a text are
 the ids of its units (a word, for one of them with the white space before it) one after the other, and the ids of a
-unit those of its pieces. The distinct units of a slice of texts are looked up once; the library's model encodes a
+unit those of its pieces. Where white space stays with words, a mark after a letter begins a unit too, as every piece
+of letters ends there. The distinct units of a slice of texts are looked up once; the library's model encodes a
 piece that is new. Whatever this does not cover (odd white space, letters beyond Latin, the vocabulary's own special
 tokens spelt out in a text, a vocabulary with other rules) is encoded by the library as a whole.
 """
@@ -20,8 +21,8 @@ import regex
 from .common import worker_state
 from .words import Words
 
-#: Units and pieces that a worker keeps; a full cache starts anew.
-UNITS_KEPT, PIECES_KEPT = 200_000, 150_000
+#: Units and ids of units that a worker keeps at most, of which the half used last stays; and pieces, whose full cache starts anew.
+UNITS_KEPT, IDS_KEPT, PIECES_KEPT = 600_000, 4_000_000, 150_000
 # Fixed value: how byte-level vocabularies of this family cut a text.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -52,6 +53,57 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Units:
+    """The ids of units by fingerprint, in flat arrays: where the ids of each lie in ``ids``, and the slice that used it last."""
+
+    def __init__(self):
+        self.codes, self.ids = np.zeros(0, np.uint64), np.zeros(0, "<u4")
+        self.begin, self.size, self.used = (np.zeros(0, np.int32) for _ in range(3))
+        self.slice = 0
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``codes`` are known, and at what places those are."""
+        at = np.searchsorted(self.codes, codes)
+        known = np.zeros(len(codes), bool)
+        inside = at < len(self.codes)
+        known[inside] = self.codes[at[inside]] == codes[inside]
+        self.slice += 1
+        self.used[at[known]] = self.slice
+        return known, at[known]
+
+    def add(self, codes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """New units in ascending order, with their ids one after the other."""
+        at = np.searchsorted(self.codes, codes)
+        self.codes, self.size = np.insert(self.codes, at, codes), np.insert(self.size, at, sizes)
+        self.begin = np.insert(self.begin, at, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.used = np.insert(self.used, at, self.slice)
+        self.ids = np.concatenate([self.ids, ids])
+        if len(self.codes) > UNITS_KEPT or len(self.ids) > IDS_KEPT:
+            order = np.argsort(-self.used, kind="stable")[: UNITS_KEPT // 2]
+            keep = np.sort(order[np.cumsum(self.size[order], dtype=np.int64) <= IDS_KEPT // 2])
+            self.ids = self.ids[ranges(self.begin[keep], self.size[keep])]
+            self.codes, self.size, self.used = self.codes[keep], self.size[keep], self.used[keep]
+            self.begin = (np.cumsum(self.size) - self.size).astype(np.int32)
+
+
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each ``begin`` on, ``size`` of them, one range after the other."""
+    size = size.astype(np.int64)
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def letter_bytes(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to letters from A to z and from U+00C0 to U+023F; other letters are not told."""
+    flags = ((data | 32) >= 97) & ((data | 32) <= 122)
+    if len(data) > 1:
+        lead, next_ = data[:-1], data[1:]
+        pair = (lead >= 0xC3) & (lead <= 0xC8) & (next_ >= 0x80) & (next_ <= 0xBF)
+        pair &= (lead != 0xC3) | ((next_ != 0x97) & (next_ != 0xB7))
+        flags[:-1] |= pair
+        flags[1:] |= pair
+    return flags
+
+
 class Encoder:
     """``encode`` gives the ids of a column of texts: flat unsigned 32-bit numbers, and how many each text has."""
 
@@ -62,11 +114,13 @@ class Encoder:
         added = sorted({t.content for t in self.whole.get_added_tokens_decoder().values()})
         self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.added_bytes = re.compile("|".join(map(re.escape, added)).encode(), re.IGNORECASE) if added else None
+        self.added_lower = [x.encode().lower() for x in added]
         self.model, self.letters = self.whole.model, byte_letters()
+        self.letter_codes = np.array([ord(self.letters[b]) for b in range(256)], "<u4")
         self.spaces, pattern, self.lower = self._rules(json.loads(self.whole.to_str()))
         self.cut = regex.compile(pattern).findall if pattern else None
         self.pieces = Kept(self._piece, PIECES_KEPT)
-        self.units: dict[int, bytes] = {}
+        self.units = Units()
 
     @staticmethod
     def _rules(spec: dict) -> tuple[str, str, bool]:
@@ -109,49 +163,65 @@ class Encoder:
         words = Words(column)
         data, first, last = words.data.tobytes(), words.bounds[:-1], words.bounds[1:]
         start, end, doc = words.start, words.end, words.doc
+        letter = letter_bytes(words.data)
         if self.spaces == "leading":
             # From the end of the word before, or of the text's beginning; what white space is left at a text's end is a unit too.
-            start = np.concatenate([[0], end[:-1]])[: len(end)]
-            begins = words.first[:-1][words.count > 0]
-            start[begins] = first[words.count > 0]
-            rest = first.copy()
-            rest[words.count > 0] = end[words.first[1:][words.count > 0] - 1]
-            more = np.flatnonzero(rest < last)
-            start, end, doc = np.concatenate([start, rest[more]]), np.concatenate([end, last[more]]), np.concatenate([doc, more])
+            edge = np.zeros(len(data) + 1, bool)
+            edge[words.bounds] = edge[end] = True
+            mark = (words.data > 32) & (words.data < 127) & ~letter & ((words.data < 48) | (words.data > 57))
+            edge[1:-1] |= letter[:-1] & mark[1:]
+            edges = np.flatnonzero(edge)
+            start, end = edges[:-1], edges[1:]
+            doc = np.repeat(np.arange(len(first)), np.diff(np.searchsorted(edges, words.bounds)))
+        # Bytes that may belong to anything but plain white space and letters up to U+024F.
+        doubtful = np.concatenate([[0], np.cumsum((words.data >= 0xC9) | (words.data == 0xC2) | ((words.data >= 0x1C) & (words.data <= 0x1F)))])
         odd = np.zeros(len(first), bool)
         if self.spaces == "whole":
             odd[:] = True
         else:
-            spelt = self.added_bytes is not None and self.added_bytes.search(data) is not None
-            if spelt or _MAYBE_ODD.search(data):
+            lower = data.lower()
+            spelt = any(x in lower for x in self.added_lower)
+            if spelt or (doubtful[-1] and _MAYBE_ODD.search(data)):
                 for i, (a, b) in enumerate(zip(first.tolist(), last.tolist(), strict=True)):
                     odd[i] = _MAYBE_ODD.search(data, a, b) is not None and _ODD_SPACE.search(data[a:b].decode()) is not None
                     odd[i] |= spelt and self.added_bytes.search(data, a, b) is not None
         if odd.any():
             keep, alone = ~odd[doc], np.flatnonzero(odd)
             start, end, doc = np.concatenate([start[keep], first[alone]]), np.concatenate([end[keep], last[alone]]), np.concatenate([doc[keep], alone])
-        if not np.all(doc[1:] >= doc[:-1]):
             order = np.argsort(doc, kind="stable")
             start, end, doc = start[order], end[order], doc[order]
         codes, where, which = np.unique(words.range_codes(start, end), return_index=True, return_inverse=True)
-        values = list(map(self.units.get, codes.tolist()))
-        new = np.array([i for i, v in enumerate(values) if v is None], np.int64)
-        if len(self.units) + len(new) > UNITS_KEPT:
-            self.units.clear()
-        # Bytes that may belong to anything but plain white space and letters up to U+024F.
-        doubtful = np.concatenate([[0], np.cumsum((words.data >= 0xC9) | (words.data == 0xC2) | ((words.data >= 0x1C) & (words.data <= 0x1F)))])
+        known, at = self.units.find(codes)
+        new = np.flatnonzero(~known)
         begin, stop = start[where[new]], end[where[new]]
         slow = (doubtful[stop] > doubtful[begin]) | (self.cut is None) | odd[doc[where[new]]]
-        for i, code, a, b, by_rule in zip(new.tolist(), codes[new].tolist(), begin.tolist(), stop.tolist(), (~slow).tolist(), strict=True):
-            values[i] = value = (self._unit if by_rule else self._odd_unit)(data[a:b].decode())
-            if b - a <= 200:
-                self.units[code] = value
-        flat = np.frombuffer(b"".join(values), "<u4")
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        begins = np.cumsum(sizes) - sizes
+        fresh, sizes_new = self._new_units(words.data, data, letter, begin, stop, slow)
+        source = np.concatenate([self.units.ids, fresh])
+        begins, sizes = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+        begins[known], sizes[known] = self.units.begin[at], self.units.size[at]
+        begins[new], sizes[new] = len(self.units.ids) + np.cumsum(sizes_new) - sizes_new, sizes_new
+        short = stop - begin <= 200
+        self.units.add(codes[new[short]], sizes_new[short], fresh if short.all() else fresh[np.repeat(short, sizes_new)])
         lengths = sizes[which]
-        at = np.repeat(begins[which] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-        return flat[at], np.bincount(doc, weights=lengths, minlength=len(first)).astype(np.int64)
+        return source[ranges(begins[which], lengths)], np.bincount(doc, weights=lengths, minlength=len(first)).astype(np.int64)
+
+    def _new_units(self, data: np.ndarray, raw: bytes, letter: np.ndarray, begin: np.ndarray, stop: np.ndarray, slow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the units at these places of ``data``, one unit after the other, and how many each has."""
+        fresh, ends = array("I"), []
+        plain, spelt, tokens = np.zeros(len(begin), bool), "", self.model.tokenize
+        if self.spaces == "leading" and len(begin):
+            # Letters alone, or after one blank, are one piece; most new units are, and all of them are spelt at once.
+            others = np.concatenate([[0], np.cumsum(~letter)])
+            word = begin + (data[begin] == 32)
+            plain = ~slow & (word < stop) & (others[stop] == others[word])
+            spelt = self.letter_codes[data].tobytes().decode("utf-32-le")
+        for a, b, is_plain, by_rule in zip(begin.tolist(), stop.tolist(), plain.tolist(), (~slow).tolist(), strict=True):
+            if is_plain:
+                fresh.extend([t.id for t in tokens(spelt[a:b])])
+            else:
+                fresh.frombytes((self._unit if by_rule else self._odd_unit)(raw[a:b].decode()))
+            ends.append(len(fresh))
+        return np.frombuffer(fresh, "<u4") if fresh else np.zeros(0, "<u4"), np.diff(np.array(ends, np.int64), prepend=0)
 
 
 def encoder(path: str) -> Encoder:

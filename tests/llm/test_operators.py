@@ -531,6 +531,49 @@ def test_ids_of_long_patterns_and_special_tokens(name):
     assert [flat[e - n : e].tolist() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)] == [encoded(name, t) for t in texts * 2]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_on_any_mix_of_characters(name, monkeypatch):
+    from spanloom.llm import encoding
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(encoding, "UNITS_KEPT", 100)
+    monkeypatch.setattr(encoding, "IDS_KEPT", 300)
+    draw, encoder, whole = np.random.default_rng(7), encoding.Encoder(vocabulary(name)), Tokenizer.from_file(vocabulary(name))
+    letters = [*"abzAZéßñŐɏ×÷ǃ'',.-!?&#(_19 \n\t  ", "\u0301", "\u0240", "“", "甲", "Я", "\xa0", "\xb5", "'s", "'ll ", "<|endoftext|>"]
+    odds = np.array([1.0] * (len(letters) - 9) + [0.1] * 9)
+    for _ in range(12):
+        texts = ["".join(draw.choice(letters, n, p=odds / odds.sum())) for n in draw.integers(0, 40, 60)]
+        flat, counts = encoder.encode(pa.array(texts))
+        ends = np.cumsum(counts)
+        assert [flat[e - n : e].tolist() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(encoder.units.codes) <= 100 and len(encoder.units.ids) <= 300
+    flat, counts = encoder.encode(pa.array([], pa.string()))
+    assert not len(flat) and not len(counts)
+
+
+def test_recurring_words_are_encoded_once(monkeypatch):
+    from spanloom.llm import encoding
+
+    monkeypatch.setattr(encoding, "UNITS_KEPT", 400)
+    encoder, calls = encoding.Encoder(vocabulary("byte_bpe_50k.json")), collections.Counter()
+    model, whole = encoder.model, encoder.whole
+
+    class Counted:
+        def tokenize(self, spelt):
+            calls[spelt] += 1
+            return model.tokenize(spelt)
+
+    encoder.model = Counted()
+    often = [f"recurring{chr(97 + i)}" for i in range(20)]
+    for n in range(30):
+        once = [f"new{chr(97 + n % 26)}{chr(97 + n // 26)}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+        text = " " + " ".join([*(w + "" ",.;?"[n % 5 - 1 : n % 5] for w in often), *once])
+        flat, _ = encoder.encode(pa.array([text]))
+        assert flat.tolist() == whole.encode(text, add_special_tokens=False).ids
+    # Neither the marks behind them nor the words that came once make them new.
+    assert {calls["Ġ" + w] for w in often} == {1}
+
+
 def test_codes_of_long_patterns():
     import pyarrow as pa
 
