@@ -18,6 +18,10 @@ from ..session import durable
 
 #: Text bytes that one step of vectorised work takes at once; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
+#: Text bytes that work with several numbers for each byte takes at once within a slice, as each byte costs about a hundred then.
+STEP_BYTES = 512 << 10
+#: Bytes of rows that Spark hands to Python at once within ``small_batches``; by itself it takes up to 64 MiB, held several times in JVM and worker.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,11 +39,9 @@ def row_key(doc_id: Column, text: Column) -> Column:
 
 
 @contextlib.contextmanager
-def shuffle_files_released(spark: SparkSession):
-    """Within it, the shuffle files of a finished write are removed at once and not when the driver happens to collect garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def _setting(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
@@ -49,9 +51,22 @@ def shuffle_files_released(spark: SparkSession):
             spark.conf.set(key, before)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, safe from lost executors, its shuffle files gone."""
-    with shuffle_files_released(df.sparkSession):
+def shuffle_files_released(spark: SparkSession):
+    """Within it, the shuffle files of a finished write are removed at once and not when the driver happens to collect garbage."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def small_batches(spark: SparkSession):
+    """Within it, what runs hands rows to Python by ``BATCH_BYTES``, or one longer row alone."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def written(df: DataFrame, small: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, safe from lost executors, its shuffle files gone.
+
+    ``small`` is for Python functions over long rows that do not mind where a batch ends: see ``small_batches``.
+    """
+    with shuffle_files_released(df.sparkSession), small_batches(df.sparkSession) if small else contextlib.nullcontext():
         return durable(df)
 
 
@@ -99,6 +114,11 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SL
             at = to
 
 
+def text_steps(column: pa.Array) -> Iterator[pa.Array]:
+    """A column of texts cut as by ``slices``, by ``STEP_BYTES``."""
+    return (part.column(0) for part in slices([pa.RecordBatch.from_arrays([column], ["text"])], most=STEP_BYTES))
+
+
 def ids_of(batch: pa.RecordBatch, name: str = "doc_id") -> pa.Array:
     return batch.column(name)
 

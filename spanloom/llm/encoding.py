@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from .common import worker_state
+from .common import text_steps, worker_state
 from .words import Words
 
 #: Units and ids of units that a worker keeps at most, of which the half used last stays; and pieces, whose full cache starts anew.
@@ -160,6 +160,10 @@ class Encoder:
         return self._unit(unit)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        steps = [self._step(texts) for texts in text_steps(column)]
+        return np.concatenate([np.zeros(0, "<u4"), *[ids for ids, _ in steps]]), np.concatenate([np.zeros(0, np.int64), *[n for _, n in steps]])
+
+    def _step(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = Words(column)
         data, first, last = words.data.tobytes(), words.bounds[:-1], words.bounds[1:]
         start, end, doc = words.start, words.end, words.doc

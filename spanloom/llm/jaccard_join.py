@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binaries, id_and_text, row_key, packets, parts_for, raw, runs, slices, written
+from .common import binaries, id_and_text, row_key, packets, parts_for, raw, runs, slices, text_steps, written
 from .components import components
 from .words import U64, Words, mix
 
@@ -45,19 +45,20 @@ _SKETCH = "doc_id bigint, row_key bigint, node bigint, n int, prefix binary, poi
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     """The sorted fingerprints of each text's distinct shingles."""
-    words = Words(column, lower=True)
-    at, codes = words.windows(size)
-    first = np.searchsorted(words.doc[at] if len(at) else at, np.arange(len(words.count) + 1))
-    for i, n in enumerate(words.count.tolist()):
-        if n >= size:
-            yield np.unique(codes[first[i] : first[i + 1]])
-        elif n:
-            own, k = words.code[words.first[i] : words.first[i + 1]], U64(0)
-            for c in own.tolist():
-                k = mix(np.array([k], U64) * U64(31) + U64(c))[0]
-            yield np.array([k], U64)
-        else:
-            yield np.zeros(0, U64)
+    for texts in text_steps(column):
+        words = Words(texts, lower=True)
+        at, codes = words.windows(size)
+        first = np.searchsorted(words.doc[at] if len(at) else at, np.arange(len(words.count) + 1))
+        for i, n in enumerate(words.count.tolist()):
+            if n >= size:
+                yield np.unique(codes[first[i] : first[i + 1]])
+            elif n:
+                own, k = words.code[words.first[i] : words.first[i + 1]], U64(0)
+                for c in own.tolist():
+                    k = mix(np.array([k], U64) * U64(31) + U64(c))[0]
+                yield np.array([k], U64)
+            else:
+                yield np.zeros(0, U64)
 
 
 def dimensions(n: int) -> int:
@@ -336,7 +337,7 @@ def verified(pairs: DataFrame, whole: DataFrame, share: int) -> DataFrame:
 def _placed(docs: DataFrame, size: int, share: int, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, row_key, n_shingles, root`` for each row; ``root`` is NULL for an empty set."""
     docs = id_and_text(docs, id_col, text_col).withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
-    rows = written(sketches(docs, size, share, frequent_shingles(docs, size)))
+    rows = written(sketches(docs, size, share, frequent_shingles(docs, size)), small=True)
     parts = parts_for(rows.count(), TABLE_ROWS)
     members = written(block_members(rows))
     sets = rows.join(members.select("node").distinct(), "node").groupBy("node")
@@ -344,8 +345,8 @@ def _placed(docs: DataFrame, size: int, share: int, id_col: str, text_col: str)
 
     def linked(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        whole = written(whole_sets(docs, nodes.join(sets.select("node", "row_key"), "node"), size).coalesce(parts))
-        return written(verified(pairs, whole, share).coalesce(parts))
+        whole = written(whole_sets(docs, nodes.join(sets.select("node", "row_key"), "node"), size).coalesce(parts), small=True)
+        return written(verified(pairs, whole, share).coalesce(parts), small=True)
 
     # First, each member with the least of its block.
     least = members.groupBy("code").agg(F.min("node").alias("b"))

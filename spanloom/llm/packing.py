@@ -123,7 +123,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_pieces: int = GROUP_PIEC
 
 def packed_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each piece of each document with its place; texts are encoded once."""
-    return pack(written(token_pieces(docs, vocabulary, end_id, capacity, False, id_col, text_col)), capacity)
+    return pack(written(token_pieces(docs, vocabulary, end_id, capacity, False, id_col, text_col), small=True), capacity)
 
 
 def packed_sequences(placed: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, lists, shuffle_parts, slices, written
+from .common import STEP_BYTES, id_and_text, lists, shuffle_parts, slices, written
 from .vectors import matrix, row_steps, vector_sums
 from .words import Words
 
@@ -273,12 +273,12 @@ def labelled_features(docs: DataFrame, labels: DataFrame, label: str, may_learn:
     known = known.filter(may_learn & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.min("label").alias("label"))
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, most=STEP_BYTES):
             x = features(part["text"])
             yield pa.RecordBatch.from_arrays([part["doc_id"], lists(x.ravel(), np.full(*x.shape), pa.float32())], ["doc_id", "x"])
 
     read = docs.filter(may_learn & F.col("doc_id").isNotNull()).select("doc_id", "text")
-    return written(read.mapInArrow(compute, "doc_id bigint, x array<float>").join(known, "doc_id").select("label", "x"))
+    return written(read.mapInArrow(compute, "doc_id bigint, x array<float>").join(known, "doc_id").select("label", "x"), small=True)
 
 
 def scored(docs: DataFrame, model: Ranking) -> DataFrame:
@@ -287,7 +287,7 @@ def scored(docs: DataFrame, model: Ranking) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, most=STEP_BYTES):
             model = sent.value
             x = features(part["text"])
             values = model.score(x) if x.shape[1] == len(model.middle) else np.full(part.num_rows, model.threshold)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.llm import decontaminate, exact_dedup, jaccard_join, lm_score, packing, quality, sharding, substring_dedup, token_files, warc
+from spanloom.llm import common, decontaminate, exact_dedup, jaccard_join, lm_score, packing, quality, sharding, substring_dedup, token_files, warc
 from spanloom.llm.queries import id_remainder, vocabulary
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -574,6 +575,53 @@ def test_recurring_words_are_encoded_once(monkeypatch):
     assert {calls["Ġ" + w] for w in often} == {1}
 
 
+def peak_mb(work):
+    """What Python and numpy hold at most while ``work`` runs, and its result."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_does_not_follow_the_slice():
+    from spanloom.llm.encoding import Encoder
+
+    draw = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(500)])
+    texts = [None, "", *[" ".join(words[draw.integers(0, 500, 300)]) for _ in range(2300)]]
+    column = pa.array(texts)
+    assert column.nbytes > 1.4 * 2**21
+    encoder = Encoder(vocabulary("word_bpe_49k.json"))
+    parts = [encoder.encode(column.slice(i, 100)) for i in range(0, len(texts), 100)]
+    (ids, counts), most = peak_mb(lambda: encoder.encode(column))
+    assert most < 80
+    assert ids.tolist() == np.concatenate([p[0] for p in parts]).tolist() and counts.tolist() == np.concatenate([p[1] for p in parts]).tolist()
+    sums, most = peak_mb(lambda: [(len(c), c.sum()) for c in jaccard_join.shingle_sets(column, 5)])
+    assert most < 50
+    assert sums == [(len(c), c.sum()) for i in range(0, len(texts), 100) for c in jaccard_join.shingle_sets(column.slice(i, 100), 5)]
+
+
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    sizes = spark.sparkContext.accumulator(0)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+
+    def seen(batches, most=0):
+        for batch in batches:
+            sizes.add(batch.nbytes > 2 * common.BATCH_BYTES)
+            yield from common.slices([batch], most=most or common.SLICE_BYTES)
+
+    monkeypatch.setattr(packing, "slices", seen)
+    monkeypatch.setattr(quality, "slices", lambda batches, most: seen(batches, most))
+    rows = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.repeat(F.lit(" ab"), 2000)).alias("text"))
+    assert packing.packed_documents(rows, vocabulary("word_bpe_49k.json"), 2).count() == 3000
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    assert quality.labelled_features(rows, labels, "quality", F.lit(True)).count() == 3000
+    assert sizes.value == 0
+    assert spark.conf.get(key) == before
+
+
 def test_codes_of_long_patterns():
     import pyarrow as pa
 
