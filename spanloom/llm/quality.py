@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import STEP_BYTES, id_and_text, lists, shuffle_parts, slices, written
+from .common import STEP_BYTES, id_and_text, lists, shuffle_parts, slices, small_batches, written
 from .vectors import matrix, row_steps, vector_sums
 from .words import Words
 
@@ -278,7 +278,8 @@ def labelled_features(docs: DataFrame, labels: DataFrame, label: str, may_learn:
             yield pa.RecordBatch.from_arrays([part["doc_id"], lists(x.ravel(), np.full(*x.shape), pa.float32())], ["doc_id", "x"])
 
     read = docs.filter(may_learn & F.col("doc_id").isNotNull()).select("doc_id", "text")
-    return written(read.mapInArrow(compute, "doc_id bigint, x array<float>").join(known, "doc_id").select("label", "x"), small=True)
+    with small_batches(docs.sparkSession):
+        return written(read.mapInArrow(compute, "doc_id bigint, x array<float>").join(known, "doc_id").select("label", "x"))
 
 
 def scored(docs: DataFrame, model: Ranking) -> DataFrame:
