@@ -22,6 +22,8 @@ are not looked at.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,40 +113,35 @@ def surfaces(text: Column) -> Column:
 
 
 def templates(text: Column) -> Column:
-    """``struct<plain, named>``: the words with numbers and units as placeholders, and with names as placeholders too."""
-
-    def both(m: Column) -> Column:
-        plain = F.regexp_replace(_value(m), r"(\x01[nu])[^ ]*", "$1")
-        return F.struct(_split(plain).alias("plain"), _split(F.replace(F.regexp_replace(m, r"(\x01[nupq])[^ ]*", "$1"), F.lit(_MARK + "q"), F.lit(_MARK + "p"))).alias("named"))
+    """The words with numbers and units as placeholders; a name keeps its word behind the mark of a placeholder."""
+    return _split(F.replace(F.regexp_replace(marked(text), r"(\x01[nu])[^ ]*", "$1"), F.lit(_MARK + "q"), F.lit(_MARK + "p")))
 
-    return let(marked(text), both)
 
-
-def windows(words: Column, width: int, step: int) -> Column:
-    """``array<struct<at, code>>`` of the windows that begin at every ``step``-th word.
+def windows(rows: DataFrame, words: str, width: int, step: int) -> DataFrame:
+    """The rows with ``at`` and ``code`` of each window that begins at every ``step``-th of the column ``words``, in its place.
 
     A window has a code for each choice of names that stand as placeholders: whichever of two windows' names are
     the same word and whichever are other names, written in the same case or not, they have one code in common.
+    A code joins the hashes of its words at their places by exclusive or, so a choice changes it by the choice's own share.
     """
-    last = F.floor((F.size(words["plain"]) - width) / step).cast("int")
-    at = F.when(F.size(words["plain"]) >= width, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-
-    def choices(w: Column) -> Column:
-        def step_(all_: Column, i: Column) -> Column:
-            plain, named = F.get(w["plain"], i), F.get(w["named"], i)
-            kept = F.transform(all_, lambda c: F.concat(c, F.array(plain)))
-            return F.when(plain == named, kept).otherwise(F.concat(kept, F.transform(all_, lambda c: F.concat(c, F.array(named)))))
-
-        return F.aggregate(F.sequence(F.lit(0), F.lit(width - 1)), F.array(F.array().cast("array<string>")), step_, lambda found: F.transform(found, lambda c: F.xxhash64(c)))
-
-    def codes(i: Column) -> Column:
-        w = F.struct(*[F.slice(words[c], i * step + 1, width).alias(c) for c in ("plain", "named")])
-        one = lambda w: F.size(F.array_remove(w["named"], _MARK + "p")) == width - 1
-        plain, named = (lambda w: F.xxhash64(w["plain"])), (lambda w: F.xxhash64(w["named"]))
-        found = let(w, lambda w: F.when(w["plain"] == w["named"], F.array(plain(w))).when(one(w), F.array(plain(w), named(w))).otherwise(choices(w)))
-        return F.transform(found, lambda code: F.struct((i * step).alias("at"), code.alias("code")))
-
-    return F.flatten(F.transform(at, codes))
+    others = [F.col(f"`{c}`") for c in rows.columns if c != words]
+    all_ = F.col(f"`{words}`")
+    last = F.floor((F.size(all_) - width) / step).cast("int")
+    at = F.when(F.size(all_) >= width, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    # A window is a row, so that its words are hashed by compiled code and not within a lambda function.
+    cut = rows.select(*others, F.inline(F.transform(at, lambda i: F.struct((i * step).alias("at"), F.slice(all_, i * step + 1, width).alias("own")))))
+
+    name, none = F.lit(_MARK + "p"), F.lit(0).cast("bigint")
+    plain, turns = [], []
+    for place in map(F.lit, range(width)):
+        word = F.get("own", place)
+        named = F.startswith(word, name)
+        plain.append(F.xxhash64(F.when(named, F.replace(word, name)).otherwise(word), place))
+        turns.append(F.when(named, plain[-1].bitwiseXOR(F.xxhash64(name, place))).otherwise(none))
+    cut = cut.select(*others, "at", functools.reduce(Column.bitwiseXOR, plain).alias("code"), F.array_remove(F.array(*turns), none).alias("turns"))
+
+    chosen = F.aggregate("turns", F.array("code"), lambda found, turn: F.concat(found, F.transform(found, lambda code: code.bitwiseXOR(turn))))
+    return cut.select(*others, "at", F.explode(F.when(F.size("turns") == 0, F.array("code")).otherwise(chosen)).alias("code"))
 
 
 def _value(word: Column) -> Column:
@@ -276,11 +273,11 @@ def _found(rows: DataFrame, benchmark: DataFrame, run: int, shortest: int, item_
     items = items.filter(F.size("item_words") >= shortest)
     least = items.agg(F.min(F.size("item_words"))).first()[0] or run
     width = min((min(run, least) + 1) // 2, WIDEST)
-    probes = written(items.select("item_id", F.inline(windows(F.col("item"), width, 1))).withColumnRenamed("at", "item_at").distinct())
+    probes = written(windows(items.select("item_id", "item"), "item", width, 1).withColumnRenamed("at", "item_at").distinct())
 
     # The words go through a generator of one row: each text is cut once, not once for every use.
     cut = rows.select("row_key", F.explode(F.array(templates(F.col("text")))).alias("words"))
-    pieces = cut.select("row_key", F.inline(windows(F.col("words"), width, width)))
+    pieces = windows(cut, "words", width, width)
     small = probes.count() <= BROADCAST_ROWS
     hits = pieces.join(F.broadcast(probes) if small else probes, "code").select("row_key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     parts = parts_for(rows.count(), TABLE_ROWS)

@@ -310,6 +310,27 @@ def test_names_that_begin_sentences_and_numbers_in_words(spark):
     assert leaked(spark, "A Long And Winding Title Of The Old Book About Seas And Ships And Wind", "Some Quite Other Heading With Many Words Here That Never Had To Do So Much") == {0: (False, 0, False)}
 
 
+def test_codes_of_windows(spark):
+    """Two windows have a code in common if all their words are the same or names, and the words are hashed by compiled code."""
+    draw, kinds = np.random.default_rng(4), ["a", "b", "\x01n", "\x01pa", "\x01pb", "\x01pc"]
+    texts = [[kinds[k] for k in draw.integers(0, 6, n)] for n in (3, 4, 9, 30, 30, 41)] + [["a"] * 9, ["\x01pa"] * 9, []]
+    frame = spark.createDataFrame(list(enumerate(texts)), "row int, words array<string>")
+    width = 4
+    for step in (1, 3):
+        found = decontaminate.windows(frame, "words", width, step)
+        assert "lambdafunction(xxhash64" not in found._jdf.queryExecution().optimizedPlan().toString()
+        codes = collections.defaultdict(set)
+        for r in found.collect():
+            codes[r["row"], r["at"]].add(r["code"])
+        own = {(n, at): t[at : at + width] for n, t in enumerate(texts) for at in range(0, len(t) - width + 1, step)}
+        assert codes.keys() == own.keys()
+        fits = lambda v, w: v.removeprefix("\x01p") == w.removeprefix("\x01p") or v[:2] == w[:2] == "\x01p"
+        for one, left in own.items():
+            assert len(codes[one]) == 2 ** sum(w.startswith("\x01p") for w in left)
+            for other, right in own.items():
+                assert bool(codes[one] & codes[other]) == all(map(fits, left, right))
+
+
 def test_sharding(spark, docs, none):
     rows = sharding.sharded(docs, 3).collect()
     assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == collections.Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in AWKWARD)
