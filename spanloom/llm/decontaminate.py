@@ -23,6 +23,7 @@ are not looked at.
 from __future__ import annotations
 
 import functools
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +64,7 @@ UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\u
 _MARK = "\x01"
 _UPPER, _LOWER = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
 _PUNCTUATION = "[!-/:-@\\[-`{-~¡-¿×÷‐-‧‰-⁞]+"
+_SIGNS = "".join(c for c in map(chr, range(0x2060)) if re.match(_PUNCTUATION, c))
 
 
 def _tree(words: list[str]) -> str:
@@ -96,10 +98,8 @@ def marked(text: Column) -> Column:
     capitals = F.lower(F.regexp_replace(named, rf"(?=[\p{{Lu}}{_PUNCTUATION[1:-2]}])(?<!\S)({_PUNCTUATION[:-1]}*+)(?=\p{{Lu}}\p{{Ll}})", f"$1{_MARK}Q"))
     numbers = F.regexp_replace(capitals, _numbers(), f" {_MARK}n{''.join(f'${k}' for k in range(1, 13))}\x02 ")
     units = F.regexp_replace(numbers, rf"\x02\s*({'|'.join(sorted(UNITS, key=len, reverse=True))}|%|€|\$|£)(?![\p{{L}}\d])", f" {_MARK}u$1")
-    bare = F.regexp_replace(units, _PUNCTUATION[:-2] + "\x02]+", "")
-    for white in "\t\n\x0b\f\r":
-        bare = F.replace(bare, F.lit(white), F.lit(" "))
-    return bare
+    # White space becomes a blank, punctuation goes.
+    return F.translate(units, "\t\n\x0b\f\r\x02" + _SIGNS, " " * 5)
 
 
 def _split(words: Column) -> Column:
@@ -112,15 +112,10 @@ def surfaces(text: Column) -> Column:
     return _split(marked(text))
 
 
-def templates(text: Column) -> Column:
-    """The words with numbers and units as placeholders; a name keeps its word behind the mark of a placeholder."""
-    return _split(F.replace(F.regexp_replace(marked(text), r"(\x01[nu])[^ ]*", "$1"), F.lit(_MARK + "q"), F.lit(_MARK + "p")))
-
-
 def windows(rows: DataFrame, words: str, width: int, step: int) -> DataFrame:
-    """The rows with ``at`` and ``code`` of each window that begins at every ``step``-th of the column ``words``, in its place.
+    """The rows with ``at`` and ``code`` of each window that begins at every ``step``-th of the surfaces in the column ``words``, in its place.
 
-    A window has a code for each choice of names that stand as placeholders: whichever of two windows' names are
+    Numbers and units are placeholders. A window has a code for each choice of names that stand as placeholders: whichever of two windows' names are
     the same word and whichever are other names, written in the same case or not, they have one code in common.
     A code joins the hashes of its words at their places by exclusive or, so a choice changes it by the choice's own share.
     """
@@ -131,13 +126,14 @@ def windows(rows: DataFrame, words: str, width: int, step: int) -> DataFrame:
     # A window is a row, so that its words are hashed by compiled code and not within a lambda function.
     cut = rows.select(*others, F.inline(F.transform(at, lambda i: F.struct((i * step).alias("at"), F.slice(all_, i * step + 1, width).alias("own")))))
 
-    name, none = F.lit(_MARK + "p"), F.lit(0).cast("bigint")
+    none = F.lit(0).cast("bigint")
     plain, turns = [], []
     for place in map(F.lit, range(width)):
         word = F.get("own", place)
-        named = F.startswith(word, name)
-        plain.append(F.xxhash64(F.when(named, F.replace(word, name)).otherwise(word), place))
-        turns.append(F.when(named, plain[-1].bitwiseXOR(F.xxhash64(name, place))).otherwise(none))
+        mark = F.substring(word, 1, 2)
+        named = mark.isin(_MARK + "p", _MARK + "q")
+        plain.append(F.xxhash64(F.when(named, _value(word)).when(mark.isin(_MARK + "n", _MARK + "u"), mark).otherwise(word), place))
+        turns.append(F.when(named, plain[-1].bitwiseXOR(F.xxhash64(F.lit(_MARK + "p"), place))).otherwise(none))
     cut = cut.select(*others, "at", functools.reduce(Column.bitwiseXOR, plain).alias("code"), F.array_remove(F.array(*turns), none).alias("turns"))
 
     chosen = F.aggregate("turns", F.array("code"), lambda found, turn: F.concat(found, F.transform(found, lambda code: code.bitwiseXOR(turn))))
@@ -265,7 +261,7 @@ def _found(rows: DataFrame, benchmark: DataFrame, run: int, shortest: int, item_
     if not items.filter(F.col("t").rlike(UNSPACED)).isEmpty():
         items = items.withColumn("t", F.regexp_replace("t", f"({UNSPACED})", " $1 "))
         rows = rows.withColumn("text", F.regexp_replace("text", f"({UNSPACED})", " $1 "))
-    items = written(items.select("item_id", surfaces(F.col("t")).alias("item_words"), templates(F.col("t")).alias("item")).distinct())
+    items = written(items.select("item_id", surfaces(F.col("t")).alias("item_words")).distinct())
     short = items.filter((F.size("item_words") > 0) & (F.size("item_words") < shortest))
     lengths = sorted(r[0] for r in short.select(F.size("item_words")).distinct().collect())  # fewer than `shortest`
     bare = lambda text: F.transform(surfaces(text), _value)  # noqa: E731  a name is its word, in any case
@@ -273,10 +269,10 @@ def _found(rows: DataFrame, benchmark: DataFrame, run: int, shortest: int, item_
     items = items.filter(F.size("item_words") >= shortest)
     least = items.agg(F.min(F.size("item_words"))).first()[0] or run
     width = min((min(run, least) + 1) // 2, WIDEST)
-    probes = written(windows(items.select("item_id", "item"), "item", width, 1).withColumnRenamed("at", "item_at").distinct())
+    probes = written(windows(items, "item_words", width, 1).withColumnRenamed("at", "item_at").distinct())
 
     # The words go through a generator of one row: each text is cut once, not once for every use.
-    cut = rows.select("row_key", F.explode(F.array(templates(F.col("text")))).alias("words"))
+    cut = rows.select("row_key", F.explode(F.array(surfaces(F.col("text")))).alias("words"))
     pieces = windows(cut, "words", width, width)
     small = probes.count() <= BROADCAST_ROWS
     hits = pieces.join(F.broadcast(probes) if small else probes, "code").select("row_key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
